@@ -130,3 +130,174 @@ GROUP BY l.level"""
 def label_report(spark, sf_dir):
     return L.build_labels(resolve_review_columns(FX.package_info(spark, sf_dir)),
                           policy="drop").report
+
+
+# ---------------------------------------------------------------------------
+# Step 2: evidence scalars and phrases
+# ---------------------------------------------------------------------------
+from pkgsift.functions import evidence as EV  # noqa: E402
+from pkgsift.functions import js_features as JS  # noqa: E402
+from pkgsift.functions import phrases as PH  # noqa: E402
+from pkgsift.functions import python_features as PY  # noqa: E402
+from pkgsift.functions import ruby_features as RB  # noqa: E402
+from pkgsift.plans import oracle_text as O  # noqa: E402
+
+
+def _files(spark, sf_dir, ecosystem=None):
+    f = FX.code_files(spark, sf_dir)
+    return f if ecosystem is None else f.where(F.col("ecosystem") == ecosystem)
+
+
+def _sql_files(ecosystem):
+    return f"WITH {FX.CODE_FILES_SQL},\nfiles AS (SELECT * FROM code_files WHERE ecosystem = '{ecosystem}')"
+
+
+@register("url_b64_counts", f"""WITH {FX.CODE_FILES_SQL}
+SELECT doc_id, ecosystem,
+       CAST(len(regexp_extract_all(content, {O.q(O.URL_RE2)})) AS BIGINT) AS url_count,
+       CAST(len(regexp_extract_all(content, {O.q(O.B64_RE2)})) AS BIGINT) AS b64_count
+FROM code_files""")
+def url_b64_counts(spark, sf_dir):
+    """Whole-text URL and base64 counts per source file (the light-mode counts)."""
+    c = F.col("content")
+    return _files(spark, sf_dir).select("doc_id", "ecosystem", EV.url_count(c).alias("url_count"),
+                                        EV.b64_count(c).alias("b64_count"))
+
+
+@register("page_url_flags", f"""
+SELECT page_id,
+       regexp_matches(url, {O.q(O.URL_RE2)}) AS url_evidence,
+       CAST(len(regexp_extract_all(html, {O.q(O.URL_RE2)})) AS BIGINT) AS html_url_count,
+       CAST(len(regexp_extract_all(html, {O.q(O.B64_RE2)})) AS BIGINT) AS html_b64_count
+FROM pages""")
+def page_url_flags(spark, sf_dir):
+    """URL evidence on web pages: the URL column and the raw HTML."""
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return p.select("page_id", F.col("url").rlike(EV.URL_PATTERN).alias("url_evidence"),
+                    EV.url_count(F.col("html")).alias("html_url_count"),
+                    EV.b64_count(F.col("html")).alias("html_b64_count"))
+
+
+_JS_PAIR_RE2 = {
+    "ra": r"\b(?:const|let|var)\s+([A-Za-z_$][\w$]*)\s*=\s*require\s*\(\s*['\"]([^'\"]+)['\"]\s*\)",
+    "rd": r"\b(?:const|let|var)\s*\{([^\}]+)\}\s*=\s*require\s*\(\s*['\"]([^'\"]+)['\"]\s*\)",
+    "idf": r"\bimport\s+([A-Za-z_$][\w$]*)\s+from\s+['\"]([^'\"]+)['\"]",
+    "ins": r"\bimport\s+\*\s+as\s+([A-Za-z_$][\w$]*)\s+from\s+['\"]([^'\"]+)['\"]",
+    "inm": r"\bimport\s*\{([^\}]+)\}\s*from\s*['\"]([^'\"]+)['\"]",
+}
+_JS_BARE_RE2 = r"\bimport\s*['\"]([^'\"]+)['\"]"
+
+
+def _sql_js_imports(text="content"):
+    mods = [f"regexp_extract_all({text}, {O.q(p)}, 2)" for p in _JS_PAIR_RE2.values()]
+    mods.append(f"regexp_extract_all({text}, {O.q(_JS_BARE_RE2)}, 1)")
+    allm = "flatten([" + ", ".join(mods) + "])"
+    return f"list_sort(list_distinct(list_transform({allm}, lambda m: lower(trim(m)))))"
+
+
+def _sql_npm_import_phrases(imports):
+    exact = O.case_map("i", PH.NPM_IMPORTS)
+    base = O.case_map("split_part(i, '/', 1)", PH.NPM_IMPORTS)
+    looked = f"list_transform({imports}, lambda i: coalesce({exact}, {base}))"
+    return f"list_transform({O.first_seen(O.no_nulls(looked))}, lambda p: 'import ' || p)"
+
+
+@register("import_phrases", f"""{_sql_files('npm')},
+i AS (SELECT doc_id, {_sql_js_imports()} AS imports FROM files),
+p AS (SELECT doc_id, imports, {_sql_npm_import_phrases('imports')} AS phrases FROM i)
+SELECT doc_id, array_to_string(imports, ',') AS imports, array_to_string(phrases, ', ') AS phrases
+FROM p""")
+def import_phrases(spark, sf_dir):
+    """npm imports per file and their phrases (dictionary lookup with base-name retry)."""
+    f = JS.with_aliases(_files(spark, sf_dir, "npm").withColumnRenamed("content", "text"))
+    ph = PH.import_phrases(F.col("imports"), PH.NPM_IMPORTS, EV.module_base)
+    return f.select("doc_id", F.array_join("imports", ",").alias("imports"),
+                    F.array_join(ph, ", ").alias("phrases"))
+
+
+# ---------------------------------------------------------------------------
+# Steps 3-5: per-language features (G20-G45) on single files
+# ---------------------------------------------------------------------------
+from pkgsift.functions import lexers as LX  # noqa: E402
+
+
+def _calls_text(calls_col):
+    return F.array_join(F.transform(calls_col, lambda c: F.concat(c["mod"], F.lit(":"), c["func"])), "|")
+
+
+def _sql_py_features(src="files", text="content", keep=("doc_id",)):
+    """DuckDB: Python features for every row of ``src``."""
+    k = ", ".join(keep)
+    imp_words = ("list_filter(regexp_split_to_array(' ' || substr(t, 7), '[\\s,]+'), "
+                 "lambda w: w <> '' AND w <> 'as')")
+    imp_bases = (f"list_filter(list_transform({imp_words}, lambda w: split_part(w, '.', 1)), "
+                 f"lambda b: regexp_full_match(b, '[A-Za-z_][A-Za-z0-9_]*'))")
+    plain = f"flatten(list_transform(list_filter(toks, lambda t: starts_with(t, 'import')), lambda t: {imp_bases}))"
+    frm = ("list_filter(list_transform(list_filter(toks, lambda t: regexp_matches(t, '^from\\s')), "
+           "lambda t: split_part(regexp_extract(t, '^from\\s+(\\S*)', 1), '.', 1)), lambda m: m <> '')")
+    calls = (f"list_transform(list_filter({O.heads('toks')}, lambda h: NOT {O.head_is_keyword('h', LX.PYTHON_KEYWORDS)}), "
+             f"lambda h: {{'mod': {O.head_base('h')}, 'func': {O.head_func('h')}}})")
+    return f"""py_toks AS (SELECT {k}, regexp_extract_all({text}, {O.q(O.PY_TOKENS_RE2)}) AS toks FROM {src}),
+py_feats AS (
+  SELECT {k},
+         list_sort(list_distinct(list_concat({plain}, {frm}))) AS imports,
+         {calls} AS calls,
+         {O.count_matching(O.literals('toks'), O.URL_RE2)} AS url_count,
+         {O.count_matching(O.literals('toks'), O.B64_RE2)} AS b64_count
+  FROM py_toks)"""
+
+
+def _sql_calls_text(calls):
+    return f"array_to_string(list_transform({calls}, lambda c: c.mod || ':' || c.func), '|')"
+
+
+@register("python_features", f"""{_sql_files('pypi')},
+{_sql_py_features()}
+SELECT doc_id, array_to_string(imports, ',') AS imports, {_sql_calls_text('calls')} AS calls,
+       len(list_filter(calls, lambda c: c.func IN ('eval', 'exec'))) > 0 AS has_eval_exec,
+       url_count, b64_count
+FROM py_feats""")
+def python_features(spark, sf_dir):
+    """Per Python file: imports, calls (mod:func in order), eval flag, literal counts."""
+    f = PY.python_features(_files(spark, sf_dir, "pypi"), "content")
+    return f.select("doc_id", F.array_join("imports", ",").alias("imports"),
+                    _calls_text(F.col("calls")).alias("calls"), "has_eval_exec",
+                    "url_count", "b64_count")
+
+
+def _sql_ruby_features(src="files", text="content", keep=("doc_id",)):
+    k = ", ".join(keep)
+    req = O.q(r"""require(?:_relative)?\s*(?:\(?\s*['"]([^'"]+)['"]\s*\)?)""")
+    cue_re2 = [
+        ("system", r"\b(?:kernel\s*\.\s*)?system\s*\("),
+        ("exec", r"\b(?:kernel\s*\.\s*)?exec\s*\("),
+        ("spawn", r"\b(?:kernel\s*\.\s*)?spawn\s*\("),
+        ("open3.popen", r"\bopen3\s*\.\s*popen[23]?\b"),
+        ("io.popen", r"\bio\s*\.\s*popen\b"),
+    ]
+    cue_items = [f"CASE WHEN regexp_matches(lower({text}), {O.q(p)}) THEN {O.q(n)} END" for n, p in cue_re2]
+    cue_items.append(f"CASE WHEN regexp_matches({text}, {O.q(r'(?s)`[^`]+`|%x\{.*?\}|%x\([^\)]*\)|%x\[[^\]]*\]')}) "
+                     f"THEN 'system' END")
+    cues = O.no_nulls("[" + ", ".join(cue_items) + "]")
+    lits = O.literals(f"regexp_extract_all({text}, {O.q(O.RUBY_STRINGS_RE2)})")
+    return f"""rb_feats AS (
+  SELECT {k},
+         list_sort(list_distinct(list_transform(regexp_extract_all({text}, {req}, 1), lambda r: lower(trim(r))))) AS requires,
+         {cues} AS calls,
+         regexp_matches(lower({text}), {O.q(r'\b(?:eval|instance_eval|class_eval|module_eval)\s*\(')}) AS has_eval_exec,
+         {O.count_matching(lits, O.URL_RE2)} AS url_count,
+         {O.count_matching(lits, O.B64_RE2)} AS b64_count
+  FROM {src})"""
+
+
+@register("ruby_features", f"""{_sql_files('rubygems')},
+{_sql_ruby_features()}
+SELECT doc_id, array_to_string(requires, ',') AS requires, array_to_string(calls, ',') AS calls,
+       has_eval_exec, url_count, b64_count
+FROM rb_feats""")
+def ruby_features(spark, sf_dir):
+    """Per Ruby file: requires, call cues, eval flag, literal counts."""
+    f = RB.ruby_features(_files(spark, sf_dir, "rubygems"), "content")
+    return f.select("doc_id", F.array_join("requires", ",").alias("requires"),
+                    F.array_join("calls", ",").alias("calls"), "has_eval_exec",
+                    "url_count", "b64_count")
