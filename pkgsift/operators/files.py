@@ -70,11 +70,15 @@ def topk_files(files: DataFrame, k: int = DEFAULT_TOP_K, include_tests: bool = F
 
 
 def python_tier(package: Column, version: Column, rel_path: Column,
-                from_archive: Column | None = None) -> Column:
+                from_archive: Column | None = None, vrel: Column | None = None) -> Column:
     """E2 tiers: 1 ``<hint>/__init__.py``; 2 under ``/<hint>/``; 3 ``src/`` non-deny;
-    4 any non-deny; 5 any.  ``hint`` is the package with '-' → '_'."""
+    4 any non-deny; 5 any.  ``hint`` is the package with '-' → '_'.
+
+    ``rel_path`` is relative to the version root; path patterns see the path
+    relative to the version directory (``vrel``) under ``/package/version``.
+    """
     hint = F.regexp_replace(package, "-", "_")
-    tree = tree_path(package, version, rel_path)
+    tree = tree_path(package, version, rel_path if vrel is None else vrel)
     # files from an archive are seen by member path only (Q6)
     seen = tree if from_archive is None else F.when(from_archive, F.concat(F.lit("/"), rel_path)).otherwise(tree)
     init = (rel_path == F.concat(hint, F.lit("/__init__.py"))) | rel_path.endswith(
@@ -97,7 +101,8 @@ def representative_python(files: DataFrame) -> DataFrame:
     """One ``*.py`` per version → (package, version, rel_path, tier)."""
     py = files.where(F.col("rel_path").endswith(".py"))
     arch = F.col("from_archive") if "from_archive" in files.columns else None
-    return _pick_min(py, python_tier(F.col("package"), F.col("version"), F.col("rel_path"), arch))
+    vrel = F.col("vrel") if "vrel" in files.columns else None
+    return _pick_min(py, python_tier(F.col("package"), F.col("version"), F.col("rel_path"), arch, vrel))
 
 
 def ruby_tier(rel_path: Column) -> Column:
@@ -115,5 +120,6 @@ def representative_ruby(files: DataFrame) -> DataFrame:
 
 def with_content(chosen: DataFrame, files: DataFrame) -> DataFrame:
     """Join the chosen keys back to the file bodies (the only content shuffle)."""
-    return chosen.join(files.select("package", "version", "rel_path", "content"),
-                       ["package", "version", "rel_path"], "inner")
+    keys = ["package", "version", "rel_path"]
+    body = [c for c in ("size", "content") if c in files.columns and c not in chosen.columns]
+    return chosen.join(files.select(*keys, *body), keys, "inner")

@@ -143,18 +143,22 @@ def files_under_roots(roots: DataFrame, listing: DataFrame) -> DataFrame:
 
 
 def pypi_inner_root(files: DataFrame) -> DataFrame:
-    """C5 (PyPI): sole or first preferred subdirectory becomes the root.
+    """C5 (PyPI): a preferred subdirectory (tar-gz, zip, src, source, build,
+    dist; first in that order) becomes the root.
 
     ``files`` has (package, version, rel_path, ...) relative to the version
-    directory; the result has rel_path relative to the inner root.
+    directory.  The result has ``rel_path`` relative to the inner root and
+    keeps the version-relative path as ``vrel`` for path patterns.
     """
     first = F.split(F.col("rel_path"), "/")[0]
+    prefs = F.array(*[F.lit(n) for n in PYPI_INNER_DIRS])
     subdirs = (files.where(F.instr("rel_path", "/") > 0)
-               .select("package", "version", first.alias("sub")).distinct())
-    stats = subdirs.groupBy("package", "version").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(F.when(F.col("sub").isin(PYPI_INNER_DIRS), F.col("sub"))).alias("inner"))
-    keyed = files.join(stats.select("package", "version", "inner"), ["package", "version"], "left")
+               .select("package", "version", first.alias("sub"))
+               .where(F.col("sub").isin(PYPI_INNER_DIRS)))
+    inner = (subdirs.groupBy("package", "version")
+             .agg(F.min(F.array_position(prefs, F.col("sub"))).alias("_i"))
+             .select("package", "version", F.element_at(prefs, F.col("_i").cast("int")).alias("inner")))
+    keyed = files.join(inner, ["package", "version"], "left").withColumn("vrel", F.col("rel_path"))
     inside = F.col("inner").isNull() | F.col("rel_path").startswith(F.concat(F.col("inner"), F.lit("/")))
     rel = F.when(F.col("inner").isNull(), F.col("rel_path")).otherwise(
         F.expr("substring(rel_path, length(inner) + 2)"))

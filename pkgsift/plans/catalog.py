@@ -301,3 +301,346 @@ def ruby_features(spark, sf_dir):
     return f.select("doc_id", F.array_join("requires", ",").alias("requires"),
                     F.array_join("calls", ",").alias("calls"), "has_eval_exec",
                     "url_count", "b64_count")
+
+
+def _sql_pairs(text, key, pattern, fields):
+    a = f"regexp_extract_all({text}, {O.q(pattern)}, 1)"
+    m = f"regexp_extract_all({text}, {O.q(pattern)}, 2)"
+    return (f"list_transform(range(1, len({a}) + 1), lambda j: "
+            f"{{'{fields[0]}': {a}[j], '{fields[1]}': lower(trim({m}[j]))}})")
+
+
+def _sql_js_features(src="files", text="content", keep=("doc_id",), max_bytes=JS.DEFAULT_MAX_FILE_BYTES):
+    k = ", ".join(keep)
+    P = _JS_PAIR_RE2
+    aliases = "flatten([" + ", ".join(_sql_pairs(text, None, P[n], ("k", "mod"))
+                                      for n in ("ra", "idf", "ins")) + "])"
+    dest_item = ("CASE WHEN strpos(x, ':') > 0 THEN {'k': trim(substr(x, strpos(x, ':') + 1)), "
+                 "'mod': e.mod, 'fn': trim(split_part(x, ':', 1))} "
+                 "ELSE {'k': x, 'mod': e.mod, 'fn': x} END")
+    named_item = ("CASE WHEN regexp_matches(x, '\\sas\\s') THEN "
+                  "{'k': trim(regexp_extract(x, '(?s)^.*?\\sas\\s(.*)$', 1)), 'mod': e.mod, "
+                  "'fn': trim(regexp_extract(x, '(?s)^(.*?)\\sas\\s', 1))} "
+                  "ELSE {'k': x, 'mod': e.mod, 'fn': x} END")
+    items = "list_filter(list_transform(string_split(e.a, ','), lambda y: trim(y)), lambda y: y <> '')"
+    dest = f"flatten(list_transform({_sql_pairs(text, None, P['rd'], ('a', 'mod'))}, lambda e: list_transform({items}, lambda x: {dest_item})))"
+    named = f"flatten(list_transform({_sql_pairs(text, None, P['inm'], ('a', 'mod'))}, lambda e: list_transform({items}, lambda x: {named_item})))"
+    heads = (f"list_transform(list_filter({O.heads('toks')}, lambda h: NOT {O.head_is_keyword('h', LX.JS_KEYWORDS)}), "
+             f"lambda h: {{'base': {O.head_base('h')}, 'func': {O.head_func('h')}, 'member': {O.head_member('h')}}})")
+    step1 = ("list_transform(raw, lambda c: {'mod0': CASE WHEN c.member AND c.base <> '' AND c.base NOT IN "
+             f"{O.in_list(JS.NON_IDENTIFIER_BASES)} THEN coalesce(list_filter(aliases, lambda e: e.k = c.base)[-1].mod, c.base) "
+             "ELSE '' END, 'func': c.func})")
+    step2 = ("list_transform(step1, lambda c: CASE WHEN c.mod0 = '' AND list_filter(names, lambda e: e.k = c.func)[-1] IS NOT NULL "
+             "THEN {'mod': list_filter(names, lambda e: e.k = c.func)[-1].mod, 'func': list_filter(names, lambda e: e.k = c.func)[-1].fn} "
+             "ELSE {'mod': c.mod0, 'func': c.func} END)")
+    low = f"lower({text})"
+    os_re = r"require\s*\(\s*['\"]child_process['\"]\s*\)\s*\.?\s*exec(?:sync)?\s*\("
+    proc_re = r"require\s*\(\s*['\"]child_process['\"]\s*\)\s*\.?\s*(?:spawn|fork)\s*\("
+    pm, osf, prf = O.in_list(JS.PROCESS_MODULES), O.in_list(JS.OS_FUNCS), O.in_list(JS.PROC_FUNCS)
+    return f"""js_base AS (
+  SELECT {k}, {text} AS _text, length({text}) > {max_bytes} AS light,
+         CASE WHEN length({text}) > {max_bytes} THEN []::VARCHAR[]
+              ELSE regexp_extract_all({text}, {O.q(O.JS_TOKENS_RE2)}) END AS toks,
+         {_sql_js_imports(text)} AS imports,
+         {aliases} AS aliases,
+         list_concat({dest}, {named}) AS names
+  FROM {src}),
+js_raw AS (SELECT *, {heads} AS raw FROM js_base),
+js_s1 AS (SELECT *, {step1} AS step1 FROM js_raw),
+js_calls AS (SELECT *, CASE WHEN light THEN [] ELSE {step2} END AS calls FROM js_s1),
+js_feats AS (
+  SELECT {k}, light, imports, aliases, names, calls,
+         CASE WHEN light THEN regexp_matches(lower(_text), '\\beval\\s*\\(') OR regexp_matches(lower(_text), '\\bvm\\s*\\.\\s*runinnewcontext\\s*\\(')
+              ELSE len(list_filter(calls, lambda c: lower(c.func) = 'eval')) > 0 END AS has_eval_exec,
+         regexp_matches(lower(_text), {O.q(os_re)}) OR (NOT light AND len(list_filter(calls, lambda c: c.mod IN {pm} AND lower(c.func) IN {osf})) > 0) AS calls_os,
+         regexp_matches(lower(_text), {O.q(proc_re)}) OR (NOT light AND len(list_filter(calls, lambda c: c.mod IN {pm} AND lower(c.func) IN {prf})) > 0) AS calls_proc,
+         CASE WHEN light THEN CAST(len(regexp_extract_all(_text, {O.q(O.URL_RE2)})) AS BIGINT)
+              ELSE {O.count_matching(O.literals('toks'), O.URL_RE2)} END AS url_count,
+         CASE WHEN light THEN CAST(len(regexp_extract_all(_text, {O.q(O.B64_RE2)})) AS BIGINT)
+              ELSE {O.count_matching(O.literals('toks'), O.B64_RE2)} END AS b64_count
+  FROM js_calls)"""
+
+
+def _js_flags_sql(max_bytes):
+    return f"""{_sql_files('npm')},
+{_sql_js_features(max_bytes=max_bytes)}
+SELECT doc_id, light, array_to_string(imports, ',') AS imports, {_sql_calls_text('calls')} AS calls,
+       has_eval_exec, calls_os, calls_proc, url_count, b64_count
+FROM js_feats"""
+
+
+def _js_flags(spark, sf_dir, max_bytes):
+    f = JS.js_features(_files(spark, sf_dir, "npm"), "content", None, max_bytes)
+    return f.select("doc_id", "light", F.array_join("imports", ",").alias("imports"),
+                    _calls_text(F.col("calls")).alias("calls"), "has_eval_exec", "calls_os",
+                    "calls_proc", "url_count", "b64_count")
+
+
+@register("js_flags", _js_flags_sql(JS.DEFAULT_MAX_FILE_BYTES))
+def js_flags(spark, sf_dir):
+    """Per JS file: imports, resolved calls, eval / OS / process flags, literal counts."""
+    return _js_flags(spark, sf_dir, JS.DEFAULT_MAX_FILE_BYTES)
+
+
+JS_LIGHT_TEST_BYTES = 2000
+
+
+@register("js_light_mode", _js_flags_sql(JS_LIGHT_TEST_BYTES))
+def js_light_mode(spark, sf_dir):
+    """Same as js_flags with a 2,000-byte gate, so long files take the light path."""
+    return _js_flags(spark, sf_dir, JS_LIGHT_TEST_BYTES)
+
+
+@register("js_aliases", f"""{_sql_files('npm')},
+{_sql_js_features()}
+SELECT doc_id,
+       array_to_string(list_transform(aliases, lambda e: e.k || '=' || e.mod), ',') AS aliases,
+       array_to_string(list_transform(names, lambda e: e.k || '=' || e.mod || '.' || e.fn), ',') AS names
+FROM js_feats""")
+def js_aliases(spark, sf_dir):
+    """Per JS file: alias → module and name → (module, function) entries, in pass order."""
+    f = JS.with_aliases(_files(spark, sf_dir, "npm").withColumnRenamed("content", "text"))
+    return f.select(
+        "doc_id",
+        F.array_join(F.transform("_aliases", lambda e: F.concat(e["k"], F.lit("="), e["mod"])), ",")
+        .alias("aliases"),
+        F.array_join(F.transform("_names", lambda e: F.concat(e["k"], F.lit("="), e["mod"],
+                                                              F.lit("."), e["fn"])), ",")
+        .alias("names"))
+
+
+# ---------------------------------------------------------------------------
+# Step 6: file choice, rollup and sentences per registry
+# ---------------------------------------------------------------------------
+from pkgsift.operators import files as FL  # noqa: E402
+from pkgsift.operators import roots as RT  # noqa: E402
+from pkgsift.operators.rollup import version_rollup as _rollup  # noqa: E402
+from pkgsift.plans import describe as D  # noqa: E402
+
+
+def _src(spark, sf_dir, ecosystem):
+    return FX.source_files(spark, sf_dir).where(F.col("ecosystem") == ecosystem).drop("ecosystem")
+
+
+def _labels(spark, sf_dir):
+    return L.version_labels(_review_rows(spark, sf_dir), "drop")
+
+
+_LABELS_CTE = _ROWS_SQL[len("WITH "):] + f""",
+classified AS (SELECT package, version, {_label_case_sql('drop')} AS label FROM rows),
+versions AS (SELECT DISTINCT package, version, label FROM classified WHERE label IS NOT NULL)"""
+
+
+def _with(ecosystem: str) -> str:
+    return f"""WITH {FX.CODE_FILES_SQL},
+src_files AS (SELECT package, version, path AS rel_path, CAST(length(content) AS BIGINT) AS size, content
+              FROM code_files WHERE ecosystem = '{ecosystem}'),
+{_LABELS_CTE}"""
+
+
+def _tp(rel="rel_path"):
+    return f"('/' || package || '/' || version || '/' || {rel})"
+
+
+_TOPK_CTE = f"""cands AS (
+  SELECT package, version, rel_path, size,
+         (CASE WHEN strpos({_tp()}, '/dist/') > 0 THEN -30 WHEN strpos({_tp()}, '/lib/') > 0 THEN -20
+               WHEN strpos({_tp()}, '/src/') > 0 THEN -10 ELSE 0 END
+          + CASE WHEN ends_with({_tp()}, '/index.js') OR ends_with({_tp()}, '/index.ts') THEN -5 ELSE 0 END
+          + CASE WHEN regexp_matches({_tp()}, {O.q(FL.NPM_DENY)}) THEN 100 ELSE 0 END) AS pri
+  FROM src_files
+  WHERE regexp_matches(rel_path, '\\.(js|ts)$') AND NOT regexp_matches({_tp()}, {O.q(FL.NPM_DENY)})),
+ranked AS (
+  SELECT package, version, rel_path, size,
+         CAST(row_number() OVER (PARTITION BY package, version
+                                 ORDER BY pri, size DESC, ends_with(rel_path, '.ts'), rel_path) AS INTEGER) AS rank
+  FROM cands),
+topk AS (SELECT * FROM ranked WHERE rank <= {FL.DEFAULT_TOP_K})"""
+
+
+@register("topk_files", f"""{_with('npm')},
+{_TOPK_CTE}
+SELECT package, version, rel_path, size, rank FROM topk""")
+def topk_files(spark, sf_dir):
+    """Best 20 .js/.ts files per npm version by (priority, -size), deny paths removed."""
+    return FL.topk_files(_src(spark, sf_dir, "npm")).select(
+        "package", "version", "rel_path", "size", "rank")
+
+
+_PY_INNER_CTE = f"""subs AS (
+  SELECT package, version, min(list_position({O.in_list(RT.PYPI_INNER_DIRS).replace('(', '[').replace(')', ']')},
+                                             split_part(rel_path, '/', 1))) AS i
+  FROM src_files
+  WHERE strpos(rel_path, '/') > 0 AND split_part(rel_path, '/', 1) IN {O.in_list(RT.PYPI_INNER_DIRS)}
+  GROUP BY package, version),
+inner_dir AS (SELECT package, version, {O.in_list(RT.PYPI_INNER_DIRS).replace('(', '[').replace(')', ']')}[i] AS inner FROM subs),
+inner_files AS (
+  SELECT f.package, f.version, f.rel_path AS vrel,
+         CASE WHEN d.inner IS NULL THEN f.rel_path ELSE substr(f.rel_path, length(d.inner) + 2) END AS rel_path,
+         f.size, f.content
+  FROM src_files f LEFT JOIN inner_dir d ON f.package = d.package AND f.version = d.version
+  WHERE d.inner IS NULL OR starts_with(f.rel_path, d.inner || '/')),
+py_tiers AS (
+  SELECT package, version, rel_path, content,
+         CASE WHEN rel_path = replace(package, '-', '_') || '/__init__.py'
+                   OR ends_with(rel_path, '/' || replace(package, '-', '_') || '/__init__.py') THEN 1
+              WHEN strpos({_tp('vrel')}, '/' || replace(package, '-', '_') || '/') > 0 THEN 2
+              WHEN starts_with(rel_path, 'src/') AND NOT regexp_matches({_tp('vrel')}, {O.q(FL.PYPI_DENY)}) THEN 3
+              WHEN NOT regexp_matches({_tp('vrel')}, {O.q(FL.PYPI_DENY)}) THEN 4 ELSE 5 END AS tier
+  FROM inner_files WHERE ends_with(rel_path, '.py')),
+py_rep AS (
+  SELECT package, version, rel_path, tier, content FROM (
+    SELECT *, row_number() OVER (PARTITION BY package, version ORDER BY tier, rel_path) AS rn FROM py_tiers)
+  WHERE rn = 1)"""
+
+
+@register("rep_file_python", f"""{_with('pypi')},
+{_PY_INNER_CTE}
+SELECT package, version, rel_path, tier FROM py_rep""")
+def rep_file_python(spark, sf_dir):
+    """C5 + E2: inner root, then one representative .py per PyPI version."""
+    return FL.representative_python(RT.pypi_inner_root(_src(spark, sf_dir, "pypi")))
+
+
+_RB_INNER_CTE = """src_dirs AS (
+  SELECT package, version, min(split_part(rel_path, '/', 1)) AS inner FROM src_files
+  WHERE strpos(rel_path, '/') > 0 AND ends_with(split_part(rel_path, '/', 1), '.src')
+  GROUP BY package, version),
+rb_inner AS (
+  SELECT f.package, f.version,
+         CASE WHEN d.inner IS NULL THEN f.rel_path ELSE substr(f.rel_path, length(d.inner) + 2) END AS rel_path,
+         f.content
+  FROM src_files f LEFT JOIN src_dirs d ON f.package = d.package AND f.version = d.version
+  WHERE d.inner IS NULL OR starts_with(f.rel_path, d.inner || '/')),
+rb_rep AS (
+  SELECT package, version, rel_path, tier, content FROM (
+    SELECT *, row_number() OVER (PARTITION BY package, version ORDER BY tier, rel_path) AS rn FROM (
+      SELECT *, CASE WHEN ends_with(rel_path, '.gemspec') THEN 1
+                     WHEN starts_with(rel_path, 'lib/') AND ends_with(rel_path, '.rb') THEN 2 ELSE 3 END AS tier
+      FROM rb_inner WHERE ends_with(rel_path, '.gemspec') OR ends_with(rel_path, '.rb')))
+  WHERE rn = 1)"""
+
+
+@register("rep_file_ruby", f"""{_with('rubygems')},
+{_RB_INNER_CTE}
+SELECT package, version, rel_path, tier FROM rb_rep""")
+def rep_file_ruby(spark, sf_dir):
+    """C5 + E3: *.src root, then gemspec / lib/**/*.rb / any .rb per RubyGems version."""
+    return FL.representative_ruby(RT.ruby_inner_root(_src(spark, sf_dir, "rubygems")))
+
+
+_NPM_ROLLUP_CTE = f"""topk_content AS (
+  SELECT t.package, t.version, t.rel_path, t.rank, f.content
+  FROM topk t JOIN src_files f ON t.package = f.package AND t.version = f.version AND t.rel_path = f.rel_path),
+{_sql_js_features('topk_content', 'content', ('package', 'version', 'rel_path'))},
+rollup AS (
+  SELECT package, version, list_sort(list_distinct(flatten(list(imports)))) AS imports,
+         bool_or(has_eval_exec) AS has_eval_exec, bool_or(calls_os) AS calls_os,
+         bool_or(calls_proc) AS calls_proc, CAST(sum(url_count) AS BIGINT) AS url_count,
+         CAST(sum(b64_count) AS BIGINT) AS b64_count, CAST(count(*) AS BIGINT) AS n_files
+  FROM js_feats GROUP BY package, version)"""
+
+
+@register("version_rollup", f"""{_with('npm')},
+{_TOPK_CTE},
+{_NPM_ROLLUP_CTE}
+SELECT package, version, array_to_string(imports, ',') AS imports, has_eval_exec, calls_os,
+       calls_proc, url_count, b64_count, n_files
+FROM rollup""")
+def version_rollup(spark, sf_dir):
+    """Top-K files' features rolled up per npm version."""
+    r = D.npm_version_features(_src(spark, sf_dir, "npm"))
+    return r.select("package", "version", F.array_join("imports", ",").alias("imports"),
+                    "has_eval_exec", "calls_os", "calls_proc", "url_count", "b64_count", "n_files")
+
+
+def _sql_npm_parts(r):
+    return ("flatten([" + ", ".join([
+        _sql_npm_import_phrases(f"coalesce({r}.imports, []::VARCHAR[])"),
+        O.flag(f"{r}.calls_os", PH.OS_CALL), O.flag(f"{r}.calls_proc", PH.PROC_CALL),
+        O.flag(f"{r}.has_eval_exec", PH.EVAL_PHRASE), O.flag(f"{r}.url_count > 0", PH.URL_PHRASE),
+        O.b64_phrases(f"coalesce({r}.b64_count, 0)"), O.flag("h.startup", PH.STARTUP_PHRASE)]) + "])")
+
+
+@register("npm_sentences", f"""{_with('npm')},
+{_TOPK_CTE},
+{_NPM_ROLLUP_CTE},
+found AS (SELECT DISTINCT package, version FROM src_files),
+hooks AS (
+  SELECT package, version,
+         list_has_any(json_keys(json_extract(content, '$.scripts')), {O.in_list(JS.INSTALL_HOOKS).replace('(', '[').replace(')', ']')}) AS startup
+  FROM src_files WHERE rel_path = 'package.json')
+SELECT v.package, v.version,
+       CASE WHEN fd.package IS NULL THEN {O.fixed_sentence('v.package', 'v.version', D.NO_JS)}
+            ELSE {O.sentence('v.package', 'v.version', _sql_npm_parts('r'))} END AS textual_description,
+       CAST(v.label AS INTEGER) AS label
+FROM versions v
+LEFT JOIN found fd ON v.package = fd.package AND v.version = fd.version
+LEFT JOIN rollup r ON v.package = r.package AND v.version = r.version
+LEFT JOIN hooks h ON v.package = h.package AND v.version = h.version""")
+def npm_sentences(spark, sf_dir):
+    """L2 npm: label rows → top-K files → rollup → manifest → sentence."""
+    return D.npm_descriptions(_labels(spark, sf_dir), _src(spark, sf_dir, "npm"))
+
+
+def _sql_py_parts():
+    call_flags = ", ".join(
+        O.flag(f"list_contains(list_transform(p.calls, lambda c: c.mod || ':' || c.func), {O.q(m + ':' + f)})", ph)
+        for (m, f), ph in PH.PYPI_CALLS)
+    imports = (f"list_transform({O.first_seen(O.no_nulls(f'list_transform(p.imports, lambda i: {O.case_map(chr(105), PH.PYPI_IMPORTS)})'))}, "
+               f"lambda x: 'import ' || x)")
+    return ("flatten([" + ", ".join([
+        imports, call_flags,
+        O.flag("len(list_filter(p.calls, lambda c: c.func IN ('eval', 'exec'))) > 0", PH.EVAL_PHRASE),
+        O.flag("p.url_count > 0", PH.URL_PHRASE), O.b64_phrases("p.b64_count")]) + "])")
+
+
+@register("python_sentences", f"""{_with('pypi')},
+{_PY_INNER_CTE},
+{_sql_py_features('py_rep', 'content', ('package', 'version', 'rel_path'))},
+found AS (SELECT DISTINCT package, version FROM src_files)
+SELECT v.package, v.version,
+       CASE WHEN fd.package IS NULL THEN {O.fixed_sentence('v.package', 'v.version', D.NO_SOURCE)}
+            WHEN p.rel_path IS NULL THEN {O.fixed_sentence('v.package', 'v.version', D.NO_PY)}
+            ELSE {O.sentence('v.package', "v.version || '/' || p.rel_path", _sql_py_parts())} END
+         AS textual_description,
+       CAST(v.label AS INTEGER) AS label
+FROM versions v
+LEFT JOIN found fd ON v.package = fd.package AND v.version = fd.version
+LEFT JOIN py_feats p ON v.package = p.package AND v.version = p.version""")
+def python_sentences(spark, sf_dir):
+    """L2 PyPI: label rows → inner root → representative file → sentence."""
+    return D.pypi_descriptions(_labels(spark, sf_dir), _src(spark, sf_dir, "pypi"))
+
+
+def _sql_rb_parts():
+    m = PH.RUBY_REQUIRES
+    looked = (f"list_transform(p.requires, lambda r: coalesce({O.case_map('r', m)}, "
+              f"{O.case_map(chr(39) + chr(39) + ' || ' + 'array_to_string(string_split(r, ' + chr(39) + '/' + chr(39) + ')[1:2], ' + chr(39) + '/' + chr(39) + ')', m)}))")
+    imports = f"list_transform({O.first_seen(O.no_nulls(looked))}, lambda x: 'import ' || x)"
+    cue_flags = ", ".join(O.flag(f"len(list_filter(p.calls, lambda c: starts_with(c, {O.q(k)}))) > 0", ph)
+                          for k, ph in PH.RUBY_CALLS if ph)
+    calls = f"list_sort(list_distinct(flatten([{cue_flags}])))"
+    return ("flatten([" + ", ".join([
+        imports, calls, O.flag("p.has_eval_exec", PH.EVAL_PHRASE),
+        O.flag("p.url_count > 0", PH.URL_PHRASE), O.b64_phrases("p.b64_count")]) + "])")
+
+
+@register("ruby_sentences", f"""{_with('rubygems')},
+{_RB_INNER_CTE},
+{_sql_ruby_features('rb_rep', 'content', ('package', 'version', 'rel_path'))},
+rb_versions AS (SELECT * FROM versions v WHERE EXISTS (
+  SELECT 1 FROM src_files f WHERE f.package = v.package AND f.version = v.version))
+SELECT v.package, v.version,
+       CASE WHEN p.rel_path IS NULL THEN {O.fixed_sentence('v.package', 'v.version', D.NO_RUBY)}
+            ELSE {O.sentence('v.package', "v.version || '/' || p.rel_path", _sql_rb_parts())} END
+         AS textual_description,
+       CAST(v.label AS INTEGER) AS label
+FROM rb_versions v
+LEFT JOIN rb_feats p ON v.package = p.package AND v.version = p.version""")
+def ruby_sentences(spark, sf_dir):
+    """L2 RubyGems: labelled versions (those with a directory) → representative file → sentence."""
+    files = _src(spark, sf_dir, "rubygems")
+    versions = _labels(spark, sf_dir).join(files.select("package", "version").distinct(),
+                                           ["package", "version"], "left_semi")
+    return D.ruby_descriptions(versions, files)
