@@ -644,3 +644,64 @@ def ruby_sentences(spark, sf_dir):
     versions = _labels(spark, sf_dir).join(files.select("package", "version").distinct(),
                                            ["package", "version"], "left_semi")
     return D.ruby_descriptions(versions, files)
+
+
+# ---------------------------------------------------------------------------
+# Step 7: merge, exact stratified split, split counts
+# ---------------------------------------------------------------------------
+from pkgsift.operators import split as SP  # noqa: E402
+
+
+def merged_frame(spark, sf_dir):
+    return SP.merge_registries(npm=npm_sentences(spark, sf_dir), pypi=python_sentences(spark, sf_dir),
+                               rubygems=ruby_sentences(spark, sf_dir)).select(
+        "ecosystem", "package", "version", "textual_description", "label")
+
+
+def _strip_with(sql: str) -> str:
+    return sql
+
+
+_MERGED_SQL = "merged AS (\n" + "\nUNION ALL\n".join(
+    f"SELECT '{eco}' AS ecosystem, package, version, textual_description, label FROM ({_ORACLES[name]})"
+    for eco, name in (("npm", "npm_sentences"), ("pypi", "python_sentences"),
+                      ("rubygems", "ruby_sentences"))) + ")"
+
+
+@register("merged_dataset", f"WITH {_MERGED_SQL}\nSELECT * FROM merged")
+def merged_dataset(spark, sf_dir):
+    """the three registries' sentences in one table, with an ecosystem column."""
+    return merged_frame(spark, sf_dir)
+
+
+def _split_sql(val=0.10, test=0.10, seed=42, buckets=SP.DEFAULT_BUCKETS):
+    vr = val / (1.0 - test)
+    key = ("concat_ws(chr(1), coalesce(ecosystem, chr(0)), coalesce(package, chr(0)), coalesce(version, chr(0)), "
+           "coalesce(textual_description, chr(0)), coalesce(CAST(label AS VARCHAR), chr(0)))")
+    return f"""WITH {_MERGED_SQL},
+data AS (SELECT *, md5('{seed}|' || {key}) AS h, {key} AS k FROM merged),
+cls AS (SELECT label, count(*) AS n_c FROM data GROUP BY label),
+tot AS (SELECT sum(n_c) AS n, CAST(ceil(CAST({test!r} AS DOUBLE) * sum(n_c)) AS BIGINT) AS n_test FROM cls),
+t0 AS (SELECT label, n_c, n, n_test, (n_test * n_c) // n AS fl, (n_test * n_c) % n AS rem FROM cls, tot),
+t1 AS (SELECT *, fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, label) <= n_test - sum(fl) OVER () THEN 1 ELSE 0 END AS n_test_c FROM t0),
+v0 AS (SELECT *, n_c - n_test_c AS r, n - n_test AS m,
+              CAST(ceil(CAST({vr!r} AS DOUBLE) * (n - n_test)) AS BIGINT) AS n_val FROM t1),
+v1 AS (SELECT *, (n_val * r) // m AS vfl, (n_val * r) % m AS vrem FROM v0),
+q AS (SELECT label, n_test_c, vfl + CASE WHEN row_number() OVER (ORDER BY vrem DESC, label) <= n_val - sum(vfl) OVER () THEN 1 ELSE 0 END AS n_val_c FROM v1),
+ranked AS (SELECT d.*, row_number() OVER (PARTITION BY d.label ORDER BY h, k) AS r FROM data d)
+SELECT ecosystem, package, version, textual_description, label,
+       CASE WHEN r <= q.n_test_c THEN 'test' WHEN r <= q.n_test_c + q.n_val_c THEN 'validation' ELSE 'train' END AS split
+FROM ranked JOIN q USING (label)"""
+
+
+@register("stratified_split", _split_sql())
+def stratified_split(spark, sf_dir):
+    """Exact stratified 80/10/10 split of the merged dataset (seed 42)."""
+    return SP.stratified_split(merged_frame(spark, sf_dir))
+
+
+@register("split_counts", f"""WITH s AS ({_split_sql()})
+SELECT split, label, CAST(count(*) AS BIGINT) AS rows FROM s GROUP BY split, label""")
+def split_counts(spark, sf_dir):
+    """Rows per (split, label): the split's sizes and class balance."""
+    return SP.split_counts(stratified_split(spark, sf_dir))
