@@ -47,12 +47,16 @@ def _largest_remainder(counts: DataFrame, total: Column, seats: Column, size_col
 
 
 def class_quotas(df: DataFrame, label_col: str = "label", val_size: float = 0.10,
-                 test_size: float = 0.10) -> DataFrame:
-    """(label, n_c, n_test_c, n_val_c): one row per class (tiny)."""
+                 test_size: float = 0.10, counts: DataFrame | None = None) -> DataFrame:
+    """(label, n_c, n_test_c, n_val_c): one row per class (tiny).
+
+    ``counts`` (label, n_c) may be given when already computed.
+    """
     if not (0 < test_size < 1 and 0 <= val_size < 1 and val_size + test_size < 1):
         raise ValueError("need 0 < test_size < 1, 0 <= val_size and val_size + test_size < 1")
     vr = val_size / (1.0 - test_size)
-    counts = df.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n_c"))
+    if counts is None:
+        counts = df.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n_c"))
     w_all = Window.partitionBy()
     counts = (counts.withColumn("_n", F.sum("n_c").over(w_all))
               .withColumn("_k", F.count(F.lit(1)).over(w_all))
@@ -77,12 +81,19 @@ def class_quotas(df: DataFrame, label_col: str = "label", val_size: float = 0.10
 
 def stratified_split(df: DataFrame, key: Column | None = None, label_col: str = "label",
                      val_size: float = 0.10, test_size: float = 0.10, seed: int = 42,
-                     n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                     n_buckets: int = DEFAULT_BUCKETS, materialize: bool = True) -> DataFrame:
     """Add ``split`` ∈ {train, validation, test} with exact per-class sizes.
 
     ``key`` orders rows inside a class (default: all columns joined); rows
-    with equal keys are interchangeable.
+    with equal keys are interchangeable.  The input is read twice (bucket
+    counts, then ranking); with ``materialize`` it is checkpointed once to
+    ``spark.checkpoint.dir`` first, so an expensive upstream plan (feature
+    extraction) runs once and the lineage is cut.
     """
+    if materialize:
+        from pkgsift.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     if key is None:
         key = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000"))
                                        for c in df.columns])
@@ -91,8 +102,9 @@ def stratified_split(df: DataFrame, key: Column | None = None, label_col: str =
             .withColumn("_h", _hash(seed, F.col("_key")))
             .withColumn("_b", F.substring("_h", 1, hexdigits))
             .withColumn("_lab", F.col(label_col)))
-    quotas = class_quotas(df, label_col, val_size, test_size)
     per_bucket = rows.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_nb"))
+    class_counts = per_bucket.groupBy(F.col("_lab").alias("label")).agg(F.sum("_nb").alias("n_c"))
+    quotas = class_quotas(df, label_col, val_size, test_size, counts=class_counts)
     offsets = per_bucket.withColumn(
         "_off", F.coalesce(F.sum("_nb").over(
             Window.partitionBy("_lab").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),

@@ -705,3 +705,108 @@ SELECT split, label, CAST(count(*) AS BIGINT) AS rows FROM s GROUP BY split, lab
 def split_counts(spark, sf_dir):
     """Rows per (split, label): the split's sizes and class balance."""
     return SP.split_counts(stratified_split(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Step 8: prompts, completion parsing, metrics
+# ---------------------------------------------------------------------------
+from pkgsift.functions import prompts as PR  # noqa: E402
+from pkgsift.operators.metrics import detection_metrics as _metrics  # noqa: E402
+from pkgsift.sources.review_csv import to_text_label  # noqa: E402
+
+
+def _doc_labels(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    lab = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return docs.join(lab, "doc_id")
+
+
+@register("prompts", f"""
+SELECT d.doc_id,
+       {O.q(PR.PROMPT_HEAD)} || d.text || {O.q(PR.PROMPT_TAIL)} || regexp_extract(CAST(l.toxic AS VARCHAR), '([01])', 1) AS text,
+       regexp_extract(CAST(l.toxic AS VARCHAR), '([01])', 1) AS label
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+WHERE regexp_extract(CAST(l.toxic AS VARCHAR), '([01])', 1) <> '' AND d.text IS NOT NULL""")
+def prompts(spark, sf_dir):
+    """A5 + B8 + G12: labelled documents → training prompts (label appended)."""
+    df = _doc_labels(spark, sf_dir).select("doc_id", "text", F.col("toxic").alias("label"))
+    tl = to_text_label(df.select("text", "label", "doc_id"))
+    # to_text_label keeps only (text, label); re-attach the id through the same rule
+    keyed = df.select("doc_id", F.col("text").alias("t"), F.col("label").alias("l"))
+    keyed = keyed.select("doc_id", "t", F.nullif(F.regexp_extract(F.col("l").cast("string"), "([01])", 1),
+                                                 F.lit("")).alias("label")).where("label IS NOT NULL AND t IS NOT NULL")
+    del tl
+    return keyed.select("doc_id", PR.build_prompt(F.col("t"), F.col("label")).alias("text"), "label")
+
+
+@register("first_digit", f"""
+SELECT conv_id, turn,
+       coalesce(nullif(regexp_extract(string_split(text, {O.q(PR.RESPONSE_MARKER)})[-1], '[01]', 0), ''), '0') AS pred
+FROM conversations""")
+def first_digit(spark, sf_dir):
+    """G13 + G14 on conversation turns: text after the last marker → first 0/1, default 0."""
+    c = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return c.select("conv_id", "turn", PR.prediction(F.col("text")).alias("pred"))
+
+
+@register("detection_metrics", f"""
+WITH p AS (SELECT d.lang, CAST(l.toxic AS VARCHAR) AS y, CAST(l.quality AS VARCHAR) AS p
+           FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+c AS (SELECT lang, count(*) AS n, count(*) FILTER (WHERE y = p) AS ok,
+             count(*) FILTER (WHERE p = '1' AND y = '1') AS tp,
+             count(*) FILTER (WHERE p = '1' AND y <> '1') AS fp,
+             count(*) FILTER (WHERE p <> '1' AND y = '1') AS fn
+      FROM p GROUP BY lang)
+SELECT lang, CAST(n AS BIGINT) AS n,
+       CASE WHEN n > 0 THEN CAST(ok AS DOUBLE) / n ELSE 0.0 END AS accuracy,
+       CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS precision,
+       CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0.0 END AS recall,
+       CASE WHEN 2 * tp + fp + fn > 0 THEN CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn) ELSE 0.0 END AS f1
+FROM c""")
+def detection_metrics(spark, sf_dir):
+    """D7 per language: truth = toxic, prediction = quality (both as "0"/"1")."""
+    df = _doc_labels(spark, sf_dir).select("lang", F.col("toxic").cast("string").alias("label"),
+                                           F.col("quality").cast("string").alias("pred"))
+    return _metrics(df, group_cols=["lang"])
+
+
+# ---------------------------------------------------------------------------
+# Step 10: completion-only loss mask (R4) and the detector
+# ---------------------------------------------------------------------------
+LOSS_MASK_MAX_LENGTH = 512  # the reference's max_seq_len default
+
+
+@register("loss_mask", f"""
+WITH p AS (
+  SELECT d.doc_id, {O.q(PR.PROMPT_HEAD)} || d.text || {O.q(PR.PROMPT_TAIL)} || CAST(l.toxic AS VARCHAR) AS prompt
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE d.text IS NOT NULL),
+ids AS (SELECT doc_id, list_transform(string_split(substr(prompt, 1, {LOSS_MASK_MAX_LENGTH}), ''), lambda c: CAST(unicode(c) AS INTEGER)) AS ids FROM p),
+t AS (SELECT list_transform(string_split({O.q(PR.RESPONSE_MARKER)}, ''), lambda c: CAST(unicode(c) AS INTEGER)) AS templ),
+s AS (SELECT doc_id, ids, list_max(list_filter(range(1, len(ids) - len(templ) + 2),
+                                                lambda i: ids[i:i + len(templ) - 1] = templ)) AS start
+      FROM ids, t)
+SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens,
+       CAST(CASE WHEN start IS NULL THEN len(ids) ELSE start - 1 END AS INTEGER) AS n_masked,
+       CAST(start AS INTEGER) AS template_start
+FROM s""")
+def loss_mask(spark, sf_dir):
+    """R4 on character ids of training prompts (512 ids): masked count and template start."""
+    df = _doc_labels(spark, sf_dir).where(F.col("text").isNotNull())
+    prompt = PR.build_prompt(F.col("text"), F.col("toxic"))
+    # character ids: truncating the text to max_length characters is the
+    # tokenizer's truncation to max_length ids
+    ids = PR.char_ids(F.substring(prompt, 1, LOSS_MASK_MAX_LENGTH))
+    templ = F.array(*[F.lit(ord(c)) for c in PR.RESPONSE_MARKER])
+    staged = PR.with_completion_mask(df.select("doc_id", ids.alias("ids")), "ids", templ)
+    return staged.select(
+        "doc_id", F.size("ids").alias("n_tokens"),
+        F.size(F.filter("labels", lambda x: x == PR.IGNORE_INDEX)).alias("n_masked"),
+        "template_start")
+
+
+@register("detector_scores")
+def detector_scores(spark, sf_dir):
+    """Fit the phrase-bag detector on the train split, score validation + test."""
+    from pkgsift.plans.detector import train_and_evaluate
+    _, scored, _ = train_and_evaluate(stratified_split(spark, sf_dir))
+    return scored
