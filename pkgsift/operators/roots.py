@@ -31,93 +31,90 @@ PYPI_INNER_DIRS = ["tar-gz", "zip", "src", "source", "build", "dist"]
 # ---------------------------------------------------------------------------
 
 
-def _segments(listing: DataFrame) -> DataFrame:
+def directory_table(listing: DataFrame, materialize: bool = True) -> DataFrame:
+    """Distinct (top, second) of a file listing; ``second`` is null for files
+    directly under a top directory.  One row per version directory, far fewer
+    than files; checkpointed once because every resolution step reads it."""
     parts = F.split(F.col("path"), "/")
-    return listing.select("path", parts.alias("_parts"))
-
-
-def directories(listing: DataFrame) -> DataFrame:
-    """Distinct (top, second) directory pairs: files at depth >= 3 under them."""
-    s = _segments(listing)
-    return (s.where(F.size("_parts") >= 3)
-            .select(F.col("_parts")[0].alias("top"), F.col("_parts")[1].alias("second"))
-            .distinct())
-
-
-def top_dirs(listing: DataFrame) -> DataFrame:
-    s = _segments(listing)
-    return s.where(F.size("_parts") >= 2).select(F.col("_parts")[0].alias("top")).distinct()
-
-
-def _first_by_name(df: DataFrame, keys, name: str) -> DataFrame:
-    """Per key, the row with the shortest ``name``, then the smallest."""
-    best = F.min(F.struct(F.length(name).alias("_len"), F.col(name).alias("_n")))
-    return df.groupBy(*keys).agg(best.alias("_b")).select(*keys, F.col("_b._n").alias(name))
+    d = (listing.where(F.size(parts) >= 2)
+         .select(parts[0].alias("top"), F.when(F.size(parts) >= 3, parts[1]).alias("second"))
+         .distinct())
+    if materialize:
+        from pkgsift.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(d.sparkSession)
+        d = d.checkpoint(eager=True)
+    return d
 
 
 def _affixes(name: Column, kind: str) -> Column:
     """All suffixes / prefixes / substrings of ``name`` (exact, no cap)."""
     n = F.length(name)
+    rng = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
     if kind == "suffix":
-        return F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(name, i, n))
+        return F.transform(rng, lambda i: F.substring(name, i, n))
     if kind == "prefix":
-        return F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(name, 1, i))
+        return F.transform(rng, lambda i: F.substring(name, 1, i))
     return F.flatten(F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.transform(F.sequence(i, n), lambda j: F.substring(name, i, j - i + 1))))
-
-
-def resolve_package_dirs(labels: DataFrame, tops: DataFrame, ecosystem: str) -> DataFrame:
-    """(package, version) → + ``pkg_dir`` (null when no directory fits)."""
-    keys = labels.select("package").distinct()
-    exact = keys.join(tops.select(F.col("top").alias("package")), "package", "left_semi") \
-        .withColumn("pkg_dir", F.col("package"))
-    rest = keys.join(exact.select("package"), "package", "left_anti")
-    if ecosystem == "pypi":
-        cand = (tops.select("top", F.explode(_affixes(F.col("top"), "prefix")).alias("key"))
-                .join(rest.withColumnRenamed("package", "key"), "key")
-                .withColumnRenamed("key", "package"))
-    else:
-        last = F.element_at(F.split(F.col("package"), "/"), -1)
-        rest_k = rest.withColumn("key", last)
-        cand = (tops.select("top", F.explode(_affixes(F.col("top"), "suffix")).alias("key"))
-                .join(rest_k, "key").drop("key"))
-    fallback = _first_by_name(cand.withColumnRenamed("top", "pkg_dir"), ["package"], "pkg_dir")
-    return labels.join(exact.unionByName(fallback), "package", "left")
-
-
-def resolve_roots(labels: DataFrame, listing: DataFrame, ecosystem: str = "npm") -> DataFrame:
-    """Label rows → + ``root_top``, ``root_second`` (both null when not found)."""
-    dirs = directories(listing)
-    tops = top_dirs(listing)
-    lab = resolve_package_dirs(labels.select("package", "version").distinct(), tops, ecosystem)
-
-    exact = (lab.join(dirs.select(F.col("top").alias("pkg_dir"), F.col("second").alias("version")),
-                      ["pkg_dir", "version"], "left_semi")
-             .select("package", "version", F.col("pkg_dir").alias("root_top"),
-                     F.col("version").alias("root_second")))
-    rest = lab.join(exact.select("package", "version"), ["package", "version"], "left_anti")
-
-    # A version directory whose name contains the version
-    rest_pk = rest.where(F.col("pkg_dir").isNotNull())
-    sub_dirs = dirs.join(rest_pk.select(F.col("pkg_dir").alias("top")).distinct(), "top", "left_semi")
-    contains = (sub_dirs.select("top", "second",
-                                F.explode(F.array_distinct(_affixes(F.col("second"), "substring")))
-                                .alias("version"))
-                .withColumnRenamed("top", "pkg_dir")
-                .join(rest_pk.select("package", "version", "pkg_dir"), ["pkg_dir", "version"]))
-    c2 = (_first_by_name(contains, ["package", "version", "pkg_dir"], "second")
-          .select("package", "version", F.col("pkg_dir").alias("root_top"),
-                  F.col("second").alias("root_second")))
-    rest2 = rest.join(c2.select("package", "version"), ["package", "version"], "left_anti")
-
+        rng, lambda i: F.transform(F.sequence(i, F.greatest(n, i)),
+                                   lambda j: F.substring(name, i, j - i + 1))))
+
+
+def _best(cands: DataFrame, keys, order, payload) -> DataFrame:
+    """Per key, the candidate with the smallest ``order`` tuple (one hash aggregate)."""
+    fields = ([F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
+              + [F.col(c).alias(f"_v{i}") for i, c in enumerate(payload)])
+    best = F.min(F.struct(*fields)).alias("_b")
+    return cands.groupBy(*keys).agg(best).select(
+        *keys, *[F.col(f"_b._v{i}").alias(c) for i, c in enumerate(payload)])
+
+
+def resolve_package_dirs(packages: DataFrame, tops: DataFrame, ecosystem: str) -> DataFrame:
+    """(package) → (package, pkg_dir): exact name first, else the fallback
+    with the shortest, then smallest, name."""
+    exact = (packages.join(tops.select(F.col("top").alias("package")), "package")
+             .select("package", F.lit(0).alias("_p"), F.col("package").alias("pkg_dir")))
+    kind = "prefix" if ecosystem == "pypi" else "suffix"
+    key = F.col("package") if ecosystem == "pypi" else F.element_at(F.split(F.col("package"), "/"), -1)
+    fb = (tops.select(F.col("top").alias("pkg_dir"), F.explode(F.array_distinct(_affixes(F.col("top"), kind))).alias("_k"))
+          .join(packages.select("package", key.alias("_k")), "_k")
+          .select("package", F.lit(1).alias("_p"), "pkg_dir"))
+    cands = exact.unionByName(fb).withColumn("_len", F.length("pkg_dir"))
+    return _best(cands, ["package"], ["_p", "_len", "pkg_dir"], ["pkg_dir"])
+
+
+def resolve_roots(labels: DataFrame, listing: DataFrame, ecosystem: str = "npm",
+                  materialize: bool = True) -> DataFrame:
+    """Label rows → + ``root_top``, ``root_second`` (both null when not found).
+
+    Candidates of the three kinds carry a priority (exact 0, contains 1,
+    ``pkg@ver`` 2); the smallest (priority, name length, name) wins, which
+    is the reference's fallback order with a deterministic "first".
+    """
+    d = directory_table(listing, materialize)
+    dirs = d.where(F.col("second").isNotNull())
+    tops = d.select("top").distinct()
+    keys = labels.select("package", "version").distinct()
+    pkg = resolve_package_dirs(keys.select("package").distinct(), tops, ecosystem)
+    lab = keys.join(pkg, "package", "left")
+
+    exact = (lab.join(dirs, (F.col("pkg_dir") == F.col("top")) & (F.col("version") == F.col("second")))
+             .select("package", "version", F.lit(0).alias("_p"), "top", "second"))
+    # Version directories of the labelled packages, by every substring of their name
+    sub = (dirs.join(pkg.select(F.col("pkg_dir").alias("top")).distinct(), "top", "left_semi")
+           .select("top", "second", F.explode(F.array_distinct(_affixes(F.col("second"), "substring")))
+                   .alias("_sub")))
+    contains = (lab.join(sub, (F.col("pkg_dir") == F.col("top")) & (F.col("version") == F.col("_sub")))
+                .select("package", "version", F.lit(1).alias("_p"), "top", "second"))
     # C4: {pkg}@{ver} at the top level
-    at = (rest2.withColumn("top", F.concat_ws("@", "package", "version"))
-          .join(tops, "top", "left_semi")
-          .select("package", "version", F.col("top").alias("root_top"),
-                  F.lit(None).cast("string").alias("root_second")))
-    found = exact.unionByName(c2).unionByName(at)
-    return labels.join(found, ["package", "version"], "left")
+    at = (keys.join(tops, F.concat_ws("@", "package", "version") == F.col("top"))
+          .select("package", "version", F.lit(2).alias("_p"), "top",
+                  F.lit(None).cast("string").alias("second")))
+    cands = (exact.unionByName(contains).unionByName(at)
+             .withColumn("_len", F.length(F.coalesce("second", "top"))))
+    best = _best(cands, ["package", "version"], ["_p", "_len", "second"], ["top", "second"])
+    best = best.select("package", "version", F.col("top").alias("root_top"),
+                       F.col("second").alias("root_second"))
+    return labels.join(best, ["package", "version"], "left")
 
 
 def files_under_roots(roots: DataFrame, listing: DataFrame) -> DataFrame:

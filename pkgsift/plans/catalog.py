@@ -810,3 +810,77 @@ def detector_scores(spark, sf_dir):
     from pkgsift.plans.detector import train_and_evaluate
     _, scored, _ = train_and_evaluate(stratified_split(spark, sf_dir))
     return scored
+
+
+# ---------------------------------------------------------------------------
+# Step 6b: version roots (C1-C4) on a derived npm tree with four layouts
+# ---------------------------------------------------------------------------
+
+def _layout_listing(spark, sf_dir):
+    """npm files under four layouts, by package number g % 4:
+    0 ``pkg/ver/…``; 1 ``pkg/release-ver-final/…``; 2 ``pkg@ver/…``; 3 ``scope-pkg/ver/…``."""
+    f = _files(spark, sf_dir, "npm")
+    g = F.regexp_extract("package", r"(\d+)$", 1).cast("bigint") % 4
+    path = (F.when(g == 0, F.concat_ws("/", "package", "version", "path"))
+            .when(g == 1, F.concat_ws("/", "package", F.concat(F.lit("release-"), "version", F.lit("-final")), "path"))
+            .when(g == 2, F.concat_ws("/", F.concat_ws("@", "package", "version"), "path"))
+            .otherwise(F.concat_ws("/", F.concat(F.lit("scope-"), "package"), "version", "path")))
+    return f.select(path.alias("path"), F.length("content").cast("bigint").alias("size"))
+
+
+@register("version_root_match", f"""WITH {FX.CODE_FILES_SQL},
+{_LABELS_CTE},
+listing AS (
+  SELECT CASE CAST(regexp_extract(package, '(\\d+)$', 1) AS BIGINT) % 4
+           WHEN 0 THEN package || '/' || version || '/' || path
+           WHEN 1 THEN package || '/release-' || version || '-final/' || path
+           WHEN 2 THEN package || '@' || version || '/' || path
+           ELSE 'scope-' || package || '/' || version || '/' || path END AS path
+  FROM code_files WHERE ecosystem = 'npm'),
+parts AS (SELECT string_split(path, '/') AS p FROM listing),
+dirs AS (SELECT DISTINCT p[1] AS top, p[2] AS second FROM parts WHERE len(p) >= 3),
+tops AS (SELECT DISTINCT p[1] AS top FROM parts WHERE len(p) >= 2),
+labs AS (SELECT DISTINCT package, version FROM versions),
+pkgs AS (SELECT DISTINCT package FROM labs),
+pk_exact AS (SELECT package, package AS pkg_dir FROM pkgs WHERE package IN (SELECT top FROM tops)),
+pk_fb AS (
+  SELECT package, pkg_dir FROM (
+    SELECT k.package, t.top AS pkg_dir,
+           row_number() OVER (PARTITION BY k.package ORDER BY length(t.top), t.top) AS rn
+    FROM pkgs k JOIN tops t ON ends_with(t.top, string_split(k.package, '/')[-1])
+    WHERE k.package NOT IN (SELECT package FROM pk_exact)) WHERE rn = 1),
+lab2 AS (SELECT l.package, l.version, coalesce(e.pkg_dir, f.pkg_dir) AS pkg_dir
+         FROM labs l LEFT JOIN pk_exact e ON l.package = e.package LEFT JOIN pk_fb f ON l.package = f.package),
+v_exact AS (SELECT l.package, l.version, l.pkg_dir AS root_top, l.version AS root_second
+            FROM lab2 l JOIN dirs d ON d.top = l.pkg_dir AND d.second = l.version),
+rest AS (SELECT l.* FROM lab2 l ANTI JOIN v_exact v ON l.package = v.package AND l.version = v.version),
+v_c2 AS (
+  SELECT package, version, root_top, root_second FROM (
+    SELECT r.package, r.version, d.top AS root_top, d.second AS root_second,
+           row_number() OVER (PARTITION BY r.package, r.version ORDER BY length(d.second), d.second) AS rn
+    FROM rest r JOIN dirs d ON d.top = r.pkg_dir AND contains(d.second, r.version)) WHERE rn = 1),
+rest2 AS (SELECT r.* FROM rest r ANTI JOIN v_c2 v ON r.package = v.package AND r.version = v.version),
+v_c4 AS (SELECT package, version, package || '@' || version AS root_top, CAST(NULL AS VARCHAR) AS root_second
+         FROM rest2 WHERE package || '@' || version IN (SELECT top FROM tops)),
+found AS (SELECT * FROM v_exact UNION ALL SELECT * FROM v_c2 UNION ALL SELECT * FROM v_c4)
+SELECT l.package, l.version,
+       CASE WHEN f.root_second IS NULL THEN f.root_top ELSE f.root_top || '/' || f.root_second END AS root
+FROM labs l LEFT JOIN found f ON l.package = f.package AND l.version = f.version""")
+def version_root_match(spark, sf_dir):
+    """Label rows → version roots (exact, contains, name fallback, pkg@ver)."""
+    labs = _labels(spark, sf_dir).select("package", "version").distinct()
+    r = RT.resolve_roots(labs, _layout_listing(spark, sf_dir), "npm")
+    root = F.when(F.col("root_second").isNull(), F.col("root_top")).otherwise(
+        F.concat_ws("/", "root_top", "root_second"))
+    return r.select("package", "version", root.alias("root"))
+
+
+@register("root_files", f"""WITH {FX.CODE_FILES_SQL}
+SELECT package, version, path AS rel_path, CAST(length(content) AS BIGINT) AS size
+FROM code_files WHERE ecosystem = 'npm'""")
+def root_files(spark, sf_dir):
+    """C1-C4 + file mapping: every npm file found again under its resolved root."""
+    listing = _layout_listing(spark, sf_dir)
+    versions = _files(spark, sf_dir, "npm").select("package", "version").distinct()
+    roots = RT.resolve_roots(versions, listing, "npm")
+    return RT.files_under_roots(roots, listing).select("package", "version", "rel_path", "size")
