@@ -95,10 +95,45 @@ def pypi_file_features(files: DataFrame, from_imports: bool = True,
                               "text", from_imports, 1, max_tokens).drop("content", "text")
 
 
+# Archive kinds tried at the PyPI inner root, in the reference's order.
+PYPI_ARCHIVE_ORDER = [".tar.gz", ".tgz", ".zip", ".whl", ".tar"]
+
+
+def pypi_archive_fallback(inner: DataFrame, members: DataFrame) -> DataFrame:
+    """A10: versions whose inner root holds no ``*.py`` take the members of
+    the first archive directly in that root (by kind order, then name).
+
+    ``inner`` comes from ``roots.pypi_inner_root``; ``members`` from
+    ``archives.members_as_files``.  Returns ``inner`` plus the member files
+    (``from_archive`` true) of those versions.
+    """
+    has_py = inner.where(F.col("rel_path").endswith(".py")).select("package", "version").distinct()
+    low = F.lower(F.col("rel_path"))
+    kind = None
+    for i, suf in enumerate(PYPI_ARCHIVE_ORDER):
+        cond = low.endswith(suf)
+        kind = F.when(cond, F.lit(i)) if kind is None else kind.when(cond, F.lit(i))
+    arch = (inner.where((F.instr("rel_path", "/") == 0) & kind.isNotNull())
+            .join(has_py, ["package", "version"], "left_anti")
+            .groupBy("package", "version")
+            .agg(F.min(F.struct(kind.alias("k"), F.col("vrel").alias("v"))).alias("_a"))
+            .select("package", "version",
+                    F.concat_ws("/", "package", "version", F.col("_a.v")).alias("archive")))
+    extra = members.join(arch, ["package", "version", "archive"], "left_semi").drop("archive")
+    base = inner if "from_archive" in inner.columns else inner.withColumn("from_archive", F.lit(False))
+    return base.unionByName(extra.withColumn("vrel", F.col("rel_path")), allowMissingColumns=True)
+
+
 def pypi_descriptions(labels: DataFrame, files: DataFrame, found: DataFrame | None = None,
-                      **kw) -> DataFrame:
-    """L2 (PyPI): label rows → (package, version, textual_description, label)."""
+                      members: DataFrame | None = None, **kw) -> DataFrame:
+    """L2 (PyPI): label rows → (package, version, textual_description, label).
+
+    With ``members`` (expanded archives) a version without Python files at its
+    inner root falls back to its first archive's members (A10).
+    """
     inner = RT.pypi_inner_root(files)
+    if members is not None:
+        inner = pypi_archive_fallback(inner, members)
     feats = pypi_file_features(inner, **kw)
     if found is None:
         found = files.select("package", "version").distinct()
