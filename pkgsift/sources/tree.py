@@ -1,21 +1,31 @@
 """Package source trees (A6-A9): file listings and the ``source_files`` ingest.
 
 A tree is ``{root}/{package}/{version}/...`` (with the layout variants that
-``operators.roots`` resolves).  Two reads:
-
-* ``list_tree``  – paths and sizes only.  Selecting ``path`` and ``length``
-  from the ``binaryFile`` source reads no file bodies.
-* ``read_tree``  – paths, sizes and decoded text, for the files a plan keeps.
-
-Many small files: the ingest writes one Parquet table once, so later jobs
-never list or open the tree again; ``spark.sql.files.openCostInBytes`` and
-``maxPartitionBytes`` decide how many small files share a task.
+``operators.roots`` resolves).
+
+Spark's file index skips every name that starts with ``_`` or ``.``, so the
+``binaryFile`` source cannot see ``__init__.py`` or ``.npmignore``.  The
+listing is therefore a distributed walk: one level per step (root →
+package directories → version directories → recursive walk of each version
+directory), each step a ``mapInPandas`` over the previous step's
+directories using ``pyarrow.fs`` (local, HDFS, S3, GCS …).  No step sends
+the whole listing through the driver, and a package with many versions is
+spread over tasks at the version level.
+
+* ``list_tree``  – (path, size), no file bodies.
+* ``read_tree``  – (path, size, content) with text decoded as UTF-8, bad
+  bytes dropped; bodies are read inside the tasks that need them.
+
+Many small files: ``ingest`` writes one Parquet table once, so later jobs
+never walk or open the tree again.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +34,112 @@ from pkgsift.functions.evidence import decode_text
 ARCHIVE_SUFFIXES = (".tar.gz", ".tgz", ".tar", ".zip", ".whl", ".gem")
 
 
+def _fs(root: str):
+    import pyarrow.fs as pafs
+    if "://" in root:
+        return pafs.FileSystem.from_uri(root)
+    import os
+    return pafs.LocalFileSystem(), os.path.abspath(root)
+
+
+def _children(base: str, recursive: bool) -> Iterator[pd.DataFrame]:
+    """mapInPandas body: (dir) rows → (dir, name, is_dir, size) of their entries."""
+    def fn(batches):
+        import pyarrow.fs as pafs
+        fs, root = _fs(base)
+        for pdf in batches:
+            out = []
+            for d in pdf["dir"]:
+                try:
+                    infos = fs.get_file_info(pafs.FileSelector(f"{root}/{d}" if d else root,
+                                                               recursive=recursive))
+                except (OSError, FileNotFoundError):
+                    continue
+                for info in infos:
+                    rel = info.path[len(root) + 1:] if info.path.startswith(root + "/") else info.path
+                    if info.type == pafs.FileType.Directory:
+                        out.append((d, rel, True, None))
+                    elif info.type == pafs.FileType.File:
+                        out.append((d, rel, False, int(info.size)))
+            yield pd.DataFrame(out, columns=["dir", "path", "is_dir", "size"])
+    return fn
+
+
+_ENTRY_SCHEMA = "dir string, path string, is_dir boolean, size bigint"
+
+
+def list_tree(spark: SparkSession, root: str, glob: str | None = None,
+              levels: int = 2) -> DataFrame:
+    """(path relative to ``root``, size) of every regular file, hidden names included.
+
+    ``levels`` directory levels are expanded one step at a time (package,
+    version); below that each directory is walked recursively in one task.
+    ``glob`` is a file-name pattern (``*.py``; ``{a,b}`` alternation allowed).
+    """
+    n = max(spark.sparkContext.defaultParallelism, 1)
+    dirs = spark.createDataFrame([("",)], "dir string")
+    files = None
+    for _ in range(levels):
+        entries = dirs.mapInPandas(_children(root, False), _ENTRY_SCHEMA)
+        f = entries.where(~F.col("is_dir")).select("path", "size")
+        files = f if files is None else files.unionByName(f)
+        dirs = entries.where("is_dir").select(F.col("path").alias("dir")).repartition(n * 4)
+    deep = dirs.mapInPandas(_children(root, True), _ENTRY_SCHEMA).where(~F.col("is_dir"))
+    files = deep.select("path", "size") if files is None else files.unionByName(deep.select("path", "size"))
+    if glob:
+        files = files.where(F.element_at(F.split("path", "/"), -1).rlike(_glob_regex(glob)))
+    return files
+
+
+def _glob_regex(glob: str) -> str:
+    out, i = [], 0
+    while i < len(glob):
+        c = glob[i]
+        if c == "*":
+            out.append("[^/]*")
+        elif c == "?":
+            out.append("[^/]")
+        elif c == "{":
+            j = glob.index("}", i)
+            out.append("(?:" + "|".join(re.escape(a) for a in glob[i + 1:j].split(",")) + ")")
+            i = j
+        else:
+            out.append(re.escape(c))
+        i += 1
+    return "^" + "".join(out) + "$"
+
+
+def _reader(base: str, max_bytes: int | None):
+    def fn(batches):
+        fs, root = _fs(base)
+        for pdf in batches:
+            bodies = []
+            for p, size in zip(pdf["path"], pdf["size"]):
+                if max_bytes is not None and size is not None and size > max_bytes:
+                    bodies.append(None)
+                    continue
+                try:
+                    with fs.open_input_stream(f"{root}/{p}") as f:
+                        bodies.append(f.read())
+                except OSError:
+                    bodies.append(None)   # unreadable → empty features downstream
+            yield pd.DataFrame({"path": pdf["path"], "size": pdf["size"], "bytes": bodies})
+    return fn
+
+
+def read_tree(spark: SparkSession, root: str, glob: str | None = None,
+              max_file_bytes: int | None = None, listing: DataFrame | None = None) -> DataFrame:
+    """(path, size, content): bodies read in the tasks, decoded in the JVM.
+
+    Files above ``max_file_bytes`` keep their row with null content.
+    """
+    files = listing if listing is not None else list_tree(spark, root, glob)
+    raw = files.select("path", "size").mapInPandas(_reader(root, max_file_bytes),
+                                                   "path string, size bigint, bytes binary")
+    return raw.select("path", "size", decode_text(F.col("bytes")).alias("content"))
+
+
+
 def _strip_scheme(p: str) -> str:
     return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "", p).rstrip("/")
 
@@ -45,27 +161,13 @@ def relative_path(path_col: str, root: str):
     return F.regexp_replace(no_scheme, "^" + re.escape(marker.lstrip("/")) + "/", "")
 
 
-def list_tree(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(path relative to ``root``, size): the listing, without file bodies."""
+def binary_tree(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """(path, size) through Spark's ``binaryFile`` listing.  Faster on object
+    stores, but it skips names starting with ``_`` or ``.`` (``__init__.py``)."""
     return _binary(spark, root, glob).select(relative_path("path", root).alias("path"),
                                              F.col("length").alias("size"))
 
 
-def read_tree(spark: SparkSession, root: str, glob: str | None = None,
-              max_file_bytes: int | None = None) -> DataFrame:
-    """(path, size, content): text decoded as UTF-8 with bad bytes dropped.
-
-    Files above ``max_file_bytes`` keep their row with null content, so a
-    caller can still take the light path or report them.
-    """
-    b = _binary(spark, root, glob)
-    body = decode_text(F.col("content"))
-    if max_file_bytes:
-        body = F.when(F.col("length") <= max_file_bytes, body)
-    return b.select(relative_path("path", root).alias("path"), F.col("length").alias("size"),
-                    body.alias("content"))
-
-
 def keyed_files(tree: DataFrame) -> DataFrame:
     """``pkg/ver/rest`` rows → (package, version, rel_path, ...) for the plain layout."""
     parts = F.split(F.col("path"), "/")
