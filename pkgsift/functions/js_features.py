@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pkgsift.functions import evidence as EV
 from pkgsift.functions import lexers as LX
 from pkgsift.functions import phrases as PH
+from pkgsift.functions.colcache import apply_stages, cached_columns
 from pkgsift.functions.tags import strip_blanks
 
 # ---------------------------------------------------------------------------
@@ -103,19 +104,22 @@ def _imports(passes, bare: Column) -> Column:
 PAIR_PATTERNS = [REQUIRE_ALIAS, REQUIRE_DESTRUCT, IMPORT_DEFAULT, IMPORT_NAMESPACE, IMPORT_NAMED]
 
 
-def with_aliases(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add ``imports`` plus the alias (``_aliases``) and name (``_names``) entries."""
+@cached_columns
+def _alias_stages(text_col: str):
     text = F.col(text_col)
-    staged = df
-    for i, p in enumerate(PAIR_PATTERNS):
-        staged = staged.withColumn(f"_p{i}", _pairs(text, p))
-    staged = staged.withColumn("_bare", F.regexp_extract_all(text, F.lit(IMPORT_BARE), F.lit(1)))
     passes = [F.col(f"_p{i}") for i in range(len(PAIR_PATTERNS))]
-    return (staged
-            .withColumn("imports", _imports(passes, F.col("_bare")))
-            .withColumn("_aliases", _alias_entries(passes))
-            .withColumn("_names", F.concat(_destruct_entries(passes[1]), _named_entries(passes[4])))
-            .drop(*[f"_p{i}" for i in range(len(PAIR_PATTERNS))], "_bare"))
+    first = {f"_p{i}": _pairs(text, p) for i, p in enumerate(PAIR_PATTERNS)}
+    first["_bare"] = F.regexp_extract_all(text, F.lit(IMPORT_BARE), F.lit(1))
+    second = {"imports": _imports(passes, F.col("_bare")),
+              "_aliases": _alias_entries(passes),
+              "_names": F.concat(_destruct_entries(passes[1]), _named_entries(passes[4]))}
+    return [first, second], [f"_p{i}" for i in range(len(PAIR_PATTERNS))] + ["_bare"]
+
+
+def with_aliases(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """Add ``imports`` plus the alias (``_aliases``) and name (``_names``) entries."""
+    stages, drop = _alias_stages(text_col)
+    return apply_stages(df, stages, drop)
 
 
 def _last(entries: Column, key: Column) -> Column:
@@ -136,23 +140,20 @@ def resolve_calls(raw: Column, aliases: Column, names: Column) -> Column:
     return F.transform(raw, one)
 
 
-def js_features(df: DataFrame, text_col: str = "text", size_col: str | None = "size",
-                max_file_bytes: int = DEFAULT_MAX_FILE_BYTES,
-                max_tokens: int = LX.DEFAULT_MAX_TOKENS, lenient: bool = False) -> DataFrame:
-    """Add imports, calls, has_eval_exec, calls_os, calls_proc, url_count,
-    b64_count and ``light`` (true when the file took the light path)."""
+@cached_columns
+def _js_stages(text_col: str, size_col: str | None, max_file_bytes: int, max_tokens: int,
+               lenient: bool):
     text = F.col(text_col)
     low = F.lower(text)
     size = F.col(size_col) if size_col else F.length(text)
     light = (F.lit(max_file_bytes > 0) & (size > F.lit(max_file_bytes))) if max_file_bytes else F.lit(False)
-    staged = with_aliases(
-        df.withColumn("light", light)
-        .withColumn("_toks", F.when(~F.col("light"), LX.tokens(text, LX.JS_TOKENS, max_tokens))),
-        text_col)
+    is_light = F.col("light")
+    alias_stages, alias_drop = _alias_stages(text_col)
+    s0 = {"light": light}
+    s1 = {"_toks": F.when(~is_light, LX.tokens(text, LX.JS_TOKENS, max_tokens))}
     toks = F.col("_toks")
-    calls = F.when(F.col("light"), F.array().cast("array<struct<mod:string,func:string>>")).otherwise(
-        resolve_calls(LX.calls(toks, LX.JS_KEYWORDS), F.col("_aliases"), F.col("_names")))
-    staged = staged.withColumn("calls", calls)
+    s3 = {"calls": F.when(is_light, F.array().cast("array<struct<mod:string,func:string>>")).otherwise(
+        resolve_calls(LX.calls(toks, LX.JS_KEYWORDS), F.col("_aliases"), F.col("_names")))}
     c = F.col("calls")
     tree_eval = F.exists(c, lambda x: F.lower(x["func"]) == "eval")
     tree_os = F.exists(c, lambda x: x["mod"].isin(PROCESS_MODULES) & F.lower(x["func"]).isin(OS_FUNCS))
@@ -165,16 +166,21 @@ def js_features(df: DataFrame, text_col: str = "text", size_col: str | None = "s
         tree_os = tree_os | low.rlike(MODULE_CP_OS)
         tree_proc = tree_proc | low.rlike(MODULE_CP_PROC)
     lits = LX.string_literals(toks)
-    is_light = F.col("light")
-    return (staged
-            .withColumn("has_eval_exec", F.when(is_light, light_eval).otherwise(tree_eval))
-            .withColumn("calls_os", F.when(is_light, direct_os).otherwise(tree_os | direct_os))
-            .withColumn("calls_proc", F.when(is_light, direct_proc).otherwise(tree_proc | direct_proc))
-            .withColumn("url_count", F.when(is_light, EV.url_count(text))
-                        .otherwise(EV.literal_url_count(lits)))
-            .withColumn("b64_count", F.when(is_light, EV.b64_count(text))
-                        .otherwise(EV.literal_b64_count(lits)))
-            .drop("_toks", "_aliases", "_names"))
+    s4 = {"has_eval_exec": F.when(is_light, light_eval).otherwise(tree_eval),
+          "calls_os": F.when(is_light, direct_os).otherwise(tree_os | direct_os),
+          "calls_proc": F.when(is_light, direct_proc).otherwise(tree_proc | direct_proc),
+          "url_count": F.when(is_light, EV.url_count(text)).otherwise(EV.literal_url_count(lits)),
+          "b64_count": F.when(is_light, EV.b64_count(text)).otherwise(EV.literal_b64_count(lits))}
+    return [s0, s1, *alias_stages, s3, s4], alias_drop + ["_toks", "_aliases", "_names"]
+
+
+def js_features(df: DataFrame, text_col: str = "text", size_col: str | None = "size",
+                max_file_bytes: int = DEFAULT_MAX_FILE_BYTES,
+                max_tokens: int = LX.DEFAULT_MAX_TOKENS, lenient: bool = False) -> DataFrame:
+    """Add imports, calls, has_eval_exec, calls_os, calls_proc, url_count,
+    b64_count and ``light`` (true when the file took the light path)."""
+    stages, drop = _js_stages(text_col, size_col, max_file_bytes, max_tokens, lenient)
+    return apply_stages(df, stages, drop)
 
 
 def install_hook(manifest_json: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pkgsift.functions import evidence as EV
+from pkgsift.functions.colcache import apply_stages, cached_columns
 from pkgsift.functions import lexers as LX
 from pkgsift.functions import phrases as PH
 
@@ -36,6 +37,22 @@ def imports_from_tokens(toks: Column, from_imports: bool = True) -> Column:
     return F.array_sort(F.array_distinct(plain))
 
 
+@cached_columns
+def _py_stages(text_col: str, from_imports: bool, literal_weight: int, max_tokens: int):
+    toks = F.col("_toks")
+    lits = LX.string_literals(toks)
+    calls = F.transform(LX.calls(toks, LX.PYTHON_KEYWORDS),
+                        lambda c: F.struct(c["base"].alias("mod"), c["func"].alias("func")))
+    return [
+        {"_toks": LX.tokens(F.col(text_col), LX.PYTHON_TOKENS, max_tokens)},
+        {"imports": imports_from_tokens(toks, from_imports), "calls": calls,
+         "url_count": EV.literal_url_count(lits, literal_weight),
+         "b64_count": EV.literal_b64_count(lits, literal_weight)},
+        # Any function named eval or exec, whatever its object
+        {"has_eval_exec": F.exists("calls", lambda c: c["func"].isin("eval", "exec"))},
+    ], ["_toks"]
+
+
 def python_features(df: DataFrame, text_col: str = "text", from_imports: bool = True,
                     literal_weight: int = 1, max_tokens: int = LX.DEFAULT_MAX_TOKENS) -> DataFrame:
     """Add feature columns for Python source in ``text_col``.
@@ -43,20 +60,8 @@ def python_features(df: DataFrame, text_col: str = "text", from_imports: bool =
     imports array<string>, calls array<struct<mod,func>>, has_eval_exec,
     url_count, b64_count.  The token stream is computed once per row.
     """
-    with_toks = df.withColumn("_toks", LX.tokens(F.col(text_col), LX.PYTHON_TOKENS, max_tokens))
-    toks = F.col("_toks")
-    lits = LX.string_literals(toks)
-    calls = F.transform(LX.calls(toks, LX.PYTHON_KEYWORDS),
-                        lambda c: F.struct(c["base"].alias("mod"), c["func"].alias("func")))
-    out = (with_toks
-           .withColumn("imports", imports_from_tokens(toks, from_imports))
-           .withColumn("calls", calls)
-           .withColumn("url_count", EV.literal_url_count(lits, literal_weight))
-           .withColumn("b64_count", EV.literal_b64_count(lits, literal_weight))
-           .drop("_toks"))
-    # Any function named eval or exec, whatever its object
-    return out.withColumn("has_eval_exec",
-                          F.exists("calls", lambda c: c["func"].isin("eval", "exec")))
+    stages, drop = _py_stages(text_col, from_imports, literal_weight, max_tokens)
+    return apply_stages(df, stages, drop)
 
 
 def call_phrases(calls: Column) -> Column:

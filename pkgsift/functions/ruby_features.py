@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pkgsift.functions import evidence as EV
+from pkgsift.functions.colcache import apply_stages, cached_columns
 from pkgsift.functions import lexers as LX
 from pkgsift.functions import phrases as PH
 from pkgsift.functions.tags import strip_blanks
@@ -41,20 +42,24 @@ def cues(text: Column) -> Column:
     return F.filter(F.array(*found), lambda c: c.isNotNull())
 
 
+@cached_columns
+def _rb_stages(text_col: str, literal_weight: int, max_tokens: int):
+    text = F.col(text_col)
+    lits = F.col("_lits")
+    return [
+        {"_lits": LX.string_literals(LX.tokens(text, LX.RUBY_STRINGS, max_tokens))},
+        {"requires": requires(text), "calls": cues(text),
+         "has_eval_exec": F.lower(text).rlike(EVAL_PATTERN),
+         "url_count": EV.literal_url_count(lits, literal_weight),
+         "b64_count": EV.literal_b64_count(lits, literal_weight)},
+    ], ["_lits"]
+
+
 def ruby_features(df: DataFrame, text_col: str = "text", literal_weight: int = 1,
                   max_tokens: int = LX.DEFAULT_MAX_TOKENS) -> DataFrame:
     """Add requires, calls (cues), has_eval_exec, url_count, b64_count."""
-    text = F.col(text_col)
-    with_lits = df.withColumn(
-        "_lits", LX.string_literals(LX.tokens(text, LX.RUBY_STRINGS, max_tokens)))
-    lits = F.col("_lits")
-    return (with_lits
-            .withColumn("requires", requires(text))
-            .withColumn("calls", cues(text))
-            .withColumn("has_eval_exec", F.lower(text).rlike(EVAL_PATTERN))
-            .withColumn("url_count", EV.literal_url_count(lits, literal_weight))
-            .withColumn("b64_count", EV.literal_b64_count(lits, literal_weight))
-            .drop("_lits"))
+    stages, drop = _rb_stages(text_col, literal_weight, max_tokens)
+    return apply_stages(df, stages, drop)
 
 
 def _starts(key: str):

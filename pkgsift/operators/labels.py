@@ -13,6 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pkgsift.functions.colcache import cached_columns
 from pkgsift.functions.tags import normalize_tag, strip_blanks, tag_class, tag_label
 
 
@@ -24,12 +25,21 @@ class LabelTables(NamedTuple):
     report: DataFrame        # level, rows, positives, negatives, pos_ratio
 
 
+@cached_columns
+def _review_cols():
+    return (strip_blanks(F.col("package")).alias("package"),
+            strip_blanks(F.col("version")).alias("version"),
+            normalize_tag(F.col("threat")).alias("tag"))
+
+
+@cached_columns
+def _label_col(policy: str, numeric_labels: bool):
+    return tag_label(F.col("tag"), policy, numeric_labels).alias("label")
+
+
 def review_rows(info: DataFrame) -> DataFrame:
     """(package, version, threat) → drop rows with a null, strip, normalize."""
-    return (info.select("package", "version", "threat").dropna()
-            .select(strip_blanks(F.col("package")).alias("package"),
-                    strip_blanks(F.col("version")).alias("version"),
-                    normalize_tag(F.col("threat")).alias("tag")))
+    return info.select("package", "version", "threat").dropna().select(*_review_cols())
 
 
 def tag_counts(rows: DataFrame) -> DataFrame:
@@ -40,8 +50,7 @@ def tag_counts(rows: DataFrame) -> DataFrame:
 
 def classified(rows: DataFrame, policy: str = "drop", numeric_labels: bool = False) -> DataFrame:
     """(package, version, tag) → (package, version, label); excluded rows removed."""
-    return (rows.select("package", "version",
-                        tag_label(F.col("tag"), policy, numeric_labels).alias("label"))
+    return (rows.select("package", "version", _label_col(policy, numeric_labels))
             .where(F.col("label").isNotNull()))
 
 

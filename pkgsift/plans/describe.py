@@ -22,6 +22,7 @@ from pkgsift.functions import evidence as EV
 from pkgsift.functions import js_features as JS
 from pkgsift.functions import python_features as PY
 from pkgsift.functions import ruby_features as RB
+from pkgsift.functions.colcache import cached_columns
 from pkgsift.functions.lexers import DEFAULT_MAX_TOKENS
 from pkgsift.operators import files as FL
 from pkgsift.operators import roots as RT
@@ -71,6 +72,11 @@ def npm_descriptions(labels: DataFrame, files: DataFrame, found: DataFrame | Non
             .join(found.withColumn("_found", F.lit(True)), ["package", "version"], "left")
             .join(feats, ["package", "version"], "left")
             .join(hooks, ["package", "version"], "left"))
+    return rows.select("package", "version", *_npm_text_cols())
+
+
+@cached_columns
+def _npm_text_cols():
     zero = F.lit(0).cast("bigint")
     text = JS.npm_sentence(
         F.col("package"), F.col("version"),
@@ -81,8 +87,7 @@ def npm_descriptions(labels: DataFrame, files: DataFrame, found: DataFrame | Non
         F.coalesce(F.col("startup"), F.lit(False)))
     text = F.when(F.col("_found").isNull(),
                   EV.fixed_sentence(F.col("package"), F.col("version"), NO_JS)).otherwise(text)
-    return rows.select("package", "version", text.alias("textual_description"),
-                       F.col("label").cast("int").alias("label"))
+    return text.alias("textual_description"), F.col("label").cast("int").alias("label")
 
 
 # --------------------------------------------------------------------------- PyPI
@@ -140,6 +145,11 @@ def pypi_descriptions(labels: DataFrame, files: DataFrame, found: DataFrame | No
     rows = (labels.select("package", "version", "label")
             .join(found.withColumn("_found", F.lit(True)), ["package", "version"], "left")
             .join(feats, ["package", "version"], "left"))
+    return rows.select("package", "version", *_pypi_text_cols())
+
+
+@cached_columns
+def _pypi_text_cols():
     ident = F.concat(F.col("version"), F.lit("/"), F.col("rel_path"))
     text = (F.when(F.col("_found").isNull(),
                    EV.fixed_sentence(F.col("package"), F.col("version"), NO_SOURCE))
@@ -148,8 +158,7 @@ def pypi_descriptions(labels: DataFrame, files: DataFrame, found: DataFrame | No
             .otherwise(PY.pypi_sentence(F.col("package"), ident, F.col("imports"), F.col("calls"),
                                         F.col("has_eval_exec"), F.col("url_count"),
                                         F.col("b64_count"))))
-    return rows.select("package", "version", text.alias("textual_description"),
-                       F.col("label").cast("int").alias("label"))
+    return text.alias("textual_description"), F.col("label").cast("int").alias("label")
 
 
 # --------------------------------------------------------------------------- RubyGems
@@ -170,10 +179,14 @@ def ruby_descriptions(versions: DataFrame, files: DataFrame, **kw) -> DataFrame:
     inner = RT.ruby_inner_root(files)
     feats = ruby_file_features(inner, **kw)
     rows = versions.select("package", "version", "label").join(feats, ["package", "version"], "left")
+    return rows.select("package", "version", *_ruby_text_cols())
+
+
+@cached_columns
+def _ruby_text_cols():
     ident = F.concat(F.col("version"), F.lit("/"), F.col("rel_path"))
     text = F.when(F.col("rel_path").isNull(),
                   EV.fixed_sentence(F.col("package"), F.col("version"), NO_RUBY)).otherwise(
         RB.ruby_sentence(F.col("package"), ident, F.col("requires"), F.col("calls"),
                          F.col("has_eval_exec"), F.col("url_count"), F.col("b64_count")))
-    return rows.select("package", "version", text.alias("textual_description"),
-                       F.col("label").cast("int").alias("label"))
+    return text.alias("textual_description"), F.col("label").cast("int").alias("label")

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pkgsift.functions.colcache import cached_columns
+
 # ---------------------------------------------------------------------------
 # Snippets per ecosystem, indexed by doc_id % 5 (FIXTURES.md §3).
 PYPI_SNIPPETS = [
@@ -62,6 +64,11 @@ def _group() -> Column:
 def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source file per document (see module doc)."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return docs.select(*_code_file_cols())
+
+
+@cached_columns
+def _code_file_cols():
     g = _group()
     eco_ix = g % 3
     snip_ix = F.col("doc_id") % 5
@@ -69,8 +76,8 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                .when(eco_ix == 1, _pick(snip_ix, NPM_SNIPPETS))
                .otherwise(_pick(snip_ix, RUBY_SNIPPETS)))
     ascii_text = F.regexp_replace(F.col("text"), "[^ -~]", " ")
-    return docs.select(
-        "doc_id",
+    return (
+        F.col("doc_id"),
         _pick(eco_ix, ECOSYSTEMS).alias("ecosystem"),
         F.concat(F.lit("pkg-"), g.cast("string")).alias("package"),
         F.concat(F.lit("1."), F.floor((F.col("doc_id") % 12) / F.lit(4.0)).cast("bigint")
@@ -93,13 +100,18 @@ def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def package_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One review row per ``labels`` row: name, version, threat_type."""
     lab = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return lab.select(*_package_info_cols())
+
+
+@cached_columns
+def _package_info_cols():
     g = _group()
     threat = (F.when(F.col("toxic") == 1, F.lit(" Confirmed-Malware"))
               .when(F.col("quality") == 0, F.lit("un_reviewed"))
               .when(F.col("doc_id") % 11 == 0, F.lit("adware"))
               .when(F.col("doc_id") % 13 == 0, F.lit(None).cast("string"))
               .otherwise(F.lit("False Positive ")))
-    return lab.select(
+    return (
         F.concat(F.lit("pkg-"), g.cast("string")).alias("name"),
         F.concat(F.lit("1."), F.floor((F.col("doc_id") % 12) / F.lit(4.0)).cast("bigint")
                  .cast("string")).alias("version"),
