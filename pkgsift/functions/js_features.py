@@ -50,12 +50,22 @@ def _mod(m: Column) -> Column:
     return F.lower(strip_blanks(m))
 
 
+def _guarded(text: Column, keyword: str, arr: Column) -> Column:
+    """Skip a full-text regex scan when its keyword does not occur at all."""
+    return F.when(F.instr(text, keyword) > 0, arr).otherwise(F.array().cast("array<string>"))
+
+
 def _pairs(text: Column, pattern: str) -> Column:
-    """All matches of a two-group pattern as array<struct<a, m>>, in text order."""
-    a = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
-    m = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
-    return F.transform(F.arrays_zip(a.alias("a"), m.alias("m")),
-                       lambda p: F.struct(p["a"].alias("a"), _mod(p["m"]).alias("m")))
+    """All matches of a two-group pattern as array<struct<a, m>>, in text order.
+
+    One scan of the text for whole matches; the groups are then re-read from
+    each (short) match, which gives the same groups since no pattern looks
+    past its own end.
+    """
+    keyword = "require" if "require" in pattern else "import"
+    whole = _guarded(text, keyword, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    return F.transform(whole, lambda w: F.struct(F.regexp_extract(w, pattern, 1).alias("a"),
+                                                 _mod(F.regexp_extract(w, pattern, 2)).alias("m")))
 
 
 def _alias_entries(passes) -> Column:
@@ -109,7 +119,7 @@ def _alias_stages(text_col: str):
     text = F.col(text_col)
     passes = [F.col(f"_p{i}") for i in range(len(PAIR_PATTERNS))]
     first = {f"_p{i}": _pairs(text, p) for i, p in enumerate(PAIR_PATTERNS)}
-    first["_bare"] = F.regexp_extract_all(text, F.lit(IMPORT_BARE), F.lit(1))
+    first["_bare"] = _guarded(text, "import", F.regexp_extract_all(text, F.lit(IMPORT_BARE), F.lit(1)))
     second = {"imports": _imports(passes, F.col("_bare")),
               "_aliases": _alias_entries(passes),
               "_names": F.concat(_destruct_entries(passes[1]), _named_entries(passes[4]))}

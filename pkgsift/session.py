@@ -40,9 +40,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting names a shared folder and is left alone.  Only
     when it is unset (local tests) is a fresh scratch folder created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", "")
     if not current:
         current = tempfile.mkdtemp(prefix="pkgsift-ckpt-")
-    sc.setCheckpointDir(current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
