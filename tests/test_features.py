@@ -156,3 +156,11 @@ def test_hostile_inputs_finish(spark, text):
     JS.js_features(df, max_file_bytes=10_000_000).collect()
     PY.python_features(df).collect()
     RB.ruby_features(df).collect()
+
+
+def test_js_lenient_mode_adds_parse_failure_regexes(spark):
+    src = "var f = new Function('return 1'); child_process.spawn('x')"
+    strict = _js(spark, src)
+    lenient = _js(spark, src, lenient=True)
+    assert not strict["has_eval_exec"] and lenient["has_eval_exec"]
+    assert lenient["calls_proc"]

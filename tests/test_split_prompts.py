@@ -82,3 +82,28 @@ def test_detection_metrics(spark):
     assert m["precision"] == 0.5 and m["recall"] == 0.5 and m["f1"] == 0.5
     z = detection_metrics(spark.createDataFrame([("0", "0")], "label string, pred string")).first()
     assert (z["precision"], z["recall"], z["f1"]) == (0.0, 0.0, 0.0)
+
+
+def test_score_with_generator(spark):
+    import numpy as np
+
+    from pkgsift.plans.detector import score_with_generator
+
+    def make_predict_fn():
+        def predict(prompts):
+            return np.array([p + ("1" if "bad" in p else "maybe") for p in prompts])
+        return predict
+
+    df = spark.createDataFrame([("bad thing", "1"), ("fine", "0")], "text string, label string")
+    got = sorted(tuple(r) for r in score_with_generator(df, make_predict_fn, batch_size=2).collect())
+    assert got == [("bad thing", "1", "1"), ("fine", "0", "0")]
+
+
+def test_csv_sink_quoting(spark, tmp_path):
+    from pkgsift.sources.sinks import write_table
+    df = spark.createDataFrame([('say "hi", ok', 1), ("line\nbreak", 0)], "textual_description string, label int")
+    write_table(df, str(tmp_path / "o"), "csv", single_file=True)
+    import csv
+    import glob
+    with open(glob.glob(str(tmp_path / "o" / "*.csv"))[0], newline="", encoding="utf-8") as fh:
+        assert list(csv.reader(fh)) == [["textual_description", "label"], ['say "hi", ok', "1"], ["line\nbreak", "0"]]
