@@ -99,14 +99,16 @@ def resolve_roots(labels: DataFrame, listing: DataFrame, ecosystem: str = "npm",
 
     exact = (lab.join(dirs, (F.col("pkg_dir") == F.col("top")) & (F.col("version") == F.col("second")))
              .select("package", "version", F.lit(0).alias("_p"), "top", "second"))
-    # Version directories of the labelled packages, by every substring of their name
-    sub = (dirs.join(pkg.select(F.col("pkg_dir").alias("top")).distinct(), "top", "left_semi")
+    # only rows without an exact directory need the fallbacks
+    rest = lab.join(exact.select("package", "version"), ["package", "version"], "left_anti")
+    # Version directories of those packages, by every substring of their name
+    sub = (dirs.join(rest.select(F.col("pkg_dir").alias("top")).distinct(), "top", "left_semi")
            .select("top", "second", F.explode(F.array_distinct(_affixes(F.col("second"), "substring")))
                    .alias("_sub")))
-    contains = (lab.join(sub, (F.col("pkg_dir") == F.col("top")) & (F.col("version") == F.col("_sub")))
+    contains = (rest.join(sub, (F.col("pkg_dir") == F.col("top")) & (F.col("version") == F.col("_sub")))
                 .select("package", "version", F.lit(1).alias("_p"), "top", "second"))
     # C4: {pkg}@{ver} at the top level
-    at = (keys.join(tops, F.concat_ws("@", "package", "version") == F.col("top"))
+    at = (rest.join(tops, F.concat_ws("@", "package", "version") == F.col("top"))
           .select("package", "version", F.lit(2).alias("_p"), "top",
                   F.lit(None).cast("string").alias("second")))
     cands = (exact.unionByName(contains).unionByName(at)
