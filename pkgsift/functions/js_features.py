@@ -137,8 +137,19 @@ def _last(entries: Column, key: Column) -> Column:
     return F.try_element_at(F.filter(entries, lambda e: e["k"] == key), F.lit(-1))
 
 
+def _mentions_cp(tok: Column) -> Column:
+    """A neighbouring string literal that mentions child_process (any case)."""
+    return F.coalesce(F.substring(tok, 1, 1).isin('"', "'", "`")
+                      & (F.instr(F.lower(tok), "child_process") > 0), F.lit(False))
+
+
 def resolve_calls(raw: Column, aliases: Column, names: Column) -> Column:
-    """Call heads → array<struct<mod, func>> through the alias maps."""
+    """Call heads → array<struct<mod, func, cp>> through the alias maps.
+
+    ``cp`` marks a call whose own text mentions child_process (a string
+    literal right before or after its head), which the reference accepts for
+    calls without a module, e.g. ``require('child_process').exec(``.
+    """
     def one(c):
         base_ok = c["member"] & (c["base"] != "") & ~c["base"].isin(NON_IDENTIFIER_BASES)
         hit = _last(aliases, c["base"])
@@ -146,7 +157,8 @@ def resolve_calls(raw: Column, aliases: Column, names: Column) -> Column:
         nf = _last(names, c["func"])
         use_nf = (mod0 == "") & nf.isNotNull()
         return F.struct(F.when(use_nf, nf["mod"]).otherwise(mod0).alias("mod"),
-                        F.when(use_nf, nf["fn"]).otherwise(c["func"]).alias("func"))
+                        F.when(use_nf, nf["fn"]).otherwise(c["func"]).alias("func"),
+                        (_mentions_cp(c["prev"]) | _mentions_cp(c["next"])).alias("cp"))
     return F.transform(raw, one)
 
 
@@ -162,12 +174,14 @@ def _js_stages(text_col: str, size_col: str | None, max_file_bytes: int, max_tok
     s0 = {"light": light}
     s1 = {"_toks": F.when(~is_light, LX.tokens(text, LX.JS_TOKENS, max_tokens))}
     toks = F.col("_toks")
-    s3 = {"calls": F.when(is_light, F.array().cast("array<struct<mod:string,func:string>>")).otherwise(
-        resolve_calls(LX.calls(toks, LX.JS_KEYWORDS), F.col("_aliases"), F.col("_names")))}
-    c = F.col("calls")
+    s3 = {"_calls": F.when(is_light, F.array().cast("array<struct<mod:string,func:string,cp:boolean>>"))
+          .otherwise(resolve_calls(LX.calls(toks, LX.JS_KEYWORDS), F.col("_aliases"), F.col("_names")))}
+    c = F.col("_calls")
+    # the module is a process module, or there is none and the call's text names child_process
+    proc_mod = lambda x: x["mod"].isin(PROCESS_MODULES) | ((x["mod"] == "") & x["cp"])
     tree_eval = F.exists(c, lambda x: F.lower(x["func"]) == "eval")
-    tree_os = F.exists(c, lambda x: x["mod"].isin(PROCESS_MODULES) & F.lower(x["func"]).isin(OS_FUNCS))
-    tree_proc = F.exists(c, lambda x: x["mod"].isin(PROCESS_MODULES) & F.lower(x["func"]).isin(PROC_FUNCS))
+    tree_os = F.exists(c, lambda x: proc_mod(x) & F.lower(x["func"]).isin(OS_FUNCS))
+    tree_proc = F.exists(c, lambda x: proc_mod(x) & F.lower(x["func"]).isin(PROC_FUNCS))
     direct_os = low.rlike(DIRECT_REQUIRE_OS)
     direct_proc = low.rlike(DIRECT_REQUIRE_PROC)
     light_eval = low.rlike(EVAL_CALL) | low.rlike(VM_RUN)
@@ -176,12 +190,13 @@ def _js_stages(text_col: str, size_col: str | None, max_file_bytes: int, max_tok
         tree_os = tree_os | low.rlike(MODULE_CP_OS)
         tree_proc = tree_proc | low.rlike(MODULE_CP_PROC)
     lits = LX.string_literals(toks)
-    s4 = {"has_eval_exec": F.when(is_light, light_eval).otherwise(tree_eval),
-          "calls_os": F.when(is_light, direct_os).otherwise(tree_os | direct_os),
-          "calls_proc": F.when(is_light, direct_proc).otherwise(tree_proc | direct_proc),
+    s4 = {"calls": F.transform(c, lambda x: F.struct(x["mod"].alias("mod"), x["func"].alias("func"))),
+          "has_eval_exec": F.when(is_light, light_eval).otherwise(tree_eval),
+          "calls_os": F.when(is_light, direct_os).otherwise(tree_os),
+          "calls_proc": F.when(is_light, direct_proc).otherwise(tree_proc),
           "url_count": F.when(is_light, EV.url_count(text)).otherwise(EV.literal_url_count(lits)),
           "b64_count": F.when(is_light, EV.b64_count(text)).otherwise(EV.literal_b64_count(lits))}
-    return [s0, s1, *alias_stages, s3, s4], alias_drop + ["_toks", "_aliases", "_names"]
+    return [s0, s1, *alias_stages, s3, s4], alias_drop + ["_toks", "_aliases", "_names", "_calls"]
 
 
 def js_features(df: DataFrame, text_col: str = "text", size_col: str | None = "size",

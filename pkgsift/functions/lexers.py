@@ -76,14 +76,25 @@ def string_literals(toks: Column) -> Column:
 
 
 def call_heads(toks: Column) -> Column:
-    """Tokens that are call heads, whitespace and '?' removed: ``a.b.c``, ``.f``, ``g``."""
-    heads = F.filter(toks, lambda t: t.endswith("(") & ~t.rlike(r"^(?:new|function)\s"))
+    """Call-head tokens with their neighbours: array<struct<h, prev, next>>.
+
+    ``h`` has whitespace, '(' and '?' removed (``a.b.c``, ``.f``, ``g``);
+    ``prev`` / ``next`` are the tokens just before and after (a string
+    literal there is part of the call's text: ``require('x').f(`` or ``f('x')``).
+    """
+    n = F.size(toks)
+    indexed = F.transform(toks, lambda t, i: F.struct(
+        t.alias("t"),
+        F.when(i > 0, F.element_at(toks, i)).alias("prev"),
+        F.when(i + 1 < n, F.element_at(toks, i + 2)).alias("next")))
     # 'new X(' and 'function f(' were matched only to hide their names
-    return F.transform(heads, lambda t: F.regexp_replace(t, r"[\s(?]", ""))
+    heads = F.filter(indexed, lambda x: x["t"].endswith("(") & ~x["t"].rlike(r"^(?:new|function)\s"))
+    return F.transform(heads, lambda x: F.struct(F.regexp_replace(x["t"], r"[\s(?]", "").alias("h"),
+                                                 x["prev"].alias("prev"), x["next"].alias("next")))
 
 
-def split_head(head: Column, keywords) -> Column:
-    """Call head → struct(base, func, dotted).
+def split_head(head: Column, keywords, prev: Column | None = None, nxt: Column | None = None) -> Column:
+    """Call head → struct(base, func, member, prev, next).
 
     ``base`` is the leftmost identifier ("" when the head starts with '.',
     i.e. the object was a call or subscript result); ``func`` is the last name.
@@ -95,11 +106,14 @@ def split_head(head: Column, keywords) -> Column:
     base = F.when(dotted, F.lit("")).when(n > 1, parts[0]).otherwise(F.lit(""))
     func = F.element_at(parts, -1)
     is_kw = (~dotted) & (n == 1) & func.isin(keywords)
+    none = F.lit(None).cast("string")
     return F.when(is_kw, F.lit(None)).otherwise(
-        F.struct(base.alias("base"), func.alias("func"), (dotted | (n > 1)).alias("member")))
+        F.struct(base.alias("base"), func.alias("func"), (dotted | (n > 1)).alias("member"),
+                 (none if prev is None else prev).alias("prev"),
+                 (none if nxt is None else nxt).alias("next")))
 
 
 def calls(toks: Column, keywords) -> Column:
     """array<struct<base, func, member>> of every call in token order."""
-    parsed = F.transform(call_heads(toks), lambda h: split_head(h, keywords))
+    parsed = F.transform(call_heads(toks), lambda x: split_head(x["h"], keywords, x["prev"], x["next"]))
     return F.filter(parsed, lambda c: c.isNotNull())

@@ -164,3 +164,13 @@ def test_js_lenient_mode_adds_parse_failure_regexes(spark):
     lenient = _js(spark, src, lenient=True)
     assert not strict["has_eval_exec"] and lenient["has_eval_exec"]
     assert lenient["calls_proc"]
+
+
+def test_js_child_process_in_call_text(spark):
+    # no module, but the call's own text names child_process (object or argument)
+    assert _js(spark, "foo('child_process').spawn('x')")["calls_proc"]
+    assert _js(spark, "exec('child_process ls')")["calls_os"]
+    assert _js(spark, "require(\"CHILD_PROCESS\").execSync('id')")["calls_os"]
+    # only in a comment or a plain string: no call, no flag
+    f = _js(spark, "// require('child_process').exec('x')\nvar s = \"require('child_process').exec(\";")
+    assert not f["calls_os"]
