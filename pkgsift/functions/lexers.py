@@ -20,7 +20,12 @@ from pyspark.sql import functions as F
 _HEAD = (r"(?:\.\s{0,8}+)?(?<![\w$])[A-Za-z_$][\w$]*+"
          r"(?:\s{0,8}+\??\.\s{0,8}+[A-Za-z_$][\w$]*+){0,16}+\s{0,8}+\(")
 
-PYTHON_TOKENS = "|".join([
+# Every token starts with one of these characters; the lookahead rejects
+# other positions with a single test instead of one per alternative.
+_JS_FIRST = r"""(?=[/'"`A-Za-z_$.])"""
+_PY_FIRST = r"""(?=['"#A-Za-z_$.])"""
+
+PYTHON_TOKENS = _PY_FIRST + "(?:" + "|".join([
     r"#[^\n]*+",
     r'"""(?:[^"\\]++|\\[\s\S]|"(?!""))*+(?:""")?+',
     r"'''(?:[^'\\]++|\\[\s\S]|'(?!''))*+(?:''')?+",
@@ -31,9 +36,9 @@ PYTHON_TOKENS = "|".join([
     r"(?:[ \t]*+,[ \t]*+[\w.]++(?:[ \t]++as[ \t]++\w++)?+)*+",
     r"\b(?:def|class)\s{1,8}+\w++",
     _HEAD,
-])
+]) + ")"
 
-JS_TOKENS = "|".join([
+JS_TOKENS = _JS_FIRST + "(?:" + "|".join([
     r"//[^\n]*+",
     r"/\*[\s\S]*?(?:\*/|\z)",
     r"'(?:[^'\\\n]++|\\[\s\S])*+'?+",
@@ -41,7 +46,7 @@ JS_TOKENS = "|".join([
     r"`(?:[^`\\]++|\\[\s\S])*+`?+",
     r"\b(?:new|function)\s{1,8}+[\w$.]++\s{0,8}+\(",
     _HEAD,
-])
+]) + ")"
 
 RUBY_STRINGS = "(?m)" + "|".join([
     r"^=begin[\s\S]*?(?:^=end|\z)",
