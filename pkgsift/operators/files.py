@@ -55,12 +55,15 @@ def js_candidates(files: DataFrame, include_tests: bool = False) -> DataFrame:
     return out
 
 
-def topk_files(files: DataFrame, k: int = DEFAULT_TOP_K, include_tests: bool = False) -> DataFrame:
+def topk_files(files: DataFrame, k: int = DEFAULT_TOP_K, include_tests: bool = False,
+               keep_columns: bool = False) -> DataFrame:
     """(package, version, rel_path, size) → best ``k`` per version with ``rank``.
 
     Ties keep the reference's stable order: all ``.js`` before ``.ts``, then path.
+    ``keep_columns`` carries the other (small) columns through the rank.
     """
-    narrow = js_candidates(files.select("package", "version", "rel_path", "size"), include_tests)
+    base = files if keep_columns else files.select("package", "version", "rel_path", "size")
+    narrow = js_candidates(base, include_tests)
     path = tree_path(F.col("package"), F.col("version"), F.col("rel_path"))
     w = Window.partitionBy("package", "version").orderBy(
         npm_priority(path), F.col("size").desc(), F.col("rel_path").endswith(".ts"),

@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer
+from pyspark.ml.feature import CountVectorizer, RegexTokenizer, SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,13 +24,15 @@ from pkgsift.operators.metrics import detection_metrics
 from pkgsift.sources.review_csv import label_digit
 
 
-def detector_pipeline(text_col: str = "text", min_df: float = 2.0, reg: float = 0.01,
+def detector_pipeline(text_col: str = "text", min_df: float = 1.0, reg: float = 0.01,
                       max_iter: int = 50) -> Pipeline:
-    """Phrase bag → logistic regression.  ``min_df`` drops the per-row
-    ``start entry {pkg}/{id}`` phrase, which never repeats."""
+    """Behaviour-phrase bag → logistic regression."""
     return Pipeline(stages=[
         RegexTokenizer(inputCol=text_col, outputCol="_phrases", pattern=", ", toLowercase=False),
-        CountVectorizer(inputCol="_phrases", outputCol="_features", minDF=min_df),
+        # drop "start entry {pkg}/{id}" and "end of entry": per-row ids are not features
+        SQLTransformer(statement="SELECT *, slice(_phrases, 2, greatest(size(_phrases) - 2, 0)) "
+                                 "AS _body FROM __THIS__"),
+        CountVectorizer(inputCol="_body", outputCol="_features", minDF=min_df),
         LogisticRegression(featuresCol="_features", labelCol="_y", predictionCol="_pred",
                            probabilityCol="_prob", rawPredictionCol="_raw",
                            regParam=reg, maxIter=max_iter),

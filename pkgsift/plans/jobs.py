@@ -76,7 +76,7 @@ def describe_job(spark: SparkSession, ecosystem: str, packages_dir: str, out_dir
         if ecosystem == "npm":
             described = D.npm_descriptions(labels, files, found, **kw)
         else:
-            members = AR.members_as_files(AR.expand_archives(TR.archives(spark, packages_dir)))
+            members = AR.members_as_files(AR.expand_archives_at(spark, packages_dir))
             described = D.pypi_descriptions(labels, files, found, members=members, **kw)
     out = SP.stratified_split(described, val_size=val_size, test_size=test_size, seed=seed)
     SP.write_splits(out, out_dir, fmt)

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 MEMBER_SCHEMA = ("path string, member string, size bigint, content binary, "
                  "error string")
 
+BATCH_BYTES = 64 * 1024 * 1024
+
 DEFAULT_LIMITS = {
     "max_members": 20_000,
     "max_member_bytes": 16 * 1024 * 1024,
@@ -110,16 +112,26 @@ def expand_archives(archives: DataFrame, limits: dict | None = None) -> DataFram
     """(path, bytes, ...) archive rows → (path, member, size, content, error)."""
     lim = {**DEFAULT_LIMITS, **(limits or {})}
 
+    cols = ["path", "member", "size", "content", "error"]
+
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
+            rows, held = [], 0
             for path, data in zip(pdf["path"], pdf["bytes"]):
+                if data is None:
+                    rows.append((path, None, None, None, "unreadable"))
+                    continue
                 try:
                     for member, size, body in _expand_one(path, bytes(data), lim):
                         rows.append((path, member, int(size), body, None))
+                        held += len(body)
+                        if held >= BATCH_BYTES:   # bounded batches back to the JVM
+                            yield pd.DataFrame(rows, columns=cols)
+                            rows, held = [], 0
                 except Exception as e:  # broken archive: keep a marker row
                     rows.append((path, None, None, None, f"{type(e).__name__}: {e}"[:500]))
-            yield pd.DataFrame(rows, columns=["path", "member", "size", "content", "error"])
+            if rows:
+                yield pd.DataFrame(rows, columns=cols)
 
     return archives.select("path", "bytes").mapInPandas(explode, MEMBER_SCHEMA)
 
@@ -134,3 +146,35 @@ def members_as_files(members: DataFrame) -> DataFrame:
                     F.col("path").alias("archive"), F.col("member").alias("rel_path"),
                     "size", decode_text(F.col("content")).alias("content"),
                     F.lit(True).alias("from_archive")))
+
+
+def expand_archives_at(spark, root: str, limits: dict | None = None) -> DataFrame:
+    """Archives of a tree → member rows, reading and expanding in the same
+    task: only (path, size) travel into Python, one archive is in memory at a
+    time, and members come back in bounded batches."""
+    from pkgsift.sources.tree import ARCHIVE_GLOB, _fs, list_tree
+
+    lim = {**DEFAULT_LIMITS, **(limits or {})}
+    cols = ["path", "member", "size", "content", "error"]
+
+    def read_and_explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, base = _fs(root)
+        for pdf in batches:
+            rows, held = [], 0
+            for path in pdf["path"]:
+                try:
+                    with fs.open_input_stream(f"{base}/{path}") as f:
+                        data = f.read()
+                    for member, size, body in _expand_one(path, data, lim):
+                        rows.append((path, member, int(size), body, None))
+                        held += len(body)
+                        if held >= BATCH_BYTES:
+                            yield pd.DataFrame(rows, columns=cols)
+                            rows, held = [], 0
+                except Exception as e:  # unreadable or broken archive: a marker row
+                    rows.append((path, None, None, None, f"{type(e).__name__}: {e}"[:500]))
+            if rows:
+                yield pd.DataFrame(rows, columns=cols)
+
+    return list_tree(spark, root, ARCHIVE_GLOB).select("path", "size").mapInPandas(
+        read_and_explode, MEMBER_SCHEMA)

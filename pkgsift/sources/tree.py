@@ -109,21 +109,33 @@ def _glob_regex(glob: str) -> str:
     return "^" + "".join(out) + "$"
 
 
+BATCH_BYTES = 64 * 1024 * 1024   # bodies per Arrow batch handed back to the JVM
+
+
 def _reader(base: str, max_bytes: int | None):
+    """mapInPandas body: (path, size) → (path, size, bytes), yielded in
+    batches of at most ~BATCH_BYTES so a task never holds many large files."""
     def fn(batches):
         fs, root = _fs(base)
         for pdf in batches:
-            bodies = []
+            paths, sizes, bodies, held = [], [], [], 0
             for p, size in zip(pdf["path"], pdf["size"]):
-                if max_bytes is not None and size is not None and size > max_bytes:
-                    bodies.append(None)
-                    continue
-                try:
-                    with fs.open_input_stream(f"{root}/{p}") as f:
-                        bodies.append(f.read())
-                except OSError:
-                    bodies.append(None)   # unreadable → empty features downstream
-            yield pd.DataFrame({"path": pdf["path"], "size": pdf["size"], "bytes": bodies})
+                body = None
+                if max_bytes is None or size is None or size <= max_bytes:
+                    try:
+                        with fs.open_input_stream(f"{root}/{p}") as f:
+                            body = f.read()
+                    except OSError:
+                        body = None   # unreadable → empty features downstream
+                paths.append(p)
+                sizes.append(size)
+                bodies.append(body)
+                held += len(body) if body else 0
+                if held >= BATCH_BYTES:
+                    yield pd.DataFrame({"path": paths, "size": sizes, "bytes": bodies})
+                    paths, sizes, bodies, held = [], [], [], 0
+            if paths:
+                yield pd.DataFrame({"path": paths, "size": sizes, "bytes": bodies})
     return fn
 
 
@@ -188,11 +200,11 @@ def ingest(spark: SparkSession, root: str, ecosystem: str, out_path: str,
 ARCHIVE_GLOB = "*.{" + ",".join(s.lstrip(".") for s in ARCHIVE_SUFFIXES) + "}"
 
 
-def archives(spark: SparkSession, root: str) -> DataFrame:
+def archives(spark: SparkSession, root: str, max_bytes: int | None = None) -> DataFrame:
     """Archive files of a tree with their bytes: (path, size, bytes).
 
-    The name filter is a ``pathGlobFilter``, applied at listing time, so no
-    other file is opened."""
-    b = _binary(spark, root, ARCHIVE_GLOB)
-    return b.select(relative_path("path", root).alias("path"), F.col("length").alias("size"),
-                    F.col("content").alias("bytes"))
+    Listed by the tree walk (hidden names included), filtered by name, and
+    read inside the tasks, in bounded batches."""
+    listing = list_tree(spark, root, ARCHIVE_GLOB)
+    return listing.select("path", "size").mapInPandas(
+        _reader(root, max_bytes), "path string, size bigint, bytes binary")

@@ -92,3 +92,10 @@ def test_pypi_archive_fallback_sentence(spark, tmp_path):
     assert got["pkg-b"] == ("start entry pkg-b/2.0/pkg_b-2.0/pkg_b/__init__.py, import network module, "
                             "end of entry")
     assert got["pkg-c"] == "start entry pkg-c/3.0/bin.py, no notable behavior, end of entry"
+
+
+def test_expand_archives_at_matches_two_step(spark, tmp_path):
+    root = _tree(tmp_path)
+    one = sorted(rows(A.expand_archives_at(spark, str(root)), "path", "member", "error"))
+    two = sorted(rows(A.expand_archives(TR.archives(spark, str(root))), "path", "member", "error"))
+    assert [r[:2] for r in one] == [r[:2] for r in two] and len(one) == 4
