@@ -92,3 +92,20 @@ def test_describe_jobs_and_train(spark, tmp_path):
     again, _, _ = jobs.train_job(spark, str(ds / "train"), str(ds / "validation"), str(ds / "test"),
                                  str(tmp_path / "m2"), predict_only=True, model_dir=str(tmp_path / "m" / "model"))
     assert again is not None
+
+
+def test_ruby_label_job_and_ingest(spark, tmp_path):
+    from pkgsift.sources import tree
+    rb = tmp_path / "rb"
+    _write(rb, "mal/g1/1.0/g1.gemspec", "x")
+    _write(rb, "mal/g1/1.1/x.src/lib/a.rb", "x")
+    _write(rb, "ben/g2/2.0/README", "x")
+    out = jobs.ruby_label_job(spark, str(rb / "mal"), str(rb / "ben"), str(tmp_path / "o"), require_ruby=False)
+    assert sorted(tuple(r) for r in out.collect()) == [("g1", "1.0", 1), ("g1", "1.1", 1), ("g2", "2.0", 0)]
+    only_rb = jobs.ruby_label_job(spark, str(rb / "mal"), str(rb / "missing"), str(tmp_path / "o2"),
+                                  require_ruby=True)
+    assert [tuple(r) for r in only_rb.collect()] == [("g1", "1.1", 1)]
+    tree.ingest(spark, str(rb / "mal"), "rubygems", str(tmp_path / "sf"))
+    ing = spark.read.parquet(str(tmp_path / "sf"))
+    assert sorted(r["path"] for r in ing.collect()) == ["g1/1.0/g1.gemspec", "g1/1.1/x.src/lib/a.rb"]
+    assert ing.where("ecosystem = 'rubygems'").count() == 2
