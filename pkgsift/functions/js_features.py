@@ -43,6 +43,15 @@ PROC_FUNCS = ["spawn", "fork"]
 INSTALL_HOOKS = ["preinstall", "install", "postinstall"]
 DEFAULT_MAX_FILE_BYTES = 2_000_000
 NON_IDENTIFIER_BASES = ["this", "super"]
+# Opt-in extensions (Q12, extended=True; not in the reference): `node:` module
+# prefixes, `import d, {x} from`, bare `require()`, dynamic `import()`, and
+# execFile / execFileSync / spawnSync as process calls.
+DEFAULT_AND_NAMED = (r"(?U)\bimport\s++([A-Za-z_$][\w$]*+)\s*+,\s*+\{([^\}]++)\}\s*+from\s*+"
+                     r"['\"]([^'\"]++)['\"]")
+BARE_REQUIRE = r"(?U)\brequire\s*+\(\s*+['\"]([^'\"]++)['\"]\s*+\)"
+DYNAMIC_IMPORT = r"(?U)\bimport\s*+\(\s*+['\"]([^'\"]++)['\"]\s*+\)"
+EXTENDED_OS_FUNCS = ["execfile", "execfilesync"]
+EXTENDED_PROC_FUNCS = ["spawnsync"]
 # ---------------------------------------------------------------------------
 
 
@@ -50,12 +59,16 @@ def _mod(m: Column) -> Column:
     return F.lower(strip_blanks(m))
 
 
+def _mod_ext(m: Column) -> Column:
+    return F.regexp_replace(_mod(m), "^node:", "")
+
+
 def _guarded(text: Column, keyword: str, arr: Column) -> Column:
     """Skip a full-text regex scan when its keyword does not occur at all."""
     return F.when(F.instr(text, keyword) > 0, arr).otherwise(F.array().cast("array<string>"))
 
 
-def _pairs(text: Column, pattern: str) -> Column:
+def _pairs(text: Column, pattern: str, norm=_mod) -> Column:
     """All matches of a two-group pattern as array<struct<a, m>>, in text order.
 
     One scan of the text for whole matches; the groups are then re-read from
@@ -65,7 +78,15 @@ def _pairs(text: Column, pattern: str) -> Column:
     keyword = "require" if "require" in pattern else "import"
     whole = _guarded(text, keyword, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
     return F.transform(whole, lambda w: F.struct(F.regexp_extract(w, pattern, 1).alias("a"),
-                                                 _mod(F.regexp_extract(w, pattern, 2)).alias("m")))
+                                                 norm(F.regexp_extract(w, pattern, 2)).alias("m")))
+
+
+def _triples(text: Column, pattern: str, norm) -> Column:
+    """``import d, {x as y} from 'm'`` matches → array<struct<a, n, m>>."""
+    whole = _guarded(text, "import", F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    return F.transform(whole, lambda w: F.struct(F.regexp_extract(w, pattern, 1).alias("a"),
+                                                 F.regexp_extract(w, pattern, 2).alias("n"),
+                                                 norm(F.regexp_extract(w, pattern, 3)).alias("m")))
 
 
 def _alias_entries(passes) -> Column:
@@ -105,9 +126,9 @@ def _named_entries(pairs: Column) -> Column:
     return F.flatten(F.transform(pairs, one))
 
 
-def _imports(passes, bare: Column) -> Column:
+def _imports(passes, bare: Column, norm=_mod) -> Column:
     mods = F.concat(*[F.transform(p, lambda e: e["m"]) for p in passes],
-                    F.transform(bare, _mod))
+                    F.transform(bare, norm))
     return F.array_sort(F.array_distinct(mods))
 
 
@@ -115,20 +136,34 @@ PAIR_PATTERNS = [REQUIRE_ALIAS, REQUIRE_DESTRUCT, IMPORT_DEFAULT, IMPORT_NAMESPA
 
 
 @cached_columns
-def _alias_stages(text_col: str):
+def _alias_stages(text_col: str, extended: bool = False):
     text = F.col(text_col)
+    norm = _mod_ext if extended else _mod
     passes = [F.col(f"_p{i}") for i in range(len(PAIR_PATTERNS))]
-    first = {f"_p{i}": _pairs(text, p) for i, p in enumerate(PAIR_PATTERNS)}
+    first = {f"_p{i}": _pairs(text, p, norm) for i, p in enumerate(PAIR_PATTERNS)}
     first["_bare"] = _guarded(text, "import", F.regexp_extract_all(text, F.lit(IMPORT_BARE), F.lit(1)))
-    second = {"imports": _imports(passes, F.col("_bare")),
-              "_aliases": _alias_entries(passes),
-              "_names": F.concat(_destruct_entries(passes[1]), _named_entries(passes[4]))}
-    return [first, second], [f"_p{i}" for i in range(len(PAIR_PATTERNS))] + ["_bare"]
-
-
-def with_aliases(df: DataFrame, text_col: str = "text") -> DataFrame:
+    drop = [f"_p{i}" for i in range(len(PAIR_PATTERNS))] + ["_bare"]
+    aliases = _alias_entries(passes)
+    names = F.concat(_destruct_entries(passes[1]), _named_entries(passes[4]))
+    bare = F.col("_bare")
+    if extended:
+        first["_dn"] = _triples(text, DEFAULT_AND_NAMED, norm)
+        first["_req"] = _guarded(text, "require", F.regexp_extract_all(text, F.lit(BARE_REQUIRE), F.lit(1)))
+        first["_dyn"] = _guarded(text, "import", F.regexp_extract_all(text, F.lit(DYNAMIC_IMPORT), F.lit(1)))
+        dn = F.col("_dn")
+        aliases = F.concat(aliases, F.transform(dn, lambda e: F.struct(e["a"].alias("k"), e["m"].alias("mod"))))
+        names = F.concat(names, _named_entries(
+            F.transform(dn, lambda e: F.struct(e["n"].alias("a"), e["m"].alias("m")))))
+        bare = F.concat(bare, F.col("_req"), F.col("_dyn"))
+        passes = passes + [F.transform(dn, lambda e: F.struct(e["a"].alias("a"), e["m"].alias("m")))]
+        drop += ["_dn", "_req", "_dyn"]
+    second = {"imports": _imports(passes, bare, norm), "_aliases": aliases, "_names": names}
+    return [first, second], drop
+
+
+def with_aliases(df: DataFrame, text_col: str = "text", extended: bool = False) -> DataFrame:
     """Add ``imports`` plus the alias (``_aliases``) and name (``_names``) entries."""
-    stages, drop = _alias_stages(text_col)
+    stages, drop = _alias_stages(text_col, extended)
     return apply_stages(df, stages, drop)
 
 
@@ -164,13 +199,15 @@ def resolve_calls(raw: Column, aliases: Column, names: Column) -> Column:
 
 @cached_columns
 def _js_stages(text_col: str, size_col: str | None, max_file_bytes: int, max_tokens: int,
-               lenient: bool):
+               lenient: bool, extended: bool = False):
     text = F.col(text_col)
     low = F.lower(text)
     size = F.col(size_col) if size_col else F.length(text)
     light = (F.lit(max_file_bytes > 0) & (size > F.lit(max_file_bytes))) if max_file_bytes else F.lit(False)
     is_light = F.col("light")
-    alias_stages, alias_drop = _alias_stages(text_col)
+    alias_stages, alias_drop = _alias_stages(text_col, extended)
+    os_funcs = OS_FUNCS + (EXTENDED_OS_FUNCS if extended else [])
+    proc_funcs = PROC_FUNCS + (EXTENDED_PROC_FUNCS if extended else [])
     s0 = {"light": light}
     s1 = {"_toks": F.when(~is_light, LX.tokens(text, LX.JS_TOKENS, max_tokens))}
     toks = F.col("_toks")
@@ -180,8 +217,8 @@ def _js_stages(text_col: str, size_col: str | None, max_file_bytes: int, max_tok
     # the module is a process module, or there is none and the call's text names child_process
     proc_mod = lambda x: x["mod"].isin(PROCESS_MODULES) | ((x["mod"] == "") & x["cp"])
     tree_eval = F.exists(c, lambda x: F.lower(x["func"]) == "eval")
-    tree_os = F.exists(c, lambda x: proc_mod(x) & F.lower(x["func"]).isin(OS_FUNCS))
-    tree_proc = F.exists(c, lambda x: proc_mod(x) & F.lower(x["func"]).isin(PROC_FUNCS))
+    tree_os = F.exists(c, lambda x: proc_mod(x) & F.lower(x["func"]).isin(os_funcs))
+    tree_proc = F.exists(c, lambda x: proc_mod(x) & F.lower(x["func"]).isin(proc_funcs))
     direct_os = low.rlike(DIRECT_REQUIRE_OS)
     direct_proc = low.rlike(DIRECT_REQUIRE_PROC)
     light_eval = low.rlike(EVAL_CALL) | low.rlike(VM_RUN)
@@ -201,10 +238,14 @@ def _js_stages(text_col: str, size_col: str | None, max_file_bytes: int, max_tok
 
 def js_features(df: DataFrame, text_col: str = "text", size_col: str | None = "size",
                 max_file_bytes: int = DEFAULT_MAX_FILE_BYTES,
-                max_tokens: int = LX.DEFAULT_MAX_TOKENS, lenient: bool = False) -> DataFrame:
+                max_tokens: int = LX.DEFAULT_MAX_TOKENS, lenient: bool = False,
+                extended: bool = False) -> DataFrame:
     """Add imports, calls, has_eval_exec, calls_os, calls_proc, url_count,
-    b64_count and ``light`` (true when the file took the light path)."""
-    stages, drop = _js_stages(text_col, size_col, max_file_bytes, max_tokens, lenient)
+    b64_count and ``light`` (true when the file took the light path).
+
+    ``lenient`` adds the reference's parse-failure regexes (G24);
+    ``extended`` the Q12 extensions (off by default, as in the reference)."""
+    stages, drop = _js_stages(text_col, size_col, max_file_bytes, max_tokens, lenient, extended)
     return apply_stages(df, stages, drop)
 
 

@@ -121,6 +121,24 @@ def stratified_split(df: DataFrame, key: Column | None = None, label_col: str =
     return ranked.withColumn("split", split).select(*df.columns, "split")
 
 
+def group_split(df: DataFrame, group_col: str = "package", label_col: str = "label",
+                val_size: float = 0.10, test_size: float = 0.10, seed: int = 42,
+                n_buckets: int = DEFAULT_BUCKETS, materialize: bool = True) -> DataFrame:
+    """Q19 option: a leakage-free split.  Whole groups (e.g. all versions of a
+    package) go to one split; the exact stratified rule runs over groups,
+    with a group's label the max of its rows' labels (package label, D3).
+    Sizes are exact in groups, not rows."""
+    if materialize:
+        from pkgsift.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    groups = df.groupBy(group_col).agg(F.max(label_col).alias("_glabel"))
+    g_split = stratified_split(groups, key=F.col(group_col).cast("string"), label_col="_glabel",
+                               val_size=val_size, test_size=test_size, seed=seed,
+                               n_buckets=n_buckets, materialize=False)
+    return df.join(g_split.select(group_col, "split"), group_col).select(*df.columns, "split")
+
+
 def merge_registries(**frames: DataFrame) -> DataFrame:
     """union of per-registry (textual_description, label, ...) frames + ``ecosystem``."""
     out = None

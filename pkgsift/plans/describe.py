@@ -39,7 +39,7 @@ NO_RUBY = "no ruby file"
 def npm_file_features(files: DataFrame, k: int = FL.DEFAULT_TOP_K, include_tests: bool = False,
                       max_file_bytes: int = JS.DEFAULT_MAX_FILE_BYTES,
                       max_tokens: int = DEFAULT_MAX_TOKENS,
-                      strategy: str = "features_first") -> DataFrame:
+                      strategy: str = "features_first", extended: bool = False) -> DataFrame:
     """Top-K files per version with their features (one row per chosen file).
 
     ``features_first`` (default) extracts features for every candidate file
@@ -52,13 +52,15 @@ def npm_file_features(files: DataFrame, k: int = FL.DEFAULT_TOP_K, include_tests
     if strategy == "rank_first":
         chosen = FL.with_content(FL.topk_files(files, k, include_tests), files)
         return JS.js_features(chosen.withColumn("text", EV.decode_text(F.col("content"))),
-                              "text", "size", max_file_bytes, max_tokens).drop("content", "text")
+                              "text", "size", max_file_bytes, max_tokens,
+                              extended=extended).drop("content", "text")
     if strategy != "features_first":
         raise ValueError("strategy must be 'features_first' or 'rank_first'")
     cands = FL.js_candidates(files.select("package", "version", "rel_path", "size", "content"),
                              include_tests)
     feats = JS.js_features(cands.withColumn("text", EV.decode_text(F.col("content"))),
-                           "text", "size", max_file_bytes, max_tokens).drop("content", "text", "calls")
+                           "text", "size", max_file_bytes, max_tokens,
+                           extended=extended).drop("content", "text", "calls")
     return FL.topk_files(feats, k, include_tests=True, keep_columns=True)
 
 

@@ -174,3 +174,15 @@ def test_js_child_process_in_call_text(spark):
     # only in a comment or a plain string: no call, no flag
     f = _js(spark, "// require('child_process').exec('x')\nvar s = \"require('child_process').exec(\";")
     assert not f["calls_os"]
+
+
+def test_js_extended_mode_is_opt_in(spark):
+    src = ("import d, {execFile as ef, x} from 'node:child_process';\n"
+           "require('got'); import('axios');\n"
+           "const cp = require('node:child_process'); cp.spawnSync('a'); ef('b');\n")
+    plain = _js(spark, src)
+    ext = _js(spark, src, extended=True)
+    assert plain["imports"] == ["node:child_process"] and not plain["calls_os"] and not plain["calls_proc"]
+    assert ext["imports"] == ["axios", "child_process", "got"]
+    assert ext["calls_os"] and ext["calls_proc"]
+    assert ("child_process", "execFile") in [(c["mod"], c["func"]) for c in ext["calls"]]

@@ -107,3 +107,13 @@ def test_csv_sink_quoting(spark, tmp_path):
     import glob
     with open(glob.glob(str(tmp_path / "o" / "*.csv"))[0], newline="", encoding="utf-8") as fh:
         assert list(csv.reader(fh)) == [["textual_description", "label"], ['say "hi", ok', "1"], ["line\nbreak", "0"]]
+
+
+def test_group_split_keeps_groups_whole(spark):
+    data = spark.createDataFrame([(f"p{i % 40}", f"{i}", 1 if i % 40 < 12 else 0) for i in range(200)],
+                                 "package string, version string, label int")
+    s = SP.group_split(data, "package", materialize=False)
+    per_pkg = s.groupBy("package").agg(F.countDistinct("split").alias("n"))
+    assert per_pkg.where("n > 1").count() == 0 and s.count() == 200
+    groups = dict(rows(s.select("package", "split").distinct().groupBy("split").count()))
+    assert (groups["train"], groups["validation"], groups["test"]) == _sizes(40)
