@@ -100,7 +100,7 @@ def build_labels(info: DataFrame, policy: str = "drop", numeric_labels: bool = F
     packages = package_labels(versions)
     unrev = unreviewed_versions(rows, numeric_labels)
     if policy != "separate":
-        unrev = unrev.limit(0)
+        unrev = unrev.where(F.lit(False))
     return LabelTables(versions, packages, unrev, tag_counts(rows), label_report(versions, packages))
 
 

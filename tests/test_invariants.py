@@ -49,3 +49,26 @@ def test_sentence_grammar(spark):
     df = C.queries()["merged_dataset"](spark, SF)
     bad = df.where(~F.col("textual_description").rlike(r"^start entry [^/]+/\S+, .+, end of entry$"))
     assert bad.count() == 0
+
+
+def test_skewed_version_topk_and_split(spark):
+    """One version holds a third of all files / one class a third of all rows."""
+    from pkgsift.operators import files as FL
+    from pkgsift.operators import split as SP
+    hot = [("hot", "1", f"lib/f{i:05d}.js", i) for i in range(3000)]
+    cold = [(f"p{j}", "1", f"src/f{i}.js", i) for j in range(600) for i in range(10)]
+    df = spark.createDataFrame(hot + cold, "package string, version string, rel_path string, size long")
+    top = FL.topk_files(df.repartition(16))
+    assert top.where("package = 'hot'").count() == 20
+    assert [r[0] for r in top.where("package = 'hot'").orderBy("rank").select("rel_path").limit(2).collect()] == [
+        "lib/f02999.js", "lib/f02998.js"]
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    labelled = df.withColumn("label", (F.col("package") == "hot").cast("int"))
+    s = SP.stratified_split(labelled, materialize=False, n_buckets=64)
+    sizes = dict(rows(s.groupBy("split").count()))
+    import math
+    n_test = math.ceil(0.1 * 9000)
+    n_val = math.ceil(0.1 / (1 - 0.1) * (9000 - n_test))   # 901 in doubles, as scikit-learn computes
+    assert (sizes["test"], sizes["validation"], sizes["train"]) == (n_test, n_val, 9000 - n_test - n_val)
+    assert dict(rows(s.where("split = 'test'").groupBy("label").count())) == {1: 300, 0: 600}
