@@ -64,12 +64,15 @@ PYTHON_KEYWORDS = ["and", "as", "assert", "async", "await", "del", "elif", "else
 JS_KEYWORDS = ["if", "for", "while", "switch", "catch", "function", "return", "typeof",
                "import", "super", "with", "await", "void", "in", "of", "instanceof", "do",
                "else", "case", "throw", "yield", "delete", "new"]
-DEFAULT_MAX_TOKENS = 500_000
 # ---------------------------------------------------------------------------
+# Whole texts by default: 0 means no cap.  A positive value keeps only the
+# first ``max_tokens`` tokens, an opt-in stand-in for the reference's parse
+# budget (tokens are not tree nodes, so it is never an exact match).
+DEFAULT_MAX_TOKENS = 0
 
 
 def tokens(text: Column, pattern: str, max_tokens: int = DEFAULT_MAX_TOKENS) -> Column:
-    """Ordered token stream, capped at ``max_tokens``."""
+    """Ordered token stream of the whole text; ``max_tokens`` > 0 caps it (G27, opt-in)."""
     toks = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return F.slice(toks, 1, max_tokens) if max_tokens and max_tokens > 0 else toks
 

@@ -16,8 +16,10 @@ choices (Q5: shortest name, then name):
 
 Fallbacks only see the anti-join remainder, and every theta condition
 (ends with, starts with, contains) becomes an equi-join on exploded
-suffixes, prefixes or substrings of the directory names, so no pair
-enumeration happens inside a package, however many versions it has.
+suffixes, prefixes or substrings of the directory names.  Each key keeps its
+best directory before the join, so every remaining row meets exactly one
+candidate per kind: no pair enumeration inside a package, however many
+versions or directories it has.
 """
 
 from __future__ import annotations
@@ -39,11 +41,16 @@ def directory_table(listing: DataFrame, materialize: bool = True) -> DataFrame:
     d = (listing.where(F.size(parts) >= 2)
          .select(parts[0].alias("top"), F.when(F.size(parts) >= 3, parts[1]).alias("second"))
          .distinct())
-    if materialize:
-        from pkgsift.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(d.sparkSession)
-        d = d.checkpoint(eager=True)
-    return d
+    return _materialize(d) if materialize else d
+
+
+def _materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a narrow table that several branches read: it is
+    written once to ``spark.checkpoint.dir`` (a shared folder on a cluster),
+    so the branches scan it instead of recomputing its plan."""
+    from pkgsift.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def _affixes(name: Column, kind: str) -> Column:
@@ -70,16 +77,22 @@ def _best(cands: DataFrame, keys, order, payload) -> DataFrame:
 
 def resolve_package_dirs(packages: DataFrame, tops: DataFrame, ecosystem: str) -> DataFrame:
     """(package) → (package, pkg_dir): exact name first, else the fallback
-    with the shortest, then smallest, name."""
-    exact = (packages.join(tops.select(F.col("top").alias("package")), "package")
-             .select("package", F.lit(0).alias("_p"), F.col("package").alias("pkg_dir")))
+    with the shortest, then smallest, name.
+
+    The fallback keeps one directory per affix key *before* the join (a hash
+    aggregate with a map-side partial step), so a common key such as ``utils``
+    sends one row per mapper, and every remaining package meets one candidate.
+    """
+    exact = (packages.join(tops.select(F.col("top").alias("package")), "package", "left_semi")
+             .select("package", F.col("package").alias("pkg_dir")))
+    rest = packages.join(exact.select("package"), "package", "left_anti")
     kind = "prefix" if ecosystem == "pypi" else "suffix"
     key = F.col("package") if ecosystem == "pypi" else F.element_at(F.split(F.col("package"), "/"), -1)
-    fb = (tops.select(F.col("top").alias("pkg_dir"), F.explode(F.array_distinct(_affixes(F.col("top"), kind))).alias("_k"))
-          .join(packages.select("package", key.alias("_k")), "_k")
-          .select("package", F.lit(1).alias("_p"), "pkg_dir"))
-    cands = exact.unionByName(fb).withColumn("_len", F.length("pkg_dir"))
-    return _best(cands, ["package"], ["_p", "_len", "pkg_dir"], ["pkg_dir"])
+    affixes = tops.select(F.col("top").alias("pkg_dir"), F.length("top").alias("_len"),
+                          F.explode(F.array_distinct(_affixes(F.col("top"), kind))).alias("_k"))
+    best_by_key = _best(affixes, ["_k"], ["_len", "pkg_dir"], ["pkg_dir"])
+    fb = rest.select("package", key.alias("_k")).join(best_by_key, "_k").select("package", "pkg_dir")
+    return exact.unionByName(fb)
 
 
 def resolve_roots(labels: DataFrame, listing: DataFrame, ecosystem: str = "npm",
@@ -96,15 +109,21 @@ def resolve_roots(labels: DataFrame, listing: DataFrame, ecosystem: str = "npm",
     keys = labels.select("package", "version").distinct()
     pkg = resolve_package_dirs(keys.select("package").distinct(), tops, ecosystem)
     lab = keys.join(pkg, "package", "left")
+    # one row per label key; the exact, contains and pkg@ver branches all read it
+    if materialize:
+        lab = _materialize(lab)
 
     exact = (lab.join(dirs, (F.col("pkg_dir") == F.col("top")) & (F.col("version") == F.col("second")))
              .select("package", "version", F.lit(0).alias("_p"), "top", "second"))
     # only rows without an exact directory need the fallbacks
     rest = lab.join(exact.select("package", "version"), ["package", "version"], "left_anti")
     # Version directories of those packages, by every substring of their name
+    # keyed by (directory, substring) and reduced to the shortest, then smallest,
+    # name before the join: one candidate per remaining row, never all pairs
     sub = (dirs.join(rest.select(F.col("pkg_dir").alias("top")).distinct(), "top", "left_semi")
-           .select("top", "second", F.explode(F.array_distinct(_affixes(F.col("second"), "substring")))
-                   .alias("_sub")))
+           .select("top", "second", F.length("second").alias("_len"),
+                   F.explode(F.array_distinct(_affixes(F.col("second"), "substring"))).alias("_sub")))
+    sub = _best(sub, ["top", "_sub"], ["_len", "second"], ["second"])
     contains = (rest.join(sub, (F.col("pkg_dir") == F.col("top")) & (F.col("version") == F.col("_sub")))
                 .select("package", "version", F.lit(1).alias("_p"), "top", "second"))
     # C4: {pkg}@{ver} at the top level

@@ -13,7 +13,10 @@ from pyspark.sql import SparkSession
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "pkgsift") -> SparkSession:
-    """A local session configured like the cluster profile, scaled down."""
+    """A local session configured like the cluster profile, scaled down.
+
+    The checkpoint folder is left to ``spark.checkpoint.dir``; a scratch
+    folder is made only when that is unset (tests, local runs)."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -26,7 +29,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pkgsift-ckpt-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
