@@ -66,6 +66,14 @@ def _affixes(name: Column, kind: str) -> Column:
                                    lambda j: F.substring(name, i, j - i + 1))))
 
 
+def _substrings_of_lengths(name: Column, lens: Column) -> Column:
+    """Every substring of ``name`` whose length is in ``lens`` (exact)."""
+    n = F.length(name)
+    fits = F.filter(lens, lambda ln: (ln >= 1) & (ln <= n))
+    return F.flatten(F.transform(fits, lambda ln: F.transform(
+        F.sequence(F.lit(1), n - ln + 1), lambda i: F.substring(name, i, ln))))
+
+
 def _best(cands: DataFrame, keys, order, payload) -> DataFrame:
     """Per key, the candidate with the smallest ``order`` tuple (one hash aggregate)."""
     fields = ([F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
@@ -120,9 +128,16 @@ def resolve_roots(labels: DataFrame, listing: DataFrame, ecosystem: str = "npm",
     # Version directories of those packages, by every substring of their name
     # keyed by (directory, substring) and reduced to the shortest, then smallest,
     # name before the join: one candidate per remaining row, never all pairs
-    sub = (dirs.join(rest.select(F.col("pkg_dir").alias("top")).distinct(), "top", "left_semi")
+    # Only substrings as long as one of the package's remaining versions can
+    # equal one: (distinct version lengths per package) × positions, not all
+    # O(L²) substrings.  The length set is bounded by the longest name.
+    lens = (rest.where(F.col("pkg_dir").isNotNull())
+            .groupBy(F.col("pkg_dir").alias("top"))
+            .agg(F.collect_set(F.length("version")).alias("_lens")))
+    sub = (dirs.join(lens, "top")
            .select("top", "second", F.length("second").alias("_len"),
-                   F.explode(F.array_distinct(_affixes(F.col("second"), "substring"))).alias("_sub")))
+                   F.explode(F.array_distinct(_substrings_of_lengths(F.col("second"), F.col("_lens"))))
+                   .alias("_sub")))
     sub = _best(sub, ["top", "_sub"], ["_len", "second"], ["second"])
     contains = (rest.join(sub, (F.col("pkg_dir") == F.col("top")) & (F.col("version") == F.col("_sub")))
                 .select("package", "version", F.lit(1).alias("_p"), "top", "second"))

@@ -106,3 +106,63 @@ def test_python_and_ruby_fixed_sentences(spark):
                    ("start entry x/9, no source found, end of entry",)]
     rb = D.ruby_descriptions(spark.createDataFrame([("g", "1", 1)], "package string, version string, label int"), files)
     assert rows(rb, "textual_description") == [("start entry g/1, no ruby file, end of entry",)]
+
+
+def _brute_roots(listing, labels, ecosystem):
+    """Per-row Python restatement of C1-C4 with the deterministic 'first'."""
+    parts = [p.split("/") for p in listing]
+    tops = {p[0] for p in parts if len(p) >= 2}
+    dirs = {(p[0], p[1]) for p in parts if len(p) >= 3}
+    out = []
+    for pkg, ver in labels:
+        if pkg in tops:
+            pdir = pkg
+        else:
+            key = pkg if ecosystem == "pypi" else pkg.split("/")[-1]
+            ok = [t for t in tops if (t.startswith(key) if ecosystem == "pypi" else t.endswith(key))]
+            pdir = min(ok, key=lambda t: (len(t), t)) if ok else None
+        if pdir is not None and (pdir, ver) in dirs:
+            out.append((pkg, ver, pdir, ver))
+            continue
+        hits = [s for t, s in dirs if t == pdir and ver in s]
+        if hits:
+            out.append((pkg, ver, pdir, min(hits, key=lambda s: (len(s), s))))
+        elif f"{pkg}@{ver}" in tops:
+            out.append((pkg, ver, f"{pkg}@{ver}", None))
+        else:
+            out.append((pkg, ver, None, None))
+    return sorted(out, key=repr)
+
+
+def test_resolve_roots_hot_package_matches_brute_force(spark):
+    """One package holds most directories, and short versions occur in many of
+    them: every label row still gets the one root the per-row rule picks."""
+    import random
+    rnd = random.Random(7)
+    listing, labels = [], []
+    for i in range(400):  # the hot package: many release directories
+        listing.append(f"hot/r{rnd.randint(0, 60)}.{rnd.randint(0, 9)}-{rnd.choice('abc')}/f.js")
+    for v in ["1", "2", "3.1", "9", "0.1", "12", "r1", "x"]:
+        labels.append(("hot", v))
+    for j in range(30):  # small packages with exact, contains, @ and missing layouts
+        pkg, ver = f"p{j}", f"{j % 4}.{j % 3}"
+        layout = j % 4
+        if layout == 0:
+            listing.append(f"{pkg}/{ver}/i.js")
+        elif layout == 1:
+            listing.append(f"{pkg}/v{ver}-final/i.js")
+            listing.append(f"{pkg}/release-{ver}/i.js")
+        elif layout == 2:
+            listing.append(f"{pkg}@{ver}/i.js")
+        labels.append((pkg, ver))
+        labels.append((pkg, "7.7"))
+    for scoped in ["@s/utils", "@t/utils"]:  # two packages sharing one suffix key
+        labels.append((scoped, "1.0"))
+    listing += ["x-utils/1.0/a.js", "utils/1.0/a.js", "my-utils/1.0/b.js"]
+    listing = sorted(set(listing))
+    ldf = spark.createDataFrame([(p,) for p in listing], "path string").repartition(5)
+    lab = spark.createDataFrame(labels, "package string, version string")
+    got = sorted(rows(RT.resolve_roots(lab, ldf, "npm", materialize=True)), key=repr)
+    assert got == _brute_roots(listing, labels, "npm")
+    # one output row per label row: the fallbacks never fan out
+    assert len(got) == len(labels)
