@@ -132,6 +132,63 @@ def label_report(spark, sf_dir):
                           policy="drop").report
 
 
+# ---------------------------------------------------------------------------
+# Step 1b: labels from two directory roots (A6, B6, F1) on a derived Ruby tree
+# ---------------------------------------------------------------------------
+
+def _ruby_root_listings(spark, sf_dir):
+    """RubyGems files under a malicious root (document labelled toxic) or a
+    benign root (all others), as ``pkg/ver/...`` paths relative to the root.
+    The path stem sets the layout: ``tests/`` files sit in a ``{pkg}.src``
+    inner root, ``dist/`` files become ``{pkg}.gemspec``."""
+    f = (FX.code_files(spark, sf_dir).where(F.col("ecosystem") == "rubygems")
+         .select("doc_id", "package", "version", "path")
+         .join(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"), "doc_id", "left"))
+    path = F.col("path")
+    inner = (F.when(path.startswith("tests/"), F.concat(F.col("package"), F.lit(".src/"), path))
+             .when(path.startswith("dist/"), F.concat(F.col("package"), F.lit(".gemspec")))
+             .otherwise(path))
+    rel = F.concat_ws("/", "package", "version", inner).alias("rel_path")
+    mal = F.coalesce(F.col("toxic"), F.lit(0)) == 1
+    return f.where(mal).select(rel), f.where(~mal).select(rel)
+
+
+def _ruby_dir_sql(flag: str) -> str:
+    return f"""WITH {FX.CODE_FILES_SQL},
+rb AS (SELECT f.package, f.version, f.path, CASE WHEN coalesce(l.toxic, 0) = 1 THEN 1 ELSE 0 END AS label
+       FROM code_files f LEFT JOIN labels l ON f.doc_id = l.doc_id WHERE f.ecosystem = 'rubygems'),
+listing AS (
+  SELECT label, package || '/' || version || '/' ||
+         CASE WHEN starts_with(path, 'tests/') THEN package || '.src/' || path
+              WHEN starts_with(path, 'dist/') THEN package || '.gemspec' ELSE path END AS rel_path
+  FROM rb),
+parts AS (SELECT label, string_split(rel_path, '/') AS p FROM listing),
+files AS (SELECT label, p[1] AS package, p[2] AS version, p[3:] AS below FROM parts WHERE len(p) >= 3),
+src_dirs AS (SELECT label, package, version, min(below[1]) AS src_dir FROM files
+             WHERE len(below) >= 2 AND ends_with(below[1], '.src') GROUP BY label, package, version),
+scoped AS (SELECT f.label, f.package, f.version, f.below FROM files f
+           LEFT JOIN src_dirs s ON f.label = s.label AND f.package = s.package AND f.version = s.version
+           WHERE s.src_dir IS NULL OR f.below[1] = s.src_dir),
+flags AS (SELECT label, package, version, bool_or(ends_with(below[len(below)], '.gemspec')) AS has_gemspec,
+                 bool_or(ends_with(below[len(below)], '.rb')) AS has_ruby
+          FROM scoped GROUP BY label, package, version)
+SELECT DISTINCT package, version, CAST(label AS INTEGER) AS label FROM flags WHERE {flag}"""
+
+
+@register("ruby_dir_labels", _ruby_dir_sql("has_ruby"))
+def ruby_dir_labels(spark, sf_dir):
+    """A6 + B6 + F1: versions holding Ruby files under the two roots → (package, version, label)."""
+    mal, ben = _ruby_root_listings(spark, sf_dir)
+    return L.ruby_version_labels(mal, ben, require_ruby=True)
+
+
+@register("ruby_gemspec_labels", _ruby_dir_sql("has_gemspec"))
+def ruby_gemspec_labels(spark, sf_dir):
+    """A6 + B6 + F1 with the gemspec requirement (inside the ``*.src`` root when there is one)."""
+    mal, ben = _ruby_root_listings(spark, sf_dir)
+    return L.ruby_version_labels(mal, ben, require_gemspec=True)
+
+
 # ---------------------------------------------------------------------------
 # Step 2: evidence scalars and phrases
 # ---------------------------------------------------------------------------
