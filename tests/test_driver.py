@@ -43,3 +43,13 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(dcols, res.fetchall())
+
+
+_PAIR_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - {"detector_scores"}))
+def test_query_plan_has_no_pair_joins(spark, name):
+    """No registered query enumerates pairs: every join is an equi-join."""
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in _PAIR_NODES), name
