@@ -17,6 +17,7 @@ from pkgsift.functions import tags as T
 from pkgsift.operators import labels as L
 from pkgsift.sources import fixtures as FX
 from pkgsift.sources.review_csv import resolve_review_columns
+from pkgsift.sources.scan import spread_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -229,7 +230,7 @@ SELECT page_id,
 FROM pages""")
 def page_url_flags(spark, sf_dir):
     """URL evidence on web pages: the URL column and the raw HTML."""
-    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    p = spread_small(spark.read.parquet(f"{sf_dir}/pages.parquet"), "page_id")
     return p.select("page_id", F.col("url").rlike(EV.URL_PATTERN).alias("url_evidence"),
                     EV.url_count(F.col("html")).alias("html_url_count"),
                     EV.b64_count(F.col("html")).alias("html_b64_count"))
@@ -776,7 +777,8 @@ from pkgsift.sources.review_csv import to_text_label  # noqa: E402
 
 
 def _doc_labels(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    docs = spread_small(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"),
+                        "doc_id")
     lab = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return docs.join(lab, "doc_id")
 

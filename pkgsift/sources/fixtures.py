@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pkgsift.functions.colcache import cached_columns
+from pkgsift.sources.scan import spread_small
 
 # ---------------------------------------------------------------------------
 # Snippets per ecosystem, indexed by doc_id % 5 (FIXTURES.md §3).
@@ -63,7 +64,8 @@ def _group() -> Column:
 
 def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source file per document (see module doc)."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread_small(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"),
+                        "doc_id")
     return docs.select(*_code_file_cols())
 
 

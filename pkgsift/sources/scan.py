@@ -1,0 +1,46 @@
+"""Reading input tables for CPU-heavy stages.
+
+A Parquet scan runs one task per file split, and a split reads only the row
+groups whose midpoint it holds.  A table written as one large row group is
+therefore read by a single task, and so is every expression evaluated on it
+(lexers, regex counts), however many cores the cluster has.  The driver's
+tables are such files: ``documents`` at sf0.1 is 25 MB in one row group.
+
+``spread_small`` hash-partitions such an input on its key over the session's
+default parallelism, so the expressions after it run on every core.  The
+repartition shuffles the rows, bodies included, so it is applied only when
+the optimizer's size estimate is at most ``SPREAD_MAX_BYTES``.  There one
+shuffle is cheap and a single core is the bottleneck.  A larger table is read
+as it is: it arrives in many splits, and shuffling its bodies is what the
+describe plans avoid.  Hash partitioning on a key (not round-robin) keeps a
+retried task's input the same after an executor loss.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+SPREAD_MAX_BYTES = 4 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (the figure Spark's own
+    broadcast decision uses); None when it is not available."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
+    except Exception:  # a remote (Connect) session exposes no plan statistics
+        return None
+
+
+def spread_small(df: DataFrame, *keys: str, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    """``df`` hash-partitioned on ``keys`` over the default parallelism when it
+    is estimated at most ``max_bytes``; otherwise ``df`` unchanged."""
+    size = estimated_bytes(df)
+    if size is None or size > max_bytes:
+        return df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:
+        return df
+    return df.repartition(n, *keys) if keys else df.repartition(n)

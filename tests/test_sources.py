@@ -99,3 +99,22 @@ def test_expand_archives_at_matches_two_step(spark, tmp_path):
     one = sorted(rows(A.expand_archives_at(spark, str(root)), "path", "member", "error"))
     two = sorted(rows(A.expand_archives(TR.archives(spark, str(root))), "path", "member", "error"))
     assert [r[:2] for r in one] == [r[:2] for r in two] and len(one) == 4
+
+
+def test_spread_small_only_below_the_size_gate(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from pkgsift.sources.scan import estimated_bytes, spread_small
+    spark.range(0, 2000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 50).alias("text")) \
+        .coalesce(1).write.parquet(str(tmp_path / "one"))
+    df = spark.read.parquet(str(tmp_path / "one"))
+    size = estimated_bytes(df)
+    assert size is not None and size > 0
+    n = spark.sparkContext.defaultParallelism
+    spread = spread_small(df, "doc_id")
+    used = spread.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used == min(n, 2000) or n == 1
+    assert sorted(r.doc_id for r in spread.select("doc_id").collect()) == list(range(2000))
+    # above the gate the scan is left alone: no shuffle is added
+    kept = spread_small(df, "doc_id", max_bytes=size - 1)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
