@@ -39,8 +39,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is left alone.  Only
-    when it is unset (local tests) is a fresh scratch folder created.
+    On a cluster the setting names a shared folder and is left alone; when it
+    is unset there, this raises.  Only in local mode (tests) is a fresh
+    scratch folder created for an unset setting.
     """
     try:
         sc = spark.sparkContext
@@ -48,6 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", "")
     if not current:
+        if not sc.master.startswith("local"):
+            # executors on other machines could not read a driver-local folder
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="pkgsift-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
