@@ -11,6 +11,26 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (100 TB of source files), to pass to the
+# builder or spark-submit.  ``spark.checkpoint.dir`` must name a shared folder.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # shuffles carry narrow rows (keys, features); AQE merges small partitions
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # lexing is CPU-bound: smaller splits give more, shorter tasks
+    "spark.sql.files.maxPartitionBytes": "64m",
+    # file bodies reach 2 MB: fewer rows per columnar batch bound its memory
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+    # the planner broadcasts only sides it has sized below this
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "pkgsift") -> SparkSession:
     """A local session configured like the cluster profile, scaled down.

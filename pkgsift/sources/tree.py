@@ -190,11 +190,20 @@ def keyed_files(tree: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, root: str, ecosystem: str, out_path: str,
-           mode: str = "append") -> None:
+           mode: str = "append", row_group_bytes: int = 32 << 20,
+           max_records_per_file: int = 100_000) -> None:
     """Write one registry's tree to the ``source_files`` Parquet table,
-    partitioned by ecosystem: (ecosystem, path, size, content)."""
+    partitioned by ecosystem: (ecosystem, path, size, content).
+
+    A split reads whole row groups, and lexing costs far more per byte than
+    reading, so row groups are kept small (``row_group_bytes``): later scans
+    split the table into many CPU-sized tasks.  ``max_records_per_file``
+    bounds each output file."""
     (read_tree(spark, root).withColumn("ecosystem", F.lit(ecosystem))
-     .write.mode(mode).partitionBy("ecosystem").parquet(out_path))
+     .write.mode(mode).partitionBy("ecosystem")
+     .option("parquet.block.size", str(row_group_bytes))
+     .option("maxRecordsPerFile", str(max_records_per_file))
+     .parquet(out_path))
 
 
 ARCHIVE_GLOB = "*.{" + ",".join(s.lstrip(".") for s in ARCHIVE_SUFFIXES) + "}"
