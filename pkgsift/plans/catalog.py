@@ -773,7 +773,7 @@ def split_counts(spark, sf_dir):
 # ---------------------------------------------------------------------------
 from pkgsift.functions import prompts as PR  # noqa: E402
 from pkgsift.operators.metrics import detection_metrics as _metrics  # noqa: E402
-from pkgsift.sources.review_csv import to_text_label  # noqa: E402
+from pkgsift.sources.review_csv import detect_columns, label_digit  # noqa: E402
 
 
 def _doc_labels(spark, sf_dir):
@@ -792,13 +792,10 @@ WHERE regexp_extract(CAST(l.toxic AS VARCHAR), '([01])', 1) <> '' AND d.text IS
 def prompts(spark, sf_dir):
     """A5 + B8 + G12: labelled documents → training prompts (label appended)."""
     df = _doc_labels(spark, sf_dir).select("doc_id", "text", F.col("toxic").alias("label"))
-    tl = to_text_label(df.select("text", "label", "doc_id"))
-    # to_text_label keeps only (text, label); re-attach the id through the same rule
-    keyed = df.select("doc_id", F.col("text").alias("t"), F.col("label").alias("l"))
-    keyed = keyed.select("doc_id", "t", F.nullif(F.regexp_extract(F.col("l").cast("string"), "([01])", 1),
-                                                 F.lit("")).alias("label")).where("label IS NOT NULL AND t IS NOT NULL")
-    del tl
-    return keyed.select("doc_id", PR.build_prompt(F.col("t"), F.col("label")).alias("text"), "label")
+    tcol, lcol = detect_columns(df.columns)  # A5: found by name, as in a training CSV
+    rows = (df.select("doc_id", F.col(tcol).alias("t"), label_digit(F.col(lcol)).alias("label"))
+            .where(F.col("label").isNotNull() & F.col("t").isNotNull()))
+    return rows.select("doc_id", PR.build_prompt(F.col("t"), F.col("label")).alias("text"), "label")
 
 
 @register("first_digit", f"""
