@@ -719,10 +719,6 @@ def merged_frame(spark, sf_dir):
         "ecosystem", "package", "version", "textual_description", "label")
 
 
-def _strip_with(sql: str) -> str:
-    return sql
-
-
 _MERGED_SQL = "merged AS (\n" + "\nUNION ALL\n".join(
     f"SELECT '{eco}' AS ecosystem, package, version, textual_description, label FROM ({_ORACLES[name]})"
     for eco, name in (("npm", "npm_sentences"), ("pypi", "python_sentences"),
