@@ -54,16 +54,14 @@ def _materialize(df: DataFrame) -> DataFrame:
 
 
 def _affixes(name: Column, kind: str) -> Column:
-    """All suffixes / prefixes / substrings of ``name`` (exact, no cap)."""
+    """All suffixes or prefixes of ``name`` (exact, no cap)."""
     n = F.length(name)
     rng = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
     if kind == "suffix":
         return F.transform(rng, lambda i: F.substring(name, i, n))
     if kind == "prefix":
         return F.transform(rng, lambda i: F.substring(name, 1, i))
-    return F.flatten(F.transform(
-        rng, lambda i: F.transform(F.sequence(i, F.greatest(n, i)),
-                                   lambda j: F.substring(name, i, j - i + 1))))
+    raise ValueError("kind must be 'suffix' or 'prefix'")
 
 
 def _substrings_of_lengths(name: Column, lens: Column) -> Column:
