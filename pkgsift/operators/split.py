@@ -156,10 +156,7 @@ def write_splits(split_df: DataFrame, out_dir: str, fmt: str = "parquet",
                  columns=("textual_description", "label")) -> None:
     """One folder per split.  CSV uses RFC-4180 quoting (doubled quotes),
     as pandas writes; an empty frame still writes header-only output."""
+    from pkgsift.sources.sinks import write_table
     for name in SPLITS:
-        part = split_df.where(F.col("split") == name).select(*columns)
-        w = part.write.mode("overwrite")
-        if fmt == "csv":
-            w.option("header", True).option("quote", '"').option("escape", '"').csv(f"{out_dir}/{name}")
-        else:
-            w.parquet(f"{out_dir}/{name}")
+        write_table(split_df.where(F.col("split") == name).select(*columns), f"{out_dir}/{name}",
+                    fmt="csv" if fmt == "csv" else "parquet")

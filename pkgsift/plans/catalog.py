@@ -764,6 +764,19 @@ def split_counts(spark, sf_dir):
     return SP.split_counts(stratified_split(spark, sf_dir))
 
 
+@register("split_csv_roundtrip", f"""WITH s AS ({_split_sql()})
+SELECT textual_description AS text, CAST(label AS VARCHAR) AS label, split FROM s""")
+def split_csv_roundtrip(spark, sf_dir):
+    """S1 → A4 + A5 + B8: the split written as pandas-style CSVs (one folder per
+    split, in the shared checkpoint folder) and read back as training input."""
+    from pkgsift.sources.review_csv import load_split_csv
+    from pkgsift.sources.sinks import scratch_folder
+    out = scratch_folder(spark, "split-csv")
+    SP.write_splits(stratified_split(spark, sf_dir), out, fmt="csv")
+    parts = [load_split_csv(spark, f"{out}/{name}").withColumn("split", F.lit(name)) for name in SP.SPLITS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ---------------------------------------------------------------------------
 # Step 8: prompts, completion parsing, metrics
 # ---------------------------------------------------------------------------

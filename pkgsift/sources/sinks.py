@@ -18,14 +18,24 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", single_file: boo
     out = df.coalesce(1) if single_file else df
     w = out.write.mode(mode)
     if fmt == "csv":
+        # pandas keeps blanks at the ends of a field; Spark's writer trims them by default
         (w.option("header", True).option("quote", '"').option("escape", '"')
-         .option("emptyValue", "").csv(path))
+         .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
     elif fmt == "json":
         w.json(path)
     else:
         w.parquet(path)
 
 
+def scratch_folder(spark, name: str) -> str:
+    """A fresh folder under ``spark.checkpoint.dir`` (shared by the cluster)."""
+    import uuid
+
+    from pkgsift.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def sink_order(df: DataFrame) -> DataFrame:
     """``label`` descending (malicious first), then package, version."""
     keys = [F.col("label").desc()] if "label" in df.columns else []

@@ -118,3 +118,14 @@ def test_spread_small_only_below_the_size_gate(spark, tmp_path):
     kept = spread_small(df, "doc_id", max_bytes=size - 1)
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_csv_sink_keeps_blanks_quotes_and_newlines(spark, tmp_path):
+    from pkgsift.sources.review_csv import read_csv_strings
+    from pkgsift.sources.sinks import write_table
+    rows_in = [("  lead", "0"), ("trail  ", "1"), ('say "hi",\nbye', "1"), ("", "0")]
+    write_table(spark.createDataFrame(rows_in, "text string, label string"), str(tmp_path / "t"), fmt="csv")
+    back = {r.label + "|" + (r.text if r.text is not None else "<null>") for r in
+            read_csv_strings(spark, str(tmp_path / "t")).collect()}
+    # an empty field reads back as missing, as pandas reads it
+    assert back == {"0|  lead", "1|trail  ", '1|say "hi",\nbye', "0|<null>"}
