@@ -9,10 +9,13 @@ ordered by ``md5(seed|key)``, then key.
 
 Scale: ranking one class in one task would put a class holding a third of
 all rows into a single task.  Rows are hashed into ``n_buckets`` buckets by
-the md5 prefix; per-(label, bucket) counts give each bucket's offset, and
-``row_number`` runs per (label, bucket), so the sort is spread over
-``classes × n_buckets`` tasks.  The offset table has at most that many rows
-(a fixed bound), so it is broadcast.
+the md5 prefix; per-(label, bucket) counts give each bucket's offset.  Inside
+a bucket, keys are offset by a running count over the bucket's distinct keys,
+and copies of one key by a running count over the input partitions holding
+them, so the only row-level window is per (key, input partition): a class,
+a bucket or a group of identical rows holding a third of all rows is still
+ranked by many tasks.  The bucket offset table has at most classes ×
+``n_buckets`` rows (a fixed bound), so it is broadcast.
 """
 
 from __future__ import annotations
@@ -98,22 +101,44 @@ def stratified_split(df: DataFrame, key: Column | None = None, label_col: str =
         key = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000"))
                                        for c in df.columns])
     hexdigits = max(1, math.ceil(math.log(max(n_buckets, 2), 16)))
+    # Input partition and position, read straight off the checkpointed scan
+    # (stable on a retried task).  Without a checkpoint they are not reused:
+    # every row gets partition 0, as before.
+    pid = F.spark_partition_id() if materialize else F.lit(0)
     rows = (df.withColumn("_key", key)
             .withColumn("_h", _hash(seed, F.col("_key")))
             .withColumn("_b", F.substring("_h", 1, hexdigits))
-            .withColumn("_lab", F.col(label_col)))
-    per_bucket = rows.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_nb"))
+            .withColumn("_lab", F.col(label_col))
+            .withColumn("_pid", pid)
+            .withColumn("_mid", F.monotonically_increasing_id()))
+    seg = ["_lab", "_b", "_h", "_key"]
+    # Rank = rows in earlier buckets of the class + rows with a smaller key in
+    # the bucket + copies of the key in earlier input partitions + ordinal
+    # among the key's copies in this partition.  Copies of one key (which may
+    # be a third of all rows) are ranked per input partition, never in one
+    # task; the offsets come from small count tables.
+    per_kp = rows.groupBy(*seg, "_pid").agg(F.count(F.lit(1)).alias("_nkp"))
+    per_key = per_kp.groupBy(*seg).agg(F.sum("_nkp").alias("_nk"))
+    per_bucket = per_key.groupBy("_lab", "_b").agg(F.sum("_nk").alias("_nb"))
     class_counts = per_bucket.groupBy(F.col("_lab").alias("label")).agg(F.sum("_nb").alias("n_c"))
     quotas = class_quotas(df, label_col, val_size, test_size, counts=class_counts)
+    before = Window.unboundedPreceding
     offsets = per_bucket.withColumn(
         "_off", F.coalesce(F.sum("_nb").over(
-            Window.partitionBy("_lab").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)))
-    w = Window.partitionBy("_lab", "_b").orderBy("_h", "_key")
+            Window.partitionBy("_lab").orderBy("_b").rowsBetween(before, -1)), F.lit(0)))
+    key_off = per_key.withColumn(
+        "_koff", F.coalesce(F.sum("_nk").over(
+            Window.partitionBy("_lab", "_b").orderBy("_h", "_key").rowsBetween(before, -1)), F.lit(0)))
+    kp_off = (per_kp.withColumn("_poff", F.coalesce(F.sum("_nkp").over(
+        Window.partitionBy(*seg).orderBy("_pid").rowsBetween(before, -1)), F.lit(0)))
+        .join(key_off.select(*seg, "_koff"), seg)
+        .select(*seg, "_pid", (F.col("_koff") + F.col("_poff")).alias("_kpoff")))
+    w = Window.partitionBy(*seg, "_pid").orderBy("_mid")
     ranked = (rows.withColumn("_rn", F.row_number().over(w))
+              .join(kp_off, [*seg, "_pid"])
               .join(F.broadcast(offsets.select("_lab", "_b", "_off")), ["_lab", "_b"])
               .join(F.broadcast(quotas.withColumnRenamed("label", "_lab")), "_lab"))
-    r = F.col("_off") + F.col("_rn")
+    r = F.col("_off") + F.col("_kpoff") + F.col("_rn")
     split = (F.when(F.col("_chk").isNotNull(), F.lit(None))
              .when(r <= F.col("n_test_c"), F.lit("test"))
              .when(r <= F.col("n_test_c") + F.col("n_val_c"), F.lit("validation"))

@@ -117,3 +117,28 @@ def test_group_split_keeps_groups_whole(spark):
     assert per_pkg.where("n > 1").count() == 0 and s.count() == 200
     groups = dict(rows(s.select("package", "split").distinct().groupBy("split").count()))
     assert (groups["train"], groups["validation"], groups["test"]) == _sizes(40)
+
+
+def test_split_with_a_hot_group_of_copies(spark):
+    """A third of all rows are identical copies, spread over many input
+    partitions: sizes stay exact, and each copy lands where a single global
+    ranking by (md5(seed|key), key) would put the copies as a block."""
+    import hashlib
+    from collections import Counter
+    data = [(f"row {i}", i % 3 == 0 and 1 or 0) for i in range(600)] + [("same text", 1)] * 300
+    df = spark.createDataFrame(data, "text string, label int").repartition(9)
+    got = Counter((r.text, r.label, r.split) for r in SP.stratified_split(df, seed=7, n_buckets=16).collect())
+    # brute force: rank each class by (md5, key); copies take consecutive ranks
+    expect = Counter()
+    sizes = {r["label"]: (r["n_test_c"], r["n_val_c"]) for r in
+             SP.class_quotas(df).collect()}
+    for lab in (0, 1):
+        cls = [t for t in data if t[1] == lab]
+        keyed = sorted(cls, key=lambda t: (hashlib.md5(f"7|{t[0]}\u0001{t[1]}".encode()).hexdigest(),
+                                           f"{t[0]}\u0001{t[1]}"))
+        n_test, n_val = sizes[lab]
+        for rank, t in enumerate(keyed, start=1):
+            sp = "test" if rank <= n_test else "validation" if rank <= n_test + n_val else "train"
+            expect[(t[0], t[1], sp)] += 1
+    assert got == expect
+    assert sum(got.values()) == len(data)
