@@ -111,7 +111,9 @@ def stratified_split(df: DataFrame, key: Column | None = None, label_col: str =
             .withColumn("_lab", F.col(label_col))
             .withColumn("_pid", pid)
             .withColumn("_mid", F.monotonically_increasing_id()))
-    seg = ["_lab", "_b", "_h", "_key"]
+    # count tables carry the 32-character hash, not the key (which by default
+    # is the whole row): equal hashes mean equal keys, barring an md5 collision
+    seg = ["_lab", "_b", "_h"]
     # Rank = rows in earlier buckets of the class + rows with a smaller key in
     # the bucket + copies of the key in earlier input partitions + ordinal
     # among the key's copies in this partition.  Copies of one key (which may
@@ -128,12 +130,12 @@ def stratified_split(df: DataFrame, key: Column | None = None, label_col: str =
             Window.partitionBy("_lab").orderBy("_b").rowsBetween(before, -1)), F.lit(0)))
     key_off = per_key.withColumn(
         "_koff", F.coalesce(F.sum("_nk").over(
-            Window.partitionBy("_lab", "_b").orderBy("_h", "_key").rowsBetween(before, -1)), F.lit(0)))
+            Window.partitionBy("_lab", "_b").orderBy("_h").rowsBetween(before, -1)), F.lit(0)))
     kp_off = (per_kp.withColumn("_poff", F.coalesce(F.sum("_nkp").over(
         Window.partitionBy(*seg).orderBy("_pid").rowsBetween(before, -1)), F.lit(0)))
         .join(key_off.select(*seg, "_koff"), seg)
         .select(*seg, "_pid", (F.col("_koff") + F.col("_poff")).alias("_kpoff")))
-    w = Window.partitionBy(*seg, "_pid").orderBy("_mid")
+    w = Window.partitionBy(*seg, "_pid").orderBy("_key", "_mid")
     ranked = (rows.withColumn("_rn", F.row_number().over(w))
               .join(kp_off, [*seg, "_pid"])
               .join(F.broadcast(offsets.select("_lab", "_b", "_off")), ["_lab", "_b"])
