@@ -6,7 +6,11 @@ helpers exist for tests, ``bench.py`` and command-line use.
 
 from __future__ import annotations
 
+import hashlib
+import io
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -76,3 +80,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application.
+
+    The zip is written to the shared folder, so an executor that starts later
+    finds it too.
+    """
+    import pyarrow.fs
+
+    sc = spark.sparkContext
+    if getattr(sc, "_pkgsift_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in sorted(os.walk(here)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.writestr(zipfile.ZipInfo(os.path.relpath(full, os.path.dirname(here))), open(full, "rb").read())
+    uri = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pkgsift-{hashlib.sha256(data.getvalue()).hexdigest()[:16]}.zip"
+    if "://" not in uri and not uri.startswith("file:"):
+        fs, path = pyarrow.fs.LocalFileSystem(), uri
+    elif uri.startswith("file:"):
+        fs, path = pyarrow.fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    else:
+        fs, path = pyarrow.fs.FileSystem.from_uri(uri)
+    fs.create_dir(os.path.dirname(path), recursive=True)
+    with fs.open_output_stream(path) as f:
+        f.write(data.getvalue())
+    sc.addPyFile(uri)
+    sc._pkgsift_shipped = True
