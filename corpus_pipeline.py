@@ -1,10 +1,73 @@
-"""Corpus pipeline: five operators applied to ``documents`` one after another."""
+"""Corpus pipeline: five operators of ``pkgsift.llm`` applied to ``documents``.
+
+Quality rules and toxicity drop what they reject, the n-gram join leaves one
+document of each near-duplicate group, mixing repeats documents towards the
+source targets, and BPE encodes and decodes what is left.  Every stage but the
+last returns the columns of ``documents``; each result is written as Parquet to
+the shared folder and read again by the next stage.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pkgsift.llm import bpe, mixing, ngram_join, quality_rules, toxicity
+from pkgsift.llm.common import read, table
+from pkgsift.llm.queries import vocabulary
+from pkgsift.session import ship_package
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rules are learned from the labels of the documents that are still there."""
+    return quality_rules.keep_good(docs, quality_rules.learn(docs, read(spark, sf_dir, "labels")))
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return toxicity.keep_clean(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each component stays, once if its row is
+    repeated; documents without words and rows without an id stay as they are.
+    A doc_id must name one text."""
+    ship_package(spark)
+    found = table(ngram_join.ngram_components(docs, n=5, percent=80), "components")
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = found.where("doc_id = component_id and n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    one = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return bpe.encode_documents(docs, vocabulary(), keep_ids=False)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("toxicity", toxic),
+    ("n-gram Jaccard join", near_duplicates),
+    ("mixing sources to target weights", mixture),
+    ("BPE encoding and decoding", tokens),
+]
+
+#: No SQL: rules and tagger are learned, and texts are tokenized.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``: doc_id, n_tokens, ids_sha256, decoded_sha256
+    of every document of the final mixture, repeats included."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = table(stage(spark, docs, sf_dir), name.split()[0])
+    return STAGES[-1][1](spark, docs, sf_dir)
