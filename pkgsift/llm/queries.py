@@ -135,8 +135,8 @@ _WARC = r"""
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS sha FROM pages),
 r AS (SELECT *, max(page_id) OVER (PARTITION BY sha) AS newest, row_number() OVER (PARTITION BY sha ORDER BY page_id DESC) AS k FROM p)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
-       array_to_string(list_transform(range(8), i -> array_to_string(list_transform([15, 10, 5, 0],
-         s -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((CAST('0x' || substr(sha, CAST(5 * i + 1 AS INT), 5) AS BIGINT) >> s) & 31) + 1 AS INT), 1)), '')), '') AS payload_digest,
+       array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
+         lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((CAST('0x' || substr(sha, CAST(5 * i + 1 AS INT), 5) AS BIGINT) >> s) & 31) + 1 AS INT), 1)), '')), '') AS payload_digest,
        CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN k = 1 THEN NULL ELSE newest END AS refers_to
 FROM r

@@ -109,22 +109,47 @@ class CachedEncoder:
         self._special = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))) or r"(?!)")
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        got = self.library.encode_batch(words, add_special_tokens=False)
+        # pieces that the file's pattern never joins are encoded many at a time; a
+        # token with the end-of-word mark ends its piece
+        mark = json.loads(self.library.to_str())["model"].get("end_of_word_suffix") or None
+        self.ends = mark and np.array([t.endswith(mark) for t, _ in sorted(self.library.get_vocab().items(), key=lambda x: x[1])])
+
+    def _each(self, words: list[str]) -> dict[str, bytes]:
+        got = self.library.encode_batch_fast(words, add_special_tokens=False)
         return {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(words, got, strict=True)}
 
+    def _learn(self, words: list[str], plain: bool) -> dict[str, bytes]:
+        if not plain or self.ends is None:
+            return self._each(words)
+        out, size = {}, np.dtype(self.kind).itemsize
+        for a in range(0, len(words), 256):
+            some = words[a:a + 256]
+            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, self.kind)
+            at = np.flatnonzero(self.ends[ids])
+            if len(at) != len(some):
+                out |= self._each(some)
+                continue
+            data, begin = ids.tobytes(), 0
+            for w, end in zip(some, ((at + 1) * size).tolist()):
+                out[w] = data[begin:end]
+                begin = end
+        return out
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        split = [pieces(t, self._special)[0] for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.known = {}
-        new = list(set().union(*split).difference(self.known))
-        own = {}
-        for a in range(0, len(new), 4096):
-            own |= self._learn(new[a:a + 4096])
+        get = self.known.get
+        split = [pieces(t, self._special) for t in texts]
+        found = [list(map(get, words)) for words, _ in split]
+        open_ = [k for k, f in enumerate(found) if None in f]
+        own: dict[str, bytes] = {}
+        for kind in (True, False):
+            new = {w for k in open_ if split[k][1] is kind for w, i in zip(split[k][0], found[k]) if i is None and w not in own}
+            own |= self._learn(list(new), kind)
+        for k in open_:
+            found[k] = [own[w] if i is None else i for w, i in zip(split[k][0], found[k])]
         self.known.update((w, i) for w, i in own.items() if len(w) <= CACHED_LENGTH)
-        long = {w: i for w, i in own.items() if len(w) > CACHED_LENGTH}
-        get = (self.known | long if long else self.known).__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        return [b"".join(f) for f in found]
 
 
 @lru_cache(maxsize=2)
