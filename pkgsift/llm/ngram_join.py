@@ -5,17 +5,20 @@ form one class.  For sets x, y with Jaccard similarity t or more,
 |x & y| >= t * |x|, so under *any* total order of the tokens the first
 |x| - ceil(t |x|) + 1 tokens of both sets share one.  Three orders are used:
 
-* order 0, rare tokens first: tokens found in many sets come last, by their
-  count; the others are ordered by hash.  Its prefixes are posted and joined.
+* order 0, rare tokens first: tokens of one text, then repeated ones by hash,
+  then frequent ones by their count.  Its prefixes are posted and joined.
 * orders 1 and 2, two other hash orders: a pair from order 0 must also share a
   prefix token under each of them before the two whole sets are fetched and
   intersected.
 
-Only the order's *efficiency* depends on the counts, so the list of frequent
-tokens has a fixed bound (``MAX_FREQUENT``) and can be broadcast.
+Every token is counted, but any order is right: only the work depends on it.  So
+what the tasks know of the counts has a fixed size and can be broadcast: a bit
+per token hash (found ``bar`` times or more; ``bar`` is 2 until the bits are an
+eighth full) and a list of the most frequent tokens.  While ``bar`` is 2, a
+token without its bit is in one text only and is not posted at all.
 
-Components need no full pair list.  Round A verifies each set of a posting group
-against the group's first set (a star).  Round B takes the posting groups that
+Components need no full pair list.  Rounds 1 and 2 verify the sets of a posting
+group against the group's first set (a star); round 3 takes the groups that
 still hold several components and verifies the pairs across components.  Any
 link left out joins two sets that are already in one component.
 
@@ -28,12 +31,12 @@ N^2 / 2^65 for N classes.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pkgsift.llm.common import bounded_batches, table
@@ -42,12 +45,15 @@ from pkgsift.llm.components import connected_components
 #: Sets a token must be in to count as frequent, and the most tokens listed.
 MIN_FREQUENT = 16
 MAX_FREQUENT = 1 << 18
+#: Counts that may mark a token as repeated, and log2 of the marking bits.
+BARS = (2, 3, 4, 6, 8, 12, 16, 32, 64, 256, 1024)
+MARK_BITS = 26
 #: Tokens a task sorts at once while counting, and tokens per counting group.
-FLUSH_TOKENS = 4 << 20
-GROUP_TOKENS = 8 << 20
+FLUSH_TOKENS = 2 << 20
+GROUP_TOKENS = 2 << 20
 KEY_BITS = 48
-#: Words a worker keeps the hash of.
-CACHE_WORDS = 1_000_000
+#: Class keys a task remembers to skip copies.
+SEEN_SETS = 200_000
 _ODD = [np.uint64(2 * xxhash.xxh64_intdigest(b"order", k) + 1 & (1 << 64) - 1) for k in range(64)]
 
 
@@ -58,36 +64,79 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_HASHES = _Hashes()
+#: Bytes hashed at once; longer words than this are hashed one by one.
+CHUNK_BYTES = 1 << 20
+LONG_WORD = 32
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_BLANK = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
+#: A random 64-bit value per byte, and odd factors per place in a word.
+_VALUE = np.array([xxhash.xxh64_intdigest(b"byte", k) for k in range(256)], np.uint64)
+_PLACE = np.array([xxhash.xxh64_intdigest(b"place", k) | 1 for k in range(LONG_WORD)], np.uint64)
+
+
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(start, 64-bit hash) of every word of a buffer, A-Z as a-z."""
+    raw = np.frombuffer(data, np.uint8)
+    blank = _BLANK[raw]
+    at = np.flatnonzero(~blank)
+    if not len(at):
+        return at, np.zeros(0, np.uint64)
+    first = np.ones(len(at), bool)
+    first[1:] = at[1:] != at[:-1] + 1
+    begin = np.flatnonzero(first)  # index into ``at`` of each word's first byte
+    size = np.diff(begin, append=len(at))
+    place = np.arange(len(at)) - np.repeat(begin, size)
+    with np.errstate(over="ignore"):
+        value = _VALUE[_LOWER[raw[at]]] * _PLACE[np.minimum(place, LONG_WORD - 1)]
+        hashes = np.add.reduceat(value, begin) + size.astype(np.uint64) * _ODD[60]
+    starts = at[begin]
+    for k in np.flatnonzero(size > LONG_WORD):
+        hashes[k] = xxhash.xxh64_intdigest(data[starts[k]:starts[k] + size[k]].lower())
+    return starts, hashes
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text.  A-Z count as a-z; words
     are runs without ASCII white space; a text of fewer than ``n`` words is one
     shingle, one without words has none."""
-    words = [t.lower().split() for t in texts]
-    if len(_HASHES) > CACHE_WORDS:
-        _HASHES.clear()
-    total = sum(map(len, words))
-    flat = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(words)), np.uint64, total)
+    out: list[np.ndarray] = []
+    a = 0
+    while a < len(texts):
+        b, size = a, 0
+        while b < len(texts) and (b == a or size + len(texts[b]) <= CHUNK_BYTES):
+            size += len(texts[b]) + 1
+            b += 1
+        out += _chunk_sets(texts[a:b], n)
+        a = b
+    return out
+
+
+def _chunk_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
+    starts, flat = _word_hashes(b"\n".join(texts))
+    sizes = np.array([len(t) + 1 for t in texts])
+    ends = np.searchsorted(starts, np.cumsum(sizes))
+    total = len(flat)
     with np.errstate(over="ignore"):
         runs = np.zeros(max(0, total - n + 1), np.uint64)
         for j in range(n):
             runs += flat[j:total - n + 1 + j] * _ODD[8 + j % 40]
         runs = _mix(runs, 0)
-    out, at = [], 0
-    for w in words:
-        if len(w) >= n:
-            out.append(np.unique(runs[at:at + len(w) - n + 1]))
-        else:
-            out.append(np.array([xxhash.xxh64_intdigest(b" ".join(w), 7)] if w else [], np.uint64))
-        at += len(w)
+        out, at = [], 0
+        for end in ends.tolist():
+            if end - at >= n:
+                s = np.sort(runs[at:end - n + 1])
+                fresh = np.empty(len(s), bool)
+                fresh[0] = True
+                np.not_equal(s[1:], s[:-1], out=fresh[1:])
+                out.append(s[fresh])
+            elif end > at:
+                short = np.uint64(end - at) * _ODD[56]
+                for j, h in enumerate(flat[at:end]):
+                    short = short + h * _ODD[50 + j % 6]
+                out.append(_mix(np.array([short], np.uint64), 58))
+            else:
+                out.append(np.zeros(0, np.uint64))
+            at = end
     return out
 
 
@@ -95,10 +144,11 @@ def _prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
-def _key(s: np.ndarray, seed: int) -> int:
-    """A hash of a set: the wrapped sum of its mixed tokens, as a signed long."""
+def _keys(s: np.ndarray) -> tuple[int, int]:
+    """Two hashes of a set as signed longs: wrapped sums over its mixed tokens."""
     with np.errstate(over="ignore"):
-        return int(_mix(s, seed).sum(dtype=np.uint64).astype(np.int64))
+        m = _mix(s, 2)
+        return int(m.sum(dtype=np.uint64).astype(np.int64)), int((m * m * _ODD[4]).sum(dtype=np.uint64).astype(np.int64))
 
 
 def _sets(batches, n: int, text: int = 0) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -111,11 +161,12 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
 
     def run(batches):
         for batch, sets in _sets(batches, n, 1):
+            keys = [_keys(s) if len(s) else (None, None) for s in sets]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0),
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                "s1": pa.array([_key(s, 2) if len(s) else None for s in sets], pa.int64()),
-                "s2": pa.array([_key(s, 4) if len(s) else None for s in sets], pa.int64()),
+                "s1": pa.array([k for k, _ in keys], pa.int64()),
+                "s2": pa.array([k for _, k in keys], pa.int64()),
             })
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long")
@@ -125,10 +176,10 @@ def _new_sets(batches, n: int) -> Iterator[tuple[int, np.ndarray]]:
     """(class key, set) of each non-empty set that this task has not just seen."""
     seen: set[int] = set()
     for _, sets in _sets(batches, n):
-        if len(seen) > CACHE_WORDS:
+        if len(seen) > SEEN_SETS:
             seen.clear()
         for s in sets:
-            if len(s) and (k := _key(s, 2)) not in seen:
+            if len(s) and (k := _keys(s)[0]) not in seen:
                 seen.add(k)
                 yield k, s
 
@@ -146,8 +197,28 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(full.view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def frequent_tokens(texts: DataFrame, n: int, tokens: int) -> tuple[np.ndarray, np.ndarray]:
-    """(token keys ascending, their rank by count) of the most frequent tokens.
+@dataclass(frozen=True)
+class TokenOrder:
+    """What tasks know of token counts: marking bits, their bar, frequent tokens."""
+
+    marks: np.ndarray  # 2 ** MARK_BITS bits
+    bar: int
+    keys: np.ndarray  # frequent token keys, ascending
+    rank: np.ndarray  # their place by count, from 2
+
+    def ranks(self, s: np.ndarray) -> np.ndarray:
+        """0 for an unmarked token, 1 for a marked one, more for a frequent one."""
+        k = s >> np.uint64(64 - KEY_BITS)
+        bit = k >> np.uint64(KEY_BITS - MARK_BITS)
+        out = ((self.marks[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(np.int64)
+        if len(self.keys) and out.any():
+            at = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
+            out = np.where(self.keys[at] == k, self.rank[at], out)
+        return out
+
+
+def token_order(texts: DataFrame, n: int, tokens: int) -> TokenOrder:
+    """Count all tokens and keep what fits.
 
     Every token of every text is counted.  Tasks sort and pre-aggregate millions
     of tokens at a time and send them, packed, by key range; ranges are cut so
@@ -183,8 +254,20 @@ def frequent_tokens(texts: DataFrame, n: int, tokens: int) -> tuple[np.ndarray,
             keys = keys[order]
             starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             sums = np.add.reduceat(counts[order].astype(np.int64), starts)
+            keys = keys[starts]
             often = sums >= MIN_FREQUENT
-            return pa.RecordBatch.from_pydict({"key": pa.array(keys[starts][often].astype(np.int64)), "n": pa.array(sums[often])})
+            bits = keys >> np.uint64(KEY_BITS - MARK_BITS)
+            rows = [(0, int(k), int(c), None) for k, c in zip(keys[often], sums[often])]
+            for bar in BARS:
+                hit = bits[sums >= bar]
+                if len(hit):  # the keys of one group are one range, so their bits are one run
+                    base = int(hit[0]) >> 3 << 3
+                    run = np.zeros(int(hit[-1]) - base + 1, np.uint8)
+                    run[(hit - np.uint64(base)).astype(np.int64)] = 1
+                    rows.append((bar, base, len(hit), np.packbits(run, bitorder="little").tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, kinds)], names=["bar", "key", "n", "bits"])
+
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
 
         now, held = None, []
         for batch in batches:
@@ -200,54 +283,78 @@ def frequent_tokens(texts: DataFrame, n: int, tokens: int) -> tuple[np.ndarray,
     width = max(groups, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = table(texts.mapInArrow(count, "g int, keys binary, counts binary")
                   .repartition(width, "g").sortWithinPartitions("g")
-                  .mapInArrow(total, "key long, n long"), "frequent")
-    sizes = found.groupBy(F.floor(F.log2("n")).alias("b")).count().collect()  # at most 63 rows
-    bar, left = 0, 0
-    for r in sorted(sizes, reverse=True):
+                  .mapInArrow(total, "bar int, key long, n long, bits binary"), "frequent")
+    sizes = dict(found.where("bar > 0").groupBy("bar").agg(F.sum("n")).collect())  # at most len(BARS) rows
+    bar = next((b for b in BARS if sizes.get(b, 0) <= 1 << (MARK_BITS - 3)), BARS[-1])
+    marks = np.zeros(1 << (MARK_BITS - 3), np.uint8)
+    for r in found.where(F.col("bar") == bar).select("key", "bits").toLocalIterator():  # runs of a bounded bit array
+        run = np.frombuffer(r["bits"], np.uint8)
+        marks[r["key"] >> 3:(r["key"] >> 3) + len(run)] |= run
+    listed = found.where("bar = 0")
+    steps = listed.groupBy(F.floor(F.log2("n")).alias("b")).count().collect()  # at most 63 rows
+    least, left = 0, 0
+    for r in sorted(steps, reverse=True):
         left += r["count"]
         if left > MAX_FREQUENT:
-            bar = 2 << r["b"]
+            least = 2 << r["b"]
             break
-    rows = found.where(F.col("n") >= bar).toArrow()  # at most MAX_FREQUENT rows
+    rows = listed.where(F.col("n") >= least).select("key", "n").toArrow()  # at most MAX_FREQUENT rows
     keys, counts = rows.column("key").to_numpy().astype(np.uint64), rows.column("n").to_numpy()
     rank = np.empty(len(keys), np.int64)
-    rank[np.lexsort((keys, counts))] = np.arange(1, len(keys) + 1)
+    rank[np.lexsort((keys, counts))] = np.arange(2, len(keys) + 2)
     order = np.argsort(keys)
-    return keys[order], rank[order]
+    return TokenOrder(marks, bar, keys[order], rank[order])
+
 
+def postings(texts: DataFrame, n: int, percent: int, order: TokenOrder) -> DataFrame:
+    """(t, u, s, size, most): each class key under each token of its prefix, order 0.
 
-def postings(texts: DataFrame, n: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(t, s): each class key under each token of its prefix, order 0."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+    ``u`` is its number of unmarked tokens, least for the most central of near
+    copies; ``most`` is the greatest overlap it can have, its size less the tokens
+    that are in no other text."""
+    shared = texts.sparkSession.sparkContext.broadcast(order)
 
     def run(batches):
-        keys, rank = shared.value
+        known = shared.value
 
         def prefix(s):
-            size = _prefix_length(len(s), percent)
-            if len(keys):
-                k = s >> np.uint64(64 - KEY_BITS)
-                at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
-                often = keys[at] == k
-                if often.any():
-                    return s[np.lexsort((s, np.where(often, rank[at], 0)))[:size]]
-            return s[:size]
+            size, ranks = _prefix_length(len(s), percent), known.ranks(s)
+            own = len(s) - np.count_nonzero(ranks)
+            if known.bar == 2 and own >= size:
+                return own, s[:0]
+            first = np.lexsort((s, ranks))[:size]
+            return own, s[first[ranks[first] > 0]] if known.bar == 2 else s[first]
 
-        ids, lists = [], []
+        ids, lists, alone, sizes = [], [], [], []
 
         def rows():
-            return pa.RecordBatch.from_pydict({"s": pa.array(ids, pa.int64()), "t": pa.array(lists, pa.list_(pa.int64()))})
+            most = [z - a if known.bar == 2 else z for z, a in zip(sizes, alone)]
+            return pa.RecordBatch.from_pydict({
+                "u": pa.array(alone, pa.int32()), "s": pa.array(ids, pa.int64()), "size": pa.array(sizes, pa.int32()),
+                "most": pa.array(most, pa.int32()), "t": pa.array(lists, pa.list_(pa.int64()))})
 
         for k, s in _new_sets(batches, n):
+            own, p = prefix(s)
+            if not len(p):
+                continue
             ids.append(k)
-            lists.append(prefix(s).astype(np.int64))
+            alone.append(own)
+            sizes.append(len(s))
+            lists.append(p.astype(np.int64))
             if len(ids) == 512:
                 yield rows()
-                ids, lists = [], []
+                ids, lists, alone, sizes = [], [], [], []
         if ids:
             yield rows()
 
-    return texts.mapInArrow(run, "s long, t array<long>").select(F.explode("t").alias("t"), "s")
+    return (texts.mapInArrow(run, "u int, s long, size int, most int, t array<long>")
+            .select(F.explode("t").alias("t"), "u", "s", "size", "most"))
+
+
+def _possible(a: str, b: str, percent: int) -> Column:
+    """Whether the overlap two sets can have at most is enough for their sizes."""
+    sizes = F.col(f"{a}size").cast("long") + F.col(f"{b}size")
+    return (100 + percent) * F.least(F.col(f"{a}most"), F.col(f"{b}most")).cast("long") >= percent * sizes
 
 
 def set_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -258,12 +365,12 @@ def set_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """
 
     def run(batches):
-        for _, s in _new_sets(batches, n):
+        for k1, s in _new_sets(batches, n):
             size = _prefix_length(len(s), percent)
             with np.errstate(over="ignore"):
                 p1, p2 = (np.sort(_mix(s, k))[:size].astype(np.uint32).view(np.int32) for k in (50, 54))
             yield pa.RecordBatch.from_pydict({
-                "s": pa.array([_key(s, 2)], pa.int64()), "size": pa.array([len(s)], pa.int64()),
+                "s": pa.array([k1], pa.int64()), "size": pa.array([len(s)], pa.int64()),
                 "p1": pa.array([p1], pa.list_(pa.int32())), "p2": pa.array([p2], pa.list_(pa.int32())),
                 "tokens": pa.array([s.astype(np.int64)], pa.list_(pa.int64()))})
 
@@ -318,20 +425,31 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     signed, alone = everything.where("doc_id is not null and s1 is not null"), everything.where("doc_id is null or s1 is null")
     tokens = signed.agg(F.sum("n_shingles")).first()[0] or 0
 
-    posted = postings(texts, n, percent, frequent_tokens(texts, n, tokens))
-    group = Window.partitionBy("t").orderBy("s")
-    star = table(posted.withColumns({"first": F.first("s").over(group), "before": F.lag("s").over(group)})
-                 .where("s != before").select("t", "first", "s"), "postings")
-    pairs = table(star.select(F.col("first").alias("a"), F.col("s").alias("b")).distinct(), "pairs")
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "s1")
+    posted = postings(texts, n, percent, token_order(texts, n, tokens))
+    group = Window.partitionBy("t").orderBy("u", "s")
+    star = (posted.withColumns({"head": F.first(F.struct("u", "s", "size", "most")).over(group), "before": F.lag("s").over(group)})
+            .where("s != before"))
+    star = table(star.select("t", F.col("head.s").alias("first"), *(F.col(f"head.{c}").alias(f"first_{c}") for c in ("u", "size", "most")), "s", "size", "most"),
+                 "postings")
+    pairs = table(star.where(_possible("first_", "", percent)).groupBy(F.col("first").alias("a"), F.col("s").alias("b"))
+                  .agg(F.min("first_u").alias("u")), "pairs")
+    wanted = star.select(F.col("first").alias("s1")).union(star.select("s")).distinct()
     named = signed.groupBy("s1").agg(F.min("doc_id").alias("doc_id")).join(wanted, "s1", "left_semi")
     sets = table(set_table(rows.join(named, "doc_id", "left_semi").select("text"), n, percent), "sets")
 
-    links = table(verify(pairs, sets, percent), "links")
+    # round 1: every set with the least head of its groups; round 2: the other heads
+    # that are still in another component; round 3: all pairs across components
+    near = table(pairs.groupBy("b").agg(F.min(F.struct("u", "a")).alias("m")).select("m.a", "b"), "pairs")
+    links = table(verify(near, sets, percent), "links")
     parts = table(connected_components(links, "a", "b"), "parts")
-    more = table(verify(_across(star, parts).join(pairs, ["a", "b"], "left_anti"), sets, percent), "links")
-    if not more.isEmpty():
-        parts = table(connected_components(links.union(more), "a", "b"), "parts")
+    tried = near
+    for candidates in (_heads_across, _all_across):
+        more = table(candidates(pairs, star, parts, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = table(verify(more, sets, percent), "links")
+        tried = tried.union(more)
+        if not found.isEmpty():
+            links = links.union(found)
+            parts = table(connected_components(links, "a", "b"), "parts")
 
     classes = (signed.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("least"))
                .join(parts.withColumnRenamed("node", "s1"), "s1", "left")
@@ -343,15 +461,25 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             .unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
 
 
-def _across(star: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a posting but stand in different components."""
+def _heads_across(pairs: DataFrame, star: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a group's head and a member in another component."""
+    ca = parts.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    cb = parts.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    return (pairs.join(ca, "a", "left").join(cb, "b", "left")
+            .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+
+
+def _all_across(pairs: DataFrame, star: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that share a posting, stand in different components and can
+    overlap enough."""
     own = parts.select(F.col("node").alias("s"), "component")
     head = parts.select(F.col("node").alias("first"), F.col("component").alias("of_first"))
     placed = (star.join(own, "s", "left").join(head, "first", "left")
-              .select("t", "s", "first", F.coalesce("component", "s").alias("c"), F.coalesce("of_first", "first").alias("c0")))
+              .withColumns({"c": F.coalesce("component", "s"), "c0": F.coalesce("of_first", "first")}))
     open_groups = placed.where("c != c0").select("t").distinct()
     left = placed.join(open_groups, "t", "left_semi")
-    members = table(left.select("t", "s", "c").union(left.select("t", F.col("first"), F.col("c0"))).distinct(), "open")
-    x = members.select("t", F.col("s").alias("a"), F.col("c").alias("ca"))
-    y = members.select("t", F.col("s").alias("b"), F.col("c").alias("cb"))
-    return x.join(y, "t").where("a < b and ca != cb").select("a", "b").distinct()
+    members = table(left.select("t", "s", "c", "size", "most")
+                    .union(left.select("t", "first", "c0", "first_size", "first_most")).distinct(), "open")
+    x, y = (members.select("t", *(F.col(c).alias(f"{side}{c}") for c in ("s", "c", "size", "most"))) for side in ("x", "y"))
+    return (x.join(y, "t").where((F.col("xs") < F.col("ys")) & (F.col("xc") != F.col("yc")) & _possible("x", "y", percent))
+            .select(F.col("xs").alias("a"), F.col("ys").alias("b")).distinct())

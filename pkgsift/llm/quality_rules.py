@@ -1,6 +1,6 @@
 """Quality rules as a learned decision list (operator 2), native expressions only.
 
-``text_statistics`` turns a text into numbers with built-in functions.  ``learn``
+``statistics`` turns a text into numbers with built-in functions.  ``learn``
 covers the low-quality rows of a labelled sample one rule after another: a rule
 grows by the threshold condition of greatest information gain on two thirds of
 the rows, is pruned back on the rest, and its rows are taken out.  Every step is
@@ -66,13 +66,12 @@ RATIOS = {
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def text_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``_stats``: a struct of counts (long) of each text.
+def statistics(text: Column) -> Column:
+    """A struct of counts (long) of a text; a null or empty text has zeros.
 
-    A null or empty text has zeros.  Texts of any length are read whole.
+    One expression in which every part is bound once, wherever it ends up in a
+    plan.  Texts of any length are read whole.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-
     def counts(t: Column) -> Column:
         words = F.array_remove(F.split(t, _SPACE), "")
         lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -93,16 +92,16 @@ def text_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
         return let(words, of)
 
-    return docs.withColumn("_stats", let(text, counts))
+    return let(F.coalesce(text, F.lit("")), counts)
 
 
-def base_failed() -> Column:
-    n, r = F.col("_stats.n_words"), F.col("_stats.n_repeat_words")
+def base_failed(stats: Column) -> Column:
+    n, r = stats["n_words"], stats["n_repeat_words"]
     return (n < 50) | (100 * r > 50 * n)
 
 
-def _ratio(name: str) -> Column:
-    return RATIOS[name](lambda c: F.col(f"_stats.{c}"))
+def _ratio(name: str, stats: Column) -> Column:
+    return RATIOS[name](lambda c: stats[c])
 
 
 @dataclass(frozen=True)
@@ -113,8 +112,8 @@ class Condition:
     above: bool
     threshold: float
 
-    def column(self) -> Column:
-        value = _ratio(self.name)
+    def column(self, stats: Column) -> Column:
+        value = _ratio(self.name, stats)
         return value >= F.lit(self.threshold) if self.above else value < F.lit(self.threshold)
 
     def __str__(self) -> str:
@@ -129,21 +128,21 @@ class Rule:
     bad: int
     good: int
 
-    def column(self) -> Column:
+    def column(self, stats: Column) -> Column:
         out = F.lit(True)
         for c in self.conditions:
-            out = out & c.column()
+            out = out & c.column(stats)
         return out
 
     def __str__(self) -> str:
         return f"reject if {' and '.join(map(str, self.conditions))}  [{self.bad} bad, {self.good} good]"
 
 
-def verdict(rules: list[Rule]) -> Column:
+def verdict(rules: list[Rule], stats: Column) -> Column:
     """The ordered CASE expression: false at the first rule that holds, else true."""
     out = None
     for r in rules:
-        out = F.when(r.column(), False) if out is None else out.when(r.column(), False)
+        out = F.when(r.column(stats), False) if out is None else out.when(r.column(stats), False)
     return F.lit(True) if out is None else out.otherwise(True)
 
 
@@ -195,9 +194,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # the sample's narrow rows are bounded, so they can be broadcast to the scan
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(known), "_id")
     names = sorted(RATIOS)
-    stats = (text_statistics(texts, "_text").where(~base_failed())
-             .select((1 - F.col("_y")).cast("long").alias("bad"), F.pmod(F.xxhash64("_id"), F.lit(3)).alias("fold"), *(_ratio(n).alias(n) for n in names)))
-    sample = table(stats, "sample")
+    # written before any filter: a filter on the statistics would move below the
+    # join and compute them for every document
+    stats = table(texts.select("_id", "_y", statistics(F.col("_text")).alias("_stats")), "sample")
+    sample = (stats.where(~base_failed(F.col("_stats")))
+              .select((1 - F.col("_y")).cast("long").alias("bad"), F.pmod(F.xxhash64("_id"), F.lit(3)).alias("fold"),
+                      *(_ratio(n, F.col("_stats")).alias(n) for n in names)))
     cuts = [k / BINS for k in range(1, BINS)]
     found = sample.agg(*(F.percentile(n, cuts).alias(n) for n in names), *(F.percentile(F.when(F.col("bad") == 1, F.col(n)), cuts).alias(f"bad_{n}") for n in names)).first()
     if found[names[0]] is None:
@@ -264,11 +266,13 @@ def apply_rules(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id", text
     A null or empty text has zero counts and fails the base filter.  Other
     columns are ignored; an empty table gives no rows.
     """
-    rows = text_statistics(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), "_text")
-    return rows.select("doc_id", *(F.col(f"_stats.{c}").alias(c) for c in COUNTS), base_failed().alias("base_failed"),
-                       (~base_failed() & verdict(rules)).alias("kept"))
+    def report(c: Column) -> Column:
+        return F.struct(*(c[n].alias(n) for n in COUNTS), base_failed(c).alias("base_failed"), (~base_failed(c) & verdict(rules, c)).alias("kept"))
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), let(statistics(F.col(text_col)), report).alias("_r"))
+    return rows.select("doc_id", *(F.col(f"_r.{c}").alias(c) for c in (*COUNTS, "base_failed", "kept")))
 
 
 def keep_good(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that the base filter and the list keep."""
-    return text_statistics(docs, text_col).where(~base_failed() & verdict(rules)).select(*docs.columns)
+    return docs.where(let(statistics(F.col(text_col)), lambda c: ~base_failed(c) & verdict(rules, c)))
