@@ -2,8 +2,8 @@
 
 Aliases come from six ordered regex passes; a later match wins, so entries
 keep their pass order and lookups take the last entry with the key.  Calls
-come from the lexer's call heads (``lexers.JS_TOKENS``).  Files above
-``max_file_bytes`` never enter the lexer: they take the light path.
+come from the lexer's call heads (``lexers.JS_TOKENS``).  With ``max_file_bytes`` given,
+files above it never enter the lexer: they take the light path.
 """
 
 from __future__ import annotations
@@ -41,8 +41,10 @@ PROCESS_MODULES = ["child_process", "cp"]
 OS_FUNCS = ["exec", "execsync"]
 PROC_FUNCS = ["spawn", "fork"]
 INSTALL_HOOKS = ["preinstall", "install", "postinstall"]
-DEFAULT_MAX_FILE_BYTES = 2_000_000
+REFERENCE_MAX_FILE_BYTES = 2_000_000
 NON_IDENTIFIER_BASES = ["this", "super"]
+# Size gate of the light path: 0 is no gate; a caller may pass one.
+DEFAULT_MAX_FILE_BYTES = 0
 # Opt-in extensions (Q12, extended=True; not in the reference): `node:` module
 # prefixes, `import d, {x} from`, bare `require()`, dynamic `import()`, and
 # execFile / execFileSync / spawnSync as process calls.

@@ -8,8 +8,8 @@ in the JVM, per row, with no Python worker.
 
 Regex safety matters because package authors control the input:
 possessive quantifiers (no catastrophic backtracking), optional closing
-delimiters (an unclosed literal is consumed once), and bounded call-head
-chains and blanks.
+delimiters (an unclosed literal is consumed once), and dotted names that are
+consumed whole.  Chains and blanks have no bound.
 """
 
 from __future__ import annotations
@@ -17,8 +17,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_HEAD = (r"(?:\.\s{0,8}+)?(?<![\w$])[A-Za-z_$][\w$]*+"
-         r"(?:\s{0,8}+\??\.\s{0,8}+[A-Za-z_$][\w$]*+){0,16}+\s{0,8}+\(")
+
+def _head(blank: str) -> str:
+    """A call head ``name.name(``, or a dotted name without a call.  The second is
+    no token (``tokens`` drops it); taking it whole keeps a long chain linear."""
+    name, dot = r"[A-Za-z_$][\w$]*+", rf"{blank}\??\.{blank}"
+    start = rf"(?:\.{blank})?(?<![\w$]){name}"
+    return rf"{start}(?:{dot}{name})*+{blank}\(|{start}(?:{dot}{name})++"
+
+
+# Blanks of any length; Python also continues a line behind a backslash.
+_JS_BLANK = r"\s*+"
+_PY_BLANK = r"(?:\s|\\\r?\n)*+"
+_PY_GAP = r"(?:[ \t]|\\\r?\n)"
 
 # Every token starts with one of these characters; the lookahead rejects
 # other positions with a single test instead of one per alternative.
@@ -31,11 +42,11 @@ PYTHON_TOKENS = _PY_FIRST + "(?:" + "|".join([
     r"'''(?:[^'\\]++|\\[\s\S]|'(?!''))*+(?:''')?+",
     r'"(?:[^"\\\n]++|\\[\s\S])*+"?+',
     r"'(?:[^'\\\n]++|\\[\s\S])*+'?+",
-    r"\bfrom[ \t]++\.*+[\w.]*+[ \t]++import\b",
-    r"\bimport[ \t]++[\w.]++(?:[ \t]++as[ \t]++\w++)?+"
-    r"(?:[ \t]*+,[ \t]*+[\w.]++(?:[ \t]++as[ \t]++\w++)?+)*+",
-    r"\b(?:def|class)\s{1,8}+\w++",
-    _HEAD,
+    rf"\bfrom{_PY_GAP}++\.*+[\w.]*+{_PY_GAP}++import\b",
+    rf"\bimport{_PY_GAP}++[\w.]++(?:{_PY_GAP}++as{_PY_GAP}++\w++)?+"
+    rf"(?:{_PY_GAP}*+,{_PY_GAP}*+[\w.]++(?:{_PY_GAP}++as{_PY_GAP}++\w++)?+)*+",
+    r"\b(?:def|class)\s++\w++",
+    _head(_PY_BLANK),
 ]) + ")"
 
 JS_TOKENS = _JS_FIRST + "(?:" + "|".join([
@@ -44,8 +55,9 @@ JS_TOKENS = _JS_FIRST + "(?:" + "|".join([
     r"'(?:[^'\\\n]++|\\[\s\S])*+'?+",
     r'"(?:[^"\\\n]++|\\[\s\S])*+"?+',
     r"`(?:[^`\\]++|\\[\s\S])*+`?+",
-    r"\b(?:new|function)\s{1,8}+[\w$.]++\s{0,8}+\(",
-    _HEAD,
+    r"\bnew\s++[\w$.]++\s*+\(",
+    r"\bfunction\s*+(?:\*\s*+)?[\w$]++\s*+\(",
+    _head(_JS_BLANK),
 ]) + ")"
 
 RUBY_STRINGS = "(?m)" + "|".join([
@@ -73,7 +85,9 @@ DEFAULT_MAX_TOKENS = 0
 
 def tokens(text: Column, pattern: str, max_tokens: int = DEFAULT_MAX_TOKENS) -> Column:
     """Ordered token stream of the whole text; ``max_tokens`` > 0 caps it (G27, opt-in)."""
-    toks = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    toks = F.filter(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+                    lambda t: ~t.rlike(r"^[A-Za-z_$.]") | t.endswith("(")
+                    | t.rlike(r"^(?:from|import|def|class)[\s\\]"))
     return F.slice(toks, 1, max_tokens) if max_tokens and max_tokens > 0 else toks
 
 
@@ -96,8 +110,8 @@ def call_heads(toks: Column) -> Column:
         F.when(i > 0, F.element_at(toks, i)).alias("prev"),
         F.when(i + 1 < n, F.element_at(toks, i + 2)).alias("next")))
     # 'new X(' and 'function f(' were matched only to hide their names
-    heads = F.filter(indexed, lambda x: x["t"].endswith("(") & ~x["t"].rlike(r"^(?:new|function)\s"))
-    return F.transform(heads, lambda x: F.struct(F.regexp_replace(x["t"], r"[\s(?]", "").alias("h"),
+    heads = F.filter(indexed, lambda x: x["t"].endswith("(") & ~x["t"].rlike(r"^(?:new\s|function[\s*])"))
+    return F.transform(heads, lambda x: F.struct(F.regexp_replace(x["t"], r"[\s(?\\]", "").alias("h"),
                                                  x["prev"].alias("prev"), x["next"].alias("next")))
 
 

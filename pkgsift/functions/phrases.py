@@ -1,15 +1,14 @@
 """Phrase dictionaries (G15) and lookups.
 
 The dictionaries are tiny and fixed, so they are literal maps inside the
-expression (no join at all).  ``phrase_table`` gives the same content as a
-DataFrame for reporting or for a broadcast join in SQL.
+expression (no join at all).
 """
 
 from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -86,16 +85,3 @@ def import_phrases(imports: Column, d: dict, base_fn=None) -> Column:
     looked = F.transform(F.array_sort(imports), phrase)
     kept = F.array_distinct(F.filter(looked, lambda p: p.isNotNull()))
     return F.transform(kept, lambda p: F.concat(F.lit("import "), p))
-
-
-def phrase_table(spark: SparkSession) -> DataFrame:
-    """All dictionaries as one table: (ecosystem, kind, key, phrase, ord)."""
-    rows = []
-    for eco, kind, items in (("npm", "import", NPM_IMPORTS.items()),
-                             ("pypi", "import", PYPI_IMPORTS.items()),
-                             ("pypi", "call", ((f"{m}.{f}", p) for (m, f), p in PYPI_CALLS)),
-                             ("rubygems", "import", RUBY_REQUIRES.items()),
-                             ("rubygems", "call", RUBY_CALLS)):
-        rows += [(eco, kind, k, p, i) for i, (k, p) in enumerate(items)]
-    return spark.createDataFrame(
-        rows, "ecosystem string, kind string, key string, phrase string, ord int")

@@ -16,14 +16,14 @@ _IDENT = r"^[A-Za-z_][A-Za-z0-9_]*$"
 def _import_names(tok: Column) -> Column:
     """``import a.b as c, d`` → [a, c, d]: every word but 'as', cut at the first '.'."""
     body = F.regexp_replace(tok, r"^import", " ")
-    words = F.filter(F.split(body, r"[\s,]+"), lambda w: (w != "") & (w != "as"))
+    words = F.filter(F.split(body, r"[\s,\\]+"), lambda w: (w != "") & (w != "as"))
     bases = F.transform(words, lambda w: F.split(w, r"\.")[0])
     return F.filter(bases, lambda b: b.rlike(_IDENT))
 
 
 def _from_module(tok: Column) -> Column:
     """``from x.y import z`` → [x]; relative ``from . import z`` → []."""
-    mod = F.split(F.regexp_extract(tok, r"^from\s+(\S*)", 1), r"\.")[0]
+    mod = F.split(F.regexp_extract(tok, r"^from[\s\\]+([^\s\\]*)", 1), r"\.")[0]
     return F.when(mod != "", F.array(mod)).otherwise(F.array().cast("array<string>"))
 
 
@@ -33,7 +33,7 @@ def imports_from_tokens(toks: Column, from_imports: bool = True) -> Column:
                                   _import_names))
     if from_imports:
         plain = F.concat(plain, F.flatten(F.transform(
-            F.filter(toks, lambda t: t.rlike(r"^from\s")), _from_module)))
+            F.filter(toks, lambda t: t.rlike(r"^from[\s\\]")), _from_module)))
     return F.array_sort(F.array_distinct(plain))
 
 

@@ -1,8 +1,8 @@
 """File choice per version.
 
-All choices run on narrow columns (package, version, rel_path, size): the
-file bodies never enter the ranking shuffle.  The caller joins the chosen
-keys back to the content.
+All choices run on narrow columns (package, version, rel_path, size and
+features): file bodies never enter a shuffle.  Features are computed where a
+body is read, before the choice; on a tree the chosen paths are read after it.
 
 * ``topk_files`` – npm: best K files by (priority, -size).  ``row_number() <= K``
   lets Spark put a partial WindowGroupLimit before the shuffle, so each
@@ -25,7 +25,7 @@ PYPI_DENY = r"(?i)(?:^|/)(tests?|examples?|docs?|.*egg\-info)(?:/|$)"
 NPM_PRIORITY = [("/dist/", -30), ("/lib/", -20), ("/src/", -10)]
 NPM_INDEX_BONUS = -5
 NPM_DENY_PENALTY = 100
-DEFAULT_TOP_K = 20
+REFERENCE_TOP_K = 20
 JS_EXTENSIONS = r"\.(js|ts)$"
 # ---------------------------------------------------------------------------
 
@@ -55,21 +55,20 @@ def js_candidates(files: DataFrame, include_tests: bool = False) -> DataFrame:
     return out
 
 
-def topk_files(files: DataFrame, k: int = DEFAULT_TOP_K, include_tests: bool = False,
-               keep_columns: bool = False) -> DataFrame:
-    """(package, version, rel_path, size) → best ``k`` per version with ``rank``.
+def topk_files(files: DataFrame, k: int | None = None, include_tests: bool = False) -> DataFrame:
+    """(package, version, rel_path, size, other narrow columns) → best ``k``
+    per version with ``rank``; all of them without ``k``.
 
     Ties keep the reference's stable order: all ``.js`` before ``.ts``, then path.
-    ``keep_columns`` carries the other (small) columns through the rank.
+    File bodies stay out: ``content`` is dropped before the rank.
     """
-    base = files if keep_columns else files.select("package", "version", "rel_path", "size")
-    narrow = js_candidates(base, include_tests)
+    narrow = js_candidates(files.drop("content"), include_tests)
     path = tree_path(F.col("package"), F.col("version"), F.col("rel_path"))
     w = Window.partitionBy("package", "version").orderBy(
         npm_priority(path), F.col("size").desc(), F.col("rel_path").endswith(".ts"),
         F.col("rel_path"))
-    return (narrow.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= k))
+    ranked = narrow.withColumn("rank", F.row_number().over(w))
+    return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
 def python_tier(package: Column, version: Column, rel_path: Column,
@@ -94,14 +93,18 @@ def python_tier(package: Column, version: Column, rel_path: Column,
 
 
 def _pick_min(files: DataFrame, tier: Column) -> DataFrame:
-    best = F.min(F.struct(tier.alias("tier"), F.col("rel_path").alias("rel_path")))
+    """Per version, the row of least (tier, rel_path) with its other columns, in
+    one aggregate.  ``content`` is dropped: features come before the choice, or
+    the chosen paths are read after it."""
+    files = files.drop("content")
+    rest = [c for c in files.columns if c not in ("package", "version", "rel_path", "tier")]
+    best = F.min(F.struct(tier.alias("tier"), F.col("rel_path"), *rest))
     return (files.groupBy("package", "version").agg(best.alias("_b"))
-            .select("package", "version", F.col("_b.rel_path").alias("rel_path"),
-                    F.col("_b.tier").alias("tier")))
+            .select("package", "version", "_b.rel_path", "_b.tier", *(F.col(f"_b.{c}").alias(c) for c in rest)))
 
 
 def representative_python(files: DataFrame) -> DataFrame:
-    """One ``*.py`` per version → (package, version, rel_path, tier)."""
+    """One ``*.py`` per version → (package, version, rel_path, tier, …)."""
     py = files.where(F.col("rel_path").endswith(".py"))
     arch = F.col("from_archive") if "from_archive" in files.columns else None
     vrel = F.col("vrel") if "vrel" in files.columns else None
@@ -115,14 +118,10 @@ def ruby_tier(rel_path: Column) -> Column:
             .otherwise(3))
 
 
-def representative_ruby(files: DataFrame) -> DataFrame:
-    """One Ruby file per version → (package, version, rel_path, tier)."""
-    rb = files.where(F.col("rel_path").endswith(".gemspec") | F.col("rel_path").endswith(".rb"))
-    return _pick_min(rb, ruby_tier(F.col("rel_path")))
+def ruby_candidates(files: DataFrame) -> DataFrame:
+    return files.where(F.col("rel_path").endswith(".gemspec") | F.col("rel_path").endswith(".rb"))
 
 
-def with_content(chosen: DataFrame, files: DataFrame) -> DataFrame:
-    """Join the chosen keys back to the file bodies (the only content shuffle)."""
-    keys = ["package", "version", "rel_path"]
-    body = [c for c in ("size", "content") if c in files.columns and c not in chosen.columns]
-    return chosen.join(files.select(*keys, *body), keys, "inner")
+def representative_ruby(files: DataFrame) -> DataFrame:
+    """One Ruby file per version → (package, version, rel_path, tier, …)."""
+    return _pick_min(ruby_candidates(files), ruby_tier(F.col("rel_path")))

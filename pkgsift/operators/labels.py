@@ -104,46 +104,47 @@ def build_labels(info: DataFrame, policy: str = "drop", numeric_labels: bool = F
     return LabelTables(versions, packages, unrev, tag_counts(rows), label_report(versions, packages))
 
 
-def directory_version_labels(listing: DataFrame, label: int, require_gemspec: bool = False,
+def directory_version_labels(listing: DataFrame, label: int | None, require_gemspec: bool = False,
                              require_ruby: bool = False) -> DataFrame:
     """Versions found under a labelled root → (package, version, label).
 
-    ``listing`` has ``rel_path`` relative to the root (``pkg/ver/...``).  The
-    version root is the version directory, or its first ``*.src`` child
-    directory when one exists; the flag checks look inside that root only.
+    ``listing`` has ``rel_path`` relative to the root (``pkg/ver/...``) and, from
+    a walk, ``is_dir``: a version directory without files is a version too.  With
+    ``label`` None the listing's own ``label`` column says which root it is.  The
+    version root is the version directory, or its first ``*.src`` child directory
+    when one exists; the flag checks look inside that root only.  Two aggregates:
+    flags per child directory, then the choice of the child.
     """
     parts = F.split(F.col("rel_path"), "/")
-    files = (listing.where(F.size(parts) >= 3)
-             .select(parts[0].alias("package"), parts[1].alias("version"),
-                     F.slice(parts, 3, 1_000_000).alias("inner")))
-    src_dirs = (files.where((F.size("inner") >= 2) & F.col("inner")[0].endswith(".src"))
-                .groupBy("package", "version").agg(F.min(F.col("inner")[0]).alias("src_dir")))
-    scoped = (files.join(src_dirs, ["package", "version"], "left")
-              .where(F.col("src_dir").isNull() | (F.col("inner")[0] == F.col("src_dir"))))
-    name = F.element_at(F.col("inner"), -1)
-    flags = scoped.groupBy("package", "version").agg(
-        F.bool_or(name.endswith(".gemspec")).alias("has_gemspec"),
-        F.bool_or(name.endswith(".rb")).alias("has_ruby"))
+    is_dir = F.col("is_dir") if "is_dir" in listing.columns else F.lit(False)
+    rows = listing.select(parts.alias("p"), is_dir.alias("d"), (F.col("label") if label is None else F.lit(label)).cast("int").alias("label"))
+    rows = rows.where((F.size("p") >= 3) | (F.col("d") & (F.size("p") == 2)))
+    inside = (F.size("p") >= 4) | (F.col("d") & (F.size("p") == 3))
+    name = F.element_at("p", -1)
+    keys = [F.col("p")[0].alias("package"), F.col("p")[1].alias("version"), "label"]
+    per_child = rows.groupBy(*keys, F.when(inside, F.col("p")[2]).alias("child")).agg(
+        F.bool_or(~F.col("d") & name.endswith(".gemspec")).alias("gem"), F.bool_or(~F.col("d") & name.endswith(".rb")).alias("rb"))
+    flags = per_child.groupBy("package", "version", "label").agg(
+        F.min(F.when(F.col("child").endswith(".src"), F.struct("child", "gem", "rb"))).alias("src"), F.bool_or("gem").alias("gem"), F.bool_or("rb").alias("rb"))
     if require_gemspec:
-        flags = flags.where("has_gemspec")
+        flags = flags.where(F.coalesce("src.gem", "gem"))
     if require_ruby:
-        flags = flags.where("has_ruby")
-    return flags.select("package", "version", F.lit(label).cast("int").alias("label"))
+        flags = flags.where(F.coalesce("src.rb", "rb"))
+    return flags.select("package", "version", "label")
 
 
 def ruby_version_labels(mal_listing: DataFrame | None, ben_listing: DataFrame | None,
                         require_gemspec: bool = False, require_ruby: bool = False,
                         spark=None) -> DataFrame:
     """malicious versions ∪ benign versions, de-duplicated (a missing root is empty)."""
-    parts = []
+    both = None
     for listing, label in ((mal_listing, 1), (ben_listing, 0)):
         if listing is not None:
-            parts.append(directory_version_labels(listing, label, require_gemspec, require_ruby))
-    if not parts:
+            is_dir = F.col("is_dir") if "is_dir" in listing.columns else F.lit(False)
+            one = listing.select("rel_path", is_dir.alias("is_dir"), F.lit(label).alias("label"))
+            both = one if both is None else both.unionByName(one)
+    if both is None:
         if spark is None:
             raise ValueError("no listing given and no session to build an empty frame")
         return spark.createDataFrame([], "package string, version string, label int")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.dropDuplicates(["package", "version", "label"])
+    return directory_version_labels(both, None, require_gemspec, require_ruby)

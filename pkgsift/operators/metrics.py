@@ -33,10 +33,3 @@ def detection_metrics(pred: DataFrame, label_col: str = "label", pred_col: str =
         _ratio(tp, tp + fp).alias("precision"),
         _ratio(tp, tp + fn).alias("recall"),
         _ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
-
-
-def metrics_json(metrics: DataFrame, group_col: str = "split") -> DataFrame:
-    """One row, one JSON object ``{"val": {...}, "test": {...}}``-style, keyed by group."""
-    per = metrics.select(F.col(group_col).alias("k"),
-                         F.struct("accuracy", "precision", "recall", "f1").alias("v"))
-    return per.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("k", "v")))).alias("metrics"))

@@ -1,9 +1,8 @@
 """Per-version rollup of file features.
 
-Groups are bounded by the top-K choice (at most K files per version), and
-``collect_list`` / ``bool_or`` / ``sum`` all have map-side partial steps.
-``calls`` is not needed by the npm sentence and is dropped before the shuffle
-unless asked for.
+The flags and sums are one aggregate.  Imports are made distinct per version
+before they are collected, so a version's list is bounded by its distinct
+modules, however many files it has.
 """
 
 from __future__ import annotations
@@ -12,20 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def version_rollup(file_feats: DataFrame, keep_calls: bool = False) -> DataFrame:
-    """Set-union imports, OR flags, sum counts (and concat calls) per version."""
-    aggs = [
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("imports")))).alias("imports"),
+def version_rollup(file_feats: DataFrame) -> DataFrame:
+    """Set-union imports, OR flags and sum counts per version."""
+    keys = ["package", "version"]
+    flags = file_feats.groupBy(*keys).agg(
         F.bool_or("has_eval_exec").alias("has_eval_exec"),
         F.bool_or("calls_os").alias("calls_os"),
         F.bool_or("calls_proc").alias("calls_proc"),
         F.sum("url_count").cast("bigint").alias("url_count"),
         F.sum("b64_count").cast("bigint").alias("b64_count"),
-        F.count(F.lit(1)).alias("n_files"),
-    ]
-    if keep_calls:
-        # order of files inside a version follows rank
-        aggs.append(F.flatten(F.transform(
-            F.array_sort(F.collect_list(F.struct("rank", "calls"))), lambda s: s["calls"]))
-            .alias("calls"))
-    return file_feats.groupBy("package", "version").agg(*aggs)
+        F.count(F.lit(1)).alias("n_files"))
+    modules = (file_feats.select(*keys, F.explode("imports").alias("m")).distinct()
+               .groupBy(*keys).agg(F.array_sort(F.collect_list("m")).alias("imports")))
+    none = F.array().cast("array<string>")
+    return flags.join(modules, keys, "left").withColumn("imports", F.coalesce("imports", none))

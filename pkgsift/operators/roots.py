@@ -12,7 +12,7 @@ choices (Q5: shortest name, then name):
    segment, PyPI one whose name starts with the package;
 2. version directory: exact (C1), else one whose name contains the
    version (C2);
-3. else ``{pkg}@{ver}`` at the top level (C4, tried for every unresolved row).
+3. npm: else ``{pkg}@{ver}`` at the top level (C4, tried for every unresolved row).
 
 Fallbacks only see the anti-join remainder, and every theta condition
 (ends with, starts with, contains) becomes an equi-join on exploded
@@ -33,13 +33,30 @@ PYPI_INNER_DIRS = ["tar-gz", "zip", "src", "source", "build", "dist"]
 # ---------------------------------------------------------------------------
 
 
-def directory_table(listing: DataFrame, materialize: bool = True) -> DataFrame:
-    """Distinct (top, second) of a file listing; ``second`` is null for files
-    directly under a top directory.  One row per version directory, far fewer
-    than files; checkpointed once because every resolution step reads it."""
-    parts = F.split(F.col("path"), "/")
-    d = (listing.where(F.size(parts) >= 2)
-         .select(parts[0].alias("top"), F.when(F.size(parts) >= 3, parts[1]).alias("second"))
+def _split_top(path: Column, ecosystem: str) -> Column:
+    """array<struct<top, rest>>: a path's package directory and the parts below it.
+    An npm path below ``@scope`` is read both ways: the package may be the scope's
+    child (``@scope/name``) or, by the name fallback, the directory itself."""
+    parts = F.split(path, "/")
+
+    def at(depth: int) -> Column:
+        return F.struct(F.array_join(F.slice(parts, 1, depth), "/").alias("top"),
+                        F.slice(parts, F.lit(depth + 1), F.size(parts)).alias("rest"))
+
+    if ecosystem != "npm":
+        return F.array(at(1))
+    return F.when(parts[0].startswith("@") & (F.size(parts) >= 2), F.array(at(1), at(2))).otherwise(F.array(at(1)))
+
+
+def directory_table(listing: DataFrame, materialize: bool = True, ecosystem: str = "npm") -> DataFrame:
+    """Distinct (top, second) of a listing; ``second`` is null for files directly
+    under a package directory.  ``listing`` has file paths and, from a walk, also
+    directories (``is_dir``), so that empty ones are found.  One row per version
+    directory; written once because every resolution step reads it."""
+    is_dir = F.col("is_dir") if "is_dir" in listing.columns else F.lit(False)
+    rows = listing.select(F.inline(_split_top(F.col("path"), ecosystem)), is_dir.alias("d"))
+    d = (rows.where((F.size("rest") >= 1) | F.col("d"))
+         .select("top", F.when((F.size("rest") >= 2) | (F.col("d") & (F.size("rest") == 1)), F.col("rest")[0]).alias("second"))
          .distinct())
     return _materialize(d) if materialize else d
 
@@ -94,7 +111,8 @@ def resolve_package_dirs(packages: DataFrame, tops: DataFrame, ecosystem: str) -
     rest = packages.join(exact.select("package"), "package", "left_anti")
     kind = "prefix" if ecosystem == "pypi" else "suffix"
     key = F.col("package") if ecosystem == "pypi" else F.element_at(F.split(F.col("package"), "/"), -1)
-    affixes = tops.select(F.col("top").alias("pkg_dir"), F.length("top").alias("_len"),
+    # the reference looks at the root's own directories only, so not inside scopes
+    affixes = tops.where(F.instr("top", "/") == 0).select(F.col("top").alias("pkg_dir"), F.length("top").alias("_len"),
                           F.explode(F.array_distinct(_affixes(F.col("top"), kind))).alias("_k"))
     best_by_key = _best(affixes, ["_k"], ["_len", "pkg_dir"], ["pkg_dir"])
     fb = rest.select("package", key.alias("_k")).join(best_by_key, "_k").select("package", "pkg_dir")
@@ -109,7 +127,7 @@ def resolve_roots(labels: DataFrame, listing: DataFrame, ecosystem: str = "npm",
     ``pkg@ver`` 2); the smallest (priority, name length, name) wins, which
     is the reference's fallback order with a deterministic "first".
     """
-    d = directory_table(listing, materialize)
+    d = directory_table(listing, materialize, ecosystem)
     dirs = d.where(F.col("second").isNotNull())
     tops = d.select("top").distinct()
     keys = labels.select("package", "version").distinct()
@@ -143,7 +161,10 @@ def resolve_roots(labels: DataFrame, listing: DataFrame, ecosystem: str = "npm",
     at = (rest.join(tops, F.concat_ws("@", "package", "version") == F.col("top"))
           .select("package", "version", F.lit(2).alias("_p"), "top",
                   F.lit(None).cast("string").alias("second")))
-    cands = (exact.unionByName(contains).unionByName(at)
+    cands = exact.unionByName(contains)
+    if ecosystem == "npm":  # the other registries have no such layout
+        cands = cands.unionByName(at)
+    cands = (cands
              .withColumn("_len", F.length(F.coalesce("second", "top"))))
     best = _best(cands, ["package", "version"], ["_p", "_len", "second"], ["top", "second"])
     best = best.select("package", "version", F.col("top").alias("root_top"),
@@ -151,58 +172,56 @@ def resolve_roots(labels: DataFrame, listing: DataFrame, ecosystem: str = "npm",
     return labels.join(best, ["package", "version"], "left")
 
 
-def files_under_roots(roots: DataFrame, listing: DataFrame) -> DataFrame:
+def files_under_roots(roots: DataFrame, listing: DataFrame, ecosystem: str = "npm") -> DataFrame:
     """Files below each resolved root → (package, version, rel_path, + listing columns).
 
-    ``rel_path`` is relative to the root.  Two equi-joins, one per root shape.
+    ``rel_path`` is relative to the root; ``path`` stays, so that a chosen row can
+    be read.  Two equi-joins of narrow rows, one per root shape.
     """
-    parts = F.split(F.col("path"), "/")
-    extra = [c for c in listing.columns if c != "path"]
-    files = listing.select(parts[0].alias("_top"), parts[1].alias("_second"), parts.alias("_parts"),
-                           *extra)
+    if "is_dir" in listing.columns:
+        listing = listing.where(~F.col("is_dir")).drop("is_dir")
+    files = listing.select("*", F.inline(_split_top(F.col("path"), ecosystem)).alias("_top", "_rest"))
     r = roots.where(F.col("root_top").isNotNull()).select(
         "package", "version", "root_top", "root_second").distinct()
     two = (r.where(F.col("root_second").isNotNull())
-           .join(files.where(F.size("_parts") >= 3),
+           .join(files.where(F.size("_rest") >= 2).withColumn("_second", F.col("_rest")[0]),
                  (F.col("root_top") == F.col("_top")) & (F.col("root_second") == F.col("_second")))
-           .withColumn("rel_path", F.array_join(F.slice("_parts", 3, 1 << 30), "/")))
+           .withColumn("rel_path", F.array_join(F.slice("_rest", 2, 1 << 30), "/")))
     one = (r.where(F.col("root_second").isNull())
-           .join(files.where(F.size("_parts") >= 2), F.col("root_top") == F.col("_top"))
-           .withColumn("rel_path", F.array_join(F.slice("_parts", 2, 1 << 30), "/")))
-    cols = ["package", "version", "rel_path", *extra]
+           .join(files.where(F.size("_rest") >= 1), F.col("root_top") == F.col("_top"))
+           .withColumn("rel_path", F.array_join("_rest", "/")))
+    cols = ["package", "version", "rel_path", *listing.columns]
     return two.select(*cols).unionByName(one.select(*cols))
 
 
-def pypi_inner_root(files: DataFrame) -> DataFrame:
+def _under(rows: DataFrame, inner: DataFrame) -> DataFrame:
+    """Rows inside their version's ``inner`` directory (all rows where there is
+    none), with ``rel_path`` relative to it and the version-relative ``vrel``."""
+    keyed = rows.join(inner, ["package", "version"], "left").withColumn("vrel", F.col("rel_path"))
+    inside = F.col("inner").isNull() | F.col("rel_path").startswith(F.concat(F.col("inner"), F.lit("/")))
+    rel = F.when(F.col("inner").isNull(), F.col("rel_path")).otherwise(F.expr("substring(rel_path, length(inner) + 2)"))
+    return keyed.where(inside).withColumn("rel_path", rel).drop("inner")
+
+
+def pypi_inner_root(files: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     """C5 (PyPI): a preferred subdirectory (tar-gz, zip, src, source, build,
     dist; first in that order) becomes the root.
 
-    ``files`` has (package, version, rel_path, ...) relative to the version
-    directory.  The result has ``rel_path`` relative to the inner root and
-    keeps the version-relative path as ``vrel`` for path patterns.
+    The directories are found in ``files`` (package, version, rel_path relative
+    to the version directory) and applied to ``rows``, by default ``files``: a
+    listing decides, and rows with features follow it.
     """
     first = F.split(F.col("rel_path"), "/")[0]
     prefs = F.array(*[F.lit(n) for n in PYPI_INNER_DIRS])
-    subdirs = (files.where(F.instr("rel_path", "/") > 0)
-               .select("package", "version", first.alias("sub"))
-               .where(F.col("sub").isin(PYPI_INNER_DIRS)))
-    inner = (subdirs.groupBy("package", "version")
-             .agg(F.min(F.array_position(prefs, F.col("sub"))).alias("_i"))
+    inner = (files.where((F.instr("rel_path", "/") > 0) & first.isin(PYPI_INNER_DIRS))
+             .groupBy("package", "version").agg(F.min(F.array_position(prefs, first)).alias("_i"))
              .select("package", "version", F.element_at(prefs, F.col("_i").cast("int")).alias("inner")))
-    keyed = files.join(inner, ["package", "version"], "left").withColumn("vrel", F.col("rel_path"))
-    inside = F.col("inner").isNull() | F.col("rel_path").startswith(F.concat(F.col("inner"), F.lit("/")))
-    rel = F.when(F.col("inner").isNull(), F.col("rel_path")).otherwise(
-        F.expr("substring(rel_path, length(inner) + 2)"))
-    return keyed.where(inside).withColumn("rel_path", rel).drop("inner")
+    return _under((files if rows is None else rows).drop("content"), inner)
 
 
-def ruby_inner_root(files: DataFrame) -> DataFrame:
+def ruby_inner_root(files: DataFrame, rows: DataFrame | None = None) -> DataFrame:
     """C5 (Ruby): the first ``*.src`` subdirectory, when one exists, is the root."""
     first = F.split(F.col("rel_path"), "/")[0]
     src = (files.where((F.instr("rel_path", "/") > 0) & first.endswith(".src"))
            .groupBy("package", "version").agg(F.min(first).alias("inner")))
-    keyed = files.join(src, ["package", "version"], "left")
-    inside = F.col("inner").isNull() | F.col("rel_path").startswith(F.concat(F.col("inner"), F.lit("/")))
-    rel = F.when(F.col("inner").isNull(), F.col("rel_path")).otherwise(
-        F.expr("substring(rel_path, length(inner) + 2)"))
-    return keyed.where(inside).withColumn("rel_path", rel).drop("inner")
+    return _under((files if rows is None else rows).drop("content"), src)

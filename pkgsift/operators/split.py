@@ -181,9 +181,12 @@ def split_counts(split_df: DataFrame) -> DataFrame:
 
 def write_splits(split_df: DataFrame, out_dir: str, fmt: str = "parquet",
                  columns=("textual_description", "label")) -> None:
-    """One folder per split.  CSV uses RFC-4180 quoting (doubled quotes),
-    as pandas writes; an empty frame still writes header-only output."""
+    """Folders ``split=train``, ``split=validation``, ``split=test``, written in
+    one pass.  CSV uses RFC-4180 quoting (doubled quotes), as pandas writes."""
     from pkgsift.sources.sinks import write_table
-    for name in SPLITS:
-        write_table(split_df.where(F.col("split") == name).select(*columns), f"{out_dir}/{name}",
-                    fmt="csv" if fmt == "csv" else "parquet")
+    write_table(split_df.select(*columns, "split"), out_dir, fmt="csv" if fmt == "csv" else "parquet", by="split")
+
+
+def split_folder(out_dir: str, name: str) -> str:
+    """Where ``write_splits`` leaves one split."""
+    return f"{out_dir}/split={name}"

@@ -17,7 +17,6 @@ from pkgsift.functions import tags as T
 from pkgsift.operators import labels as L
 from pkgsift.sources import fixtures as FX
 from pkgsift.sources.review_csv import resolve_review_columns
-from pkgsift.sources.scan import spread_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -230,7 +229,7 @@ SELECT page_id,
 FROM pages""")
 def page_url_flags(spark, sf_dir):
     """URL evidence on web pages: the URL column and the raw HTML."""
-    p = spread_small(spark.read.parquet(f"{sf_dir}/pages.parquet"), "page_id")
+    p = FX.spread(spark.read.parquet(f"{sf_dir}/pages.parquet"), "page_id")
     return p.select("page_id", F.col("url").rlike(EV.URL_PATTERN).alias("url_evidence"),
                     EV.url_count(F.col("html")).alias("html_url_count"),
                     EV.b64_count(F.col("html")).alias("html_b64_count"))
@@ -286,13 +285,13 @@ def _calls_text(calls_col):
 def _sql_py_features(src="files", text="content", keep=("doc_id",)):
     """DuckDB: Python features for every row of ``src``."""
     k = ", ".join(keep)
-    imp_words = ("list_filter(regexp_split_to_array(' ' || substr(t, 7), '[\\s,]+'), "
+    imp_words = ("list_filter(regexp_split_to_array(' ' || substr(t, 7), '[\\s,\\\\]+'), "
                  "lambda w: w <> '' AND w <> 'as')")
     imp_bases = (f"list_filter(list_transform({imp_words}, lambda w: split_part(w, '.', 1)), "
                  f"lambda b: regexp_full_match(b, '[A-Za-z_][A-Za-z0-9_]*'))")
     plain = f"flatten(list_transform(list_filter(toks, lambda t: starts_with(t, 'import')), lambda t: {imp_bases}))"
-    frm = ("list_filter(list_transform(list_filter(toks, lambda t: regexp_matches(t, '^from\\s')), "
-           "lambda t: split_part(regexp_extract(t, '^from\\s+(\\S*)', 1), '.', 1)), lambda m: m <> '')")
+    frm = ("list_filter(list_transform(list_filter(toks, lambda t: regexp_matches(t, '^from[\\s\\\\]')), "
+           "lambda t: split_part(regexp_extract(t, '^from[\\s\\\\]+([^\\s\\\\]*)', 1), '.', 1)), lambda m: m <> '')")
     calls = (f"list_transform(list_filter({O.heads('toks')}, lambda h: NOT {O.head_is_keyword('h', LX.PYTHON_KEYWORDS)}), "
              f"lambda h: {{'mod': {O.head_base('h')}, 'func': {O.head_func('h')}}})")
     return f"""py_toks AS (SELECT {k}, regexp_extract_all({text}, {O.q(O.PY_TOKENS_RE2)}) AS toks FROM {src}),
@@ -369,6 +368,7 @@ def _sql_pairs(text, key, pattern, fields):
 
 
 def _sql_js_features(src="files", text="content", keep=("doc_id",), max_bytes=JS.DEFAULT_MAX_FILE_BYTES):
+    max_bytes = max_bytes or 1 << 62  # 0: no gate
     k = ", ".join(keep)
     P = _JS_PAIR_RE2
     aliases = "flatten([" + ", ".join(_sql_pairs(text, None, P[n], ("k", "mod"))
@@ -516,15 +516,15 @@ ranked AS (
          CAST(row_number() OVER (PARTITION BY package, version
                                  ORDER BY pri, size DESC, ends_with(rel_path, '.ts'), rel_path) AS INTEGER) AS rank
   FROM cands),
-topk AS (SELECT * FROM ranked WHERE rank <= {FL.DEFAULT_TOP_K})"""
+topk AS (SELECT * FROM ranked)"""
 
 
 @register("topk_files", f"""{_with('npm')},
 {_TOPK_CTE}
-SELECT package, version, rel_path, size, rank FROM topk""")
+SELECT package, version, rel_path, size, rank FROM topk WHERE rank <= {FL.REFERENCE_TOP_K}""")
 def topk_files(spark, sf_dir):
     """Best 20 .js/.ts files per npm version by (priority, -size), deny paths removed."""
-    return FL.topk_files(_src(spark, sf_dir, "npm")).select(
+    return FL.topk_files(_src(spark, sf_dir, "npm"), FL.REFERENCE_TOP_K).select(
         "package", "version", "rel_path", "size", "rank")
 
 
@@ -609,7 +609,7 @@ SELECT package, version, array_to_string(imports, ',') AS imports, has_eval_exec
        calls_proc, url_count, b64_count, n_files
 FROM rollup""")
 def version_rollup(spark, sf_dir):
-    """Top-K files' features rolled up per npm version."""
+    """All candidate files' features rolled up per npm version."""
     r = D.npm_version_features(_src(spark, sf_dir, "npm"))
     return r.select("package", "version", F.array_join("imports", ",").alias("imports"),
                     "has_eval_exec", "calls_os", "calls_proc", "url_count", "b64_count", "n_files")
@@ -640,7 +640,7 @@ LEFT JOIN found fd ON v.package = fd.package AND v.version = fd.version
 LEFT JOIN rollup r ON v.package = r.package AND v.version = r.version
 LEFT JOIN hooks h ON v.package = h.package AND v.version = h.version""")
 def npm_sentences(spark, sf_dir):
-    """L2 npm: label rows → top-K files → rollup → manifest → sentence."""
+    """L2 npm: label rows → candidate files → rollup → manifest → sentence."""
     return D.npm_descriptions(_labels(spark, sf_dir), _src(spark, sf_dir, "npm"))
 
 
@@ -773,7 +773,7 @@ def split_csv_roundtrip(spark, sf_dir):
     from pkgsift.sources.sinks import scratch_folder
     out = scratch_folder(spark, "split-csv")
     SP.write_splits(stratified_split(spark, sf_dir), out, fmt="csv")
-    parts = [load_split_csv(spark, f"{out}/{name}").withColumn("split", F.lit(name)) for name in SP.SPLITS]
+    parts = [load_split_csv(spark, SP.split_folder(out, name)).withColumn("split", F.lit(name)) for name in SP.SPLITS]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -786,8 +786,7 @@ from pkgsift.sources.review_csv import detect_columns, label_digit  # noqa: E402
 
 
 def _doc_labels(spark, sf_dir):
-    docs = spread_small(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"),
-                        "doc_id")
+    docs = FX.spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"), "doc_id")
     lab = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return docs.join(lab, "doc_id")
 
@@ -841,14 +840,11 @@ def detection_metrics(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Step 10: completion-only loss mask (R4) and the detector
 # ---------------------------------------------------------------------------
-LOSS_MASK_MAX_LENGTH = 512  # the reference's max_seq_len default
-
-
 @register("loss_mask", f"""
 WITH p AS (
   SELECT d.doc_id, {O.q(PR.PROMPT_HEAD)} || d.text || {O.q(PR.PROMPT_TAIL)} || CAST(l.toxic AS VARCHAR) AS prompt
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE d.text IS NOT NULL),
-ids AS (SELECT doc_id, list_transform(string_split(substr(prompt, 1, {LOSS_MASK_MAX_LENGTH}), ''), lambda c: CAST(unicode(c) AS INTEGER)) AS ids FROM p),
+ids AS (SELECT doc_id, list_transform(string_split(prompt, ''), lambda c: CAST(unicode(c) AS INTEGER)) AS ids FROM p),
 t AS (SELECT list_transform(string_split({O.q(PR.RESPONSE_MARKER)}, ''), lambda c: CAST(unicode(c) AS INTEGER)) AS templ),
 s AS (SELECT doc_id, ids, list_max(list_filter(range(1, len(ids) - len(templ) + 2),
                                                 lambda i: ids[i:i + len(templ) - 1] = templ)) AS start
@@ -858,12 +854,10 @@ SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_tokens,
        CAST(start AS INTEGER) AS template_start
 FROM s""")
 def loss_mask(spark, sf_dir):
-    """R4 on character ids of training prompts (512 ids): masked count and template start."""
+    """R4 on character ids of whole training prompts: masked count and template start."""
     df = _doc_labels(spark, sf_dir).where(F.col("text").isNotNull())
     prompt = PR.build_prompt(F.col("text"), F.col("toxic"))
-    # character ids: truncating the text to max_length characters is the
-    # tokenizer's truncation to max_length ids
-    ids = PR.char_ids(F.substring(prompt, 1, LOSS_MASK_MAX_LENGTH))
+    ids = PR.char_ids(prompt)
     templ = F.array(*[F.lit(ord(c)) for c in PR.RESPONSE_MARKER])
     staged = PR.with_completion_mask(df.select("doc_id", ids.alias("ids")), "ids", templ)
     return staged.select(

@@ -1,20 +1,26 @@
 """Describe stage per registry: source files + labels → one sentence per label row.
 
-Input tables:
+``files`` – (package, version, rel_path, size, …) keyed by the version directory
+they sit in – comes in two forms:
 
-* ``files``  – (package, version, rel_path, size, content): files keyed by
-  the version directory they sit in (as ``sources.tree`` ingests them, or
-  ``roots.files_under_roots`` maps them);
-* ``labels`` – (package, version, label) label rows.
+* a table with ``content`` (``sources.tree.ingest``, or the fixtures): features
+  are computed where a body is read, and the choice of files runs on the
+  feature rows;
+* a listing without ``content``, with ``read``: the choice runs on the listing,
+  and ``read`` adds the bodies of the chosen rows inside the tasks.
 
-Plan shape for npm (the heaviest): rank on narrow columns → join back to
-content for the top-K keys only → features by expressions → rollup by
-version → left join from labels → sentence.  Shuffles: the rank, the
-join-back, the rollup and the label join.
+Either way no file body crosses an exchange.  ``expand`` opens archives: it
+takes chosen (package, version, path) rows and gives member rows with
+``content``, a row with a null member per archive read to its end, and a row
+with ``error`` per broken one.
+
+``labels`` – (package, version, label) label rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +34,9 @@ from pkgsift.operators import files as FL
 from pkgsift.operators import roots as RT
 from pkgsift.operators.rollup import version_rollup
 
+Read = Callable[[DataFrame], DataFrame]
+Expand = Callable[[DataFrame], DataFrame]
+
 NO_JS = "no javascript file"
 NO_SOURCE = "no source found"
 NO_PY = "no python file"
@@ -36,32 +45,26 @@ NO_RUBY = "no ruby file"
 
 # --------------------------------------------------------------------------- npm
 
-def npm_file_features(files: DataFrame, k: int = FL.DEFAULT_TOP_K, include_tests: bool = False,
+def _features(files: DataFrame, choose, extract, read) -> DataFrame:
+    """Choice and features, in the order that keeps bodies out of exchanges."""
+    rows = choose(extract(files)) if read is None else extract(read(choose(files)))
+    return rows.drop("content", "text")
+
+
+def npm_file_features(files: DataFrame, k: int | None = None, include_tests: bool = False,
                       max_file_bytes: int = JS.DEFAULT_MAX_FILE_BYTES,
-                      max_tokens: int = DEFAULT_MAX_TOKENS,
-                      strategy: str = "features_first", extended: bool = False) -> DataFrame:
-    """Top-K files per version with their features (one row per chosen file).
-
-    ``features_first`` (default) extracts features for every candidate file
-    where it is read (map side, no shuffle) and ranks the small feature rows,
-    so file bodies never cross the network; files past the top K are lexed
-    and dropped.  ``rank_first`` ranks narrow columns, then joins the chosen
-    keys back to the bodies: it lexes only K files per version but shuffles
-    the bodies of all candidates.  Both give the same rows.
-    """
-    if strategy == "rank_first":
-        chosen = FL.with_content(FL.topk_files(files, k, include_tests), files)
-        return JS.js_features(chosen.withColumn("text", EV.decode_text(F.col("content"))),
-                              "text", "size", max_file_bytes, max_tokens,
-                              extended=extended).drop("content", "text")
-    if strategy != "features_first":
-        raise ValueError("strategy must be 'features_first' or 'rank_first'")
-    cands = FL.js_candidates(files.select("package", "version", "rel_path", "size", "content"),
-                             include_tests)
-    feats = JS.js_features(cands.withColumn("text", EV.decode_text(F.col("content"))),
-                           "text", "size", max_file_bytes, max_tokens,
-                           extended=extended).drop("content", "text", "calls")
-    return FL.topk_files(feats, k, include_tests=True, keep_columns=True)
+                      max_tokens: int = DEFAULT_MAX_TOKENS, extended: bool = False,
+                      read: Read | None = None) -> DataFrame:
+    """Candidate files per version with their features, one row per file: all of
+    them, or the best ``k`` (E1)."""
+    def choose(rows):
+        return FL.js_candidates(rows, include_tests) if k is None else FL.topk_files(rows, k, include_tests)
+
+    def extract(rows):
+        text = FL.js_candidates(rows, include_tests).withColumn("text", EV.decode_text(F.col("content")))
+        return JS.js_features(text, "text", "size", max_file_bytes, max_tokens, extended=extended).drop("content", "text", "calls")
+
+    return _features(files, choose, extract, read)
 
 
 def npm_version_features(files: DataFrame, **kw) -> DataFrame:
@@ -69,22 +72,23 @@ def npm_version_features(files: DataFrame, **kw) -> DataFrame:
     return version_rollup(npm_file_features(files, **kw))
 
 
-def manifest_hooks(files: DataFrame) -> DataFrame:
+def manifest_hooks(files: DataFrame, read: Read | None = None) -> DataFrame:
     """A9 + G5: ``package.json`` at the version root → (package, version, startup)."""
-    return (files.where(F.col("rel_path") == "package.json")
+    manifests = files.where(F.col("rel_path") == "package.json")
+    return ((manifests if read is None else read(manifests))
             .select("package", "version",
                     JS.install_hook(EV.decode_text(F.col("content"))).alias("startup")))
 
 
 def npm_descriptions(labels: DataFrame, files: DataFrame, found: DataFrame | None = None,
-                     **kw) -> DataFrame:
+                     read: Read | None = None, **kw) -> DataFrame:
     """L2 (npm): label rows → (package, version, textual_description, label).
 
     ``found`` lists (package, version) that have a version root; by default
     every version present in ``files``.
     """
-    feats = npm_version_features(files, **kw)
-    hooks = manifest_hooks(files)
+    feats = npm_version_features(files, read=read, **kw)
+    hooks = manifest_hooks(files, read)
     if found is None:
         found = files.select("package", "version").distinct()
     rows = (labels.select("package", "version", "label")
@@ -111,54 +115,58 @@ def _npm_text_cols():
 
 # --------------------------------------------------------------------------- PyPI
 
-def pypi_file_features(files: DataFrame, from_imports: bool = True,
-                       max_tokens: int = DEFAULT_MAX_TOKENS) -> DataFrame:
-    """E2 representative file per version, with its features."""
-    chosen = FL.with_content(FL.representative_python(files), files)
-    return PY.python_features(chosen.withColumn("text", EV.decode_text(F.col("content"))),
-                              "text", from_imports, 1, max_tokens).drop("content", "text")
+def _py_features(rows: DataFrame, from_imports: bool, max_tokens: int) -> DataFrame:
+    text = rows.where(F.col("rel_path").endswith(".py")).withColumn("text", EV.decode_text(F.col("content")))
+    return PY.python_features(text, "text", from_imports, 1, max_tokens).drop("content", "text")
 
 
 # Archive kinds tried at the PyPI inner root, in the reference's order.
 PYPI_ARCHIVE_ORDER = [".tar.gz", ".tgz", ".zip", ".whl", ".tar"]
 
 
-def pypi_archive_fallback(inner: DataFrame, members: DataFrame) -> DataFrame:
-    """A10: versions whose inner root holds no ``*.py`` take the members of
-    the first archive directly in that root (by kind order, then name).
+def pypi_archive_choice(listing: DataFrame) -> DataFrame:
+    """A10: (package, version, path) of the first archive directly in the inner
+    root (by kind order, then name) of versions without ``*.py`` there.
 
-    ``inner`` comes from ``roots.pypi_inner_root``; ``members`` from
-    ``archives.members_as_files``.  Returns ``inner`` plus the member files
-    (``from_archive`` true) of those versions.
+    ``listing`` has the file's own ``path`` in the tree, so an archive under a
+    fallback root is found where it lies.
     """
-    has_py = inner.where(F.col("rel_path").endswith(".py")).select("package", "version").distinct()
+    inner = RT.pypi_inner_root(listing)
     low = F.lower(F.col("rel_path"))
     kind = None
     for i, suf in enumerate(PYPI_ARCHIVE_ORDER):
         cond = low.endswith(suf)
         kind = F.when(cond, F.lit(i)) if kind is None else kind.when(cond, F.lit(i))
-    arch = (inner.where((F.instr("rel_path", "/") == 0) & kind.isNotNull())
-            .join(has_py, ["package", "version"], "left_anti")
-            .groupBy("package", "version")
-            .agg(F.min(F.struct(kind.alias("k"), F.col("vrel").alias("v"))).alias("_a"))
-            .select("package", "version",
-                    F.concat_ws("/", "package", "version", F.col("_a.v")).alias("archive")))
-    extra = members.join(arch, ["package", "version", "archive"], "left_semi").drop("archive")
-    base = inner if "from_archive" in inner.columns else inner.withColumn("from_archive", F.lit(False))
-    return base.unionByName(extra.withColumn("vrel", F.col("rel_path")), allowMissingColumns=True)
+    direct = F.when(F.instr("rel_path", "/") == 0, kind)
+    return (inner.groupBy("package", "version")
+            .agg(F.bool_or(F.col("rel_path").endswith(".py")).alias("_py"),
+                 F.min(F.when(direct.isNotNull(), F.struct(direct.alias("k"), F.col("rel_path").alias("r"), F.col("path").alias("p")))).alias("_a"))
+            .where(~F.col("_py") & F.col("_a").isNotNull())
+            .select("package", "version", F.col("_a.p").alias("path")))
+
+
+def pypi_file_features(files: DataFrame, from_imports: bool = True, max_tokens: int = DEFAULT_MAX_TOKENS,
+                       read: Read | None = None, expand: Expand | None = None) -> DataFrame:
+    """E2 representative file per version, with its features."""
+    listing = files.drop("content")
+    own = _features(files, lambda rows: FL.representative_python(RT.pypi_inner_root(listing, rows)),
+                    lambda rows: _py_features(rows, from_imports, max_tokens), read)
+    if expand is None:
+        return own
+    members = expand(pypi_archive_choice(listing)).where("error is null and member is not null").withColumnRenamed("member", "rel_path")
+    packed = FL.representative_python(_py_features(members, from_imports, max_tokens).withColumn("from_archive", F.lit(True)))
+    cols = ["package", "version", "rel_path", "tier", "imports", "calls", "url_count", "b64_count", "has_eval_exec"]
+    return own.select(*cols).unionByName(packed.select(*cols))
 
 
 def pypi_descriptions(labels: DataFrame, files: DataFrame, found: DataFrame | None = None,
-                      members: DataFrame | None = None, **kw) -> DataFrame:
+                      read: Read | None = None, expand: Expand | None = None, **kw) -> DataFrame:
     """L2 (PyPI): label rows → (package, version, textual_description, label).
 
-    With ``members`` (expanded archives) a version without Python files at its
-    inner root falls back to its first archive's members (A10).
+    With ``expand`` a version without Python files at its inner root falls back
+    to its first archive's members (A10).
     """
-    inner = RT.pypi_inner_root(files)
-    if members is not None:
-        inner = pypi_archive_fallback(inner, members)
-    feats = pypi_file_features(inner, **kw)
+    feats = pypi_file_features(files, read=read, expand=expand, **kw)
     if found is None:
         found = files.select("package", "version").distinct()
     rows = (labels.select("package", "version", "label")
@@ -182,11 +190,45 @@ def _pypi_text_cols():
 
 # --------------------------------------------------------------------------- RubyGems
 
-def ruby_file_features(files: DataFrame, max_tokens: int = DEFAULT_MAX_TOKENS) -> DataFrame:
-    """E3 representative file per version, with its features."""
-    chosen = FL.with_content(FL.representative_ruby(files), files)
-    return RB.ruby_features(chosen.withColumn("text", EV.decode_text(F.col("content"))),
-                            "text", 1, max_tokens).drop("content", "text")
+def _rb_features(rows: DataFrame, max_tokens: int) -> DataFrame:
+    text = FL.ruby_candidates(rows).withColumn("text", EV.decode_text(F.col("content")))
+    return RB.ruby_features(text, "text", 1, max_tokens).drop("content", "text")
+
+
+def gem_choice(listing: DataFrame) -> DataFrame:
+    """(package, version, path) of the first ``.gem`` directly in the version
+    directory of versions without a ``*.src`` directory."""
+    first = F.split(F.col("rel_path"), "/")[0]
+    inside = F.instr("rel_path", "/") > 0
+    gem = F.when(~inside & F.col("rel_path").endswith(".gem"), F.struct(F.col("rel_path").alias("r"), F.col("path").alias("p")))
+    return (listing.groupBy("package", "version")
+            .agg(F.bool_or(inside & first.endswith(".src")).alias("_src"), F.min(gem).alias("_g"))
+            .where(~F.col("_src") & F.col("_g").isNotNull()).select("package", "version", F.col("_g.p").alias("path")))
+
+
+def ruby_file_features(files: DataFrame, max_tokens: int = DEFAULT_MAX_TOKENS, read: Read | None = None,
+                       expand: Expand | None = None) -> DataFrame:
+    """E3 representative file per version, with its features: from the ``*.src``
+    directory, else from the ``.gem`` (if it can be read), else from the version."""
+    listing = files.drop("content")
+    opened = members = None
+    if expand is not None:
+        got = expand(gem_choice(listing))
+        broken = got.where("error is not null").select("package", "version").distinct()
+        opened = got.where("member is null and error is null").select("package", "version").distinct().join(broken, ["package", "version"], "left_anti")
+        members = (got.where("error is null and member is not null").withColumnRenamed("member", "rel_path")
+                   .join(broken, ["package", "version"], "left_anti"))
+
+    def choose(rows):
+        rows = RT.ruby_inner_root(listing, rows)
+        return FL.representative_ruby(rows if opened is None else rows.join(opened, ["package", "version"], "left_anti"))
+
+    own = _features(files, choose, lambda rows: _rb_features(rows, max_tokens), read)
+    if members is None:
+        return own
+    packed = FL.representative_ruby(_rb_features(members, max_tokens))
+    cols = ["package", "version", "rel_path", "tier", "requires", "calls", "url_count", "b64_count", "has_eval_exec"]
+    return own.select(*cols).unionByName(packed.select(*cols))
 
 
 def ruby_descriptions(versions: DataFrame, files: DataFrame, **kw) -> DataFrame:
@@ -195,8 +237,7 @@ def ruby_descriptions(versions: DataFrame, files: DataFrame, **kw) -> DataFrame:
     Every labelled version has a directory (that is where its label came
     from); a version without a Ruby file gets "no ruby file".
     """
-    inner = RT.ruby_inner_root(files)
-    feats = ruby_file_features(inner, **kw)
+    feats = ruby_file_features(files, **kw)
     rows = versions.select("package", "version", "label").join(feats, ["package", "version"], "left")
     return rows.select("package", "version", *_ruby_text_cols())
 

@@ -37,12 +37,11 @@ def ruby_label_job(spark: SparkSession, mal_dir: str | None, ben_dir: str | None
     def listing(root):
         if root is None:
             return None
-        return TR.list_tree(spark, root).select(F.col("path").alias("rel_path"))
+        return TR.walk(spark, root).select(F.col("path").alias("rel_path"), "is_dir")
     versions = L.ruby_version_labels(listing(mal_dir), listing(ben_dir), require_gemspec,
                                      require_ruby, spark=spark)
-    SK.write_table(SK.sink_order(versions), f"{out_dir}/labels_version", fmt, single_file=fmt == "csv")
-    SK.write_table(SK.sink_order(L.package_labels(versions)), f"{out_dir}/labels", fmt,
-                   single_file=fmt == "csv")
+    SK.write_table(SK.sink_order(versions), f"{out_dir}/labels_version", fmt)
+    SK.write_table(SK.sink_order(L.package_labels(versions)), f"{out_dir}/labels", fmt)
     return versions
 
 
@@ -55,13 +54,20 @@ def describe_job(spark: SparkSession, ecosystem: str, packages_dir: str, out_dir
     npm and PyPI take ``labels_csv`` (package, version, label); RubyGems walks
     ``mal_dir`` and ``ben_dir`` (its label is the root a version sits in).
     """
+    def read_from(root):
+        return lambda rows: TR.read_files(root, rows)
+
+    def expand_from(root, suffixes):
+        return lambda chosen: AR.expand_archives_at(spark, root, chosen, suffixes)
+
     if ecosystem == "rubygems":
         parts = []
         for root, label in ((mal_dir, 1), (ben_dir, 0)):
             if root:
-                files = TR.keyed_files(TR.read_tree(spark, root))
-                versions = files.select("package", "version").distinct().withColumn("label", F.lit(label))
-                parts.append(D.ruby_descriptions(versions, files, **kw))
+                entries = TR.walk(spark, root)
+                versions = L.directory_version_labels(entries.withColumnRenamed("path", "rel_path"), label)
+                files = TR.keyed_files(entries.where("not is_dir").drop("is_dir"))
+                parts.append(D.ruby_descriptions(versions, files, read=read_from(root), expand=expand_from(root, (".rb", ".gemspec")), **kw))
         if not parts:
             raise ValueError("RubyGems needs mal_dir and/or ben_dir")
         described = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -69,27 +75,19 @@ def describe_job(spark: SparkSession, ecosystem: str, packages_dir: str, out_dir
         if labels_csv is None:
             raise ValueError("npm and PyPI need labels_csv")
         labels = RC.read_version_labels(spark, labels_csv)
-        layout = TR.list_tree(spark, packages_dir)
-        roots = RT.resolve_roots(labels, layout, ecosystem)
+        entries = TR.walk(spark, packages_dir, levels=3 if ecosystem == "npm" else 2)
+        roots = RT.resolve_roots(labels, entries, ecosystem)
         found = roots.where(F.col("root_top").isNotNull()).select("package", "version").distinct()
-        files = _root_files(spark, packages_dir, roots, layout)
+        files = RT.files_under_roots(roots, entries, ecosystem)
         if ecosystem == "npm":
-            described = D.npm_descriptions(labels, files, found, **kw)
+            described = D.npm_descriptions(labels, files, found, read=read_from(packages_dir), **kw)
         else:
-            members = AR.members_as_files(AR.expand_archives_at(spark, packages_dir))
-            described = D.pypi_descriptions(labels, files, found, members=members, **kw)
+            described = D.pypi_descriptions(labels, files, found, read=read_from(packages_dir), expand=expand_from(packages_dir, (".py",)), **kw)
     out = SP.stratified_split(described, val_size=val_size, test_size=test_size, seed=seed)
     SP.write_splits(out, out_dir, fmt)
     return out
 
 
-def _root_files(spark, packages_dir, roots, listing):
-    """Files under each resolved root, bodies read once, keyed by the label's (package, version)."""
-    mapped = RT.files_under_roots(roots, listing.withColumn("_path", F.col("path")))
-    bodies = TR.read_tree(spark, packages_dir, listing=mapped.select(F.col("_path").alias("path"), "size"))
-    return mapped.join(bodies.select(F.col("path").alias("_path"), "content"), "_path").drop("_path")
-
-
 def train_job(spark: SparkSession, train_csv: str, val_csv: str, test_csv: str, out_dir: str,
               text_col: str | None = None, label_col: str | None = None,
               predict_only: bool = False, model_dir: str | None = None, **kw):

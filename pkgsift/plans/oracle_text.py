@@ -11,18 +11,26 @@ from __future__ import annotations
 
 from pkgsift.functions import evidence as EV
 
-_HEAD = (r"(?:\.\s{0,8})?[A-Za-z_$][\w$]*(?:\s{0,8}\??\.\s{0,8}[A-Za-z_$][\w$]*){0,16}\s{0,8}\(")
+
+
+def _head(blank: str) -> str:
+    return rf"(?:\.{blank})?[A-Za-z_$][\w$]*(?:{blank}\??\.{blank}[A-Za-z_$][\w$]*)*{blank}\("
+
+
+_JS_BLANK = r"\s*"
+_PY_BLANK = r"(?:\s|\\\r?\n)*"
+_PY_GAP = r"(?:[ \t]|\\\r?\n)"
 _JUNK = r"[0-9][\w$]*"
 
 PY_TOKENS_RE2 = "|".join([
     r"#[^\n]*",
     r'"(?:[^"\\\n]|\\[\s\S])*"?',
     r"'(?:[^'\\\n]|\\[\s\S])*'?",
-    r"\bfrom[ \t]+\.*[\w.]*[ \t]+import\b",
-    r"\bimport[ \t]+[\w.]+(?:[ \t]+as[ \t]+\w+)?(?:[ \t]*,[ \t]*[\w.]+(?:[ \t]+as[ \t]+\w+)?)*",
-    r"\b(?:def|class)\s{1,8}\w+",
+    rf"\bfrom{_PY_GAP}+\.*[\w.]*{_PY_GAP}+import\b",
+    rf"\bimport{_PY_GAP}+[\w.]+(?:{_PY_GAP}+as{_PY_GAP}+\w+)?(?:{_PY_GAP}*,{_PY_GAP}*[\w.]+(?:{_PY_GAP}+as{_PY_GAP}+\w+)?)*",
+    r"\b(?:def|class)\s+\w+",
     _JUNK,
-    _HEAD,
+    _head(_PY_BLANK),
 ])
 
 JS_TOKENS_RE2 = "|".join([
@@ -31,9 +39,10 @@ JS_TOKENS_RE2 = "|".join([
     r"'(?:[^'\\\n]|\\[\s\S])*'?",
     r'"(?:[^"\\\n]|\\[\s\S])*"?',
     r"`(?:[^`\\]|\\[\s\S])*`?",
-    r"\b(?:new|function)\s{1,8}[\w$.]+\s{0,8}\(",
+    r"\bnew\s+[\w$.]+\s*\(",
+    r"\bfunction\s*(?:\*\s*)?[\w$]+\s*\(",
     _JUNK,
-    _HEAD,
+    _head(_JS_BLANK),
 ])
 
 RUBY_STRINGS_RE2 = "(?m)" + "|".join([
@@ -81,15 +90,15 @@ def count_matching(lits: str, pattern: str) -> str:
 def heads(toks: str) -> str:
     """Call heads without blanks, '(' and '?' (non-call 'new'/'function' removed)."""
     return (f"list_transform(list_filter({toks}, lambda t: right(t, 1) = '(' AND NOT "
-            f"regexp_matches(t, '^(new|function)\\s')), "
-            f"lambda t: regexp_replace(t, '[\\s(?]', '', 'g'))")
+            f"regexp_matches(t, '^(new\\s|function[\\s*])')), "
+            f"lambda t: regexp_replace(t, '[\\s(?\\\\]', '', 'g'))")
 
 
 def heads_ctx(toks: str) -> str:
     """Call heads with their neighbouring tokens: list of {h, prev, next}."""
     return (f"list_transform(list_filter(range(1, len({toks}) + 1), lambda i: right({toks}[i], 1) = '(' "
-            f"AND NOT regexp_matches({toks}[i], '^(new|function)\\s')), "
-            f"lambda i: {{'h': regexp_replace({toks}[i], '[\\s(?]', '', 'g'), "
+            f"AND NOT regexp_matches({toks}[i], '^(new\\s|function[\\s*])')), "
+            f"lambda i: {{'h': regexp_replace({toks}[i], '[\\s(?\\\\]', '', 'g'), "
             f"'prev': CASE WHEN i > 1 THEN {toks}[i - 1] END, "
             f"'next': CASE WHEN i < len({toks}) THEN {toks}[i + 1] END}})")
 

@@ -1,14 +1,17 @@
 """Archive expansion (A10, A11, Q11): archive rows → member rows, in memory.
 
-The one Arrow / Python step of the describe stage: ``mapInPandas`` opens
-each archive's bytes with ``tarfile`` / ``zipfile`` inside the task and emits
-one row per regular member.  Nothing is written to disk and member names are
-data, never paths.  Caps bound what one hostile archive can cost:
+The one Python step of the describe stage: ``mapInPandas`` opens each archive
+with ``tarfile`` / ``zipfile`` inside the task and emits one row per regular
+member that is wanted.  Tars (and the inner tar of a ``.gem``) are streamed,
+zips are read through a seekable file, so one member body is in memory at a
+time, besides a batch of at most about ``BATCH_BYTES`` on its way to the JVM.
+Nothing is written to disk and member names are data, never paths.
 
-* members per archive, bytes per member, bytes per archive, and the
-  expansion ratio (members' total / archive size);
 * only regular files; links, devices and directories are skipped;
-* a broken archive yields one row with ``error`` set and no members.
+* no limit on members, sizes or ratios: padding cannot hide a file;
+* a member that does not fit a cell leaves a row with ``error`` set, and so
+  does an archive that cannot be read to its end;
+* an archive read to its end closes with a row of null ``member`` and ``error``.
 
 ``.gem`` files are outer tars whose ``*data.tar.gz`` member holds the tree.
 """
@@ -18,23 +21,17 @@ from __future__ import annotations
 import io
 import tarfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MEMBER_SCHEMA = ("path string, member string, size bigint, content binary, "
-                 "error string")
+MEMBER_COLUMNS = "member string, size bigint, content binary, error string"
 
 BATCH_BYTES = 64 * 1024 * 1024
-
-DEFAULT_LIMITS = {
-    "max_members": 20_000,
-    "max_member_bytes": 16 * 1024 * 1024,
-    "max_total_bytes": 256 * 1024 * 1024,
-    "max_ratio": 200.0,
-}
+#: A cell of a row holds at most this many bytes (Spark's array limit, less a margin).
+CELL_BYTES = (1 << 31) - (1 << 20)
 
 
 def _kind(name: str) -> str | None:
@@ -48,92 +45,119 @@ def _kind(name: str) -> str | None:
     return None
 
 
-class _Budget:
-    def __init__(self, archive_size: int, limits: dict):
-        self.lim = limits
-        self.count = 0
-        self.total = 0
-        self.cap = min(limits["max_total_bytes"],
-                       int(max(archive_size, 1) * limits["max_ratio"]))
-
-    def take(self, size: int) -> bool:
-        if self.count >= self.lim["max_members"] or size > self.lim["max_member_bytes"]:
-            return False
-        if self.total + size > self.cap:
-            return False
-        self.count += 1
-        self.total += size
-        return True
-
-
-def _tar_members(data: bytes, budget: _Budget, mode: str = "r:*"):
-    with tarfile.open(fileobj=io.BytesIO(data), mode=mode) as tf:
-        for m in tf:
-            if not m.isreg():
-                continue
-            if not budget.take(m.size):
-                continue
-            f = tf.extractfile(m)
-            if f is not None:
-                yield m.name, m.size, f.read(budget.lim["max_member_bytes"] + 1)
-
-
-def _zip_members(data: bytes, budget: _Budget):
-    with zipfile.ZipFile(io.BytesIO(data)) as zf:
-        for info in zf.infolist():
-            if info.is_dir():
-                continue
-            if not budget.take(info.file_size):
-                continue
-            with zf.open(info) as f:
-                yield info.filename, info.file_size, f.read(budget.lim["max_member_bytes"] + 1)
-
-
-def _gem_members(data: bytes, budget: _Budget):
-    with tarfile.open(fileobj=io.BytesIO(data), mode="r:*") as outer:
-        inner = next((m for m in outer if m.isreg() and m.name.endswith("data.tar.gz")), None)
-        if inner is None or inner.size > budget.lim["max_total_bytes"]:
-            return
-        blob = outer.extractfile(inner).read()
-    yield from _tar_members(blob, _Budget(len(blob), budget.lim), "r:gz")
-
-
-def _expand_one(path: str, data: bytes, limits: dict):
-    kind = _kind(path)
-    budget = _Budget(len(data), limits)
-    gen = {"tar": _tar_members, "zip": _zip_members, "gem": _gem_members}[kind](data, budget)
-    for name, size, body in gen:
-        if len(body) > limits["max_member_bytes"]:
-            continue
-        yield name.lstrip("./") if name.startswith("./") else name, size, body
+Member = tuple[str, int, bytes | None, str | None]
+
+
+def _member(name: str, size: int, open_body) -> Member:
+    if size > CELL_BYTES:
+        return name, size, None, "member does not fit a cell"
+    with open_body() as f:
+        body = f.read(CELL_BYTES + 1)
+    if len(body) > CELL_BYTES:  # the header's size may lie
+        return name, size, None, "member does not fit a cell"
+    return name, len(body), body, None
+
 
+def _tar_members(source, mode: str, wanted) -> Iterator[Member]:
+    with tarfile.open(fileobj=source, mode=mode) as tar:
+        for m in tar:
+            name = m.name.removeprefix("./")
+            if m.isreg() and wanted(name):
+                yield _member(name, m.size, lambda m=m: tar.extractfile(m))
 
-def expand_archives(archives: DataFrame, limits: dict | None = None) -> DataFrame:
-    """(path, bytes, ...) archive rows → (path, member, size, content, error)."""
-    lim = {**DEFAULT_LIMITS, **(limits or {})}
 
-    cols = ["path", "member", "size", "content", "error"]
+def _zip_members(source, wanted) -> Iterator[Member]:
+    with zipfile.ZipFile(source) as z:
+        for info in z.infolist():
+            name = info.filename.removeprefix("./")
+            if not info.is_dir() and wanted(name):
+                yield _member(name, info.file_size, lambda info=info: z.open(info))
 
-    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _gem_members(source, wanted) -> Iterator[Member]:
+    with tarfile.open(fileobj=source, mode="r|*") as outer:
+        for m in outer:
+            if m.isreg() and m.name.endswith("data.tar.gz"):
+                yield from _tar_members(outer.extractfile(m), "r|gz", wanted)
+                return
+    raise ValueError("no data.tar.gz in the gem")
+
+
+def archive_members(path: str, source, suffixes: tuple[str, ...] | None = None) -> Iterator[Member]:
+    """(name, size, body, error) of the wanted members; ``source`` is a binary
+    file, seekable for zips.  ``suffixes`` None wants every member."""
+    def wanted(name: str) -> bool:
+        return suffixes is None or name.endswith(suffixes)
+
+    kind = _kind(path)
+    if kind == "zip":
+        return _zip_members(source, wanted)
+    if kind == "gem":
+        return _gem_members(source, wanted)
+    if kind == "tar":
+        return _tar_members(source, "r|*", wanted)
+    raise ValueError("not an archive name")
+
+
+def _expander(keys: list[str], open_source: Callable, suffixes):
+    """mapInPandas body: archive rows → key columns + member rows."""
+    cols = [*keys, "member", "size", "content", "error"]
+
+    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, held = [], 0
         for pdf in batches:
-            rows, held = [], 0
-            for path, data in zip(pdf["path"], pdf["bytes"]):
-                if data is None:
-                    rows.append((path, None, None, None, "unreadable"))
-                    continue
+            for row in pdf.to_dict("records"):
+                key = tuple(row[k] for k in keys)
                 try:
-                    for member, size, body in _expand_one(path, bytes(data), lim):
-                        rows.append((path, member, int(size), body, None))
-                        held += len(body)
-                        if held >= BATCH_BYTES:   # bounded batches back to the JVM
-                            yield pd.DataFrame(rows, columns=cols)
-                            rows, held = [], 0
-                except Exception as e:  # broken archive: keep a marker row
-                    rows.append((path, None, None, None, f"{type(e).__name__}: {e}"[:500]))
+                    with open_source(row) as source:
+                        for name, size, body, error in archive_members(row["path"], source, suffixes):
+                            rows.append((*key, name, size, body, error))
+                            held += len(body or b"") + 256
+                            if held >= BATCH_BYTES:  # bounded batches back to the JVM
+                                yield pd.DataFrame(rows, columns=cols)
+                                rows, held = [], 0
+                    rows.append((*key, None, None, None, None))
+                except Exception as e:  # an unreadable or broken archive: a marker row
+                    rows.append((*key, None, None, None, f"{type(e).__name__}: {e}"[:500]))
             if rows:
                 yield pd.DataFrame(rows, columns=cols)
+                rows, held = [], 0
+
+    return expand
+
+
+def _schema(df: DataFrame, keys: list[str]) -> str:
+    kinds = dict(df.dtypes)
+    return ", ".join([*(f"`{k}` {kinds[k]}" for k in keys), MEMBER_COLUMNS])
+
+
+def expand_archives(archives: DataFrame, suffixes: tuple[str, ...] | None = None) -> DataFrame:
+    """(path, bytes, key columns) archive rows → (path, key columns, member, size,
+    content, error)."""
+    keys = [c for c in archives.columns if c != "bytes"]
+
+    def open_bytes(row):
+        if row["bytes"] is None:
+            raise ValueError("unreadable")
+        return io.BytesIO(row["bytes"])
 
-    return archives.select("path", "bytes").mapInPandas(explode, MEMBER_SCHEMA)
+    return archives.mapInPandas(_expander(keys, open_bytes, suffixes), _schema(archives, keys))
+
+
+def expand_archives_at(spark: SparkSession, root: str, listing: DataFrame | None = None,
+                       suffixes: tuple[str, ...] | None = None) -> DataFrame:
+    """The same for archives of a tree: chosen rows with a ``path`` below ``root``
+    (by default all archives) are opened and expanded in the same task."""
+    from pkgsift.sources.tree import ARCHIVE_GLOB, _fs, list_tree
+
+    chosen = list_tree(spark, root, ARCHIVE_GLOB).select("path") if listing is None else listing
+
+    def open_path(row):
+        fs, base = _fs(root)
+        full = f"{base}/{row['path']}"
+        return fs.open_input_file(full) if _kind(row["path"]) == "zip" else fs.open_input_stream(full, compression=None)
+
+    return chosen.mapInPandas(_expander(chosen.columns, open_path, suffixes), _schema(chosen, chosen.columns))
 
 
 def members_as_files(members: DataFrame) -> DataFrame:
@@ -141,40 +165,8 @@ def members_as_files(members: DataFrame) -> DataFrame:
     for archives stored at ``pkg/ver/.../name.ext``."""
     parts = F.split(F.col("path"), "/")
     from pkgsift.functions.evidence import decode_text
-    return (members.where(F.col("error").isNull() & (F.size(parts) >= 3))
+    return (members.where(F.col("error").isNull() & F.col("member").isNotNull() & (F.size(parts) >= 3))
             .select(parts[0].alias("package"), parts[1].alias("version"),
                     F.col("path").alias("archive"), F.col("member").alias("rel_path"),
                     "size", decode_text(F.col("content")).alias("content"),
                     F.lit(True).alias("from_archive")))
-
-
-def expand_archives_at(spark, root: str, limits: dict | None = None) -> DataFrame:
-    """Archives of a tree → member rows, reading and expanding in the same
-    task: only (path, size) travel into Python, one archive is in memory at a
-    time, and members come back in bounded batches."""
-    from pkgsift.sources.tree import ARCHIVE_GLOB, _fs, list_tree
-
-    lim = {**DEFAULT_LIMITS, **(limits or {})}
-    cols = ["path", "member", "size", "content", "error"]
-
-    def read_and_explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs, base = _fs(root)
-        for pdf in batches:
-            rows, held = [], 0
-            for path in pdf["path"]:
-                try:
-                    with fs.open_input_stream(f"{base}/{path}") as f:
-                        data = f.read()
-                    for member, size, body in _expand_one(path, data, lim):
-                        rows.append((path, member, int(size), body, None))
-                        held += len(body)
-                        if held >= BATCH_BYTES:
-                            yield pd.DataFrame(rows, columns=cols)
-                            rows, held = [], 0
-                except Exception as e:  # unreadable or broken archive: a marker row
-                    rows.append((path, None, None, None, f"{type(e).__name__}: {e}"[:500]))
-            if rows:
-                yield pd.DataFrame(rows, columns=cols)
-
-    return list_tree(spark, root, ARCHIVE_GLOB).select("path", "size").mapInPandas(
-        read_and_explode, MEMBER_SCHEMA)

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pkgsift.functions.colcache import cached_columns
-from pkgsift.sources.scan import spread_small
 
 # ---------------------------------------------------------------------------
 # Snippets per ecosystem, indexed by doc_id % 5 (FIXTURES.md §3).
@@ -62,10 +61,16 @@ def _group() -> Column:
     return F.floor(F.col("doc_id") / F.lit(12.0)).cast("bigint")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The driver's small tables are one row group each, which one task reads;
+    deal their rows out by key so that lexing uses every core.  Real inputs come
+    through ``tree.ingest``, which writes small row groups instead."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source file per document (see module doc)."""
-    docs = spread_small(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"),
-                        "doc_id")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), "doc_id")
     return docs.select(*_code_file_cols())
 
 

@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False,
-                mode: str = "overwrite") -> None:
-    """Write a frame; an empty frame still writes its schema / CSV header."""
-    out = df.coalesce(1) if single_file else df
-    w = out.write.mode(mode)
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
+                by: str | None = None) -> None:
+    """Write a frame, in as many files as it has partitions (an ordered frame's
+    files follow its order); ``by`` names a column that becomes folders.  An
+    empty frame still writes its schema / CSV header."""
+    w = df.write.mode(mode)
+    if by is not None:
+        w = w.partitionBy(by)
     if fmt == "csv":
         # pandas keeps blanks at the ends of a field; Spark's writer trims them by default
         (w.option("header", True).option("quote", '"').option("escape", '"')
@@ -46,15 +49,15 @@ def sink_order(df: DataFrame) -> DataFrame:
 def write_label_tables(tables, out_dir: str, fmt: str = "csv", ordered: bool = True) -> None:
     """labels_version, labels and (policy 'separate') unreviewed_version."""
     prep = sink_order if ordered else (lambda d: d)
-    write_table(prep(tables.versions), f"{out_dir}/labels_version", fmt, single_file=fmt == "csv")
-    write_table(prep(tables.packages), f"{out_dir}/labels", fmt, single_file=fmt == "csv")
-    write_table(prep(tables.unreviewed), f"{out_dir}/unreviewed_version", fmt, single_file=fmt == "csv")
+    write_table(prep(tables.versions), f"{out_dir}/labels_version", fmt)
+    write_table(prep(tables.packages), f"{out_dir}/labels", fmt)
+    write_table(prep(tables.unreviewed), f"{out_dir}/unreviewed_version", fmt)
 
 
 def write_predictions(preds: DataFrame, path: str, fmt: str = "csv") -> None:
     """S3: (text, label, pred) as strings."""
     write_table(preds.select(F.col("text").cast("string"), F.col("label").cast("string"),
-                             F.col("pred").cast("string")), path, fmt, single_file=fmt == "csv")
+                             F.col("pred").cast("string")), path, fmt)
 
 
 def metrics_document(metrics: DataFrame, group_col: str = "split",
@@ -72,4 +75,4 @@ def metrics_document(metrics: DataFrame, group_col: str = "split",
 
 
 def write_metrics_json(metrics: DataFrame, path: str, group_col: str = "split") -> None:
-    write_table(metrics_document(metrics, group_col), path, "json", single_file=True)
+    write_table(metrics_document(metrics, group_col), path, "json")

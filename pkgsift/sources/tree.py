@@ -12,9 +12,11 @@ directories using ``pyarrow.fs`` (local, HDFS, S3, GCS …).  No step sends
 the whole listing through the driver, and a package with many versions is
 spread over tasks at the version level.
 
-* ``list_tree``  – (path, size), no file bodies.
-* ``read_tree``  – (path, size, content) with text decoded as UTF-8, bad
-  bytes dropped; bodies are read inside the tasks that need them.
+* ``walk``       – (path, is_dir, size) of every file and directory, walked once
+  and written to the shared folder, for the jobs that read it several times.
+* ``list_tree``  – (path, size) of the files, no bodies.
+* ``read_files`` – adds ``content`` to listing rows, inside the tasks that need it.
+* ``read_tree``  – (path, size, content) of a whole tree.
 
 Many small files: ``ingest`` writes one Parquet table once, so later jobs
 never walk or open the tree again.
@@ -43,49 +45,70 @@ def _fs(root: str):
 
 
 def _children(base: str, recursive: bool) -> Iterator[pd.DataFrame]:
-    """mapInPandas body: (dir) rows → (dir, name, is_dir, size) of their entries."""
+    """mapInPandas body: (dir) rows → (path, is_dir, size) of their entries, in
+    frames of at most ``ENTRY_ROWS`` rows.  Directories below are walked one at a
+    time, so no task holds a whole listing."""
     def fn(batches):
         import pyarrow.fs as pafs
         fs, root = _fs(base)
         for pdf in batches:
-            out = []
-            for d in pdf["dir"]:
+            todo, out = list(pdf["dir"]), []
+            while todo:
+                d = todo.pop()
                 try:
-                    infos = fs.get_file_info(pafs.FileSelector(f"{root}/{d}" if d else root,
-                                                               recursive=recursive))
+                    infos = fs.get_file_info(pafs.FileSelector(f"{root}/{d}" if d else root))
                 except (OSError, FileNotFoundError):
                     continue
                 for info in infos:
                     rel = info.path[len(root) + 1:] if info.path.startswith(root + "/") else info.path
                     if info.type == pafs.FileType.Directory:
-                        out.append((d, rel, True, None))
+                        out.append((rel, True, None))
+                        if recursive:
+                            todo.append(rel)
                     elif info.type == pafs.FileType.File:
-                        out.append((d, rel, False, int(info.size)))
-            yield pd.DataFrame(out, columns=["dir", "path", "is_dir", "size"])
+                        out.append((rel, False, int(info.size)))
+                    if len(out) >= ENTRY_ROWS:
+                        yield pd.DataFrame(out, columns=["path", "is_dir", "size"])
+                        out = []
+            yield pd.DataFrame(out, columns=["path", "is_dir", "size"])
     return fn
 
 
-_ENTRY_SCHEMA = "dir string, path string, is_dir boolean, size bigint"
+ENTRY_ROWS = 10_000
+_ENTRY_SCHEMA = "path string, is_dir boolean, size bigint"
+
+
+def _entries(spark: SparkSession, root: str, levels: int) -> DataFrame:
+    n = max(spark.sparkContext.defaultParallelism, 1)
+    dirs = spark.createDataFrame([("",)], "dir string")
+    out = None
+    for level in range(levels + 1):
+        found = dirs.mapInPandas(_children(root, level == levels), _ENTRY_SCHEMA)
+        out = found if out is None else out.unionByName(found)
+        dirs = found.where("is_dir").select(F.col("path").alias("dir")).repartition(n * 4, "dir")
+    return out
+
+
+def walk(spark: SparkSession, root: str, levels: int = 2) -> DataFrame:
+    """(path, is_dir, size) of every file and directory below ``root``.
+
+    ``levels`` directory levels (package, version) are listed one step at a time
+    and spread over tasks; below, a directory is walked in one task.  The walk is
+    written once to the shared folder: file systems are slow to list, and the
+    result must not change between two reads."""
+    from pkgsift.sources.sinks import scratch_folder
+    out = scratch_folder(spark, "walk")
+    _entries(spark, root, levels).write.parquet(out)
+    return spark.read.schema(_ENTRY_SCHEMA).parquet(out)
 
 
 def list_tree(spark: SparkSession, root: str, glob: str | None = None,
               levels: int = 2) -> DataFrame:
     """(path relative to ``root``, size) of every regular file, hidden names included.
 
-    ``levels`` directory levels are expanded one step at a time (package,
-    version); below that each directory is walked recursively in one task.
     ``glob`` is a file-name pattern (``*.py``; ``{a,b}`` alternation allowed).
     """
-    n = max(spark.sparkContext.defaultParallelism, 1)
-    dirs = spark.createDataFrame([("",)], "dir string")
-    files = None
-    for _ in range(levels):
-        entries = dirs.mapInPandas(_children(root, False), _ENTRY_SCHEMA)
-        f = entries.where(~F.col("is_dir")).select("path", "size")
-        files = f if files is None else files.unionByName(f)
-        dirs = entries.where("is_dir").select(F.col("path").alias("dir")).repartition(n * 4)
-    deep = dirs.mapInPandas(_children(root, True), _ENTRY_SCHEMA).where(~F.col("is_dir"))
-    files = deep.select("path", "size") if files is None else files.unionByName(deep.select("path", "size"))
+    files = _entries(spark, root, levels).where(~F.col("is_dir")).select("path", "size")
     if glob:
         files = files.where(F.element_at(F.split("path", "/"), -1).rlike(_glob_regex(glob)))
     return files
@@ -112,81 +135,49 @@ def _glob_regex(glob: str) -> str:
 BATCH_BYTES = 64 * 1024 * 1024   # bodies per Arrow batch handed back to the JVM
 
 
-def _reader(base: str, max_bytes: int | None):
-    """mapInPandas body: (path, size) → (path, size, bytes), yielded in
-    batches of at most ~BATCH_BYTES so a task never holds many large files."""
+def _reader(base: str, columns: list[str]):
+    """mapInPandas body: rows with ``path`` → the same rows with ``bytes``, yielded
+    in batches of at most ~BATCH_BYTES so a task never holds many large files."""
     def fn(batches):
         fs, root = _fs(base)
         for pdf in batches:
-            paths, sizes, bodies, held = [], [], [], 0
-            for p, size in zip(pdf["path"], pdf["size"]):
-                body = None
-                if max_bytes is None or size is None or size <= max_bytes:
-                    try:
-                        with fs.open_input_stream(f"{root}/{p}") as f:
-                            body = f.read()
-                    except OSError:
-                        body = None   # unreadable → empty features downstream
-                paths.append(p)
-                sizes.append(size)
+            start, bodies, held = 0, [], 0
+            for k, p in enumerate(pdf["path"]):
+                try:
+                    with fs.open_input_stream(f"{root}/{p}", compression=None) as f:
+                        body = f.read()
+                except OSError:
+                    body = None   # unreadable → empty features downstream
                 bodies.append(body)
                 held += len(body) if body else 0
                 if held >= BATCH_BYTES:
-                    yield pd.DataFrame({"path": paths, "size": sizes, "bytes": bodies})
-                    paths, sizes, bodies, held = [], [], [], 0
-            if paths:
-                yield pd.DataFrame({"path": paths, "size": sizes, "bytes": bodies})
+                    yield pdf.iloc[start:k + 1].assign(bytes=bodies)[[*columns, "bytes"]]
+                    start, bodies, held = k + 1, [], 0
+            if bodies:
+                yield pdf.iloc[start:].assign(bytes=bodies)[[*columns, "bytes"]]
     return fn
 
 
-def read_tree(spark: SparkSession, root: str, glob: str | None = None,
-              max_file_bytes: int | None = None, listing: DataFrame | None = None) -> DataFrame:
-    """(path, size, content): bodies read in the tasks, decoded in the JVM.
-
-    Files above ``max_file_bytes`` keep their row with null content.
-    """
-    files = listing if listing is not None else list_tree(spark, root, glob)
-    raw = files.select("path", "size").mapInPandas(_reader(root, max_file_bytes),
-                                                   "path string, size bigint, bytes binary")
-    return raw.select("path", "size", decode_text(F.col("bytes")).alias("content"))
-
-
-
-def _strip_scheme(p: str) -> str:
-    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "", p).rstrip("/")
-
-
-def _binary(spark: SparkSession, root: str, glob: str | None = None,
-            ignore_corrupt: bool = True) -> DataFrame:
-    r = (spark.read.format("binaryFile")
-         .option("recursiveFileLookup", "true")
-         .option("ignoreCorruptFiles", str(ignore_corrupt).lower()))
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    return r.load(root)
-
-
-def relative_path(path_col: str, root: str):
-    """``file:/x/root/pkg/ver/f`` → ``pkg/ver/f`` (scheme-insensitive)."""
-    marker = _strip_scheme(root)
-    no_scheme = F.regexp_replace(F.col(path_col), r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "")
-    return F.regexp_replace(no_scheme, "^" + re.escape(marker.lstrip("/")) + "/", "")
+def read_files(root: str, listing: DataFrame) -> DataFrame:
+    """``listing`` rows (with ``path`` below ``root``) plus ``content``: bodies are
+    read in the tasks and decoded in the JVM (A8); no join, no exchange."""
+    kinds = ", ".join(f"`{c}` {t}" for c, t in listing.dtypes)
+    raw = listing.mapInPandas(_reader(root, listing.columns), f"{kinds}, bytes binary")
+    return raw.withColumn("content", decode_text(F.col("bytes"))).drop("bytes")
 
 
-def binary_tree(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(path, size) through Spark's ``binaryFile`` listing.  Faster on object
-    stores, but it skips names starting with ``_`` or ``.`` (``__init__.py``)."""
-    return _binary(spark, root, glob).select(relative_path("path", root).alias("path"),
-                                             F.col("length").alias("size"))
+def read_tree(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """(path, size, content) of every file of a tree."""
+    return read_files(root, list_tree(spark, root, glob).select("path", "size"))
 
 
 def keyed_files(tree: DataFrame) -> DataFrame:
-    """``pkg/ver/rest`` rows → (package, version, rel_path, ...) for the plain layout."""
+    """``pkg/ver/rest`` rows → (package, version, rel_path, path, ...) for the plain layout."""
     parts = F.split(F.col("path"), "/")
     return (tree.where(F.size(parts) >= 3)
             .select(parts[0].alias("package"), parts[1].alias("version"),
                     F.array_join(F.slice(parts, 3, 1 << 30), "/").alias("rel_path"),
-                    *[c for c in tree.columns if c != "path"]))
+                    *tree.columns))
 
 
 def ingest(spark: SparkSession, root: str, ecosystem: str, out_path: str,
@@ -209,11 +200,10 @@ def ingest(spark: SparkSession, root: str, ecosystem: str, out_path: str,
 ARCHIVE_GLOB = "*.{" + ",".join(s.lstrip(".") for s in ARCHIVE_SUFFIXES) + "}"
 
 
-def archives(spark: SparkSession, root: str, max_bytes: int | None = None) -> DataFrame:
+def archives(spark: SparkSession, root: str) -> DataFrame:
     """Archive files of a tree with their bytes: (path, size, bytes).
 
     Listed by the tree walk (hidden names included), filtered by name, and
     read inside the tasks, in bounded batches."""
-    listing = list_tree(spark, root, ARCHIVE_GLOB)
-    return listing.select("path", "size").mapInPandas(
-        _reader(root, max_bytes), "path string, size bigint, bytes binary")
+    listing = list_tree(spark, root, ARCHIVE_GLOB).select("path", "size")
+    return listing.mapInPandas(_reader(root, listing.columns), "path string, size bigint, bytes binary")

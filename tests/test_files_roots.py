@@ -23,6 +23,9 @@ def test_topk_priority_and_deny(spark):
                                [("test/t.js",), ("node_modules/m/index.js",)])
 
 
+REP = ("package", "version", "rel_path", "tier")
+
+
 def test_topk_plan_ranks_narrow_columns(spark, tmp_path):
     _files(spark, [("p", "1", "a.js", 1, "body")]).write.parquet(str(tmp_path / "f"))
     f = spark.read.parquet(str(tmp_path / "f"))
@@ -36,7 +39,7 @@ def test_representative_python_tiers(spark):
         ("my-pkg", "1", "docs/conf.py", 1, ""), ("my-pkg", "1", "setup.py", 1, ""),
         ("my-pkg", "1", "my_pkg/__init__.py", 1, ""), ("other", "2", "tests/t.py", 1, ""),
         ("other", "2", "src/o/core.py", 1, ""), ("third", "3", "tests/only.py", 1, "")])
-    got = sorted(rows(FL.representative_python(f)))
+    got = sorted(rows(FL.representative_python(f), *REP))
     # an un-hyphenated package name is also its directory name, so tier 2
     # ("/<hint>/" in the path) matches every file of it, as in the reference
     assert got == [("my-pkg", "1", "my_pkg/__init__.py", 1), ("other", "2", "src/o/core.py", 2),
@@ -44,7 +47,7 @@ def test_representative_python_tiers(spark):
     g = _files(spark, [("a-b", "1", "tests/t.py", 1, ""), ("a-b", "1", "src/m.py", 1, ""),
                        ("c-d", "1", "docs/x.py", 1, ""), ("c-d", "1", "z.py", 1, ""),
                        ("e-f", "1", "tests/only.py", 1, "")])
-    assert sorted(rows(FL.representative_python(g))) == [
+    assert sorted(rows(FL.representative_python(g), *REP)) == [
         ("a-b", "1", "src/m.py", 3), ("c-d", "1", "z.py", 4), ("e-f", "1", "tests/only.py", 5)]
 
 
@@ -60,21 +63,21 @@ def test_representative_ruby(spark):
                        ("h", "1", "h.gemspec", 1, ""), ("h", "1", "lib/a.rb", 1, ""),
                        ("k", "1", "x.src/lib/k.rb", 1, "")])
     inner = RT.ruby_inner_root(f)
-    got = sorted(rows(FL.representative_ruby(inner)))
+    got = sorted(rows(FL.representative_ruby(inner), *REP))
     assert got == [("g", "1", "lib/z.rb", 2), ("h", "1", "h.gemspec", 1), ("k", "1", "lib/k.rb", 2)]
 
 
 def test_resolve_roots_all_fallbacks(spark):
     listing = spark.createDataFrame([(p,) for p in [
         "a/1.0/index.js", "b/v1.0-rc/index.js", "b/v1.0/index.js", "c@2.0/index.js",
-        "@scope-d/3.0/x.js", "e/9.9/x.js"]], "path string")
+        "@scope-d/3.0/x.js", "e/9.9/x.js", "@s/f/1.0/x.js"]], "path string")
     labels = spark.createDataFrame([("a", "1.0"), ("b", "1.0"), ("c", "2.0"), ("d", "3.0"),
-                                    ("e", "1.0"), ("zz", "1")], "package string, version string")
+                                    ("e", "1.0"), ("zz", "1"), ("@s/f", "1.0")], "package string, version string")
     got = sorted(rows(RT.resolve_roots(labels, listing, "npm", materialize=False)))
-    assert got == [("a", "1.0", "a", "1.0"), ("b", "1.0", "b", "v1.0"), ("c", "2.0", "c@2.0", None),
+    assert got == [("@s/f", "1.0", "@s/f", "1.0"), ("a", "1.0", "a", "1.0"), ("b", "1.0", "b", "v1.0"), ("c", "2.0", "c@2.0", None),
                    ("d", "3.0", "@scope-d", "3.0"), ("e", "1.0", None, None), ("zz", "1", None, None)]
     files = RT.files_under_roots(RT.resolve_roots(labels, listing, "npm", materialize=False), listing)
-    assert sorted(rows(files)) == [("a", "1.0", "index.js"), ("b", "1.0", "index.js"),
+    assert sorted(rows(files, "package", "version", "rel_path")) == [("@s/f", "1.0", "x.js"), ("a", "1.0", "index.js"), ("b", "1.0", "index.js"),
                                    ("c", "2.0", "index.js"), ("d", "3.0", "x.js")]
 
 

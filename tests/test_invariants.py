@@ -17,12 +17,39 @@ def _npm(spark):
     return FX.source_files(spark, SF).where("ecosystem = 'npm'").drop("ecosystem")
 
 
-def test_npm_strategies_agree(spark):
-    files = _npm(spark)
-    a = D.npm_version_features(files, strategy="features_first")
-    b = D.npm_version_features(files, strategy="rank_first")
-    assert sorted(rows(a)) == sorted(rows(b))
-    assert a.count() > 0
+def _src(spark, ecosystem):
+    return FX.source_files(spark, SF).where(F.col("ecosystem") == ecosystem).drop("ecosystem")
+
+
+def test_listing_and_table_agree(spark):
+    """Choosing on a listing and reading the chosen rows gives what a table gives."""
+    keys = ["package", "version", "rel_path"]
+    for eco, features in (("npm", lambda f, **kw: D.npm_version_features(f, k=2, **kw)), ("pypi", D.pypi_file_features), ("rubygems", D.ruby_file_features)):
+        files = _src(spark, eco)
+        a = features(files)
+        b = features(files.drop("content"), read=lambda rows: rows.join(files.select(*keys, "content").withColumnRenamed("rel_path", "_r"),
+                     (rows.package == files.package) & (rows.version == files.version)
+                     & (F.col("_r") == (F.col("vrel") if "vrel" in rows.columns else rows.rel_path))).select(*(rows[c] for c in rows.columns), "content"))
+        cols = sorted(set(a.columns) & set(b.columns) - {"vrel", "size", "path"})
+        assert sorted(map(str, rows(a.select(*cols)))) == sorted(map(str, rows(b.select(*cols)))) and a.count() > 0
+
+
+def test_no_file_body_in_an_exchange(spark, tmp_path, capsys):
+    """With broadcasts off, as on a large table, no exchange carries ``content``."""
+    labels = C._labels(spark, SF)
+    labels.write.parquet(str(tmp_path / "labels"))
+    labels = spark.read.parquet(str(tmp_path / "labels"))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for eco, describe in (("npm", D.npm_descriptions), ("pypi", D.pypi_descriptions), ("rubygems", D.ruby_descriptions)):
+            _src(spark, eco).write.parquet(str(tmp_path / eco))
+            describe(labels, spark.read.parquet(str(tmp_path / eco))).explain("formatted")
+            plan = capsys.readouterr().out
+            blocks = [b for b in plan.split("\n\n") if " Exchange" in b.splitlines()[0]] if plan else []
+            assert blocks and not any("content" in b or "text#" in b for b in blocks), eco
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
 
 
 def test_results_independent_of_partitioning(spark):
@@ -58,7 +85,7 @@ def test_skewed_version_topk_and_split(spark):
     hot = [("hot", "1", f"lib/f{i:05d}.js", i) for i in range(3000)]
     cold = [(f"p{j}", "1", f"src/f{i}.js", i) for j in range(600) for i in range(10)]
     df = spark.createDataFrame(hot + cold, "package string, version string, rel_path string, size long")
-    top = FL.topk_files(df.repartition(16))
+    top = FL.topk_files(df.repartition(16), k=20)
     assert top.where("package = 'hot'").count() == 20
     assert [r[0] for r in top.where("package = 'hot'").orderBy("rank").select("rel_path").limit(2).collect()] == [
         "lib/f02999.js", "lib/f02998.js"]

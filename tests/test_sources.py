@@ -56,15 +56,32 @@ def test_list_and_read_tree(spark, tmp_path):
 
 def test_expand_archives_safely(spark, tmp_path):
     root = _tree(tmp_path)
-    members = A.expand_archives(TR.archives(spark, str(root)))
-    got = sorted(rows(members.where("error IS NULL"), "path", "member"))
+    members = A.expand_archives(TR.archives(spark, str(root)).drop("size"))
+    got = sorted(rows(members.where("error IS NULL AND member IS NOT NULL"), "path", "member"))
     assert got == [("pkg-b/2.0/pkg_b-2.0.tar.gz", "../x.py"),
                    ("pkg-b/2.0/pkg_b-2.0.tar.gz", "pkg_b-2.0/pkg_b/__init__.py"),
                    ("pkg-b/2.0/pkg_b-2.0.zip", "z.py")]            # the symlink is skipped
     bad = rows(members.where("error IS NOT NULL"), "path")
     assert bad == [("pkg-c/3.0/bad.zip",)]
-    capped = A.expand_archives(TR.archives(spark, str(root)), {"max_members": 1})
-    assert capped.where("path LIKE '%tar.gz' AND error IS NULL").count() == 1
+    assert sorted(rows(members.where("error IS NULL AND member IS NULL"), "path")) == [
+        ("pkg-b/2.0/pkg_b-2.0.tar.gz",), ("pkg-b/2.0/pkg_b-2.0.zip",)]   # read to their ends
+
+
+def test_padding_hides_no_member(spark):
+    """No limit on members, sizes or ratios (a reader without them cannot be led astray)."""
+    big = b"x = 1\n" * 3_000_000                                          # 18 MB, compresses 300:1
+    files = [("a.py", b"import os\n"), ("b.py", big), *((f"n{k}.txt", b"") for k in range(21_000)), ("c.py", b"eval(1)\n"), ("./.hidden.py", b"y")]
+    inner = _tar_bytes(files)
+    gem = io.BytesIO()
+    with tarfile.open(fileobj=gem, mode="w") as tf:
+        ti = tarfile.TarInfo("data.tar.gz")
+        ti.size = len(inner)
+        tf.addfile(ti, io.BytesIO(inner))
+    df = spark.createDataFrame([("p/1/x.tar.gz", bytearray(inner)), ("p/1/x.zip", bytearray(_zip_bytes(files))), ("p/1/x.gem", bytearray(gem.getvalue()))],
+                               "path string, bytes binary")
+    got = rows(A.expand_archives(df, (".py",)).where("member IS NOT NULL"), "path", "member", "size")
+    assert sorted(got) == sorted((p, m, s) for p in ("p/1/x.gem", "p/1/x.tar.gz", "p/1/x.zip")
+                                 for m, s in (("a.py", 10), ("b.py", len(big)), ("c.py", 8), (".hidden.py", 1)))
 
 
 def test_gem_data_tar(spark, tmp_path):
@@ -76,16 +93,16 @@ def test_gem_data_tar(spark, tmp_path):
             ti.size = len(data)
             tf.addfile(ti, io.BytesIO(data))
     df = spark.createDataFrame([("g/1.0/g-1.0.gem", bytearray(gem.getvalue()))], "path string, bytes binary")
-    assert rows(A.expand_archives(df).where("error IS NULL"), "member") == [("lib/g.rb",)]
+    assert rows(A.expand_archives(df).where("error IS NULL"), "member") == [("lib/g.rb",), (None,)]
 
 
 def test_pypi_archive_fallback_sentence(spark, tmp_path):
     root = _tree(tmp_path)
     files = TR.keyed_files(TR.read_tree(spark, str(root)))
-    members = A.members_as_files(A.expand_archives(TR.archives(spark, str(root))))
     labels = spark.createDataFrame([("pkg-a", "1.0", 1), ("pkg-b", "2.0", 0), ("pkg-c", "3.0", 0)],
                                    "package string, version string, label int")
-    got = dict(rows(D.pypi_descriptions(labels, files, members=members), "package", "textual_description"))
+    got = dict(rows(D.pypi_descriptions(
+        labels, files, expand=lambda chosen: A.expand_archives_at(spark, str(root), chosen, (".py",))), "package", "textual_description"))
     assert got["pkg-a"] == ("start entry pkg-a/1.0/pkg_a/__init__.py, import operating system module, "
                             "use operating system module call, end of entry")
     # first archive by kind order (.tar.gz before .zip); tier 1 inside it; the member path is the id
@@ -96,28 +113,9 @@ def test_pypi_archive_fallback_sentence(spark, tmp_path):
 
 def test_expand_archives_at_matches_two_step(spark, tmp_path):
     root = _tree(tmp_path)
-    one = sorted(rows(A.expand_archives_at(spark, str(root)), "path", "member", "error"))
-    two = sorted(rows(A.expand_archives(TR.archives(spark, str(root))), "path", "member", "error"))
-    assert [r[:2] for r in one] == [r[:2] for r in two] and len(one) == 4
-
-
-def test_spread_small_only_below_the_size_gate(spark, tmp_path):
-    from pyspark.sql import functions as F
-    from pkgsift.sources.scan import estimated_bytes, spread_small
-    spark.range(0, 2000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 50).alias("text")) \
-        .coalesce(1).write.parquet(str(tmp_path / "one"))
-    df = spark.read.parquet(str(tmp_path / "one"))
-    size = estimated_bytes(df)
-    assert size is not None and size > 0
-    n = spark.sparkContext.defaultParallelism
-    spread = spread_small(df, "doc_id")
-    used = spread.select(F.spark_partition_id().alias("p")).distinct().count()
-    assert used == min(n, 2000) or n == 1
-    assert sorted(r.doc_id for r in spread.select("doc_id").collect()) == list(range(2000))
-    # above the gate the scan is left alone: no shuffle is added
-    kept = spread_small(df, "doc_id", max_bytes=size - 1)
-    plan = kept._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    one = sorted(rows(A.expand_archives_at(spark, str(root)), "path", "member", "error"), key=str)
+    two = sorted(rows(A.expand_archives(TR.archives(spark, str(root)).drop("size")), "path", "member", "error"), key=str)
+    assert [r[:2] for r in one] == [r[:2] for r in two] and len(one) == 6
 
 
 def test_csv_sink_keeps_blanks_quotes_and_newlines(spark, tmp_path):
