@@ -254,7 +254,8 @@ def js_features(df: DataFrame, text_col: str = "text", size_col: str | None = "s
 def install_hook(manifest_json: Column) -> Column:
     """``scripts`` object has preinstall/install/postinstall (key presence).
 
-    Bad JSON, a leading BOM and a non-object ``scripts`` all give false.
+    Bad JSON, a leading BOM and a non-object ``scripts`` all give false.  Of equal
+    keys the last counts, so the session must allow them (``allow_repeated_keys``).
     """
     scripts = F.try_variant_get(F.try_parse_json(manifest_json), "$.scripts",
                                 "map<string,variant>")
@@ -262,6 +263,13 @@ def install_hook(manifest_json: Column) -> Column:
                       F.lit(False))
 
 
+def allow_repeated_keys(spark) -> None:
+    """Parse JSON objects with equal keys, the last one counting, as JSON parsers
+    commonly do; Spark's default refuses the whole text, which a hostile manifest
+    could use to hide its hooks."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def npm_parts(imports: Column, calls_os: Column, calls_proc: Column, has_eval: Column,
               url_n: Column, b64_n: Column, startup: Column) -> Column:
     return F.concat(

@@ -480,6 +480,8 @@ from pkgsift.plans import describe as D  # noqa: E402
 
 
 def _src(spark, sf_dir, ecosystem):
+    if ecosystem == "npm":
+        return FX.npm_files(spark, sf_dir)
     return FX.source_files(spark, sf_dir).where(F.col("ecosystem") == ecosystem).drop("ecosystem")
 
 
@@ -493,9 +495,12 @@ versions AS (SELECT DISTINCT package, version, label FROM classified WHERE label
 
 
 def _with(ecosystem: str) -> str:
+    rows = FX.NPM_FILES_SQL + "," if ecosystem == "npm" else ""
+    src = ("npm_rows" if ecosystem == "npm" else
+           f"(SELECT package, version, path AS rel_path, content FROM code_files WHERE ecosystem = '{ecosystem}')")
     return f"""WITH {FX.CODE_FILES_SQL},
-src_files AS (SELECT package, version, path AS rel_path, CAST(length(content) AS BIGINT) AS size, content
-              FROM code_files WHERE ecosystem = '{ecosystem}'),
+{rows}
+src_files AS (SELECT package, version, rel_path, CAST(length(content) AS BIGINT) AS size, content FROM {src}),
 {_LABELS_CTE}"""
 
 
@@ -560,7 +565,8 @@ py_rep AS (
 SELECT package, version, rel_path, tier FROM py_rep""")
 def rep_file_python(spark, sf_dir):
     """C5 + E2: inner root, then one representative .py per PyPI version."""
-    return FL.representative_python(RT.pypi_inner_root(_src(spark, sf_dir, "pypi")))
+    chosen = FL.representative_python(RT.pypi_inner_root(_src(spark, sf_dir, "pypi")))
+    return chosen.select("package", "version", "rel_path", "tier")
 
 
 _RB_INNER_CTE = """src_dirs AS (
@@ -587,7 +593,8 @@ rb_rep AS (
 SELECT package, version, rel_path, tier FROM rb_rep""")
 def rep_file_ruby(spark, sf_dir):
     """C5 + E3: *.src root, then gemspec / lib/**/*.rb / any .rb per RubyGems version."""
-    return FL.representative_ruby(RT.ruby_inner_root(_src(spark, sf_dir, "rubygems")))
+    chosen = FL.representative_ruby(RT.ruby_inner_root(_src(spark, sf_dir, "rubygems")))
+    return chosen.select("package", "version", "rel_path", "tier")
 
 
 _NPM_ROLLUP_CTE = f"""topk_content AS (
@@ -623,14 +630,26 @@ def _sql_npm_parts(r):
         O.b64_phrases(f"coalesce({r}.b64_count, 0)"), O.flag("h.startup", PH.STARTUP_PHRASE)]) + "])")
 
 
+# the manifests with an install hook are listed beside their texts, so this oracle
+# does not parse JSON as the engine does
+_HOOKS_CTE = f"""hooks AS (
+  SELECT package, version, content IN {O.in_list(FX.MANIFESTS_WITH_HOOK)} AS startup
+  FROM src_files WHERE rel_path = 'package.json')"""
+
+
+@register("manifest_hooks", f"""{_with('npm')},
+{_HOOKS_CTE}
+SELECT package, version, startup FROM hooks""")
+def manifest_hooks(spark, sf_dir):
+    """A9 + G5: install hooks of the package.json at each npm version root."""
+    return D.manifest_hooks(_src(spark, sf_dir, "npm"))
+
+
 @register("npm_sentences", f"""{_with('npm')},
 {_TOPK_CTE},
 {_NPM_ROLLUP_CTE},
 found AS (SELECT DISTINCT package, version FROM src_files),
-hooks AS (
-  SELECT package, version,
-         list_has_any(json_keys(json_extract(content, '$.scripts')), {O.in_list(JS.INSTALL_HOOKS).replace('(', '[').replace(')', ']')}) AS startup
-  FROM src_files WHERE rel_path = 'package.json')
+{_HOOKS_CTE}
 SELECT v.package, v.version,
        CASE WHEN fd.package IS NULL THEN {O.fixed_sentence('v.package', 'v.version', D.NO_JS)}
             ELSE {O.sentence('v.package', 'v.version', _sql_npm_parts('r'))} END AS textual_description,
@@ -866,11 +885,27 @@ def loss_mask(spark, sf_dir):
         "template_start")
 
 
-@register("detector_scores")
+from pkgsift.plans import detector as DT  # noqa: E402
+
+_BODY = "list_filter(string_split(textual_description, ', '), lambda x, i: i > 1 AND i < len(string_split(textual_description, ', ')))"
+
+
+@register("detector_scores", f"""WITH s AS ({_split_sql()}),
+d AS (SELECT row_number() OVER () AS id, textual_description, label, split, {_BODY} AS ps FROM s WHERE textual_description IS NOT NULL),
+vocabulary AS (SELECT unnest([{', '.join(O.q(p) for p in DT.VOCABULARY)}]) AS p),
+seen AS (SELECT label, unnest(ps) AS p FROM d WHERE split = 'train'),
+counts AS (SELECT v.p, count(*) FILTER (WHERE label = 1) AS n1, count(*) FILTER (WHERE label = 0) AS n0
+           FROM vocabulary v LEFT JOIN seen ON v.p = seen.p GROUP BY v.p),
+totals AS (SELECT sum(n1) + count(*) AS t1, sum(n0) + count(*) AS t0 FROM counts),
+weights AS (SELECT p, ln((n1 + 1.0) / t1) - ln((n0 + 1.0) / t0) AS w FROM counts, totals),
+prior AS (SELECT ln((count(*) FILTER (WHERE label = 1) + 1.0) / (count(*) FILTER (WHERE label = 0) + 1.0)) AS a FROM d WHERE split = 'train'),
+held AS (SELECT id, textual_description AS text, label, split, unnest(CASE WHEN len(ps) = 0 THEN [''] ELSE ps END) AS p FROM d WHERE split <> 'train'),
+scored AS (SELECT id, text, label, split, round((SELECT a FROM prior) + coalesce(sum(w), 0), 9) AS score
+           FROM held LEFT JOIN weights ON held.p = weights.p GROUP BY id, text, label, split)
+SELECT text, CAST(label AS VARCHAR) AS label, split, CASE WHEN score > 0 THEN '1' ELSE '0' END AS pred FROM scored""")
 def detector_scores(spark, sf_dir):
-    """Fit the phrase-bag detector on the train split, score validation + test."""
-    from pkgsift.plans.detector import train_and_evaluate
-    _, scored, _ = train_and_evaluate(stratified_split(spark, sf_dir))
+    """Fit the naive Bayes detector on the train split, score validation + test."""
+    _, scored, _ = DT.train_and_evaluate(stratified_split(spark, sf_dir))
     return scored
 
 
@@ -878,12 +913,22 @@ def detector_scores(spark, sf_dir):
 # Step 6b: version roots (C1-C4) on a derived npm tree with four layouts
 # ---------------------------------------------------------------------------
 
+def _npm_name(package):
+    """A package's registry name: every eighth is scoped."""
+    scoped = F.regexp_extract(package, r"(\d+)$", 1).cast("bigint") % 8 == 4
+    return F.when(scoped, F.concat(F.lit("@s/"), package)).otherwise(package)
+
+
+_NPM_NAME = "CASE WHEN CAST(regexp_extract(package, '(\\d+)$', 1) AS BIGINT) % 8 = 4 THEN '@s/' || package ELSE package END"
+
+
 def _layout_listing(spark, sf_dir):
     """npm files under four layouts, by package number g % 4:
-    0 ``pkg/ver/…``; 1 ``pkg/release-ver-final/…``; 2 ``pkg@ver/…``; 3 ``scope-pkg/ver/…``."""
+    0 ``pkg/ver/…``; 1 ``pkg/release-ver-final/…``; 2 ``pkg@ver/…``; 3 ``scope-pkg/ver/…``.
+    Of layout 0, every second package stands below a scope, ``@s/pkg/ver/…``."""
     f = _files(spark, sf_dir, "npm")
     g = F.regexp_extract("package", r"(\d+)$", 1).cast("bigint") % 4
-    path = (F.when(g == 0, F.concat_ws("/", "package", "version", "path"))
+    path = (F.when(g == 0, F.concat_ws("/", _npm_name(F.col("package")), "version", "path"))
             .when(g == 1, F.concat_ws("/", "package", F.concat(F.lit("release-"), "version", F.lit("-final")), "path"))
             .when(g == 2, F.concat_ws("/", F.concat_ws("@", "package", "version"), "path"))
             .otherwise(F.concat_ws("/", F.concat(F.lit("scope-"), "package"), "version", "path")))
@@ -894,22 +939,22 @@ def _layout_listing(spark, sf_dir):
 {_LABELS_CTE},
 listing AS (
   SELECT CASE CAST(regexp_extract(package, '(\\d+)$', 1) AS BIGINT) % 4
-           WHEN 0 THEN package || '/' || version || '/' || path
+           WHEN 0 THEN {_NPM_NAME} || '/' || version || '/' || path
            WHEN 1 THEN package || '/release-' || version || '-final/' || path
            WHEN 2 THEN package || '@' || version || '/' || path
            ELSE 'scope-' || package || '/' || version || '/' || path END AS path
   FROM code_files WHERE ecosystem = 'npm'),
-parts AS (SELECT string_split(path, '/') AS p FROM listing),
+parts AS (SELECT string_split(path, '/') AS q, CASE WHEN starts_with(path, '@') THEN [q[1] || '/' || q[2]] || q[3:] ELSE q END AS p FROM listing),
 dirs AS (SELECT DISTINCT p[1] AS top, p[2] AS second FROM parts WHERE len(p) >= 3),
 tops AS (SELECT DISTINCT p[1] AS top FROM parts WHERE len(p) >= 2),
-labs AS (SELECT DISTINCT package, version FROM versions),
+labs AS (SELECT DISTINCT {_NPM_NAME} AS package, version FROM versions),
 pkgs AS (SELECT DISTINCT package FROM labs),
 pk_exact AS (SELECT package, package AS pkg_dir FROM pkgs WHERE package IN (SELECT top FROM tops)),
 pk_fb AS (
   SELECT package, pkg_dir FROM (
     SELECT k.package, t.top AS pkg_dir,
            row_number() OVER (PARTITION BY k.package ORDER BY length(t.top), t.top) AS rn
-    FROM pkgs k JOIN tops t ON ends_with(t.top, string_split(k.package, '/')[-1])
+    FROM pkgs k JOIN tops t ON ends_with(t.top, string_split(k.package, '/')[-1]) AND NOT contains(t.top, '/')
     WHERE k.package NOT IN (SELECT package FROM pk_exact)) WHERE rn = 1),
 lab2 AS (SELECT l.package, l.version, coalesce(e.pkg_dir, f.pkg_dir) AS pkg_dir
          FROM labs l LEFT JOIN pk_exact e ON l.package = e.package LEFT JOIN pk_fb f ON l.package = f.package),
@@ -930,7 +975,7 @@ SELECT l.package, l.version,
 FROM labs l LEFT JOIN found f ON l.package = f.package AND l.version = f.version""")
 def version_root_match(spark, sf_dir):
     """Label rows → version roots (exact, contains, name fallback, pkg@ver)."""
-    labs = _labels(spark, sf_dir).select("package", "version").distinct()
+    labs = _labels(spark, sf_dir).select(_npm_name(F.col("package")).alias("package"), "version").distinct()
     r = RT.resolve_roots(labs, _layout_listing(spark, sf_dir), "npm")
     root = F.when(F.col("root_second").isNull(), F.col("root_top")).otherwise(
         F.concat_ws("/", "root_top", "root_second"))
@@ -938,11 +983,150 @@ def version_root_match(spark, sf_dir):
 
 
 @register("root_files", f"""WITH {FX.CODE_FILES_SQL}
-SELECT package, version, path AS rel_path, CAST(length(content) AS BIGINT) AS size
+SELECT {_NPM_NAME} AS package, version, path AS rel_path, CAST(length(content) AS BIGINT) AS size
 FROM code_files WHERE ecosystem = 'npm'""")
 def root_files(spark, sf_dir):
     """C1-C4 + file mapping: every npm file found again under its resolved root."""
     listing = _layout_listing(spark, sf_dir)
-    versions = _files(spark, sf_dir, "npm").select("package", "version").distinct()
+    versions = _files(spark, sf_dir, "npm").select(_npm_name(F.col("package")).alias("package"), "version").distinct()
     roots = RT.resolve_roots(versions, listing, "npm")
     return RT.files_under_roots(roots, listing).select("package", "version", "rel_path", "size")
+
+
+@register("version_root_match_pypi", f"""WITH {FX.CODE_FILES_SQL},
+{_LABELS_CTE},
+known AS (SELECT DISTINCT package, version, CAST(regexp_extract(package, '(\\d+)$', 1) AS BIGINT) % 4 AS k FROM code_files WHERE ecosystem = 'pypi'),
+dirs AS (SELECT CASE k WHEN 2 THEN package || '@' || version WHEN 3 THEN package || '_x' ELSE package END AS top,
+                CASE k WHEN 1 THEN 'release-' || version || '-final' WHEN 2 THEN NULL ELSE version END AS second FROM known),
+labs AS (SELECT DISTINCT v.package, v.version FROM versions v JOIN known USING (package, version)),
+pkgs AS (SELECT package, arg_min(top, (top <> package, length(top), top)) AS pkg_dir
+         FROM (SELECT DISTINCT package FROM labs) JOIN (SELECT DISTINCT top FROM dirs) ON starts_with(top, package) GROUP BY package),
+found AS (SELECT l.package, l.version, arg_min(d.top || '/' || d.second, (d.second <> l.version, length(d.second), d.second)) AS root
+          FROM labs l JOIN pkgs p ON l.package = p.package JOIN dirs d ON d.top = p.pkg_dir AND contains(d.second, l.version)
+          GROUP BY l.package, l.version)
+SELECT l.package, l.version, f.root FROM labs l LEFT JOIN found f USING (package, version)""")
+def version_root_match_pypi(spark, sf_dir):
+    """C1-C3 for PyPI, by package number % 4: exact, contains, ``pkg@ver`` (no layout
+    of PyPI: no root), a directory that starts with the name; empty versions too."""
+    known = _files(spark, sf_dir, "pypi").select("package", "version").distinct()
+    k = F.regexp_extract("package", r"(\d+)$", 1).cast("bigint") % 4
+    path = (F.when(k == 0, F.concat_ws("/", "package", "version"))
+            .when(k == 1, F.concat_ws("/", "package", F.concat(F.lit("release-"), "version", F.lit("-final"))))
+            .when(k == 2, F.concat_ws("@", "package", "version")).otherwise(F.concat(F.col("package"), F.lit("_x/"), F.col("version"))))
+    listing = known.select(path.alias("path"), F.lit(True).alias("is_dir"))  # directories without files
+    labs = _labels(spark, sf_dir).select("package", "version").distinct().join(known, ["package", "version"], "left_semi")
+    r = RT.resolve_roots(labs, listing, "pypi")
+    root = F.when(F.col("root_top").isNotNull(), F.concat_ws("/", "root_top", "root_second"))
+    return r.select("package", "version", root.alias("root"))
+
+
+# ---------------------------------------------------------------------------
+# Archives (A10, A11, R6, B11) and the label and result files
+# ---------------------------------------------------------------------------
+from pkgsift.session import ship_package  # noqa: E402
+from pkgsift.sources import archives as AR  # noqa: E402
+from pkgsift.sources import sinks as SK  # noqa: E402
+from pkgsift.sources import review_csv as RC  # noqa: E402
+
+
+@register("archive_members", f"""WITH {FX.CODE_FILES_SQL}
+SELECT package, version, package || '-' || version || '/' || path AS member, CAST(length(content) AS BIGINT) AS size, md5(content) AS digest
+FROM code_files WHERE ecosystem = 'pypi' AND content IS NOT NULL
+UNION ALL
+SELECT package, version, path, CAST(length(content) AS BIGINT), md5(content) FROM code_files WHERE ecosystem = 'rubygems' AND content IS NOT NULL""")
+def archive_members(spark, sf_dir):
+    """Members of one tar.gz, tgz, zip or gem per version, read in the tasks."""
+    ship_package(spark)
+    packed = FX.archives(spark, sf_dir, "pypi").unionByName(FX.archives(spark, sf_dir, "rubygems"))
+    found = AR.expand_archives(packed, (".py", ".rb")).where("member is not null and error is null")
+    return found.select("package", "version", "member", "size", F.md5("content").alias("digest"))
+
+
+def _expand_fixture(spark, sf_dir, ecosystem, suffixes):
+    packed = FX.archives(spark, sf_dir, ecosystem)
+
+    def expand(chosen):
+        return AR.expand_archives(packed.join(chosen, ["package", "version", "path"], "left_semi"), suffixes)
+
+    return expand
+
+
+def _archive_listing(spark, sf_dir, ecosystem):
+    """A listing in which every version holds its archive only."""
+    return FX.archives(spark, sf_dir, ecosystem).select(
+        "package", "version", "path", F.regexp_extract("path", r"([^/]+)$", 1).alias("rel_path"), F.octet_length("bytes").cast("bigint").alias("size"))
+
+
+_PACKED_REP = f"""packed AS (
+  SELECT package, version, package || '-' || version || '/' || path AS rel_path, content,
+         replace(package, '-', '_') AS hint FROM code_files WHERE ecosystem = 'pypi' AND content IS NOT NULL),
+tiers AS (
+  SELECT *, CASE WHEN ends_with(rel_path, '/' || hint || '/__init__.py') THEN 1 WHEN contains('/' || rel_path, '/' || hint || '/') THEN 2
+                 WHEN starts_with(rel_path, 'src/') AND NOT regexp_matches('/' || rel_path, {O.q(FL.PYPI_DENY)}) THEN 3
+                 WHEN NOT regexp_matches('/' || rel_path, {O.q(FL.PYPI_DENY)}) THEN 4 ELSE 5 END AS tier FROM packed),
+py_rep AS (SELECT package, version, rel_path, content FROM (
+  SELECT *, row_number() OVER (PARTITION BY package, version ORDER BY tier, rel_path) AS rn FROM tiers) WHERE rn = 1)"""
+
+
+@register("pypi_archive_sentences", f"""WITH {FX.CODE_FILES_SQL},
+{_LABELS_CTE},
+{_PACKED_REP},
+{_sql_py_features('py_rep', 'content', ('package', 'version', 'rel_path'))}
+SELECT v.package, v.version, {O.sentence('v.package', "v.version || '/' || p.rel_path", _sql_py_parts())} AS textual_description,
+       CAST(v.label AS INTEGER) AS label
+FROM versions v JOIN py_feats p ON v.package = p.package AND v.version = p.version""")
+def pypi_archive_sentences(spark, sf_dir):
+    """A10: PyPI versions that hold an archive only: its members give the sentence."""
+    ship_package(spark)
+    listing = _archive_listing(spark, sf_dir, "pypi")
+    labels = _labels(spark, sf_dir).join(listing.select("package", "version"), ["package", "version"], "left_semi")
+    none = lambda rows: rows.withColumn("content", F.lit(None).cast("string"))  # noqa: E731  no loose .py file to read
+    return D.pypi_descriptions(labels, listing, read=none, expand=_expand_fixture(spark, sf_dir, "pypi", (".py",)))
+
+
+@register("gem_sentences", f"""WITH {FX.CODE_FILES_SQL},
+src_files AS (SELECT package, version, path AS rel_path, content FROM code_files WHERE ecosystem = 'rubygems' AND content IS NOT NULL),
+{_LABELS_CTE},
+{_RB_INNER_CTE},
+{_sql_ruby_features('rb_rep', 'content', ('package', 'version', 'rel_path'))}
+SELECT v.package, v.version, {O.sentence('v.package', "v.version || '/' || p.rel_path", _sql_rb_parts())} AS textual_description,
+       CAST(v.label AS INTEGER) AS label
+FROM versions v JOIN rb_feats p ON v.package = p.package AND v.version = p.version""")
+def gem_sentences(spark, sf_dir):
+    """RubyGems versions that hold a .gem only: its members give the sentence."""
+    ship_package(spark)
+    listing = _archive_listing(spark, sf_dir, "rubygems")
+    versions = _labels(spark, sf_dir).join(listing.select("package", "version"), ["package", "version"], "left_semi")
+    none = lambda rows: rows.withColumn("content", F.lit(None).cast("string"))
+    return D.ruby_descriptions(versions, listing, read=none, expand=_expand_fixture(spark, sf_dir, "rubygems", (".rb", ".gemspec")))
+
+
+@register("review_csv_labels", f"""{_ROWS_SQL},
+classified AS (SELECT package, version, {_label_case_sql('benign')} AS label FROM rows)
+SELECT DISTINCT package, version, label FROM classified WHERE label IS NOT NULL""")
+def review_csv_labels(spark, sf_dir):
+    """A1 + A2: the review rows written as CSV with other column names, read back and labelled."""
+    out = SK.scratch_folder(spark, "review-csv")
+    SK.write_table(FX.package_info(spark, sf_dir).toDF("package_name", "ver", "threat"), out, "csv")
+    return L.build_labels(RC.read_review_info(spark, out, "npm"), "benign").versions
+
+
+@register("label_tables_roundtrip", f"""{_LABELS_CTE.replace('rows AS', 'rows AS', 1) if _LABELS_CTE.startswith('WITH') else 'WITH ' + _LABELS_CTE}
+SELECT 'labels_version' AS tab, package, version, CAST(label AS INTEGER) AS label FROM versions
+UNION ALL SELECT 'labels', package, NULL, CAST(max(label) AS INTEGER) FROM versions GROUP BY package""")
+def label_tables_roundtrip(spark, sf_dir):
+    """S2, E6 + A3: the label tables written as ordered CSVs and read back."""
+    out = SK.scratch_folder(spark, "label-tables")
+    SK.write_label_tables(L.build_labels(resolve_review_columns(FX.package_info(spark, sf_dir), "npm"), "drop"), out)
+    versions = RC.read_version_labels(spark, f"{out}/labels_version")
+    packages = RC.read_csv_strings(spark, f"{out}/labels")
+    return (versions.select(F.lit("labels_version").alias("tab"), "package", "version", "label")
+            .unionByName(packages.select(F.lit("labels").alias("tab"), "package", F.lit(None).cast("string").alias("version"), F.col("label").cast("int"))))
+
+
+@register("predictions_roundtrip", f"""SELECT text, label, pred FROM ({_ORACLES['detector_scores']}) WHERE split = 'test'""")
+def predictions_roundtrip(spark, sf_dir):
+    """S3: the detector's test predictions written as CSV and read back."""
+    out = SK.scratch_folder(spark, "predictions")
+    SK.write_predictions(detector_scores(spark, sf_dir).where("split = 'test'"), out)
+    return RC.read_csv_strings(spark, out).select("text", "label", "pred")

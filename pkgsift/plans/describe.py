@@ -74,6 +74,7 @@ def npm_version_features(files: DataFrame, **kw) -> DataFrame:
 
 def manifest_hooks(files: DataFrame, read: Read | None = None) -> DataFrame:
     """A9 + G5: ``package.json`` at the version root → (package, version, startup)."""
+    JS.allow_repeated_keys(files.sparkSession)
     manifests = files.where(F.col("rel_path") == "package.json")
     return ((manifests if read is None else read(manifests))
             .select("package", "version",

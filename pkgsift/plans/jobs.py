@@ -90,16 +90,16 @@ def describe_job(spark: SparkSession, ecosystem: str, packages_dir: str, out_dir
 
 def train_job(spark: SparkSession, train_csv: str, val_csv: str, test_csv: str, out_dir: str,
               text_col: str | None = None, label_col: str | None = None,
-              predict_only: bool = False, model_dir: str | None = None, **kw):
+              predict_only: bool = False, model_dir: str | None = None, kind: str = "bayes", **kw):
     """L3: split CSVs → detector → predictions (test) and metrics (val, test)."""
     def load(p, name):
         return RC.load_split_csv(spark, p, text_col, label_col).withColumn("split", F.lit(name))
     val, test = load(val_csv, "validation"), load(test_csv, "test")
     model_path = model_dir or f"{out_dir}/model"
     if predict_only:
-        model = DT.load_detector(model_path)
+        model = DT.load_detector(model_path, kind)
     else:
-        model = DT.fit_detector(load(train_csv, "train"), **kw)
+        model = DT.fit_detector(load(train_csv, "train"), kind=kind, **kw)
         DT.save_detector(model, model_path)
     held = val.unionByName(test)
     scored = model.transform(held).select(

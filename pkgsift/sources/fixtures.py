@@ -1,12 +1,16 @@
 """Derived fixtures: package-shaped tables built from the driver's tables.
 
-The driver's tables hold prose, not packages.  These two frames put the
-shapes the engine consumes on top of them, row for row (see FIXTURES.md):
+The driver's tables hold prose, not packages.  These frames put the
+shapes the engine consumes on top of them (see FIXTURES.md):
 
 * ``code_files``   – one source file per document: ecosystem, package,
                      version, path, content (a behaviour snippet + the
                      document's text made ASCII).  12 documents per package,
                      4 per version, one of four paths each.
+* ``npm_files``    – the npm files of ``code_files`` plus manifests, ``.ts`` files
+                     and versions with 34 files, also derived row by row.
+* ``archives``     – one archive per package version (tar.gz, zip or gem) of its
+                     ``code_files``, built in the tasks.
 * ``package_info`` – one review row per ``labels`` row: name, version,
                      threat_type (messy tags, nulls, conflicting duplicates).
 
@@ -21,13 +25,15 @@ from pyspark.sql import functions as F
 from pkgsift.functions.colcache import cached_columns
 
 # ---------------------------------------------------------------------------
-# Snippets per ecosystem, indexed by doc_id % 5 (FIXTURES.md §3).
+# Snippets per ecosystem, indexed by doc_id % 7 (FIXTURES.md §3).
 PYPI_SNIPPETS = [
     'import os, base64 ; os.system("curl http://x.example/a") ; ',
     'import subprocess ; subprocess.Popen("ls") ; subprocess.run("id") ; ',
     'eval(input()) ; ',
     'import requests as r ; x = "QUJDREVGR0hJSktMTU5PUFFSU1RVVldYWVo" ; ',
     '',
+    'import os, \\\n  sys ; os\\\n                .system("id") ; ',
+    'eval                    ("1") ; a.b.c.d.e.f.g.h.i.j.k.l.m.n.o.p.q.r.s.t.run("x") ; ',
 ]
 NPM_SNIPPETS = [
     'const cp = require("child_process"); cp.exec("curl http://x.example/a"); ',
@@ -35,6 +41,8 @@ NPM_SNIPPETS = [
     'eval("1+1"); ',
     'import ax from "axios"; var k = "QUJDREVGR0hJSktMTU5PUFFSU1RVVldYWVo"; ',
     '',
+    'const cp = require("child_process"); cp\n                    .exec("ls"); import "fs/promises"; ',
+    'function* eval(x) { } ; a.b.c.d.e.f.g.h.i.j.k.l.m.n.o.p.q.r.s.t.run("x"); ',
 ]
 RUBY_SNIPPETS = [
     'require "net/http" ; system("curl http://x.example/a") ; ',
@@ -42,10 +50,26 @@ RUBY_SNIPPETS = [
     'instance_eval("1") ; ',
     'require "base64" ; k = "QUJDREVGR0hJSktMTU5PUFFSU1RVVldYWVo" ; ',
     '',
+    'require "fileutils" ; spawn                    ("x") ; ',
+    'puts 1 ; ',
 ]
 PATH_STEMS = ["src/main", "lib/index", "tests/case", "dist/index"]
 ECOSYSTEMS = ["pypi", "npm", "rubygems"]
 EXTENSIONS = [".py", ".js", ".rb"]
+# package.json texts; the first two have an install hook (of equal keys the last counts)
+MANIFESTS = [
+    '{"scripts": {"postinstall": "node x"}}',
+    '{"scripts": {"test": "x"}, "name": "a", "scripts": {"install": "y"}}',
+    '{"scripts": {"install": "y"}, "name": "a", "scripts": {"test": "x"}}',
+    '{"scripts": ["a"]}',
+    '{"scripts": {"install": "y"',
+    '{"name": "x"}',
+    '[1]',
+]
+MANIFESTS_WITH_HOOK = MANIFESTS[:2]
+TS_CONTENT = 'import fsp from "fs/promises"; import net from "net"; '
+MORE_CONTENT = 'const h = require("https"); '
+MORE_FILES = 30
 # ---------------------------------------------------------------------------
 
 
@@ -78,7 +102,7 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _code_file_cols():
     g = _group()
     eco_ix = g % 3
-    snip_ix = F.col("doc_id") % 5
+    snip_ix = F.col("doc_id") % len(NPM_SNIPPETS)
     snippet = (F.when(eco_ix == 0, _pick(snip_ix, PYPI_SNIPPETS))
                .when(eco_ix == 1, _pick(snip_ix, NPM_SNIPPETS))
                .otherwise(_pick(snip_ix, RUBY_SNIPPETS)))
@@ -104,6 +128,70 @@ def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "content")
 
 
+def npm_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(package, version, rel_path, size, content) of npm: code, manifests, ``.ts``
+    files, and for some versions 30 files more."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").where(_group() % 3 == 1)
+    g, d = _group(), F.col("doc_id")
+    key = (F.concat(F.lit("pkg-"), g.cast("string")).alias("package"),
+           F.concat(F.lit("1."), F.floor((d % 12) / F.lit(4.0)).cast("bigint").cast("string")).alias("version"))
+    manifests = docs.where(d % 4 == 0).select(*key, F.lit("package.json").alias("rel_path"),
+                                               _pick(F.floor(d / 4) % len(MANIFESTS), MANIFESTS).alias("content"))
+    ts = docs.where(d % 4 == 1).select(*key, F.lit("src/extra.ts").alias("rel_path"), F.lit(TS_CONTENT).alias("content"))
+    more = (docs.where(d % 36 == 12).select(*key, F.explode(F.sequence(F.lit(0), F.lit(MORE_FILES - 1))).alias("i"))
+            .select("package", "version", F.concat(F.lit("lib/more/f"), F.col("i").cast("string"), F.lit(".js")).alias("rel_path"),
+                    F.concat(F.lit(MORE_CONTENT), F.repeat(F.lit("x"), F.col("i"))).alias("content")))
+    extra = manifests.unionByName(ts).unionByName(more).withColumn("size", F.length("content").cast("bigint"))
+    code = source_files(spark, sf_dir).where("ecosystem = 'npm'").drop("ecosystem")
+    return code.unionByName(extra)
+
+
+# archive kind of a version: 1.0, 1.1, 1.2 of PyPI packages; gems for RubyGems
+PYPI_ARCHIVES = {"1.0": ".tar.gz", "1.1": ".zip", "1.2": ".tgz"}
+
+
+def archives(spark: SparkSession, sf_dir: str, ecosystem: str) -> DataFrame:
+    """(package, version, path, bytes): every package version of ``code_files`` as
+    one archive, its files below ``package-version/`` (PyPI) or at the top (gem)."""
+    import pandas as pd
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        import io
+        import tarfile
+        import zipfile
+
+        def tar(files, mode):
+            out = io.BytesIO()
+            with tarfile.open(fileobj=out, mode=mode) as t:
+                for name, body in files:
+                    info = tarfile.TarInfo(name)
+                    info.size = len(body)
+                    t.addfile(info, io.BytesIO(body))
+            return out.getvalue()
+
+        package, version = pdf["package"].iloc[0], pdf["version"].iloc[0]
+        stem = f"{package}-{version}"
+        files = sorted((p if ecosystem == "rubygems" else f"{stem}/{p}", c.encode()) for p, c in zip(pdf["path"], pdf["content"]))
+        if ecosystem == "rubygems":
+            kind, data = ".gem", tar([("metadata.gz", b""), ("data.tar.gz", tar(files, "w:gz"))], "w")
+        else:
+            kind = PYPI_ARCHIVES[version]
+            if kind == ".zip":
+                out = io.BytesIO()
+                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+                    for name, body in files:
+                        z.writestr(name, body)
+                data = out.getvalue()
+            else:
+                data = tar(files, "w:gz")
+        return pd.DataFrame([(package, version, f"{package}/{version}/{stem}{kind}", data)], columns=["package", "version", "path", "bytes"])
+
+    # at most four files per version by construction
+    code = code_files(spark, sf_dir).where(F.col("ecosystem") == ecosystem).where("content is not null")
+    return (code.select("package", "version", "path", "content").groupBy("package", "version")
+            .applyInPandas(build, "package string, version string, path string, bytes binary"))
+
+
 def package_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One review row per ``labels`` row: name, version, threat_type."""
     lab = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -139,9 +227,9 @@ CODE_FILES_SQL = f"""code_files AS (
     concat('1.', CAST(CAST(floor((doc_id % 12)/4.0) AS BIGINT) AS VARCHAR)) AS version,
     concat({_sql_case('doc_id % 4', PATH_STEMS)}, {_sql_case(f'{_G} % 3', EXTENSIONS)}) AS path,
     concat(CASE {_G} % 3
-             WHEN 0 THEN {_sql_case('doc_id % 5', PYPI_SNIPPETS)}
-             WHEN 1 THEN {_sql_case('doc_id % 5', NPM_SNIPPETS)}
-             ELSE {_sql_case('doc_id % 5', RUBY_SNIPPETS)} END,
+             WHEN 0 THEN {_sql_case('doc_id % 7', PYPI_SNIPPETS)}
+             WHEN 1 THEN {_sql_case('doc_id % 7', NPM_SNIPPETS)}
+             ELSE {_sql_case('doc_id % 7', RUBY_SNIPPETS)} END,
            regexp_replace(text, '[^ -~]', ' ', 'g')) AS content
   FROM documents)"""
 
@@ -151,6 +239,18 @@ source_files AS (
          CAST(length(content) AS BIGINT) AS size, content
   FROM code_files)"""
 
+NPM_FILES_SQL = f"""npm_docs AS (
+  SELECT doc_id, concat('pkg-', CAST({_G} AS VARCHAR)) AS package,
+         concat('1.', CAST(CAST(floor((doc_id % 12)/4.0) AS BIGINT) AS VARCHAR)) AS version
+  FROM documents WHERE {_G} % 3 = 1),
+npm_rows AS (
+  SELECT package, version, path AS rel_path, content FROM code_files WHERE ecosystem = 'npm'
+  UNION ALL SELECT package, version, 'package.json', {_sql_case(f'CAST(floor(doc_id / 4) AS BIGINT) % {len(MANIFESTS)}', MANIFESTS)}
+  FROM npm_docs WHERE doc_id % 4 = 0
+  UNION ALL SELECT package, version, 'src/extra.ts', '{TS_CONTENT}' FROM npm_docs WHERE doc_id % 4 = 1
+  UNION ALL SELECT package, version, 'lib/more/f' || i || '.js', '{MORE_CONTENT}' || repeat('x', CAST(i AS INTEGER))
+  FROM npm_docs, range({MORE_FILES}) r(i) WHERE doc_id % 36 = 12)"""
+
 PACKAGE_INFO_SQL = f"""package_info AS (
   SELECT concat('pkg-', CAST({_G} AS VARCHAR)) AS name,
          concat('1.', CAST(CAST(floor((doc_id % 12)/4.0) AS BIGINT) AS VARCHAR)) AS version,

@@ -119,15 +119,19 @@ def test_describe_jobs_and_train(spark, tmp_path):
 
     ds = tmp_path / "ds"
     model, scored, metrics = jobs.train_job(spark, str(ds / "split=train"), str(ds / "split=validation"),
-                                            str(ds / "split=test"), str(tmp_path / "m"), min_df=1.0)
+                                            str(ds / "split=test"), str(tmp_path / "m"), kind="logistic")
     assert {r["split"] for r in metrics.collect()} == {"validation", "test"}
     doc = json.loads(spark.read.json(str(tmp_path / "m" / "metrics")).first()["metrics"])
     assert set(doc) == {"val", "test"} and set(doc["val"]) == {"accuracy", "precision", "recall", "f1"}
     preds = spark.read.option("header", True).csv(str(tmp_path / "m" / "preds_test"))
     assert preds.columns == ["text", "label", "pred"] and preds.count() == 2
     again, _, _ = jobs.train_job(spark, str(ds / "split=train"), str(ds / "split=validation"), str(ds / "split=test"),
-                                 str(tmp_path / "m2"), predict_only=True, model_dir=str(tmp_path / "m" / "model"))
+                                 str(tmp_path / "m2"), predict_only=True, model_dir=str(tmp_path / "m" / "model"), kind="logistic")
     assert again is not None
+    bayes, first, _ = jobs.train_job(spark, str(ds / "split=train"), str(ds / "split=validation"), str(ds / "split=test"), str(tmp_path / "m3"))
+    loaded, second, _ = jobs.train_job(spark, str(ds / "split=train"), str(ds / "split=validation"), str(ds / "split=test"),
+                                       str(tmp_path / "m4"), predict_only=True, model_dir=str(tmp_path / "m3" / "model"))
+    assert loaded == bayes and sorted(map(tuple, first.collect())) == sorted(map(tuple, second.collect()))
 
 
 def test_ruby_label_job_and_ingest(spark, tmp_path):
