@@ -174,19 +174,25 @@ def _last(entries: Column, key: Column) -> Column:
     return F.try_element_at(F.filter(entries, lambda e: e["k"] == key), F.lit(-1))
 
 
-def _mentions_cp(tok: Column) -> Column:
-    """A neighbouring string literal that mentions child_process (any case)."""
-    return F.coalesce(F.substring(tok, 1, 1).isin('"', "'", "`")
-                      & (F.instr(F.lower(tok), "child_process") > 0), F.lit(False))
+def _call_text(funcs) -> str:
+    """Whole calls of ``funcs``: the calls they are chained to, the name, and the
+    arguments to the balanced parenthesis.  A match starts at the chain's head
+    only, so a long chain is scanned once."""
+    args = LX.js_arguments()
+    return (rf"(?i)(?<![\w$.)])(?<!\.\s{{1,8}})(?!\.)(?:[\w$.]*+\({args}\)\s*+\.\s*+)*+(?:[\w$]++\s*+\.\s*+)*+"
+            rf"(?:{'|'.join(funcs)})\s*+\({args}\)")
 
 
-def resolve_calls(raw: Column, aliases: Column, names: Column) -> Column:
-    """Call heads → array<struct<mod, func, cp>> through the alias maps.
+def _mentions_cp(text: Column, calls: Column, funcs) -> Column:
+    """A call of ``funcs`` without a module whose own text mentions child_process,
+    e.g. ``require('child_process').exec(…)`` or ``exec(require('child_process'))``."""
+    bare = F.exists(calls, lambda x: (x["mod"] == "") & F.lower(x["func"]).isin(funcs))
+    found = F.exists(F.regexp_extract_all(text, F.lit(_call_text(funcs)), F.lit(0)), lambda c: F.instr(F.lower(c), "child_process") > 0)
+    return F.when(bare & (F.instr(F.lower(text), "child_process") > 0), found).otherwise(F.lit(False))
 
-    ``cp`` marks a call whose own text mentions child_process (a string
-    literal right before or after its head), which the reference accepts for
-    calls without a module, e.g. ``require('child_process').exec(``.
-    """
+
+def resolve_calls(raw: Column, aliases: Column, names: Column) -> Column:
+    """Call heads → array<struct<mod, func>> through the alias maps."""
     def one(c):
         base_ok = c["member"] & (c["base"] != "") & ~c["base"].isin(NON_IDENTIFIER_BASES)
         hit = _last(aliases, c["base"])
@@ -194,8 +200,7 @@ def resolve_calls(raw: Column, aliases: Column, names: Column) -> Column:
         nf = _last(names, c["func"])
         use_nf = (mod0 == "") & nf.isNotNull()
         return F.struct(F.when(use_nf, nf["mod"]).otherwise(mod0).alias("mod"),
-                        F.when(use_nf, nf["fn"]).otherwise(c["func"]).alias("func"),
-                        (_mentions_cp(c["prev"]) | _mentions_cp(c["next"])).alias("cp"))
+                        F.when(use_nf, nf["fn"]).otherwise(c["func"]).alias("func"))
     return F.transform(raw, one)
 
 
@@ -213,14 +218,15 @@ def _js_stages(text_col: str, size_col: str | None, max_file_bytes: int, max_tok
     s0 = {"light": light}
     s1 = {"_toks": F.when(~is_light, LX.tokens(text, LX.JS_TOKENS, max_tokens))}
     toks = F.col("_toks")
-    s3 = {"_calls": F.when(is_light, F.array().cast("array<struct<mod:string,func:string,cp:boolean>>"))
+    s3 = {"_calls": F.when(is_light, F.array().cast("array<struct<mod:string,func:string>>"))
           .otherwise(resolve_calls(LX.calls(toks, LX.JS_KEYWORDS), F.col("_aliases"), F.col("_names")))}
     c = F.col("_calls")
-    # the module is a process module, or there is none and the call's text names child_process
-    proc_mod = lambda x: x["mod"].isin(PROCESS_MODULES) | ((x["mod"] == "") & x["cp"])
     tree_eval = F.exists(c, lambda x: F.lower(x["func"]) == "eval")
-    tree_os = F.exists(c, lambda x: proc_mod(x) & F.lower(x["func"]).isin(os_funcs))
-    tree_proc = F.exists(c, lambda x: proc_mod(x) & F.lower(x["func"]).isin(proc_funcs))
+    # the module is a process module, or there is none and the call's text names child_process
+    def runs(funcs):
+        return (F.exists(c, lambda x: x["mod"].isin(PROCESS_MODULES) & F.lower(x["func"]).isin(funcs))
+                | _mentions_cp(text, c, funcs))
+    tree_os, tree_proc = runs(os_funcs), runs(proc_funcs)
     direct_os = low.rlike(DIRECT_REQUIRE_OS)
     direct_proc = low.rlike(DIRECT_REQUIRE_PROC)
     light_eval = low.rlike(EVAL_CALL) | low.rlike(VM_RUN)

@@ -49,6 +49,19 @@ PYTHON_TOKENS = _PY_FIRST + "(?:" + "|".join([
     _head(_PY_BLANK),
 ]) + ")"
 
+_JS_STRING = r"""'(?:[^'\\\n]++|\\[\s\S])*+'|"(?:[^"\\\n]++|\\[\s\S])*+"|`(?:[^`\\]++|\\[\s\S])*+`"""
+#: Parentheses inside an argument list that ``js_arguments`` follows.
+ARGUMENT_DEPTH = 12
+
+
+def js_arguments(depth: int = ARGUMENT_DEPTH) -> str:
+    """What stands between a call's parentheses: text, strings and balanced pairs,
+    nested up to ``depth``.  A deeper list matches nothing, so a call is then
+    taken for a call and its text for not mentioning anything."""
+    nested = rf"|\({js_arguments(depth - 1)}\)" if depth else ""
+    return rf"(?:[^()'\"`]++|{_JS_STRING}{nested})*+"
+
+
 JS_TOKENS = _JS_FIRST + "(?:" + "|".join([
     r"//[^\n]*+",
     r"/\*[\s\S]*?(?:\*/|\z)",
@@ -57,6 +70,9 @@ JS_TOKENS = _JS_FIRST + "(?:" + "|".join([
     r"`(?:[^`\\]++|\\[\s\S])*+`?+",
     r"\bnew\s++[\w$.]++\s*+\(",
     r"\bfunction\s*+(?:\*\s*+)?[\w$]++\s*+\(",
+    # a method definition: the name alone, which ``tokens`` drops.  The brace must
+    # follow on the line, as ``eval(x)`` and a block on the next are a call
+    rf"(?<![\w$.])[A-Za-z_$][\w$]*+(?=\s*+\({js_arguments()}\)[ \t]*+\{{)",
     _head(_JS_BLANK),
 ]) + ")"
 
@@ -98,25 +114,14 @@ def string_literals(toks: Column) -> Column:
 
 
 def call_heads(toks: Column) -> Column:
-    """Call-head tokens with their neighbours: array<struct<h, prev, next>>.
-
-    ``h`` has whitespace, '(' and '?' removed (``a.b.c``, ``.f``, ``g``);
-    ``prev`` / ``next`` are the tokens just before and after (a string
-    literal there is part of the call's text: ``require('x').f(`` or ``f('x')``).
-    """
-    n = F.size(toks)
-    indexed = F.transform(toks, lambda t, i: F.struct(
-        t.alias("t"),
-        F.when(i > 0, F.element_at(toks, i)).alias("prev"),
-        F.when(i + 1 < n, F.element_at(toks, i + 2)).alias("next")))
+    """Call heads without blanks, '(' and '?': ``a.b.c``, ``.f``, ``g``."""
     # 'new X(' and 'function f(' were matched only to hide their names
-    heads = F.filter(indexed, lambda x: x["t"].endswith("(") & ~x["t"].rlike(r"^(?:new\s|function[\s*])"))
-    return F.transform(heads, lambda x: F.struct(F.regexp_replace(x["t"], r"[\s(?\\]", "").alias("h"),
-                                                 x["prev"].alias("prev"), x["next"].alias("next")))
+    heads = F.filter(toks, lambda t: t.endswith("(") & ~t.rlike(r"^(?:new\s|function[\s*])"))
+    return F.transform(heads, lambda t: F.regexp_replace(t, r"[\s(?\\]", ""))
 
 
-def split_head(head: Column, keywords, prev: Column | None = None, nxt: Column | None = None) -> Column:
-    """Call head → struct(base, func, member, prev, next).
+def split_head(head: Column, keywords) -> Column:
+    """Call head → struct(base, func, member).
 
     ``base`` is the leftmost identifier ("" when the head starts with '.',
     i.e. the object was a call or subscript result); ``func`` is the last name.
@@ -128,14 +133,11 @@ def split_head(head: Column, keywords, prev: Column | None = None, nxt: Column |
     base = F.when(dotted, F.lit("")).when(n > 1, parts[0]).otherwise(F.lit(""))
     func = F.element_at(parts, -1)
     is_kw = (~dotted) & (n == 1) & func.isin(keywords)
-    none = F.lit(None).cast("string")
     return F.when(is_kw, F.lit(None)).otherwise(
-        F.struct(base.alias("base"), func.alias("func"), (dotted | (n > 1)).alias("member"),
-                 (none if prev is None else prev).alias("prev"),
-                 (none if nxt is None else nxt).alias("next")))
+        F.struct(base.alias("base"), func.alias("func"), (dotted | (n > 1)).alias("member")))
 
 
 def calls(toks: Column, keywords) -> Column:
     """array<struct<base, func, member>> of every call in token order."""
-    parsed = F.transform(call_heads(toks), lambda x: split_head(x["h"], keywords, x["prev"], x["next"]))
+    parsed = F.transform(call_heads(toks), lambda h: split_head(h, keywords))
     return F.filter(parsed, lambda c: c.isNotNull())

@@ -7,15 +7,13 @@ Per-class quotas: floor of the proportional share, then the leftover seats
 go to the largest remainders (ties by label).  Inside a class, rows are
 ordered by ``md5(seed|key)``, then key.
 
-Scale: ranking one class in one task would put a class holding a third of
-all rows into a single task.  Rows are hashed into ``n_buckets`` buckets by
-the md5 prefix; per-(label, bucket) counts give each bucket's offset.  Inside
-a bucket, keys are offset by a running count over the bucket's distinct keys,
-and copies of one key by a running count over the input partitions holding
-them, so the only row-level window is per (key, input partition): a class,
-a bucket or a group of identical rows holding a third of all rows is still
-ranked by many tasks.  The bucket offset table has at most classes ×
-``n_buckets`` rows (a fixed bound), so it is broadcast.
+Scale: no class is ranked as a whole.  Test and validation are the first
+rows of a class in that order, so only the places where the order is cut have
+to be found: counts per (label, md5 prefix) name the bucket of each cut, and
+counts per key inside those few buckets name the key.  Every other row
+compares its hash with its class's cuts, in a projection.  Copies of a cut key
+that are only partly taken are numbered per input partition, with offsets from
+counts, so a third of all rows being copies of one key is still many tasks' work.
 """
 
 from __future__ import annotations
@@ -82,70 +80,87 @@ def class_quotas(df: DataFrame, label_col: str = "label", val_size: float = 0.10
                     F.coalesce(F.col("_check").cast("string"), F.col("_check2").cast("string")).alias("_chk"))
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: it runs once, survives
+    lost executors and has known sizes."""
+    from pkgsift.sources.sinks import scratch_folder
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _cuts(rows: DataFrame, quotas, hexdigits: int) -> DataFrame:
+    """(_lab, test, validation) per class: struct(h, take, copies) of the last key
+    that belongs to test, and to test or validation; null where that is empty."""
+    b = F.substring("_h", 1, hexdigits)
+    buckets = _stored(rows.groupBy("_lab", b.alias("_b")).agg(F.count(F.lit(1)).alias("n")), "split-buckets")
+    q = quotas(buckets.groupBy(F.col("_lab").alias("label")).agg(F.sum("n").alias("n_c")))
+    ranks = q.select(F.col("label").alias("_of"), "_chk", F.inline(F.array(
+        F.struct(F.lit(1).alias("k"), F.col("n_test_c").alias("r")),
+        F.struct(F.lit(2).alias("k"), (F.col("n_test_c") + F.col("n_val_c")).alias("r")))))
+    ends = buckets.withColumn("end", F.sum("n").over(Window.partitionBy("_lab").orderBy("_b")))
+    mine = F.col("_lab").eqNullSafe(F.col("_of"))
+    # the check column stays a key, so that it is evaluated
+    edges = _stored(ends.join(ranks, mine).where("r > 0 AND end >= r").groupBy("_lab", "k", "r", "_chk")
+                    .agg(F.min(F.struct("_b", (F.col("end") - F.col("n")).alias("begin"))).alias("e"))
+                    .select("_lab", "k", "r", "_chk", "e._b", "e.begin"), "split-edges")
+    edge = edges.select(F.col("_lab").alias("_of"), "_b", "k", "r", "begin")
+    sought = edge.select("_of", F.col("_b").alias("_eb")).distinct()
+    near = rows.withColumn("_b", b).join(sought, mine & (F.col("_b") == F.col("_eb")), "left_semi")
+    keys = near.groupBy("_lab", "_b", "_h").agg(F.count(F.lit(1)).alias("copies"))
+    keys = keys.withColumn("kend", F.sum("copies").over(Window.partitionBy("_lab", "_b").orderBy("_h")))
+    at = (keys.join(edge.withColumnRenamed("_b", "_eb"), mine & (F.col("_b") == F.col("_eb")))
+          .where("begin + kend >= r").groupBy("_lab", "k", "r")
+          .agg(F.min(F.struct("_h", "copies", (F.col("begin") + F.col("kend") - F.col("copies")).alias("before"))).alias("c"))
+          .withColumn("cut", F.struct(F.col("c._h").alias("h"), (F.col("r") - F.col("c.before")).alias("take"), F.col("c.copies").alias("copies"))))
+    return _stored(at.groupBy("_lab").agg(F.max(F.when(F.col("k") == 1, F.col("cut"))).alias("test"),
+                                          F.max(F.when(F.col("k") == 2, F.col("cut"))).alias("validation")), "split-cuts")
+
+
 def stratified_split(df: DataFrame, key: Column | None = None, label_col: str = "label",
                      val_size: float = 0.10, test_size: float = 0.10, seed: int = 42,
                      n_buckets: int = DEFAULT_BUCKETS, materialize: bool = True) -> DataFrame:
     """Add ``split`` ∈ {train, validation, test} with exact per-class sizes.
 
     ``key`` orders rows inside a class (default: all columns joined); rows
-    with equal keys are interchangeable.  The input is read twice (bucket
-    counts, then ranking); with ``materialize`` it is checkpointed once to
-    ``spark.checkpoint.dir`` first, so an expensive upstream plan (feature
-    extraction) runs once and the lineage is cut.
+    with equal keys are interchangeable.  The input is read three times (bucket
+    counts, cut buckets, result); with ``materialize`` it is first written to the
+    shared folder, so an expensive upstream plan (feature extraction) runs once.
     """
     if materialize:
-        from pkgsift.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = _stored(df, "split-input")
     if key is None:
         key = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000"))
                                        for c in df.columns])
     hexdigits = max(1, math.ceil(math.log(max(n_buckets, 2), 16)))
-    # Input partition and position, read straight off the checkpointed scan
-    # (stable on a retried task).  Without a checkpoint they are not reused:
-    # every row gets partition 0, as before.
-    pid = F.spark_partition_id() if materialize else F.lit(0)
-    rows = (df.withColumn("_key", key)
-            .withColumn("_h", _hash(seed, F.col("_key")))
-            .withColumn("_b", F.substring("_h", 1, hexdigits))
-            .withColumn("_lab", F.col(label_col))
-            .withColumn("_pid", pid)
-            .withColumn("_mid", F.monotonically_increasing_id()))
-    # count tables carry the 32-character hash, not the key (which by default
-    # is the whole row): equal hashes mean equal keys, barring an md5 collision
-    seg = ["_lab", "_b", "_h"]
-    # Rank = rows in earlier buckets of the class + rows with a smaller key in
-    # the bucket + copies of the key in earlier input partitions + ordinal
-    # among the key's copies in this partition.  Copies of one key (which may
-    # be a third of all rows) are ranked per input partition, never in one
-    # task; the offsets come from small count tables.
-    per_kp = rows.groupBy(*seg, "_pid").agg(F.count(F.lit(1)).alias("_nkp"))
-    per_key = per_kp.groupBy(*seg).agg(F.sum("_nkp").alias("_nk"))
-    per_bucket = per_key.groupBy("_lab", "_b").agg(F.sum("_nk").alias("_nb"))
-    class_counts = per_bucket.groupBy(F.col("_lab").alias("label")).agg(F.sum("_nb").alias("n_c"))
-    quotas = class_quotas(df, label_col, val_size, test_size, counts=class_counts)
-    before = Window.unboundedPreceding
-    offsets = per_bucket.withColumn(
-        "_off", F.coalesce(F.sum("_nb").over(
-            Window.partitionBy("_lab").orderBy("_b").rowsBetween(before, -1)), F.lit(0)))
-    key_off = per_key.withColumn(
-        "_koff", F.coalesce(F.sum("_nk").over(
-            Window.partitionBy("_lab", "_b").orderBy("_h").rowsBetween(before, -1)), F.lit(0)))
-    kp_off = (per_kp.withColumn("_poff", F.coalesce(F.sum("_nkp").over(
-        Window.partitionBy(*seg).orderBy("_pid").rowsBetween(before, -1)), F.lit(0)))
-        .join(key_off.select(*seg, "_koff"), seg)
-        .select(*seg, "_pid", (F.col("_koff") + F.col("_poff")).alias("_kpoff")))
-    w = Window.partitionBy(*seg, "_pid").orderBy("_key", "_mid")
-    ranked = (rows.withColumn("_rn", F.row_number().over(w))
-              .join(kp_off, [*seg, "_pid"])
-              .join(F.broadcast(offsets.select("_lab", "_b", "_off")), ["_lab", "_b"])
-              .join(F.broadcast(quotas.withColumnRenamed("label", "_lab")), "_lab"))
-    r = F.col("_off") + F.col("_kpoff") + F.col("_rn")
-    split = (F.when(F.col("_chk").isNotNull(), F.lit(None))
-             .when(r <= F.col("n_test_c"), F.lit("test"))
-             .when(r <= F.col("n_test_c") + F.col("n_val_c"), F.lit("validation"))
-             .otherwise(F.lit("train")))
-    return ranked.withColumn("split", split).select(*df.columns, "split")
+    hashed = df.withColumns({"_lab": F.col(label_col), "_h": _hash(seed, key)})
+    cuts = _cuts(hashed.select("_lab", "_h"), lambda counts: class_quotas(df, label_col, val_size, test_size, counts=counts), hexdigits)
+    of = cuts.select(F.col("_lab").alias("_of"), F.col("test").alias("_t"), F.col("validation").alias("_v"))
+    placed = hashed.join(of, F.col("_lab").eqNullSafe(F.col("_of")), "left")
+
+    def split(number: Column | None) -> Column:
+        def within(cut: str) -> Column:
+            whole = F.col(f"{cut}.take") == F.col(f"{cut}.copies")
+            taken = whole if number is None else whole | (number <= F.col(f"{cut}.take"))
+            return (F.col("_h") < F.col(f"{cut}.h")) | ((F.col("_h") == F.col(f"{cut}.h")) & taken)
+        return F.when(within("_t"), "test").when(within("_v"), "validation").otherwise("train")
+
+    partly = cuts.where("test.take < test.copies OR validation.take < validation.copies")
+    if partly.isEmpty():
+        return placed.select(*df.columns, split(None).alias("split"))
+    # copies of a key that is cut are numbered by (input partition, place in it)
+    on_cut = F.coalesce((F.col("_h") == F.col("_t.h")) & (F.col("_t.take") < F.col("_t.copies")), F.lit(False)) \
+        | F.coalesce((F.col("_h") == F.col("_v.h")) & (F.col("_v.take") < F.col("_v.copies")), F.lit(False))
+    numbered = placed.withColumns({"_pid": F.spark_partition_id() if materialize else F.lit(0), "_mid": F.monotonically_increasing_id()})
+    ties = numbered.where(on_cut)
+    seg = ["_lab", "_h", "_pid"]
+    before = (ties.groupBy(*seg).agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("_off", F.coalesce(F.sum("n").over(Window.partitionBy("_lab", "_h").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+              .select(F.col("_lab").alias("_bl"), F.col("_h").alias("_bh"), F.col("_pid").alias("_bp"), "_off"))
+    ranked = (ties.withColumn("_rn", F.row_number().over(Window.partitionBy(*seg).orderBy("_mid")))
+              .join(before, F.col("_lab").eqNullSafe(F.col("_bl")) & (F.col("_h") == F.col("_bh")) & (F.col("_pid") == F.col("_bp"))))
+    return (placed.where(~on_cut).select(*df.columns, split(None).alias("split"))
+            .unionByName(ranked.select(*df.columns, split(F.col("_off") + F.col("_rn")).alias("split"))))
 
 
 def group_split(df: DataFrame, group_col: str = "package", label_col: str = "label",
@@ -156,9 +171,7 @@ def group_split(df: DataFrame, group_col: str = "package", label_col: str = "lab
     with a group's label the max of its rows' labels (package label, D3).
     Sizes are exact in groups, not rows."""
     if materialize:
-        from pkgsift.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        df = _stored(df, "split-input")
     groups = df.groupBy(group_col).agg(F.max(label_col).alias("_glabel"))
     g_split = stratified_split(groups, key=F.col(group_col).cast("string"), label_col="_glabel",
                                val_size=val_size, test_size=test_size, seed=seed,

@@ -383,15 +383,20 @@ def _sql_js_features(src="files", text="content", keep=("doc_id",), max_bytes=JS
     items = "list_filter(list_transform(string_split(e.a, ','), lambda y: trim(y)), lambda y: y <> '')"
     dest = f"flatten(list_transform({_sql_pairs(text, None, P['rd'], ('a', 'mod'))}, lambda e: list_transform({items}, lambda x: {dest_item})))"
     named = f"flatten(list_transform({_sql_pairs(text, None, P['inm'], ('a', 'mod'))}, lambda e: list_transform({items}, lambda x: {named_item})))"
-    heads = (f"list_transform(list_filter({O.heads_ctx('toks')}, lambda x: NOT {O.head_is_keyword('x.h', LX.JS_KEYWORDS)}), "
-             f"lambda x: {{'base': {O.head_base('x.h')}, 'func': {O.head_func('x.h')}, 'member': {O.head_member('x.h')}, "
-             f"'cp': {O.mentions_cp('x.prev')} OR {O.mentions_cp('x.next')}}})")
+    heads = (f"list_transform(list_filter({O.heads('toks')}, lambda h: NOT {O.head_is_keyword('h', LX.JS_KEYWORDS)}), "
+             f"lambda h: {{'base': {O.head_base('h')}, 'func': {O.head_func('h')}, 'member': {O.head_member('h')}}})")
     step1 = ("list_transform(raw, lambda c: {'mod0': CASE WHEN c.member AND c.base <> '' AND c.base NOT IN "
              f"{O.in_list(JS.NON_IDENTIFIER_BASES)} THEN coalesce(list_filter(aliases, lambda e: e.k = c.base)[-1].mod, c.base) "
-             "ELSE '' END, 'func': c.func, 'cp': c.cp})")
+             "ELSE '' END, 'func': c.func})")
     step2 = ("list_transform(step1, lambda c: CASE WHEN c.mod0 = '' AND list_filter(names, lambda e: e.k = c.func)[-1] IS NOT NULL "
-             "THEN {'mod': list_filter(names, lambda e: e.k = c.func)[-1].mod, 'func': list_filter(names, lambda e: e.k = c.func)[-1].fn, 'cp': c.cp} "
-             "ELSE {'mod': c.mod0, 'func': c.func, 'cp': c.cp} END)")
+             "THEN {'mod': list_filter(names, lambda e: e.k = c.func)[-1].mod, 'func': list_filter(names, lambda e: e.k = c.func)[-1].fn} "
+             "ELSE {'mod': c.mod0, 'func': c.func} END)")
+
+    # the fixture's call without a module that names child_process is listed beside its text
+    def mentions(funcs):
+        bare = f"len(list_filter(calls, lambda c: c.mod = '' AND lower(c.func) IN {O.in_list(funcs)})) > 0"
+        return f"({bare} AND ({' OR '.join(f'starts_with(_text, {O.q(x)})' for x in FX.NPM_NAMES_CHILD_PROCESS)}))"
+
     low = f"lower({text})"
     os_re = r"require\s*\(\s*['\"]child_process['\"]\s*\)\s*\.?\s*exec(?:sync)?\s*\("
     proc_re = r"require\s*\(\s*['\"]child_process['\"]\s*\)\s*\.?\s*(?:spawn|fork)\s*\("
@@ -412,9 +417,9 @@ js_feats AS (
          CASE WHEN light THEN regexp_matches(lower(_text), '\\beval\\s*\\(') OR regexp_matches(lower(_text), '\\bvm\\s*\\.\\s*runinnewcontext\\s*\\(')
               ELSE len(list_filter(calls, lambda c: lower(c.func) = 'eval')) > 0 END AS has_eval_exec,
          CASE WHEN light THEN regexp_matches(lower(_text), {O.q(os_re)})
-              ELSE len(list_filter(calls, lambda c: (c.mod IN {pm} OR (c.mod = '' AND c.cp)) AND lower(c.func) IN {osf})) > 0 END AS calls_os,
+              ELSE len(list_filter(calls, lambda c: c.mod IN {pm} AND lower(c.func) IN {osf})) > 0 OR {mentions(JS.OS_FUNCS)} END AS calls_os,
          CASE WHEN light THEN regexp_matches(lower(_text), {O.q(proc_re)})
-              ELSE len(list_filter(calls, lambda c: (c.mod IN {pm} OR (c.mod = '' AND c.cp)) AND lower(c.func) IN {prf})) > 0 END AS calls_proc,
+              ELSE len(list_filter(calls, lambda c: c.mod IN {pm} AND lower(c.func) IN {prf})) > 0 OR {mentions(JS.PROC_FUNCS)} END AS calls_proc,
          CASE WHEN light THEN CAST(len(regexp_extract_all(_text, {O.q(O.URL_RE2)})) AS BIGINT)
               ELSE {O.count_matching(O.literals('toks'), O.URL_RE2)} END AS url_count,
          CASE WHEN light THEN CAST(len(regexp_extract_all(_text, {O.q(O.B64_RE2)})) AS BIGINT)

