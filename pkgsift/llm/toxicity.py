@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pkgsift.llm.common import bounded_batches
 
 #: Labelled documents that learning reads at most: toxic ones, and others.
-MAX_TOXIC, MAX_CLEAN = 1000, 5000
+MAX_TOXIC, MAX_CLEAN = 1000, 4000
 #: Documents of each kind that the chain's weights are fitted to at most.
 MAX_CHAIN = 700
 #: Odds against the other documents that a feature must have to mark tokens.
@@ -170,16 +170,22 @@ def _offending(docs: list[list[bytes]], toxic: np.ndarray) -> set[str]:
     toxic documents.  The bar for its log-likelihood ratio rises with the number
     of features looked at.
     """
+    # features in a few toxic documents first, then those alone are counted elsewhere
     seen = [Counter(), Counter()]
-    own = [{f for w in set(d) for f in features(w)} for d in docs]
-    for fs, t in zip(own, toxic):
-        seen[int(t)].update(fs)
+    for d, t in zip(docs, toxic):
+        if t:
+            seen[1].update({f for w in set(d) for f in features(w)})
+    tried = len(seen[1])
+    seen[1] = Counter({f: c for f, c in seen[1].items() if c >= 2})
+    for d, t in zip(docs, toxic):
+        if not t:
+            seen[0].update({f for w in set(d) for f in features(w) if f in seen[1]})
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    share, bar = n1 / (n0 + n1), np.log(len(seen[1]) + 1.0) + 3
-    some = {f for f, c in seen[1].items() if c >= 2 and c / n1 >= MIN_ODDS * seen[0][f] / n0}
+    share, bar = n1 / (n0 + n1), np.log(tried + 1.0) + 3
+    some = {f for f, c in seen[1].items() if c / n1 >= MIN_ODDS * seen[0][f] / n0}
     held: dict[str, tuple[set, set, set]] = {f: (set(), set(), set()) for f in some}
-    for d, fs, t in zip(docs, own, toxic):
-        if t and (hits := fs & some):
+    for d, t in zip(docs, toxic):
+        if t and (hits := {f for w in set(d) for f in features(w) if f in some}):
             least = [min(xxhash.xxh64_intdigest(w, k) for w in set(d)) for k in range(3)]
             for f in hits:
                 for s, x in zip(held[f], least):
