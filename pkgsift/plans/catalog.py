@@ -235,6 +235,8 @@ def page_url_flags(spark, sf_dir):
                     EV.b64_count(F.col("html")).alias("html_b64_count"))
 
 
+# ---------------------------------------------------------------------------
+# The reference's alias, require and call-cue patterns, in RE2 form.
 _JS_PAIR_RE2 = {
     "ra": r"\b(?:const|let|var)\s+([A-Za-z_$][\w$]*)\s*=\s*require\s*\(\s*['\"]([^'\"]+)['\"]\s*\)",
     "rd": r"\b(?:const|let|var)\s*\{([^\}]+)\}\s*=\s*require\s*\(\s*['\"]([^'\"]+)['\"]\s*\)",
@@ -243,6 +245,15 @@ _JS_PAIR_RE2 = {
     "inm": r"\bimport\s*\{([^\}]+)\}\s*from\s*['\"]([^'\"]+)['\"]",
 }
 _JS_BARE_RE2 = r"\bimport\s*['\"]([^'\"]+)['\"]"
+_RB_REQUIRE_RE2 = r"""require(?:_relative)?\s*(?:\(?\s*['"]([^'"]+)['"]\s*\)?)"""
+_RB_CUES_RE2 = [
+    ("system", r"\b(?:kernel\s*\.\s*)?system\s*\("),
+    ("exec", r"\b(?:kernel\s*\.\s*)?exec\s*\("),
+    ("spawn", r"\b(?:kernel\s*\.\s*)?spawn\s*\("),
+    ("open3.popen", r"\bopen3\s*\.\s*popen[23]?\b"),
+    ("io.popen", r"\bio\s*\.\s*popen\b"),
+]
+# ---------------------------------------------------------------------------
 
 
 def _sql_js_imports(text="content"):
@@ -324,14 +335,7 @@ def python_features(spark, sf_dir):
 
 def _sql_ruby_features(src="files", text="content", keep=("doc_id",)):
     k = ", ".join(keep)
-    req = O.q(r"""require(?:_relative)?\s*(?:\(?\s*['"]([^'"]+)['"]\s*\)?)""")
-    cue_re2 = [
-        ("system", r"\b(?:kernel\s*\.\s*)?system\s*\("),
-        ("exec", r"\b(?:kernel\s*\.\s*)?exec\s*\("),
-        ("spawn", r"\b(?:kernel\s*\.\s*)?spawn\s*\("),
-        ("open3.popen", r"\bopen3\s*\.\s*popen[23]?\b"),
-        ("io.popen", r"\bio\s*\.\s*popen\b"),
-    ]
+    req, cue_re2 = O.q(_RB_REQUIRE_RE2), _RB_CUES_RE2
     cue_items = [f"CASE WHEN regexp_matches(lower({text}), {O.q(p)}) THEN {O.q(n)} END" for n, p in cue_re2]
     cue_items.append(f"CASE WHEN regexp_matches({text}, {O.q(r'(?s)`[^`]+`|%x\{.*?\}|%x\([^\)]*\)|%x\[[^\]]*\]')}) "
                      f"THEN 'system' END")

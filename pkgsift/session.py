@@ -6,9 +6,11 @@ helpers exist for tests, ``bench.py`` and command-line use.
 
 from __future__ import annotations
 
+import atexit
 import hashlib
 import io
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -77,6 +79,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             # executors on other machines could not read a driver-local folder
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         current = tempfile.mkdtemp(prefix="pkgsift-ckpt-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)  # made here, so removed here
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
