@@ -45,9 +45,13 @@ from pkgsift.llm.components import connected_components
 #: Sets a token must be in to count as frequent, and the most tokens listed.
 MIN_FREQUENT = 16
 MAX_FREQUENT = 1 << 18
-#: Counts that may mark a token as repeated, and log2 of the marking bits.
+#: Counts that may mark a token as repeated, log2 of the marking bits and of the
+#: bits that travel in one row.
 BARS = (2, 3, 4, 6, 8, 12, 16, 32, 64, 256, 1024)
-MARK_BITS = 26
+MARK_BITS = 28
+RUN_BITS = 20
+#: log2 of the bits that mark class keys with a candidate partner.
+CLASS_BITS = 26
 #: Tokens a task sorts at once while counting, and tokens per counting group.
 FLUSH_TOKENS = 2 << 20
 GROUP_TOKENS = 2 << 20
@@ -255,19 +259,14 @@ def token_order(texts: DataFrame, n: int, tokens: int) -> TokenOrder:
             starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             sums = np.add.reduceat(counts[order].astype(np.int64), starts)
             keys = keys[starts]
-            often = sums >= MIN_FREQUENT
-            bits = keys >> np.uint64(KEY_BITS - MARK_BITS)
-            rows = [(0, int(k), int(c), None) for k, c in zip(keys[often], sums[often])]
-            for bar in BARS:
-                hit = bits[sums >= bar]
-                if len(hit):  # the keys of one group are one range, so their bits are one run
-                    base = int(hit[0]) >> 3 << 3
-                    run = np.zeros(int(hit[-1]) - base + 1, np.uint8)
-                    run[(hit - np.uint64(base)).astype(np.int64)] = 1
-                    rows.append((bar, base, len(hit), np.packbits(run, bitorder="little").tobytes()))
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 4, kinds)], names=["bar", "key", "n", "bits"])
-
-        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            often, shared = sums >= MIN_FREQUENT, sums >= BARS[0]
+            rows = [(0, int(k), int(c), None, None) for k, c in zip(keys[often], sums[often])]
+            rows += [(bar, 0, int((sums >= bar).sum()), None, None) for bar in BARS]
+            if shared.any():
+                rows.append((-1, 0, int(shared.sum()), _pack(keys[shared]), np.minimum(sums[shared], BARS[-1]).astype("<u2").tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["bar", "key", "n", "keys", "counts"])
+
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
 
         now, held = None, []
         for batch in batches:
@@ -283,13 +282,26 @@ def token_order(texts: DataFrame, n: int, tokens: int) -> TokenOrder:
     width = max(groups, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = table(texts.mapInArrow(count, "g int, keys binary, counts binary")
                   .repartition(width, "g").sortWithinPartitions("g")
-                  .mapInArrow(total, "bar int, key long, n long, bits binary"), "frequent")
+                  .mapInArrow(total, "bar int, key long, n long, keys binary, counts binary"), "frequent")
     sizes = dict(found.where("bar > 0").groupBy("bar").agg(F.sum("n")).collect())  # at most len(BARS) rows
     bar = next((b for b in BARS if sizes.get(b, 0) <= 1 << (MARK_BITS - 3)), BARS[-1])
+
+    def mark(batches):  # repeated keys -> runs of marking bits
+        for batch in batches:
+            for k, c in zip(*(batch.column(i) for i in range(2))):
+                keys, counts = _unpack(k.as_py()), np.frombuffer(c.as_py(), "<u2")
+                bits = np.unique(keys[counts >= bar] >> np.uint64(KEY_BITS - MARK_BITS)).astype(np.int64)
+                for chunk in np.unique(bits >> RUN_BITS).tolist():
+                    own = bits[np.searchsorted(bits, chunk << RUN_BITS):np.searchsorted(bits, chunk + 1 << RUN_BITS)]
+                    run = np.zeros(1 << RUN_BITS, np.uint8)
+                    run[own & (1 << RUN_BITS) - 1] = 1
+                    yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "bits": pa.array([np.packbits(run, bitorder="little").tobytes()], pa.binary())})
+
     marks = np.zeros(1 << (MARK_BITS - 3), np.uint8)
-    for r in found.where(F.col("bar") == bar).select("key", "bits").toLocalIterator():  # runs of a bounded bit array
-        run = np.frombuffer(r["bits"], np.uint8)
-        marks[r["key"] >> 3:(r["key"] >> 3) + len(run)] |= run
+    # one row per chunk of a fixed bit array, and one more where two key ranges meet
+    for r in found.where("bar = -1").select("keys", "counts").mapInArrow(mark, "chunk int, bits binary").toLocalIterator():
+        at = r["chunk"] << (RUN_BITS - 3)
+        marks[at:at + (1 << (RUN_BITS - 3))] |= np.frombuffer(r["bits"], np.uint8)
     listed = found.where("bar = 0")
     steps = listed.groupBy(F.floor(F.log2("n")).alias("b")).count().collect()  # at most 63 rows
     least, left = 0, 0
@@ -357,20 +369,40 @@ def _possible(a: str, b: str, percent: int) -> Column:
     return (100 + percent) * F.least(F.col(f"{a}most"), F.col(f"{b}most")).cast("long") >= percent * sizes
 
 
-def set_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """s, size, p1, p2, tokens: whole sets with their prefixes under orders 1 and 2.
+def _marked_classes(keys: DataFrame) -> np.ndarray:
+    """Bits, by the leading bits of the class key, of the keys in column ``s``: a
+    fixed 2 ** CLASS_BITS bits, put together by Spark's bitmap aggregate."""
+    place = F.shiftrightunsigned("s", 64 - CLASS_BITS) + 1
+    runs = (keys.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")))
+    out = np.zeros(1 << (CLASS_BITS - 3), np.uint8)
+    for r in runs.toLocalIterator():
+        at = (r["k"] - 1) * len(r["bits"])
+        out[at:at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
 
-    The prefixes are kept as 32-bit values; equal low bits of different tokens
-    only let a pair through to the exact check.
+def set_table(texts: DataFrame, wanted: DataFrame, n: int, percent: int) -> DataFrame:
+    """s, size, parity, p1, p2, tokens: whole sets with their prefixes under orders
+    1 and 2, and per token hash value below 256 whether an odd number has it.
+
+    Sets whose class key is not marked in ``wanted`` are left where they are: the
+    texts are read again, not shuffled.  The prefixes are kept as 32-bit values;
+    equal low bits of different tokens only let a pair through to the exact check.
     """
+    marked = texts.sparkSession.sparkContext.broadcast(_marked_classes(wanted))
 
     def run(batches):
+        bits = marked.value
         for k1, s in _new_sets(batches, n):
+            place = (k1 & (1 << 64) - 1) >> (64 - CLASS_BITS)
+            if not bits[place >> 3] >> (place & 7) & 1:
+                continue
             size = _prefix_length(len(s), percent)
             with np.errstate(over="ignore"):
                 p1, p2 = (np.sort(_mix(s, k))[:size].astype(np.uint32).view(np.int32) for k in (50, 54))
+            odd = np.packbits(np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1).view(np.int64)
             yield pa.RecordBatch.from_pydict({
-                "s": pa.array([k1], pa.int64()), "size": pa.array([len(s)], pa.int64()),
+                "s": pa.array([k1], pa.int64()), "size": pa.array([len(s)], pa.int64()), "parity": pa.array([odd], pa.list_(pa.int64())),
                 "p1": pa.array([p1], pa.list_(pa.int32())), "p2": pa.array([p2], pa.list_(pa.int32())),
                 "tokens": pa.array([s.astype(np.int64)], pa.list_(pa.int64()))})
 
@@ -384,8 +416,8 @@ def set_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
         if held:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-    kind = "s long, size long, p1 array<int>, p2 array<int>, tokens array<long>"
-    return docs.mapInArrow(joined, kind).groupBy("s").agg(*(F.first(c).alias(c) for c in ("size", "p1", "p2", "tokens")))
+    kind = "s long, size long, parity array<long>, p1 array<int>, p2 array<int>, tokens array<long>"
+    return texts.mapInArrow(joined, kind).groupBy("s").agg(*(F.first(c).alias(c) for c in ("size", "parity", "p1", "p2", "tokens")))
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -433,23 +465,21 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                  "postings")
     pairs = table(star.where(_possible("first_", "", percent)).groupBy(F.col("first").alias("a"), F.col("s").alias("b"))
                   .agg(F.min("first_u").alias("u")), "pairs")
-    wanted = star.select(F.col("first").alias("s1")).union(star.select("s")).distinct()
-    named = signed.groupBy("s1").agg(F.min("doc_id").alias("doc_id")).join(wanted, "s1", "left_semi")
-    sets = table(set_table(rows.join(named, "doc_id", "left_semi").select("text"), n, percent), "sets")
+    wanted = star.select(F.col("first").alias("s")).union(star.select("s"))
+    sets = table(set_table(texts, wanted, n, percent), "sets")
 
     # round 1: every set with the least head of its groups; round 2: the other heads
-    # that are still in another component; round 3: all pairs across components
+    # that the verified stars leave apart; round 3: all pairs across components
     near = table(pairs.groupBy("b").agg(F.min(F.struct("u", "a")).alias("m")).select("m.a", "b"), "pairs")
     links = table(verify(near, sets, percent), "links")
+    stars = links.select(F.col("b").alias("node"), F.col("a").alias("component"))
+    heads = table(_heads_across(pairs, stars).join(near, ["a", "b"], "left_anti"), "pairs")
+    links = table(links.union(verify(heads, sets, percent)), "links")
     parts = table(connected_components(links, "a", "b"), "parts")
-    tried = near
-    for candidates in (_heads_across, _all_across):
-        more = table(candidates(pairs, star, parts, percent).join(tried, ["a", "b"], "left_anti"), "pairs")
-        found = table(verify(more, sets, percent), "links")
-        tried = tried.union(more)
-        if not found.isEmpty():
-            links = links.union(found)
-            parts = table(connected_components(links, "a", "b"), "parts")
+    rest = _all_across(star, parts, sets, percent).join(near.union(heads), ["a", "b"], "left_anti")
+    found = table(verify(table(rest, "pairs"), sets, percent), "links")
+    if not found.isEmpty():
+        parts = table(connected_components(links.union(found), "a", "b"), "parts")
 
     classes = (signed.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("least"))
                .join(parts.withColumnRenamed("node", "s1"), "s1", "left")
@@ -461,7 +491,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             .unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
 
 
-def _heads_across(pairs: DataFrame, star: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def _heads_across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs (a, b) of a group's head and a member in another component."""
     ca = parts.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     cb = parts.select(F.col("node").alias("b"), F.col("component").alias("cb"))
@@ -469,7 +499,7 @@ def _heads_across(pairs: DataFrame, star: DataFrame, parts: DataFrame, percent:
             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
 
-def _all_across(pairs: DataFrame, star: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def _all_across(star: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that share a posting, stand in different components and can
     overlap enough."""
     own = parts.select(F.col("node").alias("s"), "component")
@@ -478,8 +508,12 @@ def _all_across(pairs: DataFrame, star: DataFrame, parts: DataFrame, percent: in
               .withColumns({"c": F.coalesce("component", "s"), "c0": F.coalesce("of_first", "first")}))
     open_groups = placed.where("c != c0").select("t").distinct()
     left = placed.join(open_groups, "t", "left_semi")
-    members = table(left.select("t", "s", "c", "size", "most")
-                    .union(left.select("t", "first", "c0", "first_size", "first_most")).distinct(), "open")
-    x, y = (members.select("t", *(F.col(c).alias(f"{side}{c}") for c in ("s", "c", "size", "most"))) for side in ("x", "y"))
-    return (x.join(y, "t").where((F.col("xs") < F.col("ys")) & (F.col("xc") != F.col("yc")) & _possible("x", "y", percent))
+    members = left.select("t", "s", "c", "size", "most").union(left.select("t", "first", "c0", "first_size", "first_most")).distinct()
+    members = table(members.join(sets.select("s", *(F.get("parity", F.lit(k)).alias(f"q{k}") for k in range(4))), "s"), "open")
+    cols = ("s", "c", "size", "most", "q0", "q1", "q2", "q3")
+    x, y = (members.select("t", *(F.col(c).alias(side + c) for c in cols)) for side in ("x", "y"))
+    # places of differing parity are at most the tokens that one set has and the other not
+    differ = sum((F.bit_count(F.col(f"xq{k}").bitwiseXOR(F.col(f"yq{k}"))) for k in range(4)), F.lit(0))
+    near = (100 + percent) * differ <= (100 - percent) * (F.col("xsize").cast("long") + F.col("ysize"))
+    return (x.join(y, "t").where((F.col("xs") < F.col("ys")) & (F.col("xc") != F.col("yc")) & _possible("x", "y", percent) & near)
             .select(F.col("xs").alias("a"), F.col("ys").alias("b")).distinct())
