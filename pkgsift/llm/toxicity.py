@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from pkgsift.llm.common import bounded_batches
 
 #: Labelled documents that learning reads at most: toxic ones, and others.
-MAX_TOXIC, MAX_CLEAN = 1000, 4000
+MAX_TOXIC, MAX_CLEAN = 1000, 3000
 #: Documents of each kind that the chain's weights are fitted to at most.
-MAX_CHAIN = 700
+MAX_CHAIN = 400
 #: Odds against the other documents that a feature must have to mark tokens.
 MIN_ODDS = 20.0
 CACHE_WORDS = 400_000
@@ -162,7 +162,7 @@ def _marginals(emissions: list[np.ndarray], trans: np.ndarray) -> list[np.ndarra
     return np.split(ahead + back - flat, np.cumsum(sizes)[:-1])
 
 
-def _offending(docs: list[list[bytes]], toxic: np.ndarray) -> set[str]:
+def _offending(texts: list[bytes], toxic: np.ndarray) -> set[str]:
     """Features found in toxic documents far more often than chance allows.
 
     Near copies of one document count once: a feature's support is the number of
@@ -172,24 +172,25 @@ def _offending(docs: list[list[bytes]], toxic: np.ndarray) -> set[str]:
     """
     # features in a few toxic documents first, then those alone are counted elsewhere
     seen = [Counter(), Counter()]
-    for d, t in zip(docs, toxic):
+    for x, t in zip(texts, toxic):
         if t:
-            seen[1].update({f for w in set(d) for f in features(w)})
+            seen[1].update({f for w in set(words(x)) for f in features(w)})
     tried = len(seen[1])
     seen[1] = Counter({f: c for f, c in seen[1].items() if c >= 2})
-    for d, t in zip(docs, toxic):
+    for x, t in zip(texts, toxic):
         if not t:
-            seen[0].update({f for w in set(d) for f in features(w) if f in seen[1]})
+            seen[0].update({f for w in set(words(x)) for f in features(w) if f in seen[1]})
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     share, bar = n1 / (n0 + n1), np.log(tried + 1.0) + 3
     some = {f for f, c in seen[1].items() if c / n1 >= MIN_ODDS * seen[0][f] / n0}
     held: dict[str, tuple[set, set, set]] = {f: (set(), set(), set()) for f in some}
-    for d, t in zip(docs, toxic):
-        if t and (hits := {f for w in set(d) for f in features(w) if f in some}):
-            least = [min(xxhash.xxh64_intdigest(w, k) for w in set(d)) for k in range(3)]
+    for x, t in zip(texts, toxic):
+        own = set(words(x)) if t else set()
+        if hits := {f for w in own for f in features(w) if f in some}:
+            least = [min(xxhash.xxh64_intdigest(w, k) for w in own) for k in range(3)]
             for f in hits:
-                for s, x in zip(held[f], least):
-                    s.add(x)
+                for s, h in zip(held[f], least):
+                    s.add(h)
     found = set()
     for f in some:
         c, d = min(map(len, held[f])), seen[0][f]
@@ -205,18 +206,18 @@ def fit(texts: list[bytes], labels: list[int], rounds: int = 25) -> SpanModel:
     Without a toxic or without a clean text there is nothing to tell apart: the
     model then scores every document by the share of toxic ones.
     """
-    docs, toxic = [words(t) for t in texts], np.array(labels, bool)
+    toxic = np.array(labels, bool)
     if toxic.all() or not toxic.any():
         share = (toxic.sum() + 0.5) / (len(toxic) + 1)
         return SpanModel({}, -4.0, np.zeros((2, 2)), (float(np.log(share / (1 - share))), 0.0, 0.0))
-    marks = _offending(docs, toxic)
+    marks = _offending(texts, toxic)
     index = {f: k for k, f in enumerate(sorted(marks))}
-    known: dict[bytes, list[int]] = {}
+    known: dict[bytes, tuple[int, ...]] = {}
     own, gold, sizes = [], [], []
     chosen = np.concatenate([np.flatnonzero(toxic)[:MAX_CHAIN], np.flatnonzero(~toxic)[:MAX_CHAIN]])
-    for d, t in ((docs[k], toxic[k]) for k in chosen):
+    for d, t in ((words(texts[k]), toxic[k]) for k in chosen):
         if d:
-            found = [known[w] if w in known else known.setdefault(w, [index[f] for f in features(w) if f in index]) for w in d]
+            found = [known[w] if w in known else known.setdefault(w, tuple(index[f] for f in features(w) if f in index)) for w in d]
             own += found
             gold += [bool(t and f) for f in found]
             sizes.append(len(d))
@@ -248,13 +249,17 @@ def fit(texts: list[bytes], labels: list[int], rounds: int = 25) -> SpanModel:
             moved.append(0.25 * first[k] / (1 - 0.9 ** step) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-8))
         w, bias, trans = w + moved[0][:-1], float(bias + moved[0][-1]), trans + moved[1]
     model = SpanModel({f: float(w[k]) for f, k in index.items() if w[k]}, bias, trans)
-    model.curve = _fit_curve(model, docs, toxic)
+    model.curve = _fit_curve(model, texts, toxic)
     return model
 
 
-def _fit_curve(model: SpanModel, docs: list[list[bytes]], toxic: np.ndarray) -> tuple[float, float, float]:
-    odds = model.marginals(docs)
-    x = np.array([[1.0, np.log1p(_sigmoid(o).sum()) if len(o) else 0.0, np.clip(o.max() if len(o) else -99, *STRONGEST)] for o in odds])
+def _fit_curve(model: SpanModel, texts: list[bytes], toxic: np.ndarray) -> tuple[float, float, float]:
+    rows = []
+    for a in range(0, len(texts), 256):
+        for o in model.marginals([words(t) for t in texts[a:a + 256]]):
+            rows.append((1.0, np.log1p(_sigmoid(o).sum()) if len(o) else 0.0, np.clip(o.max() if len(o) else -99, *STRONGEST)))
+        model._known.clear()  # the driver keeps no words; the tasks fill their own
+    x = np.array(rows)
     y, c = toxic.astype(float), np.zeros(3)
     for _ in range(60):  # Newton steps with a ridge
         p = _sigmoid(x @ c)
