@@ -1032,7 +1032,6 @@ def version_root_match_pypi(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Archives (A10, A11, R6, B11) and the label and result files
 # ---------------------------------------------------------------------------
-from pkgsift.session import ship_package  # noqa: E402
 from pkgsift.sources import archives as AR  # noqa: E402
 from pkgsift.sources import sinks as SK  # noqa: E402
 from pkgsift.sources import review_csv as RC  # noqa: E402
@@ -1045,7 +1044,6 @@ UNION ALL
 SELECT package, version, path, CAST(length(content) AS BIGINT), md5(content) FROM code_files WHERE ecosystem = 'rubygems' AND content IS NOT NULL""")
 def archive_members(spark, sf_dir):
     """Members of one tar.gz, tgz, zip or gem per version, read in the tasks."""
-    ship_package(spark)
     packed = FX.archives(spark, sf_dir, "pypi").unionByName(FX.archives(spark, sf_dir, "rubygems"))
     found = AR.expand_archives(packed, (".py", ".rb")).where("member is not null and error is null")
     return found.select("package", "version", "member", "size", F.md5("content").alias("digest"))
@@ -1086,7 +1084,6 @@ SELECT v.package, v.version, {O.sentence('v.package', "v.version || '/' || p.rel
 FROM versions v JOIN py_feats p ON v.package = p.package AND v.version = p.version""")
 def pypi_archive_sentences(spark, sf_dir):
     """A10: PyPI versions that hold an archive only: its members give the sentence."""
-    ship_package(spark)
     listing = _archive_listing(spark, sf_dir, "pypi")
     labels = _labels(spark, sf_dir).join(listing.select("package", "version"), ["package", "version"], "left_semi")
     none = lambda rows: rows.withColumn("content", F.lit(None).cast("string"))  # noqa: E731  no loose .py file to read
@@ -1103,7 +1100,6 @@ SELECT v.package, v.version, {O.sentence('v.package', "v.version || '/' || p.rel
 FROM versions v JOIN rb_feats p ON v.package = p.package AND v.version = p.version""")
 def gem_sentences(spark, sf_dir):
     """RubyGems versions that hold a .gem only: its members give the sentence."""
-    ship_package(spark)
     listing = _archive_listing(spark, sf_dir, "rubygems")
     versions = _labels(spark, sf_dir).join(listing.select("package", "version"), ["package", "version"], "left_semi")
     none = lambda rows: rows.withColumn("content", F.lit(None).cast("string"))

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pkgsift.session import ship_package
+
 MEMBER_COLUMNS = "member string, size bigint, content binary, error string"
 
 BATCH_BYTES = 64 * 1024 * 1024
@@ -134,6 +136,7 @@ def _schema(df: DataFrame, keys: list[str]) -> str:
 def expand_archives(archives: DataFrame, suffixes: tuple[str, ...] | None = None) -> DataFrame:
     """(path, bytes, key columns) archive rows → (path, key columns, member, size,
     content, error)."""
+    ship_package(archives.sparkSession)
     keys = [c for c in archives.columns if c != "bytes"]
 
     def open_bytes(row):
@@ -150,6 +153,7 @@ def expand_archives_at(spark: SparkSession, root: str, listing: DataFrame | None
     (by default all archives) are opened and expanded in the same task."""
     from pkgsift.sources.tree import ARCHIVE_GLOB, _fs, list_tree
 
+    ship_package(spark)
     chosen = list_tree(spark, root, ARCHIVE_GLOB).select("path") if listing is None else listing
 
     def open_path(row):

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pkgsift.functions.evidence import decode_text
+from pkgsift.session import ship_package
 
 ARCHIVE_SUFFIXES = (".tar.gz", ".tgz", ".tar", ".zip", ".whl", ".gem")
 
@@ -79,6 +80,7 @@ _ENTRY_SCHEMA = "path string, is_dir boolean, size bigint"
 
 
 def _entries(spark: SparkSession, root: str, levels: int) -> DataFrame:
+    ship_package(spark)
     n = max(spark.sparkContext.defaultParallelism, 1)
     dirs = spark.createDataFrame([("",)], "dir string")
     out = None
@@ -161,6 +163,7 @@ def _reader(base: str, columns: list[str]):
 def read_files(root: str, listing: DataFrame) -> DataFrame:
     """``listing`` rows (with ``path`` below ``root``) plus ``content``: bodies are
     read in the tasks and decoded in the JVM (A8); no join, no exchange."""
+    ship_package(listing.sparkSession)
     kinds = ", ".join(f"`{c}` {t}" for c, t in listing.dtypes)
     raw = listing.mapInPandas(_reader(root, listing.columns), f"{kinds}, bytes binary")
     return raw.withColumn("content", decode_text(F.col("bytes"))).drop("bytes")
