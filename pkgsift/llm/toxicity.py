@@ -168,20 +168,20 @@ def _offending(texts: list[bytes], toxic: np.ndarray) -> set[str]:
     Near copies of one document count once: a feature's support is the number of
     distinct smallest word hashes (of three hash functions, the least) among its
     toxic documents.  The bar for its log-likelihood ratio rises with the number
-    of features looked at.
+    of features found in as many toxic documents.
     """
     # features in a few toxic documents first, then those alone are counted elsewhere
     seen = [Counter(), Counter()]
     for x, t in zip(texts, toxic):
         if t:
             seen[1].update({f for w in set(words(x)) for f in features(w)})
-    tried = len(seen[1])
+    met = np.sort(np.fromiter(seen[1].values(), int, len(seen[1])))
     seen[1] = Counter({f: c for f, c in seen[1].items() if c >= 2})
     for x, t in zip(texts, toxic):
         if not t:
             seen[0].update({f for w in set(words(x)) for f in features(w) if f in seen[1]})
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    share, bar = n1 / (n0 + n1), np.log(tried + 1.0) + 3
+    share = n1 / (n0 + n1)
     some = {f for f, c in seen[1].items() if c / n1 >= MIN_ODDS * seen[0][f] / n0}
     held: dict[str, tuple[set, set, set]] = {f: (set(), set(), set()) for f in some}
     for x, t in zip(texts, toxic):
@@ -195,7 +195,8 @@ def _offending(texts: list[bytes], toxic: np.ndarray) -> set[str]:
     for f in some:
         c, d = min(map(len, held[f])), seen[0][f]
         gain = c * np.log(c / (c + d) / share) + (d * np.log(d / (c + d) / (1 - share)) if d else 0.0)
-        if gain >= bar:
+        # as many features as were met that often could have got there by chance
+        if gain >= np.log(len(met) - np.searchsorted(met, c) + 1.0) + 2:
             found.add(f)
     return found
 
