@@ -36,6 +36,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -318,14 +319,12 @@ def token_order(texts: DataFrame, n: int, tokens: int) -> TokenOrder:
     return TokenOrder(marks, bar, keys[order], rank[order])
 
 
-def postings(texts: DataFrame, n: int, percent: int, order: TokenOrder) -> DataFrame:
+def postings(texts: DataFrame, n: int, percent: int, shared: Broadcast) -> DataFrame:
     """(t, u, s, size, most): each class key under each token of its prefix, order 0.
 
     ``u`` is its number of unmarked tokens, least for the most central of near
     copies; ``most`` is the greatest overlap it can have, its size less the tokens
     that are in no other text."""
-    shared = texts.sparkSession.sparkContext.broadcast(order)
-
     def run(batches):
         known = shared.value
 
@@ -381,16 +380,14 @@ def _marked_classes(keys: DataFrame) -> np.ndarray:
     return out
 
 
-def set_table(texts: DataFrame, wanted: DataFrame, n: int, percent: int) -> DataFrame:
+def set_table(texts: DataFrame, marked: Broadcast, n: int, percent: int) -> DataFrame:
     """s, size, parity, p1, p2, tokens: whole sets with their prefixes under orders
     1 and 2, and per token hash value below 256 whether an odd number has it.
 
-    Sets whose class key is not marked in ``wanted`` are left where they are: the
+    Sets whose class key has no bit in ``marked`` are left where they are: the
     texts are read again, not shuffled.  The prefixes are kept as 32-bit values;
     equal low bits of different tokens only let a pair through to the exact check.
     """
-    marked = texts.sparkSession.sparkContext.broadcast(_marked_classes(wanted))
-
     def run(batches):
         bits = marked.value
         for k1, s in _new_sets(batches, n):
@@ -457,7 +454,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     signed, alone = everything.where("doc_id is not null and s1 is not null"), everything.where("doc_id is null or s1 is null")
     tokens = signed.agg(F.sum("n_shingles")).first()[0] or 0
 
-    posted = postings(texts, n, percent, token_order(texts, n, tokens))
+    send = docs.sparkSession.sparkContext.broadcast
+    shared = send(token_order(texts, n, tokens))
+    posted = postings(texts, n, percent, shared)
     group = Window.partitionBy("t").orderBy("u", "s")
     star = (posted.withColumns({"head": F.first(F.struct("u", "s", "size", "most")).over(group), "before": F.lag("s").over(group)})
             .where("s != before"))
@@ -466,7 +465,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     pairs = table(star.where(_possible("first_", "", percent)).groupBy(F.col("first").alias("a"), F.col("s").alias("b"))
                   .agg(F.min("first_u").alias("u")), "pairs")
     wanted = star.select(F.col("first").alias("s")).union(star.select("s"))
-    sets = table(set_table(texts, wanted, n, percent), "sets")
+    shared.destroy()  # written tables stand for what it was needed for
+    marked = send(_marked_classes(wanted))
+    sets = table(set_table(texts, marked, n, percent), "sets")
+    marked.destroy()
 
     # round 1: every set with the least head of its groups; round 2: the other heads
     # that the verified stars leave apart; round 3: all pairs across components
