@@ -33,8 +33,8 @@ from pkgsift.llm.common import bounded_batches
 
 #: Labelled documents that learning reads at most: toxic ones, and others.
 MAX_TOXIC, MAX_CLEAN = 1000, 3000
-#: Documents of each kind that the chain's weights are fitted to at most.
-MAX_CHAIN = 400
+#: Tokens of whole documents that a step of the fit holds at a time.
+FIT_TOKENS = 200_000
 #: Odds against the other documents that a feature must have to mark tokens.
 MIN_ODDS = 20.0
 CACHE_WORDS = 400_000
@@ -136,10 +136,14 @@ def _ahead(flat: np.ndarray, sizes: np.ndarray, trans: np.ndarray) -> np.ndarray
             p, own = place[seg - 1], chain[seg]
             r[own] = np.clip((a[p] * r[own] + b[p]) / (c[p] * r[own] + d[p]), 1e-300, 1e300)
             enter[seg] = np.log(r[own])
+    # odds behind each transition; one logarithm for all of them at the end
+    r, t = np.exp(np.clip(e, -500, 500)), np.exp(trans)
     x = np.empty_like(e)
-    x[0] = e[0] + np.where(number == 0, 0.0, _step(enter, trans))
+    x[0] = np.where(number == 0, 1.0, np.exp(_step(enter, trans)))
     for i in range(1, len(rows)):
-        x[i] = e[i] + _step(x[i - 1], trans)
+        r[i - 1] *= x[i - 1]
+        x[i] = (r[i - 1] * t[1, 1] + t[0, 1]) / (r[i - 1] * t[1, 0] + t[0, 0])
+    x = e + np.log(x)
     out = np.empty_like(flat)
     live = rows < length
     out[at[live]] = x[live]
@@ -201,8 +205,56 @@ def _offending(texts: list[bytes], toxic: np.ndarray) -> set[str]:
     return found
 
 
+def _labelled_chains(texts: list[bytes], toxic: np.ndarray, index: dict[str, int]) -> Iterator[tuple[np.ndarray, ...]]:
+    """All texts as chains, ``FIT_TOKENS`` tokens or one text at a time: chain
+    sizes, (token, feature) pairs, and the tokens labelled 1.  Tokens without a
+    marked feature, nearly all, take no memory."""
+    known: dict[bytes, tuple[int, ...]] = {}
+    at, sizes, i, c, offending = 0, [], [], [], []
+    for k, text in enumerate(texts):
+        d = words(text)
+        if not d:
+            continue
+        for n, word in enumerate(d, at):
+            if (own := known.get(word)) is None:
+                own = known[word] = tuple(index[f] for f in features(word) if f in index)
+            if own:
+                i += [n] * len(own)
+                c += own
+                if toxic[k]:
+                    offending.append(n)
+        at += len(d)
+        sizes.append(len(d))
+        if at >= FIT_TOKENS:
+            yield tuple(np.array(x, int) for x in (sizes, i, c, offending))
+            known.clear()
+            at, sizes, i, c, offending = 0, [], [], [], []
+    if sizes:
+        yield tuple(np.array(x, int) for x in (sizes, i, c, offending))
+
+
+def _gradient(sizes: np.ndarray, i: np.ndarray, c: np.ndarray, offending: np.ndarray,
+              w: np.ndarray, bias: float, trans: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
+    """Observed less expected counts of features, of state 1 and of state pairs."""
+    tokens = int(sizes.sum())
+    y = np.zeros(tokens)
+    y[offending] = 1
+    inside = np.ones(tokens, bool)
+    inside[np.cumsum(sizes) - sizes] = False
+    inside = np.flatnonzero(inside)  # tokens with one before them in their chain
+    pairs = np.bincount((2 * y[inside - 1] + y[inside]).astype(int), minlength=4).reshape(2, 2).astype(float)
+    e = bias + np.bincount(i, w[c], tokens)
+    ahead, back = _both_ways(e, sizes, trans)
+    miss = y - _sigmoid(ahead + back - e)
+    # the pair (i - 1, i) in states (p, q) weighs exp(p ahead + trans[p, q] + q back)
+    x, z = ahead[inside - 1], back[inside]
+    cells = np.stack([np.full(len(x), trans[0, 0]), trans[0, 1] + z, x + trans[1, 0], x + trans[1, 1] + z])
+    cells = np.exp(cells - cells.max(0))
+    return np.bincount(c, miss[i], len(w)), miss.sum(), pairs - (cells / cells.sum(0)).sum(1).reshape(2, 2)
+
+
 def fit(texts: list[bytes], labels: list[int], rounds: int = 25) -> SpanModel:
-    """Fit the chain and the document curve to labelled texts.
+    """Fit the chain and the document curve to all of the labelled texts.
 
     Without a toxic or without a clean text there is nothing to tell apart: the
     model then scores every document by the share of toxic ones.
@@ -213,36 +265,17 @@ def fit(texts: list[bytes], labels: list[int], rounds: int = 25) -> SpanModel:
         return SpanModel({}, -4.0, np.zeros((2, 2)), (float(np.log(share / (1 - share))), 0.0, 0.0))
     marks = _offending(texts, toxic)
     index = {f: k for k, f in enumerate(sorted(marks))}
-    known: dict[bytes, tuple[int, ...]] = {}
-    own, gold, sizes = [], [], []
-    chosen = np.concatenate([np.flatnonzero(toxic)[:MAX_CHAIN], np.flatnonzero(~toxic)[:MAX_CHAIN]])
-    for d, t in ((words(texts[k]), toxic[k]) for k in chosen):
-        if d:
-            found = [known[w] if w in known else known.setdefault(w, tuple(index[f] for f in features(w) if f in index)) for w in d]
-            own += found
-            gold += [bool(t and f) for f in found]
-            sizes.append(len(d))
-    tokens = len(own)
-    i = np.array([k for k, f in enumerate(own) for _ in f], int)
-    c = np.array([f for fs in own for f in fs], int)
-    y, sizes = np.array(gold, float), np.array(sizes, int)
-    inside = np.ones(tokens, bool)
-    inside[np.cumsum(sizes) - sizes] = False
-    inside = np.flatnonzero(inside)  # tokens with one before them in their chain
-    pairs_gold = np.zeros((2, 2))
-    np.add.at(pairs_gold, (y[inside - 1].astype(int), y[inside].astype(int)), 1)
+    chains = list(_labelled_chains(texts, toxic, index))
+    tokens = sum(int(sizes.sum()) for sizes, *_ in chains)
     w, bias, trans = np.zeros(len(index)), -4.0, np.zeros((2, 2))
     first, second = ([np.zeros(len(index) + 1), np.zeros((2, 2))] for _ in range(2))
     for step in range(1, rounds + 1):
-        e = bias + np.bincount(i, w[c], tokens)
-        ahead, back = _both_ways(e, sizes, trans)
-        miss = y - _sigmoid(ahead + back - e)
-        grad = np.append(np.bincount(c, miss[i], len(index)) - 0.05 * w, miss.sum() / (tokens / 1000))
-        # the pair (i - 1, i) in states (p, q) weighs exp(p ahead + trans[p, q] + q back)
-        x, z = ahead[inside - 1], back[inside]
-        cells = np.stack([np.full(len(x), trans[0, 0]), trans[0, 1] + z, x + trans[1, 0], x + trans[1, 1] + z])
-        cells = np.exp(cells - cells.max(0))
-        grad_t = (pairs_gold - (cells / cells.sum(0)).sum(1).reshape(2, 2) - 0.05 * trans) / (tokens / 1000)
+        by_feature, by_bias, pairs = np.zeros(len(index)), 0.0, np.zeros((2, 2))
+        for sizes, i, c, offending in chains:
+            part = _gradient(sizes, i, c, offending, w, bias, trans)
+            by_feature, by_bias, pairs = by_feature + part[0], by_bias + part[1], pairs + part[2]
+        grad = np.append(by_feature - 0.05 * w, by_bias / (tokens / 1000))
+        grad_t = (pairs - 0.05 * trans) / (tokens / 1000)
         moved = []
         for k, g in enumerate((grad, grad_t)):  # Adam ascent
             first[k] = 0.9 * first[k] + 0.1 * g

@@ -505,3 +505,32 @@ def test_toxicity_held_out(spark, awkward, none):
     assert T.keep_clean(awkward, model).columns == awkward.columns
     only = T.learn(docs, labels.where("toxic = 0"))
     assert {r["predicted"] for r in T.tag_documents(awkward, only, with_spans=False).collect()} == {0}
+
+
+def test_toxicity_chain_learns_from_the_whole_sample(spark):
+    """A toxic word that only documents of high ids hold is tagged like any other."""
+    from pkgsift.llm import toxicity as T
+
+    rng = random.Random(4)
+    base = base_words(4, 3000)
+    texts = [" ".join(rng.sample(base, 30) + (["vilest" if k < 800 else "scum"] if k % 4 else [])) for k in range(1000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 > 0)) for k in range(1000)], "doc_id long, toxic int")
+    model = T.learn(docs, labels)
+    assert model.weights["w:vilest"] > 1 and model.weights["w:scum"] > 1
+    marked = {r["doc_id"] for r in T.tag_documents(docs, model).where("predicted = 1 and size(spans) = 1").collect()}
+    assert marked == {k for k in range(1000) if k % 4}
+
+
+def test_toxicity_chunks_of_the_fit_add_up(monkeypatch):
+    from pkgsift.llm import toxicity as T
+
+    rng = random.Random(5)
+    base = base_words(5, 500)
+    texts = [" ".join(rng.sample(base, rng.randint(1, 300)) + ["vilest"] * (k % 3 == 0)).encode() for k in range(90)] + [b""]
+    labels = [int(k % 3 == 0) for k in range(90)] + [0]
+    whole = T.fit(texts, labels)
+    monkeypatch.setattr(T, "FIT_TOKENS", 500)
+    cut = T.fit(texts, labels)
+    assert whole.weights.keys() == cut.weights.keys() and "w:vilest" in cut.weights
+    assert np.allclose([*whole.weights.values(), whole.bias, *whole.curve], [cut.weights[f] for f in whole.weights] + [cut.bias, *cut.curve])
