@@ -37,6 +37,8 @@ MAX_TOXIC, MAX_CLEAN = 1000, 3000
 FIT_TOKENS = 200_000
 #: Odds against the other documents that a feature must have to mark tokens.
 MIN_ODDS = 20.0
+#: Word sets of a Jaccard of at least so many fifths are near copies.
+NEAR_FIFTHS = 4
 CACHE_WORDS = 400_000
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -166,12 +168,48 @@ def _marginals(emissions: list[np.ndarray], trans: np.ndarray) -> list[np.ndarra
     return np.split(ahead + back - flat, np.cumsum(sizes)[:-1])
 
 
+def near_copies(sets: list[set[bytes]]) -> list[int]:
+    """A group number per word set: sets of a Jaccard of at least 0.8 share one, directly or over others.
+
+    Exact.  Two such sets have in common one of their rarest fifth of words (and one
+    more), so only sets that meet there are compared, unless already in one group.
+    """
+    hashed = [np.sort(np.fromiter(map(xxhash.xxh64_intdigest, s), np.uint64, len(s))) for s in sets]
+    values, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *hashed]), return_counts=True)
+    rank = np.empty(len(values), np.int32)
+    rank[np.argsort(counts, kind="stable")] = np.arange(len(values), dtype=np.int32)
+    ranked = [np.sort(rank[np.searchsorted(values, h)]) for h in hashed]
+    group = list(range(len(sets)))
+
+    def top(k: int) -> int:
+        while group[k] != k:
+            group[k] = k = group[group[k]]
+        return k
+
+    first: dict[bytes, int] = {}
+    posted: dict[int, list[int]] = {}
+    for k in sorted(range(len(sets)), key=lambda k: len(ranked[k])):
+        x = ranked[k]
+        group[k] = first.setdefault(x.tobytes(), k)
+        if group[k] != k:
+            continue
+        rare = x[:len(x) - -(-NEAR_FIFTHS * len(x) // 5) + 1].tolist()
+        for j in {j for r in rare for j in posted.get(r, ())}:
+            y = ranked[j]
+            if 5 * len(y) >= NEAR_FIFTHS * len(x) and top(j) != top(k):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 5 * both >= NEAR_FIFTHS * (len(x) + len(y) - both):
+                    group[top(j)] = top(k)
+        for r in rare:
+            posted.setdefault(r, []).append(k)
+    return [top(k) for k in range(len(sets))]
+
+
 def _offending(texts: list[bytes], toxic: np.ndarray) -> set[str]:
     """Features found in toxic documents far more often than chance allows.
 
     Near copies of one document count once: a feature's support is the number of
-    distinct smallest word hashes (of three hash functions, the least) among its
-    toxic documents.  The bar for its log-likelihood ratio rises with the number
+    groups of near copies among its toxic documents.  The bar for its log-likelihood ratio rises with the number
     of features found in as many toxic documents.
     """
     # features in a few toxic documents first, then those alone are counted elsewhere
@@ -187,17 +225,15 @@ def _offending(texts: list[bytes], toxic: np.ndarray) -> set[str]:
     n1, n0 = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     share = n1 / (n0 + n1)
     some = {f for f, c in seen[1].items() if c / n1 >= MIN_ODDS * seen[0][f] / n0}
-    held: dict[str, tuple[set, set, set]] = {f: (set(), set(), set()) for f in some}
-    for x, t in zip(texts, toxic):
-        own = set(words(x)) if t else set()
-        if hits := {f for w in own for f in features(w) if f in some}:
-            least = [min(xxhash.xxh64_intdigest(w, k) for w in own) for k in range(3)]
-            for f in hits:
-                for s, h in zip(held[f], least):
-                    s.add(h)
+    held: dict[str, set[int]] = {f: set() for f in some}
+    own = [set(words(texts[k])) for k in np.flatnonzero(toxic)]
+    hits = [{f for w in o for f in features(w) if f in some} for o in own]
+    for group, fs in zip(near_copies(own), hits):
+        for f in fs:
+            held[f].add(group)
     found = set()
     for f in some:
-        c, d = min(map(len, held[f])), seen[0][f]
+        c, d = len(held[f]), seen[0][f]
         gain = c * np.log(c / (c + d) / share) + (d * np.log(d / (c + d) / (1 - share)) if d else 0.0)
         # as many features as were met that often could have got there by chance
         if gain >= np.log(len(met) - np.searchsorted(met, c) + 1.0) + 2:
@@ -253,7 +289,7 @@ def _gradient(sizes: np.ndarray, i: np.ndarray, c: np.ndarray, offending: np.nda
     return np.bincount(c, miss[i], len(w)), miss.sum(), pairs - (cells / cells.sum(0)).sum(1).reshape(2, 2)
 
 
-def fit(texts: list[bytes], labels: list[int], rounds: int = 25) -> SpanModel:
+def fit(texts: list[bytes], labels: list[int], rounds: int = 50) -> SpanModel:
     """Fit the chain and the document curve to all of the labelled texts.
 
     Without a toxic or without a clean text there is nothing to tell apart: the
@@ -267,7 +303,9 @@ def fit(texts: list[bytes], labels: list[int], rounds: int = 25) -> SpanModel:
     index = {f: k for k, f in enumerate(sorted(marks))}
     chains = list(_labelled_chains(texts, toxic, index))
     tokens = sum(int(sizes.sum()) for sizes, *_ in chains)
-    w, bias, trans = np.zeros(len(index)), -4.0, np.zeros((2, 2))
+    # the bias starts at the share of offending tokens, so that long texts do not add up to some
+    rare = (sum(len(offending) for *_, offending in chains) + 0.5) / (tokens + 1)
+    w, bias, trans = np.zeros(len(index)), float(np.log(rare / (1 - rare))), np.zeros((2, 2))
     first, second = ([np.zeros(len(index) + 1), np.zeros((2, 2))] for _ in range(2))
     for step in range(1, rounds + 1):
         by_feature, by_bias, pairs = np.zeros(len(index)), 0.0, np.zeros((2, 2))

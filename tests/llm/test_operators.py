@@ -534,3 +534,33 @@ def test_toxicity_chunks_of_the_fit_add_up(monkeypatch):
     cut = T.fit(texts, labels)
     assert whole.weights.keys() == cut.weights.keys() and "w:vilest" in cut.weights
     assert np.allclose([*whole.weights.values(), whole.bias, *whole.curve], [cut.weights[f] for f in whole.weights] + [cut.bias, *cut.curve])
+
+
+def test_toxicity_near_copies_are_exact():
+    """Groups against all pairs; texts that only share a vocabulary stay apart, and each supports a feature."""
+    from pkgsift.llm import toxicity as T
+
+    rng = random.Random(6)
+    base = [w.encode() for w in sorted(set(base_words(6, 400)))]
+    sets = [set(rng.sample(base, rng.randint(1, 200))) for _ in range(40)] + [set()]
+    for k in range(40):
+        s = sorted(sets[k])
+        sets += [set(s), set(s[:-(len(s) // 5)] or s), {*s, *rng.sample(base, len(s) // 4)}]
+    near = lambda a, b: a == b or 5 * len(a & b) >= 4 * len(a | b) > 0
+    want = brute_components(range(len(sets)), sets, near)
+    got = T.near_copies(sets)
+    assert len({(want[k], g) for k, g in enumerate(got)}) == len(set(got)) == len(set(want.values()))
+    # nine toxic texts of half a common vocabulary each: single min-hashes coincide
+    few = base[:60]
+    texts = [b" ".join([*rng.sample(few, 45), b"vilest"]) for _ in range(9)] + [b" ".join(rng.sample(few, 45)) for _ in range(60)]
+    assert "w:vilest" in T._offending(texts, np.arange(69) < 9)
+
+
+def test_toxicity_held_out_recall(spark):
+    from pkgsift.llm import toxicity as T
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    held = docs.join(labels, "doc_id").where(T.held_out(F.col("doc_id")))
+    tagged = T.tag_documents(held, T.learn(docs, labels), with_spans=False).join(labels, "doc_id").select("toxic", "predicted").collect()
+    # eight toxic labels of the fold stand on texts without a word found in learning, or with one of a kind
+    assert sum(t > p for t, p in tagged) <= 9 and sum(p > t for t, p in tagged) <= 2
