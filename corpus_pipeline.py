@@ -31,16 +31,25 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of least id of each component stays, once if its row is
     repeated; documents without words and rows without an id stay as they are.
-    A doc_id must name one text."""
+    Where an id names several texts, each text is judged by its own component."""
     ship_package(spark)
-    found = table(ngram_join.ngram_components(docs, n=5, percent=80), "components")
+    found = table(ngram_join.ngram_components(docs, n=5, percent=80, with_keys=True), "components")
+    repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = found.where("doc_id = component_id and n_shingles > 0").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     if repeated.isEmpty():
-        return kept
-    one = docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # rows of repeated ids go by (id, set); one set of a component stays
+    repeated = table(repeated, "repeated")
+    kept = docs.join(gone.union(repeated).distinct(), "doc_id", "left_anti").select(*docs.columns)
+    stays = (found.where("doc_id = component_id and s1 is not null").join(repeated, "doc_id", "left_semi")
+             .groupBy("component").agg(F.min(F.struct("doc_id", "s1", "s2")).alias("m")).select("m.*"))
+    again = docs.join(repeated, "doc_id", "left_semi").withColumn("_row", F.xxhash64("doc_id", "text"))
+    signed = ngram_join.signatures(again.select("_row", "text").distinct()
+                                   .select(F.col("_row").alias("doc_id"), F.col("text").cast("binary").alias("text")), 5)
+    again = again.join(signed.select(F.col("doc_id").alias("_row"), "s1", "s2").distinct(), "_row")
+    one = again.join(stays, ["doc_id", "s1", "s2"], "left_semi").dropDuplicates(["doc_id", "s1", "s2"])
+    empty = again.where("s1 is null")
+    return kept.unionByName(one.select(*docs.columns)).unionByName(empty.select(*docs.columns))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -434,8 +434,8 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
-                     percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs``.
+                     percent: int = 80, with_keys: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id [, s1, s2, component] for every row of ``docs``.
 
     Two documents link when 100 * |x & y| >= percent * |x | y| over their sets of
     ``n``-word shingles; component_id is the smallest doc_id reachable by links,
@@ -445,7 +445,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     component is their own doc_id.  Texts of any length are read whole.  Repeated
     rows each give a row with the same values.  A row with a null doc_id gives a
     row with a null component and links with nothing.  An empty table gives no
-    rows.  Other columns are ignored.
+    rows.  Other columns are ignored.  ``with_keys`` adds the set's two hashes and
+    the component's own key, null for an empty set; ids that name several texts
+    can be told apart by them.
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
@@ -487,10 +489,12 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                .join(parts.withColumnRenamed("node", "s1"), "s1", "left")
                .withColumn("component", F.coalesce("component", "s1")))
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = classes.join(least, "component").select("s1", "s2", "n_shingles", "component_id")
+    keys = ["s1", "s2", "component"] if with_keys else []
+    named = classes.join(least, "component").select("s1", "s2", "n_shingles", "component_id", *keys[2:])
     return (signed.join(named, ["s1", "s2", "n_shingles"])
-            .select("doc_id", "n_shingles", "component_id")
-            .unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))))
+            .select("doc_id", "n_shingles", "component_id", *keys)
+            .unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"),
+                                      *(F.lit(None).cast("long").alias(k) for k in keys))))
 
 
 def _heads_across(pairs: DataFrame, parts: DataFrame) -> DataFrame:

@@ -101,3 +101,15 @@ def test_pipeline_run_and_awkward_documents(spark):
         for _, stage in P.STAGES:
             out = stage(spark, docs, SF)
             assert (out.count() == 0) if empty else out.count() >= 0
+
+
+def test_near_duplicates_of_reused_ids(spark):
+    """An id that names several texts loses only the texts that have a near copy."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(80)) for x in ("red", "blue", "green"))
+    rows = [(1, a), (7, a), (7, b), (8, c), (8, c + " more"), (9, b + " more"), (10, "a text of six own words"), (10, "a text of six own words"),
+            (11, a[::-1]), (11, b[::-1]), (7, ""), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = Counter((r["doc_id"], r["text"]) for r in P.near_duplicates(spark, docs, SF).collect())
+    of8 = [t for i, t in out if i == 8]
+    assert len(of8) == 1 and of8[0] in (c, c + " more")
+    assert out == Counter([(1, a), (7, b), (8, of8[0]), (10, "a text of six own words"), (11, a[::-1]), (11, b[::-1]), (7, ""), (None, a)])
