@@ -103,10 +103,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from pkgsift.llm.language_id import held_out, learn, predict
+
+    ship_package(spark)
+    docs = read(spark, sf_dir, "documents")
+    return predict(docs, learn(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_ngram_join, op2_quality_rules, op3_license_scan, op4_mixing, op5_chat_format, op6_bpe, op7_warc,
-        op8_embedding_join, op9_token_files, op10_toxicity)}
+        op8_embedding_join, op9_token_files, op10_toxicity, op13_language_id)}
 
 
 #: Escapes of the chat template, in DuckDB.
