@@ -103,6 +103,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from pkgsift.llm.hard_negatives import mine, quantised
+
+    ship_package(spark)
+    rows = quantised(read(spark, sf_dir, "embeddings"))
+    rows = rows.withColumn("label", F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return mine(rows, F.col("id") % 100 == 0, positives=5, negatives=10, least_percent=30, most_percent=90)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from pkgsift.llm.alignment import align_documents
+
+    ship_package(spark)
+    return align_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -116,7 +136,7 @@ def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_ngram_join, op2_quality_rules, op3_license_scan, op4_mixing, op5_chat_format, op6_bpe, op7_warc,
-        op8_embedding_join, op9_token_files, op10_toxicity, op13_language_id)}
+        op8_embedding_join, op9_token_files, op10_toxicity, op11_hard_negatives, op12_alignment, op13_language_id)}
 
 
 #: Escapes of the chat template, in DuckDB.
@@ -153,7 +173,29 @@ FROM r
 """
 
 
+#: Integer products in doubles, which are exact for such vectors.
+_HARD_NEGATIVES = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other) AS INTEGER) AS rank,
+       s.other AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     from pkgsift.llm import mixing
 
-    return {"op4_mixing": mixing.ORACLE, "op5_chat_format": _CHAT, "op7_warc": _WARC}
+    return {"op4_mixing": mixing.ORACLE, "op5_chat_format": _CHAT, "op7_warc": _WARC, "op11_hard_negatives": _HARD_NEGATIVES}
