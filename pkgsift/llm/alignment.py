@@ -9,8 +9,8 @@ links.  Segments hold different documents, so a pair's counts over the corpus
 are sums of popcounts; they go back along the postings, and each plane adds its
 weight times the pair's score to its documents.
 
-A text is cut before each run of blanks that follows another character: no
-token of either vocabulary reaches over that place, so both tokenizers end a
+A text is cut before each run of blanks that follows another character (and
+does not begin with a carriage return): no token of either vocabulary reaches over that place, so both tokenizers end a
 token there.  What lies between two cuts is aligned once per worker and kept.
 A text with any other white space, or with a word mark of the B vocabulary, is
 aligned whole.
@@ -38,7 +38,7 @@ from pkgsift.llm.common import bounded_batches, table
 SEGMENT_BITS = 13
 SEGMENT_ENTRIES = 2_000_000
 #: Aligned pieces, and their characters and links, that a worker keeps; then all are dropped.  Results don't change.
-KEPT_PIECES, KEPT_SIZE = 150_000, 4_000_000
+KEPT_PIECES, KEPT_SIZE = 250_000, 6_000_000
 #: Pieces of a long text that are handled at a time, and pieces looked up together.
 SLAB, TOGETHER = 100_000, 200_000
 #: Fixed: how byte-level vocabularies print the 256 byte values.
@@ -49,7 +49,8 @@ _MARK = "\u2581"
 _BLANKS = " \n\t\r"
 #: White space of other kinds, and B's mark.
 _ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u2581]")
-_PIECE = re.compile(f"[{_BLANKS}]*[^{_BLANKS}]+|[{_BLANKS}]+")
+# a carriage return may be joined to the character before it, so no cut stands before one
+_PIECE = re.compile(rf"[{_BLANKS}]*+[^{_BLANKS}]++(?:\r[{_BLANKS}]*+[^{_BLANKS}]*+)*+|[{_BLANKS}]++")
 
 
 class Aligner:
@@ -68,8 +69,8 @@ class Aligner:
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(names)]
         self.mark = self.b.piece_to_id(_MARK)
-        # pieces that join a character to a mark behind it, or that hold another blank, would forbid the cuts
-        self.cuts = not any(re.search(f"[^{_MARK}]{_MARK}|[\n\t\r]", p) for i, p in enumerate(names) if not self.b.is_byte(i))
+        # pieces that join a character to a mark behind it, or that hold a line end or tab, would forbid the cuts
+        self.cuts = not any(re.search(f"[^{_MARK}]{_MARK}|[\n\t]", p) for i, p in enumerate(names) if not self.b.is_byte(i))
 
     def slabs(self, text: str) -> Iterator[list[str]]:
         """``text`` (which starts with a space) between its certain cuts, some pieces at a time."""
@@ -100,25 +101,33 @@ class Aligner:
         parts_a, parts_b = [of_a[i] for i in a], [of_b[i] for i in b]
         if b"".join(parts_a) != raw or b"".join(parts_b) != raw:
             return None
-        if len(a) == 1 and len(b) == 1:
-            return 1, f"{a[0]}|{b[0]}", {a[0] << 32 | b[0]: 1}
-        ends_a, ends_b = np.cumsum([len(p) for p in parts_a]), np.cumsum([len(p) for p in parts_b])
-        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        cut_a, cut_b = np.searchsorted(ends_a, both) + 1, np.searchsorted(ends_b, both) + 1
-        shown, links, i, j = [], {}, 0, 0
-        for x, y in zip(cut_a.tolist(), cut_b.tolist()):
-            own_a, own_b = a[i:x], b[j:y]
+        shown, links = [], {}
+        i = j = 0
+        while i < len(a):
+            low_i, low_j = i, j
+            ahead = len(parts_a[i]) - len(parts_b[j])  # bytes that A's tokens of the group reach beyond B's
+            i, j = i + 1, j + 1
+            if not ahead:
+                s, t = a[low_i], b[low_j]
+                shown.append(f"{s}|{t}")
+                links[s << 32 | t] = links.get(s << 32 | t, 0) + 1
+                continue
+            while ahead:
+                if ahead < 0:
+                    ahead += len(parts_a[i])
+                    i += 1
+                else:
+                    ahead -= len(parts_b[j])
+                    j += 1
+            own_a, own_b = a[low_i:i], b[low_j:j]
             shown.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-            if len(own_a) > 4 or len(own_b) > 4:
-                for s, n in Counter(own_a).items():
-                    for t, m in Counter(own_b).items():
-                        links[s << 32 | t] = links.get(s << 32 | t, 0) + n * m
+            if len(own_a) + len(own_b) > 8:
+                pairs = [(s, t, n * m) for s, n in Counter(own_a).items() for t, m in Counter(own_b).items()]
             else:
-                for s in own_a:
-                    for t in own_b:
-                        links[s << 32 | t] = links.get(s << 32 | t, 0) + 1
-            i, j = x, y
-        return len(both), ";".join(shown), links
+                pairs = [(s, t, 1) for s in own_a for t in own_b]
+            for s, t, n in pairs:
+                links[s << 32 | t] = links.get(s << 32 | t, 0) + n
+        return len(shown), ";".join(shown), links
 
 
 class Known:
@@ -136,20 +145,25 @@ class Known:
         self.size = 0
 
     def add(self, pieces: list[str]) -> None:
+        at, counts, keys, many = len(self.keys), [], [], []
         for p, (a, b) in zip(pieces, self.aligner.encode(pieces)):
             found = self.aligner.align(p, a, b)
             self.number[p] = len(self.shown)
             self.size += len(p)
             if found is None:
                 self.shown.append(None)
-                self.counts.extend((0, 0, 0, 0, 0, len(self.keys)))
+                counts += (0, 0, 0, 0, 0, at)
                 continue
             groups, shown, links = found
             self.shown.append(shown)
-            self.counts.extend((len(a), len(b), groups, sum(links.values()), len(links), len(self.keys)))
-            self.keys.extend(links.keys())
-            self.many.extend(links.values())
+            counts += (len(a), len(b), groups, sum(links.values()), len(links), at)
+            keys += links.keys()
+            many += links.values()
+            at += len(links)
             self.size += len(links)
+        self.counts.extend(counts)
+        self.keys.extend(keys)
+        self.many.extend(many)
 
     def documents(self, texts: list[str]) -> Iterator[Document]:
         """Every text's document, in order."""
