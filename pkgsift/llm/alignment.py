@@ -39,14 +39,17 @@ SEGMENT_BITS = 13
 SEGMENT_ENTRIES = 2_000_000
 #: Aligned pieces, and their characters and links, that a worker keeps; then all are dropped.  Results don't change.
 KEPT_PIECES, KEPT_SIZE = 250_000, 6_000_000
-#: Pieces of a long text that are handled at a time, and pieces looked up together.
-SLAB, TOGETHER = 100_000, 200_000
+#: Pieces of a long text that are handled at a time, pieces looked up together, and
+#: new ones that are encoded as one text.
+SLAB, TOGETHER, JOINED = 100_000, 200_000, 4_000
+#: Links of a group up to which all its pairs are listed one by one.
+LISTED = 4_096
 #: Fixed: how byte-level vocabularies print the 256 byte values.
 _SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
 _SYMBOL = {chr(b): b for b in _SHOWN} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(_SHOWN))}
 #: Fixed: the mark that stands for a space in B's pieces.
 _MARK = "\u2581"
-_BLANKS = " \n\t\r"
+_BLANKS = _ENDS = " \n\t\r"
 #: White space of other kinds, and B's mark.
 _ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u2581]")
 # a carriage return may be joined to the character before it, so no cut stands before one
@@ -69,6 +72,12 @@ class Aligner:
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(names)]
         self.mark = self.b.piece_to_id(_MARK)
+        # of every id: its bytes' number, and what it shows inside a group and at the end of its side
+        sizes_a = [len(self.bytes_a.get(i, b"")) for i in range(max(self.bytes_a) + 1)]
+        self.sizes = np.array(sizes_a), np.array([len(x) for x in self.bytes_b])
+        self.inner = tuple(np.array([f"{i}," for i in range(len(n))], object) for n in self.sizes)
+        self.last = tuple(np.array([f"{i}{end}" for i in range(len(n))], object) for n, end in zip(self.sizes, "|;"))
+        self.widths = tuple(np.array([len(x) for x in shown]) for shown in self.inner)
         # pieces that join a character to a mark behind it, or that hold a line end or tab, would forbid the cuts
         self.cuts = not any(re.search(f"[^{_MARK}]{_MARK}|[\n\t]", p) for i, p in enumerate(names) if not self.b.is_byte(i))
 
@@ -145,6 +154,64 @@ class Known:
         self.size = 0
 
     def add(self, pieces: list[str]) -> None:
+        """Align new pieces: most of them as one text, as no token reaches from one
+        to the next; odd ones, and ones that end in a blank, each by itself."""
+        odd, joined = [], []
+        for p in pieces:
+            (odd if p[-1] in _ENDS or _ODD.search(p) else joined).append(p)
+        for k in range(0, len(joined), JOINED):
+            some = joined[k:k + JOINED]
+            if not self._add_joined(some):
+                odd += some
+        if odd:
+            self._add_each(odd)
+
+    def _add_joined(self, pieces: list[str]) -> bool:
+        """Align pieces that follow each other; False if their bytes or ends are not the tokens', or a group is very large."""
+        own = self.aligner
+        text = " ." + "".join(pieces)  # a piece in front, for the space that B adds
+        a = np.array(own.a.encode(text, add_special_tokens=False).ids)
+        b = np.array(own.b.encode(text[1:]))
+        raw = text.encode("utf-8", "replace")
+        if b"".join(map(own.bytes_a.__getitem__, a.tolist())) != raw or b"".join(map(own.bytes_b.__getitem__, b.tolist())) != raw:
+            return False
+        ends_a, ends_b = np.cumsum(own.sizes[0][a]), np.cumsum(own.sizes[1][b])
+        ends = np.cumsum([2, *(map(len, pieces) if len(raw) == len(text) else (len(p.encode("utf-8", "replace")) for p in pieces))])
+        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group = np.searchsorted(both, ends)  # a piece's last group
+        if group[-1] >= len(both) or (both[group] != ends).any():
+            return False
+        upto_a, upto_b = np.searchsorted(ends_a, both) + 1, np.searchsorted(ends_b, both) + 1
+        n_a, n_b = np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0)
+        links = n_a * n_b
+        if links.max() > LISTED:
+            return False
+        # what groups show: A's ids, then B's, group after group
+        at_a = np.arange(len(a)) + np.repeat(upto_b - n_b, n_a)
+        at_b = np.arange(len(b)) + np.repeat(upto_a, n_b)
+        shown = np.empty(len(a) + len(b), object)
+        shown[at_a], shown[at_b] = own.inner[0][a], own.inner[1][b]
+        shown[at_a[upto_a - 1]], shown[at_b[upto_b - 1]] = own.last[0][a[upto_a - 1]], own.last[1][b[upto_b - 1]]
+        width = np.empty(len(shown), np.int64)
+        width[at_a], width[at_b] = own.widths[0][a], own.widths[1][b]
+        line = "".join(shown.tolist())
+        stop = np.cumsum(width)[(upto_a + upto_b)[group] - 1].tolist()
+        # every pair of a group
+        which = np.repeat(np.arange(len(links)), links)
+        k = np.arange(len(which)) - np.repeat(np.cumsum(links) - links, links)
+        keys = a[(upto_a - n_a)[which] + k // n_b[which]] << 32 | b[(upto_b - n_b)[which] + k % n_b[which]]
+        pairs = np.cumsum(links)[group]
+        counts = np.stack([np.diff(x) for x in (upto_a[group], upto_b[group], group + 1, pairs, pairs)] + [pairs[:-1] - pairs[0] + len(self.keys)], axis=1)
+        first = len(self.shown)
+        self.number.update(zip(pieces, range(first, first + len(pieces))))
+        self.shown += [line[x:y - 1] for x, y in zip(stop, stop[1:])]
+        self.counts.frombytes(counts.astype(np.int64).tobytes())
+        self.keys.frombytes(keys[pairs[0]:].astype(np.int64).tobytes())
+        self.many.frombytes(np.ones(len(keys) - pairs[0], np.int64).tobytes())
+        self.size += len(text) + len(keys)
+        return True
+
+    def _add_each(self, pieces: list[str]) -> None:
         at, counts, keys, many = len(self.keys), [], [], []
         for p, (a, b) in zip(pieces, self.aligner.encode(pieces)):
             found = self.aligner.align(p, a, b)
