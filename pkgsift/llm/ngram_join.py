@@ -19,8 +19,9 @@ token without its bit is in one text only and is not posted at all.
 
 Components need no full pair list.  Rounds 1 and 2 verify the sets of a posting
 group against the group's first set (a star); round 3 takes the groups that
-still hold several components and verifies the pairs across components.  Any
-link left out joins two sets that are already in one component.
+still hold several components and finds pairs across components by what the
+sets differ from the first one in (``_across``), so a dense family below the threshold costs rows
+in proportion to its members.  Any link left out joins two sets that are already in one component.
 
 Numpy runs inside tasks only to hash whole texts; grouping, filters and
 intersections are Spark expressions.  Intermediate tables are written to the
@@ -59,6 +60,8 @@ GROUP_TOKENS = 2 << 20
 KEY_BITS = 48
 #: Class keys a task remembers to skip copies.
 SEEN_SETS = 200_000
+#: Times that members without a possible partner are left out (any number is right).
+PRUNED = 2
 _ODD = [np.uint64(2 * xxhash.xxh64_intdigest(b"order", k) + 1 & (1 << 64) - 1) for k in range(64)]
 
 
@@ -381,8 +384,7 @@ def _marked_classes(keys: DataFrame) -> np.ndarray:
 
 
 def set_table(texts: DataFrame, marked: Broadcast, n: int, percent: int) -> DataFrame:
-    """s, size, parity, p1, p2, tokens: whole sets with their prefixes under orders
-    1 and 2, and per token hash value below 256 whether an odd number has it.
+    """s, size, p1, p2, tokens: whole sets with their prefixes under orders 1 and 2.
 
     Sets whose class key has no bit in ``marked`` are left where they are: the
     texts are read again, not shuffled.  The prefixes are kept as 32-bit values;
@@ -397,9 +399,8 @@ def set_table(texts: DataFrame, marked: Broadcast, n: int, percent: int) -> Data
             size = _prefix_length(len(s), percent)
             with np.errstate(over="ignore"):
                 p1, p2 = (np.sort(_mix(s, k))[:size].astype(np.uint32).view(np.int32) for k in (50, 54))
-            odd = np.packbits(np.bincount((s & np.uint64(255)).astype(np.int64), minlength=256) & 1).view(np.int64)
             yield pa.RecordBatch.from_pydict({
-                "s": pa.array([k1], pa.int64()), "size": pa.array([len(s)], pa.int64()), "parity": pa.array([odd], pa.list_(pa.int64())),
+                "s": pa.array([k1], pa.int64()), "size": pa.array([len(s)], pa.int64()),
                 "p1": pa.array([p1], pa.list_(pa.int32())), "p2": pa.array([p2], pa.list_(pa.int32())),
                 "tokens": pa.array([s.astype(np.int64)], pa.list_(pa.int64()))})
 
@@ -413,8 +414,8 @@ def set_table(texts: DataFrame, marked: Broadcast, n: int, percent: int) -> Data
         if held:
             yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-    kind = "s long, size long, parity array<long>, p1 array<int>, p2 array<int>, tokens array<long>"
-    return texts.mapInArrow(joined, kind).groupBy("s").agg(*(F.first(c).alias(c) for c in ("size", "parity", "p1", "p2", "tokens")))
+    kind = "s long, size long, p1 array<int>, p2 array<int>, tokens array<long>"
+    return texts.mapInArrow(joined, kind).groupBy("s").agg(*(F.first(c).alias(c) for c in ("size", "p1", "p2", "tokens")))
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -473,15 +474,14 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     marked.destroy()
 
     # round 1: every set with the least head of its groups; round 2: the other heads
-    # that the verified stars leave apart; round 3: all pairs across components
+    # that the verified stars leave apart; round 3: other pairs across components, by their differences
     near = table(pairs.groupBy("b").agg(F.min(F.struct("u", "a")).alias("m")).select("m.a", "b"), "pairs")
     links = table(verify(near, sets, percent), "links")
     stars = links.select(F.col("b").alias("node"), F.col("a").alias("component"))
     heads = table(_heads_across(pairs, stars).join(near, ["a", "b"], "left_anti"), "pairs")
     links = table(links.union(verify(heads, sets, percent)), "links")
     parts = table(connected_components(links, "a", "b"), "parts")
-    rest = _all_across(star, parts, sets, percent).join(near.union(heads), ["a", "b"], "left_anti")
-    found = table(verify(table(rest, "pairs"), sets, percent), "links")
+    found = table(verify(table(_across(star, parts, sets, percent), "pairs"), sets, percent), "links")
     if not found.isEmpty():
         parts = table(connected_components(links.union(found), "a", "b"), "parts")
 
@@ -505,21 +505,46 @@ def _heads_across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
 
-def _all_across(star: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a posting, stand in different components and can
-    overlap enough."""
+def _across(star: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) in different components that share a posting and can be similar.
+
+    Every member x of a group is known by its difference dx from the group's head:
+    the tokens that one of the two has and the other not.  Two sets x, y differ by
+    |dx| + |dy| - 2 |dx & dy| tokens and are similar if that is at most
+    (100 - percent) / (100 + percent) of |x| + |y|.  So what their differences must share is a
+    given number, positive unless both are similar to the head.  Only tokens in
+    several members' differences can be shared, and edits that a member has to itself cannot: a
+    member whose shareable tokens are too few for the best partner in another
+    component is out.  The others post, rarest first, a prefix of their shareable tokens.
+    """
     own = parts.select(F.col("node").alias("s"), "component")
     head = parts.select(F.col("node").alias("first"), F.col("component").alias("of_first"))
     placed = (star.join(own, "s", "left").join(head, "first", "left")
               .withColumns({"c": F.coalesce("component", "s"), "c0": F.coalesce("of_first", "first")}))
-    open_groups = placed.where("c != c0").select("t").distinct()
-    left = placed.join(open_groups, "t", "left_semi")
-    members = left.select("t", "s", "c", "size", "most").union(left.select("t", "first", "c0", "first_size", "first_most")).distinct()
-    members = table(members.join(sets.select("s", *(F.get("parity", F.lit(k)).alias(f"q{k}") for k in range(4))), "s"), "open")
-    cols = ("s", "c", "size", "most", "q0", "q1", "q2", "q3")
-    x, y = (members.select("t", *(F.col(c).alias(side + c) for c in cols)) for side in ("x", "y"))
-    # places of differing parity are at most the tokens that one set has and the other not
-    differ = sum((F.bit_count(F.col(f"xq{k}").bitwiseXOR(F.col(f"yq{k}"))) for k in range(4)), F.lit(0))
-    near = (100 + percent) * differ <= (100 - percent) * (F.col("xsize").cast("long") + F.col("ysize"))
-    return (x.join(y, "t").where((F.col("xs") < F.col("ys")) & (F.col("xc") != F.col("yc")) & _possible("x", "y", percent) & near)
+    heads = placed.where("c != c0").select(F.col("first").alias("h")).distinct()
+    members = placed.select(F.col("first").alias("h"), "s", "c").distinct().join(heads, "h", "left_semi")
+    of_head = sets.select(F.col("s").alias("h"), F.col("tokens").alias("h_tokens"))
+    more, less = 100 + percent, 100 - percent
+    delta = table(members.join(of_head, "h").join(sets.select("s", "size", "tokens"), "s")
+                  .select("h", "s", "c", "size", F.concat(F.array_except("tokens", "h_tokens"), F.array_except("h_tokens", "tokens")).alias("delta"))
+                  .withColumn("g", (more * F.size("delta") - less * F.col("size")).cast("long")), "differences")
+    # 2 * more * |dx & dy| >= gx + gy for similar sets
+    tokens = delta.select("h", "s", F.explode("delta").alias("t"))
+    often = tokens.groupBy("h", "t").agg(F.count("*").alias("n")).where("n > 1")
+    shared = (tokens.join(often, ["h", "t"]).groupBy("h", "s").agg(F.sort_array(F.collect_list(F.struct("n", "t"))).alias("shared")))
+    known = table(delta.select("h", "s", "c", "g").join(shared, ["h", "s"]).withColumn("w", F.size("shared").cast("long")), "differences")
+    left = known.select("h", "s", "c", "g", "w")
+    for _ in range(PRUNED):
+        least = left.groupBy("h").agg(F.min(F.struct("g", "c")).alias("m"))
+        near = left.join(least, "h")
+        second = near.where(F.col("c") != F.col("m.c")).groupBy("h").agg(F.min("g").alias("g2"))
+        other = F.when(F.col("c") != F.col("m.c"), F.col("m.g")).otherwise(F.col("g2"))
+        left = table(near.join(second, "h", "left").withColumn("other", other).where(F.col("g") + F.col("other") <= 2 * more * F.col("w"))
+                     .select("h", "s", "c", "g", "w", "other"), "differences")
+    need = F.greatest(F.ceil((F.col("g") + F.col("other")) / F.lit(2 * more)), F.lit(1)).cast("int")
+    posted = (left.join(known.select("h", "s", "shared"), ["h", "s"])
+              .select("h", "s", "c", "g", "w", F.explode(F.slice("shared", 1, F.col("w").cast("int") - need + 1)).alias("x")).withColumn("t", F.col("x.t")).drop("x"))
+    x, y = (posted.select("h", "t", *(F.col(c).alias(side + c) for c in ("s", "c", "g", "w"))) for side in ("x", "y"))
+    return (x.join(y, ["h", "t"])
+            .where((F.col("xs") < F.col("ys")) & (F.col("xc") != F.col("yc")) & (F.col("xg") + F.col("yg") <= 2 * more * F.least("xw", "yw")))
             .select(F.col("xs").alias("a"), F.col("ys").alias("b")).distinct())
