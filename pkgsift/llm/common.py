@@ -51,6 +51,16 @@ def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri)
 
 
+def commit(fs: pyarrow.fs.FileSystem, made: str, name: str) -> None:
+    """Rename a finished file; if another attempt did so first, its bytes are the same."""
+    try:
+        fs.move(made, name)
+    except OSError:
+        if fs.get_file_info(name).type != pyarrow.fs.FileType.File:
+            raise
+        fs.delete_file(made)
+
+
 def let(value: Column, body) -> Column:
     """Bind ``value`` once for ``body``, so that lambdas inside don't recompute it."""
     return F.element_at(F.transform(F.array(value), body), 1)

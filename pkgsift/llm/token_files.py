@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pkgsift.llm.common import bounded_batches, filesystem, shard_column, table
+from pkgsift.llm.common import bounded_batches, commit, filesystem, shard_column, table
 from pkgsift.llm.pieces import pieces
 
 MAGIC = b"EFTK0001"
@@ -74,6 +74,24 @@ class EliasFano:
             value |= (int(self.low[(first + j) >> 3]) >> ((first + j) & 7) & 1) << j
         return (position - k) << self.bits | value
 
+    def select_many(self, k: np.ndarray) -> np.ndarray:
+        """The values at ascending places ``k``: the sampled stretches that hold them, one at a time."""
+        k = np.asarray(k, np.int64)
+        position = np.empty(len(k), np.int64)
+        cuts = np.flatnonzero(np.diff(k // SAMPLE, prepend=-1, append=-1)).tolist() if len(k) else []
+        for a, b in zip(cuts, cuts[1:]):
+            block = int(k[a]) // SAMPLE
+            at = int(self.samples[block])
+            # the next sample's byte may hold this stretch's last bits
+            end = (int(self.samples[block + 1]) >> 3) + 1 if block + 1 < len(self.samples) else len(self.high)
+            ones = np.flatnonzero(np.unpackbits(self.high[at >> 3:end], bitorder="little")) + (at >> 3 << 3)
+            position[a:b] = ones[np.searchsorted(ones, at) + k[a:b] % SAMPLE]
+        value = (position - k).astype(np.uint64) << np.uint64(self.bits)
+        for j in range(self.bits):
+            bit = k * self.bits + j
+            value |= (self.low[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(np.uint64) << np.uint64(j)
+        return value
+
     def all(self) -> np.ndarray:
         at = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n]
         value = (at - np.arange(self.n)).astype(np.uint64) << np.uint64(self.bits)
@@ -177,7 +195,7 @@ def write_shard(root: str, shard: int, ids: list[bytes], docs: list[int | None],
             f.write(i)
         for p in parts:
             f.write(p)
-    fs.move(made, name)
+    commit(fs, made, name)
     return {"shard": shard, "n_docs": len(docs), "n_ids": int(ends[-1]), "index_bytes": sum(map(len, parts))}
 
 
@@ -232,8 +250,8 @@ def write_token_files(docs: DataFrame, root: str, path: str, end_id: int = 2, id
             yield pa.RecordBatch.from_pylist(made, pa.schema([("shard", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("index_bytes", pa.int64())]))
 
     dealt = rows.select(shard.alias("shard"), "doc_id", "text")
-    width = 4 * min(count, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    manifest = (dealt.repartition(width, "shard").sortWithinPartitions("shard", "doc_id", "text")
+    # a shard is a partition of its own
+    manifest = (dealt.repartitionById(count, F.col("shard")).sortWithinPartitions("shard", "doc_id", "text")
                 .mapInArrow(run, "shard int, n_docs long, n_ids long, index_bytes long"))
     manifest = table(manifest, "manifest")
     # one row per shard (at most MAX_SHARDS): the running count fits any task
@@ -247,22 +265,36 @@ def write_token_files(docs: DataFrame, root: str, path: str, end_id: int = 2, id
     return spark.createDataFrame(rows_out, "shard int, n_docs long, n_ids long, index_bytes long, first_id long")
 
 
+#: Documents whose boundaries are selected at a time.
+SELECTED = 4096
+
+
+def shard_rows(root: str, shard: int, first: int) -> Iterator[pa.RecordBatch]:
+    """doc_id, start, n_tokens, ids_crc32 of one shard's documents; places and ids come through ``select``."""
+    head, ids, bounds, keys = read_shard(root, shard)
+    none = head["n_null"]
+    for low in range(0, head["n_docs"], SELECTED):
+        high = min(low + SELECTED, head["n_docs"])
+        at = bounds.select_many(np.arange(low, high + 1)).astype(np.int64)
+        named = keys.select_many(np.arange(max(low - none, 0), max(high - none, 0))).astype(np.int64) + head["base"]
+        wide = ids[at[0]:at[-1]].astype("<u4").tobytes()
+        own = (at - at[0]).tolist()
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": pa.array([None] * (high - low - len(named)) + named.tolist(), pa.int64()),
+            "start": pa.array(at[:-1] + first, pa.int64()),
+            "n_tokens": pa.array(np.diff(at), pa.int64()),
+            "ids_crc32": pa.array([zlib.crc32(wide[4 * a:4 * b]) for a, b in zip(own, own[1:])], pa.int64()),
+        })
+
+
 def read_token_files(manifest: DataFrame, root: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, first in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
-                head, ids, bounds, keys = read_shard(root, shard)
-                at = bounds.all().astype(np.int64)
-                wide = ids.astype("<u4").tobytes()
-                named = keys.all().astype(np.int64) + head["base"]
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array([None] * head["n_null"] + named.tolist(), pa.int64()),
-                    "start": pa.array(at[:-1] + first, pa.int64()),
-                    "n_tokens": pa.array(np.diff(at), pa.int64()),
-                    "ids_crc32": pa.array([zlib.crc32(wide[4 * a:4 * b]) for a, b in zip(at, at[1:])], pa.int64()),
-                })
-
-    spread = manifest.select("shard", "first_id").repartition(max(1, manifest.count()), "shard")
+                yield from shard_rows(root, shard, first)
+
+    count = max(1, manifest.count())
+    spread = manifest.select("shard", "first_id").repartitionById(count, F.col("shard"))
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -26,7 +26,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pkgsift.llm.common import bounded_batches, filesystem, shard_column, table
+from pkgsift.llm.common import bounded_batches, commit, filesystem, shard_column, table
 
 #: Payload bytes of a shard, and compressed bytes at which a file is full.
 SHARD_BYTES = 48 << 20
@@ -124,16 +124,6 @@ class _Shard:
         self.out = None
 
 
-def commit(fs: pyarrow.fs.FileSystem, made: str, name: str) -> None:
-    """Rename a finished file; if another attempt did so first, its bytes are the same."""
-    try:
-        fs.move(made, name)
-    except OSError:
-        if fs.get_file_info(name).type != pyarrow.fs.FileType.File:
-            raise
-        fs.delete_file(made)
-
-
 _MANIFEST = "file string, records long, bytes long, first_page long, last_page long"
 
 
@@ -189,9 +179,8 @@ def write_warc(pages: DataFrame, root: str, id_col: str = "page_id", url_col: st
             yield pa.RecordBatch.from_pylist(out.files, schema)
 
     schema = pa.schema([("file", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("first_page", pa.int64()), ("last_page", pa.int64())])
-    width = 4 * min(count, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = both.withColumn("shard", shard).select("shard", "page", "kind", "sha", "newest", "url", "html")
-    manifest = (dealt.repartition(width, "shard").sortWithinPartitions("shard", "page", "kind", "sha", "url", "html").mapInArrow(run, _MANIFEST))
+    manifest = (dealt.repartitionById(count, F.col("shard")).sortWithinPartitions("shard", "page", "kind", "sha", "url", "html").mapInArrow(run, _MANIFEST))
     manifest.write.parquet(f"{root}/manifest")
     return spark.read.schema(_MANIFEST).parquet(f"{root}/manifest")
 
