@@ -45,19 +45,38 @@ NOTICES = {
     "cc0": "cc0",
     "public domain": "public-domain",
     "proprietary and confidential": "proprietary",
+    "permission to use copy modify and or distribute this software": "isc",
+    "isc license": "isc",
+    "boost software license": "bsl",
+    "this software is provided as is without any express or implied warranty in no event": "zlib",
+    "zlib license": "zlib",
+    "this is free and unencumbered software": "unlicense",
+    "do what the fuck you want to public license": "wtfpl",
+    "artistic license": "artistic",
+    "eclipse public license": "epl",
+    "common development and distribution license": "cddl",
+    "european union public licence": "eupl",
+    "sil open font license": "ofl",
+    "python software foundation license": "psf",
+    "business source license": "busl",
+    "server side public license": "sspl",
 }
-#: Tag words that introduce an expression.
-TAGS = ("spdx license identifier",)
+#: Words before a colon that introduce an expression: the identifier tag, and the
+#: field of package metadata, whose expression must name known licences only.
+TAGS = ("spdx license identifier", "license", "licence")
 #: Strength of each label's obligations.
 STRENGTH = {
     "cc0": 0.05, "public-domain": 0.05, "mit": 0.1, "bsd": 0.1, "apache": 0.15, "cc": 0.2, "cc-by": 0.2, "mpl": 0.4,
     "cc-by-sa": 0.5, "lgpl": 0.5, "cc-by-nd": 0.6, "cc-by-nc": 0.7, "gpl": 0.75, "agpl": 0.85, "proprietary": 0.95, "reserved": 1.0,
+    "0bsd": 0.05, "unlicense": 0.05, "wtfpl": 0.05, "isc": 0.1, "bsl": 0.1, "zlib": 0.1, "psf": 0.15, "artistic": 0.3, "ofl": 0.3,
+    "epl": 0.4, "cddl": 0.4, "eupl": 0.6, "busl": 0.9, "sspl": 0.9,
 }
 #: Strength of an identifier of no known family.
 UNKNOWN = 0.5
 _SPACE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _TAG = re.compile(rb"spdx[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+license[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+identifier[ \t]*:", re.I)
-_TOKEN = re.compile(rb"[()]|[A-Za-z0-9.+:-]+")
+_FIELD = re.compile(rb"(?:\A|(?<=[\r\n]))[ \t#*;\"'/-]*licen[sc]e[\"']?[ \t]*[:=]", re.I)
+_TOKEN = re.compile(rb"[()/]|[A-Za-z0-9.+:-]+")
 _LINE = re.compile(rb"[^\r\n]*")
 #: Binding strength of the operators.
 PRECEDENCE = {"OR": 1, "AND": 2, "WITH": 3}
@@ -72,9 +91,9 @@ class Expression:
 
 
 def family(identifier: str) -> str | None:
-    """The label of an identifier such as ``GPL-3.0-or-later``, or None."""
+    """The label of an identifier such as ``GPL-3.0-or-later``, ``GPLv2`` or ``LGPL3+``, or None."""
     x = identifier.lower()
-    found = [name for name in STRENGTH if x == name or x.startswith(f"{name}-")]
+    found = [name for name in STRENGTH if re.match(rf"{re.escape(name)}(?:\Z|-|\+\Z|v?\d)", x)]
     return max(found, key=len, default=None)
 
 
@@ -134,7 +153,8 @@ def evaluate(tokens: list[str]) -> Expression | None:
 def expression_after(text: bytes, at: int) -> Expression | None:
     """The expression that starts at ``at`` and ends with its line: the longest
     well-formed run of tokens."""
-    tokens = [m.group().decode() for m in _TOKEN.finditer(text, at, _LINE.match(text, at).end())]
+    # a slash between two licences is an OR, as older metadata writes it
+    tokens = ["OR" if m.group() == b"/" else m.group().decode() for m in _TOKEN.finditer(text, at, _LINE.match(text, at).end())]
     # words behind the expression (an operand after an operand) end it
     depth, operand, end, best = 0, False, 0, None
     for k, t in enumerate(tokens):
@@ -193,9 +213,10 @@ def scan(text: bytes) -> Scan:
                 base.append((line.count(" ", 0, start), label))
     expressions = []
     if tagged:
-        for m in _TAG.finditer(text):
-            found = expression_after(text, m.end())
-            if found:
+        places = [(m.end(), False) for m in _TAG.finditer(text)] + [(m.end(), True) for m in _FIELD.finditer(text)]
+        for place, known in sorted(places):
+            found = expression_after(text, place)
+            if found and not (known and any(family(i) is None for i in found.identifiers)):
                 expressions.append(" ".join(found.identifiers))
                 score = max(score, found.strength)
                 labels.update(f for i in found.identifiers if (f := family(i)))

@@ -135,3 +135,13 @@ def test_bitmaps_round_trip(runs, dense):
 def _fresh():
     yield
     al.known.cache_clear()
+
+
+def test_joined_and_single_pieces_agree():
+    """Pieces aligned as one text give what each gives by itself."""
+    texts = [" ".join(HOSTILE[k] or "" for k in (7, 8, 9, 18, 20, 22, 24, k)) for k in range(12, 25)]
+    one, many = al.Known(al.Aligner(A, B)), al.Known(al.Aligner(A, B))
+    one._add_joined = lambda pieces: False
+    for x, y in zip(one.documents(texts), many.documents(texts)):
+        (c1, g1, k1, m1), (c2, g2, k2, m2) = x.result(), y.result()
+        assert (c1, g1, k1.tolist(), m1.tolist()) == (c2, g2, k2.tolist(), m2.tolist())

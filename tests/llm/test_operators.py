@@ -227,7 +227,8 @@ def test_license_scan(spark, awkward, none):
     ("MIT", ("MIT",), 0.1), ("MIT OR GPL-3.0-only", ("MIT", "GPL-3.0-only"), 0.1), ("MIT and GPL-3.0-only", ("MIT", "GPL-3.0-only"), 0.75),
     ("MIT OR Apache-2.0 AND GPL-2.0", ("MIT", "Apache-2.0", "GPL-2.0"), 0.1), ("(MIT OR Apache-2.0) AND GPL-2.0", ("MIT", "Apache-2.0", "GPL-2.0"), 0.75),
     ("GPL-2.0 WITH Classpath-exception-2.0", ("GPL-2.0", "Classpath-exception-2.0"), 0.5625), ("((MIT)", None, None), ("OR MIT", None, None),
-    ("MIT the rest of the line", ("MIT",), 0.1), ("Weird-1.0", ("Weird-1.0",), 0.5)])
+    ("MIT the rest of the line", ("MIT",), 0.1), ("Weird-1.0", ("Weird-1.0",), 0.5),
+    ("MIT/Apache-2.0", ("MIT", "Apache-2.0"), 0.1), ("GPL-2.0+ AND ISC", ("GPL-2.0+", "ISC"), 0.75), ("GPLv3", ("GPLv3",), 0.75), ("/MIT", None, None)])
 def test_license_expressions(text, names, strength):
     from pkgsift.llm.license_scan import expression_after
 
@@ -235,6 +236,17 @@ def test_license_expressions(text, names, strength):
     assert (e is None) if names is None else (e.identifiers == names and abs(e.strength - strength) < 1e-12)
 
 
+@pytest.mark.parametrize("text,labels,expressions", [
+    ("License: MIT", "mit", ("MIT",)), ("# license : (LGPL-2.1+ OR EPL-1.0)", "epl,lgpl", ("LGPL-2.1+ EPL-1.0",)), ('  "license": "ISC",', "isc", ("ISC",)),
+    ("License: see the file COPYING", "", ()), ("our license: MIT", "", ()), ("x\nLicence=MPL-2.0\n", "mpl", ("MPL-2.0",)),
+    ("// SPDX-License-Identifier: MIT/Apache-2.0", "apache,mit", ("MIT Apache-2.0",)), ("Eclipse Public License - v 1.0", "epl", ())])
+def test_license_fields(text, labels, expressions):
+    from pkgsift.llm.license_scan import scan
+
+    found = scan(text.encode())
+    assert (",".join(found.labels), found.expressions) == (labels, expressions)
+
+
 # operator 4 ---------------------------------------------------------------
 
 def test_mixing(awkward, none, spark):
