@@ -39,20 +39,6 @@ def b64_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(B64_PATTERN)).cast("bigint")
 
 
-def literals_matching(literals: Column, pattern: str, weight: int = 1) -> Column:
-    """Number of string literals that contain a match, times ``weight``."""
-    n = F.size(F.filter(literals, lambda s: s.rlike(pattern)))
-    return (n * F.lit(weight)).cast("bigint")
-
-
-def literal_url_count(literals: Column, weight: int = 1) -> Column:
-    return literals_matching(literals, URL_PATTERN, weight)
-
-
-def literal_b64_count(literals: Column, weight: int = 1) -> Column:
-    return literals_matching(literals, B64_PATTERN, weight)
-
-
 def module_base(imp: Column) -> Column:
     """Text before the first '/' (a scoped ``@x/y`` also reduces to ``@x``)."""
     return F.substring_index(imp, "/", 1)

@@ -2,8 +2,8 @@
 
 Aliases come from six ordered regex passes; a later match wins, so entries
 keep their pass order and lookups take the last entry with the key.  Calls
-come from the lexer's call heads (``lexers.JS_TOKENS``).  With ``max_file_bytes`` given,
-files above it never enter the lexer: they take the light path.
+come from one pass over the text (``lexers.js_scan``).  With ``max_file_bytes`` given,
+files above it are never scanned: they take the light path.
 """
 
 from __future__ import annotations
@@ -42,7 +42,6 @@ OS_FUNCS = ["exec", "execsync"]
 PROC_FUNCS = ["spawn", "fork"]
 INSTALL_HOOKS = ["preinstall", "install", "postinstall"]
 REFERENCE_MAX_FILE_BYTES = 2_000_000
-NON_IDENTIFIER_BASES = ["this", "super"]
 # Size gate of the light path: 0 is no gate; a caller may pass one.
 DEFAULT_MAX_FILE_BYTES = 0
 # Opt-in extensions (Q12, extended=True; not in the reference): `node:` module
@@ -174,89 +173,88 @@ def _last(entries: Column, key: Column) -> Column:
     return F.try_element_at(F.filter(entries, lambda e: e["k"] == key), F.lit(-1))
 
 
-def _call_text(funcs) -> str:
-    """Whole calls of ``funcs``: the calls they are chained to, the name, and the
-    arguments to the balanced parenthesis.  A match starts at the chain's head
-    only, so a long chain is scanned once."""
-    args = LX.js_arguments()
-    return (rf"(?i)(?<![\w$.)])(?<!\.\s{{1,8}})(?!\.)(?:[\w$.]*+\({args}\)\s*+\.\s*+)*+(?:[\w$]++\s*+\.\s*+)*+"
-            rf"(?:{'|'.join(funcs)})\s*+\({args}\)")
-
-
-def _mentions_cp(text: Column, calls: Column, funcs) -> Column:
-    """A call of ``funcs`` without a module whose own text mentions child_process,
-    e.g. ``require('child_process').exec(…)`` or ``exec(require('child_process'))``."""
-    bare = F.exists(calls, lambda x: (x["mod"] == "") & F.lower(x["func"]).isin(funcs))
-    found = F.exists(F.regexp_extract_all(text, F.lit(_call_text(funcs)), F.lit(0)), lambda c: F.instr(F.lower(c), "child_process") > 0)
-    return F.when(bare & (F.instr(F.lower(text), "child_process") > 0), found).otherwise(F.lit(False))
-
-
 def resolve_calls(raw: Column, aliases: Column, names: Column) -> Column:
-    """Call heads → array<struct<mod, func>> through the alias maps."""
+    """Scanned calls → array<struct<mod, func, start, stop, mentions>> through the alias maps."""
     def one(c):
-        base_ok = c["member"] & (c["base"] != "") & ~c["base"].isin(NON_IDENTIFIER_BASES)
         hit = _last(aliases, c["base"])
-        mod0 = F.when(base_ok, F.coalesce(hit["mod"], c["base"])).otherwise(F.lit(""))
+        mod0 = F.when(c["base"] != "", F.coalesce(hit["mod"], c["base"])).otherwise(F.lit(""))
         nf = _last(names, c["func"])
         use_nf = (mod0 == "") & nf.isNotNull()
         return F.struct(F.when(use_nf, nf["mod"]).otherwise(mod0).alias("mod"),
-                        F.when(use_nf, nf["fn"]).otherwise(c["func"]).alias("func"))
+                        F.when(use_nf, nf["fn"]).otherwise(c["func"]).alias("func"),
+                        c["start"].alias("start"), c["stop"].alias("stop"), c["mentions"].alias("mentions"))
     return F.transform(raw, one)
 
 
 @cached_columns
 def _js_stages(text_col: str, size_col: str | None, max_file_bytes: int, max_tokens: int,
-               lenient: bool, extended: bool = False):
+               lenient: bool | str, extended: bool = False, path_col: str | None = None):
     text = F.col(text_col)
     low = F.lower(text)
     size = F.col(size_col) if size_col else F.length(text)
     light = (F.lit(max_file_bytes > 0) & (size > F.lit(max_file_bytes))) if max_file_bytes else F.lit(False)
+    typed = F.coalesce(F.lower(F.col(path_col)).endswith(".ts"), F.lit(False)) if path_col else F.lit(False)
     is_light = F.col("light")
     alias_stages, alias_drop = _alias_stages(text_col, extended)
     os_funcs = OS_FUNCS + (EXTENDED_OS_FUNCS if extended else [])
     proc_funcs = PROC_FUNCS + (EXTENDED_PROC_FUNCS if extended else [])
     s0 = {"light": light}
-    s1 = {"_toks": F.when(~is_light, LX.tokens(text, LX.JS_TOKENS, max_tokens))}
-    toks = F.col("_toks")
-    s3 = {"_calls": F.when(is_light, F.array().cast("array<struct<mod:string,func:string>>"))
-          .otherwise(resolve_calls(LX.calls(toks, LX.JS_KEYWORDS), F.col("_aliases"), F.col("_names")))}
+    # a light file is an empty text to the scan
+    s1 = {"_scan": LX.js_scan(F.when(~is_light, text), typed, max_tokens)}
+    scan = F.col("_scan")
+    s3 = {"_calls": resolve_calls(scan["calls"], F.col("_aliases"), F.col("_names"))}
     c = F.col("_calls")
     tree_eval = F.exists(c, lambda x: F.lower(x["func"]) == "eval")
     # the module is a process module, or there is none and the call's text names child_process
     def runs(funcs):
-        return (F.exists(c, lambda x: x["mod"].isin(PROCESS_MODULES) & F.lower(x["func"]).isin(funcs))
-                | _mentions_cp(text, c, funcs))
+        return F.exists(c, lambda x: (x["mod"].isin(PROCESS_MODULES) | ((x["mod"] == "") & x["mentions"])) & F.lower(x["func"]).isin(funcs))
     tree_os, tree_proc = runs(os_funcs), runs(proc_funcs)
     direct_os = low.rlike(DIRECT_REQUIRE_OS)
     direct_proc = low.rlike(DIRECT_REQUIRE_PROC)
     light_eval = low.rlike(EVAL_CALL) | low.rlike(VM_RUN)
     if lenient:  # G24 parse-failure set, as an opt-in extra
-        tree_eval = tree_eval | low.rlike(EVAL_CALL) | low.rlike(NEW_FUNCTION) | low.rlike(VM_RUN)
-        tree_os = tree_os | low.rlike(MODULE_CP_OS)
-        tree_proc = tree_proc | low.rlike(MODULE_CP_PROC)
-    lits = LX.string_literals(toks)
+        where = scan["broken"] if lenient == "broken" else F.lit(True)
+        tree_eval = tree_eval | (where & (low.rlike(EVAL_CALL) | low.rlike(NEW_FUNCTION) | low.rlike(VM_RUN)))
+        tree_os = tree_os | (where & low.rlike(MODULE_CP_OS))
+        tree_proc = tree_proc | (where & low.rlike(MODULE_CP_PROC))
     s4 = {"calls": F.transform(c, lambda x: F.struct(x["mod"].alias("mod"), x["func"].alias("func"))),
           "has_eval_exec": F.when(is_light, light_eval).otherwise(tree_eval),
           "calls_os": F.when(is_light, direct_os).otherwise(tree_os),
           "calls_proc": F.when(is_light, direct_proc).otherwise(tree_proc),
-          "url_count": F.when(is_light, EV.url_count(text)).otherwise(EV.literal_url_count(lits)),
-          "b64_count": F.when(is_light, EV.b64_count(text)).otherwise(EV.literal_b64_count(lits))}
-    return [s0, s1, *alias_stages, s3, s4], alias_drop + ["_toks", "_aliases", "_names", "_calls"]
+          "url_count": F.when(is_light, EV.url_count(text)).otherwise(scan["urls"]),
+          "b64_count": F.when(is_light, EV.b64_count(text)).otherwise(scan["b64"])}
+    return [s0, s1, *alias_stages, s3, s4], alias_drop + ["_scan", "_aliases", "_names", "_calls"]
 
 
 def js_features(df: DataFrame, text_col: str = "text", size_col: str | None = "size",
                 max_file_bytes: int = DEFAULT_MAX_FILE_BYTES,
-                max_tokens: int = LX.DEFAULT_MAX_TOKENS, lenient: bool = False,
-                extended: bool = False) -> DataFrame:
+                max_tokens: int = LX.DEFAULT_MAX_TOKENS, lenient: bool | str = False,
+                extended: bool = False, path_col: str | None = None) -> DataFrame:
     """Add imports, calls, has_eval_exec, calls_os, calls_proc, url_count,
     b64_count and ``light`` (true when the file took the light path).
 
-    ``lenient`` adds the reference's parse-failure regexes (G24);
-    ``extended`` the Q12 extensions (off by default, as in the reference)."""
-    stages, drop = _js_stages(text_col, size_col, max_file_bytes, max_tokens, lenient, extended)
+    ``lenient`` adds the reference's parse-failure regexes (G24), to every file or
+    (``"broken"``) to those whose brackets, literals or comments don't close;
+    ``extended`` the Q12 extensions (both off by default, as in the reference).
+    Files whose ``path_col`` ends in .ts are read as TypeScript."""
+    LX.ready(df)
+    stages, drop = _js_stages(text_col, size_col, max_file_bytes, max_tokens, lenient, extended, path_col)
     return apply_stages(df, stages, drop)
 
 
+def js_call_texts(df: DataFrame, text_col: str = "text", path_col: str | None = None) -> DataFrame:
+    """One row per call, in the order of their brackets: ``call_index``, ``mod``,
+    ``func`` and ``call_text``, the whole call with what it is chained to and its
+    arguments.  A chain's texts add up to the square of its length; flags need none of them."""
+    LX.ready(df)
+    typed = F.coalesce(F.lower(F.col(path_col)).endswith(".ts"), F.lit(False)) if path_col else F.lit(False)
+    found = with_aliases(df, text_col).withColumn("_scan", LX.js_scan(F.col(text_col), typed))
+    calls = resolve_calls(F.col("_scan.calls"), F.col("_aliases"), F.col("_names"))
+    return (found.select(*df.columns, F.posexplode(calls).alias("call_index", "_call"))
+            .select(*df.columns, "call_index", F.col("_call.mod").alias("mod"), F.col("_call.func").alias("func"),
+                    F.col(text_col).substr(F.col("_call.start") + 1, F.col("_call.stop") - F.col("_call.start")).alias("call_text")))
+
+
 def install_hook(manifest_json: Column) -> Column:
     """``scripts`` object has preinstall/install/postinstall (key presence).
 

@@ -1,90 +1,35 @@
-"""Lexer token streams as Spark expressions.
-
-A syntax tree is not needed for the evidence the sentences use.  One
-alternation regex per language, given to ``regexp_extract_all(text, re, 0)``,
-returns the ordered tokens the features read: comments (discarded), string
-literals, import statements (Python) and call heads (``name.name(``).  It runs
-in the JVM, per row, with no Python worker.
-
-Regex safety matters because package authors control the input:
-possessive quantifiers (no catastrophic backtracking), optional closing
-delimiters (an unclosed literal is consumed once), and dotted names that are
-consumed whole.  Chains and blanks have no bound.
+"""Scans of source text as Spark columns.
+
+Brackets nest to any depth and the meaning of a character depends on what is
+open around it, which regular expressions and array functions cannot express in
+linear time.  So one small pass per language (``scan_js``, ``scan_python``,
+``scan_ruby``) runs over each text in Arrow batches and returns the calls, import
+statements and evidence counts as one struct; aliases, flags and sentences are
+built from it by column expressions.  Each text crosses to Python once and
+never comes back.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import re
+from bisect import bisect_left
+from collections.abc import Callable, Iterable
+from functools import lru_cache
 
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-def _head(blank: str) -> str:
-    """A call head ``name.name(``, or a dotted name without a call.  The second is
-    no token (``tokens`` drops it); taking it whole keeps a long chain linear."""
-    name, dot = r"[A-Za-z_$][\w$]*+", rf"{blank}\??\.{blank}"
-    start = rf"(?:\.{blank})?(?<![\w$]){name}"
-    return rf"{start}(?:{dot}{name})*+{blank}\(|{start}(?:{dot}{name})++"
-
-
-# Blanks of any length; Python also continues a line behind a backslash.
-_JS_BLANK = r"\s*+"
-_PY_BLANK = r"(?:\s|\\\r?\n)*+"
-_PY_GAP = r"(?:[ \t]|\\\r?\n)"
-
-# Every token starts with one of these characters; the lookahead rejects
-# other positions with a single test instead of one per alternative.
-_JS_FIRST = r"""(?=[/'"`A-Za-z_$.])"""
-_PY_FIRST = r"""(?=['"#A-Za-z_$.])"""
-
-PYTHON_TOKENS = _PY_FIRST + "(?:" + "|".join([
-    r"#[^\n]*+",
-    r'"""(?:[^"\\]++|\\[\s\S]|"(?!""))*+(?:""")?+',
-    r"'''(?:[^'\\]++|\\[\s\S]|'(?!''))*+(?:''')?+",
-    r'"(?:[^"\\\n]++|\\[\s\S])*+"?+',
-    r"'(?:[^'\\\n]++|\\[\s\S])*+'?+",
-    rf"\bfrom{_PY_GAP}++\.*+[\w.]*+{_PY_GAP}++import\b",
-    rf"\bimport{_PY_GAP}++[\w.]++(?:{_PY_GAP}++as{_PY_GAP}++\w++)?+"
-    rf"(?:{_PY_GAP}*+,{_PY_GAP}*+[\w.]++(?:{_PY_GAP}++as{_PY_GAP}++\w++)?+)*+",
-    r"\b(?:def|class)\s++\w++",
-    _head(_PY_BLANK),
-]) + ")"
-
-_JS_STRING = r"""'(?:[^'\\\n]++|\\[\s\S])*+'|"(?:[^"\\\n]++|\\[\s\S])*+"|`(?:[^`\\]++|\\[\s\S])*+`"""
-#: Parentheses inside an argument list that ``js_arguments`` follows.
-ARGUMENT_DEPTH = 12
-
-
-def js_arguments(depth: int = ARGUMENT_DEPTH) -> str:
-    """What stands between a call's parentheses: text, strings and balanced pairs,
-    nested up to ``depth``.  A deeper list matches nothing, so a call is then
-    taken for a call and its text for not mentioning anything."""
-    nested = rf"|\({js_arguments(depth - 1)}\)" if depth else ""
-    return rf"(?:[^()'\"`]++|{_JS_STRING}{nested})*+"
-
-
-JS_TOKENS = _JS_FIRST + "(?:" + "|".join([
-    r"//[^\n]*+",
-    r"/\*[\s\S]*?(?:\*/|\z)",
-    r"'(?:[^'\\\n]++|\\[\s\S])*+'?+",
-    r'"(?:[^"\\\n]++|\\[\s\S])*+"?+',
-    r"`(?:[^`\\]++|\\[\s\S])*+`?+",
-    r"\bnew\s++[\w$.]++\s*+\(",
-    r"\bfunction\s*+(?:\*\s*+)?[\w$]++\s*+\(",
-    # a method definition: the name alone, which ``tokens`` drops.  The brace must
-    # follow on the line, as ``eval(x)`` and a block on the next are a call
-    rf"(?<![\w$.])[A-Za-z_$][\w$]*+(?=\s*+\({js_arguments()}\)[ \t]*+\{{)",
-    _head(_JS_BLANK),
-]) + ")"
-
-RUBY_STRINGS = "(?m)" + "|".join([
-    r"^=begin[\s\S]*?(?:^=end|\z)",
-    r"#(?!\{)[^\n]*+",
-    r"<<[~-]?(['\"]?)([A-Z]\w*+)\1[^\n]*+\n[\s\S]*?(?:^[ \t]*+\2\b|\z)",
-    r'"(?:[^"\\]++|\\[\s\S])*+"?+',
-    r"'(?:[^'\\]++|\\[\s\S])*+'?+",
-])
+from pkgsift.functions import scan_js, scan_python, scan_ruby
+from pkgsift.session import bound_arrow_batches, ship_package
 
 # ---------------------------------------------------------------------------
+# The evidence patterns, as the reference has them, and the module that a
+# call without one may name in its own text.
+URL_PATTERN = re.compile(r"(https?://|\burl\b)", re.I)
+B64_PATTERN = re.compile(r"\b[A-Za-z0-9+/]{24,}={0,2}\b")
+PROCESS_MODULE = re.compile("child_process", re.I | re.A)
 # Bare heads that are statements or keywords, not calls.
 PYTHON_KEYWORDS = ["and", "as", "assert", "async", "await", "del", "elif", "else", "except",
                    "for", "from", "global", "if", "import", "in", "is", "lambda", "nonlocal",
@@ -93,51 +38,119 @@ JS_KEYWORDS = ["if", "for", "while", "switch", "catch", "function", "return", "t
                "import", "super", "with", "await", "void", "in", "of", "instanceof", "do",
                "else", "case", "throw", "yield", "delete", "new"]
 # ---------------------------------------------------------------------------
-# Whole texts by default: 0 means no cap.  A positive value keeps only the
+# Whole texts by default: 0 means no cap.  A positive value reads only the
 # first ``max_tokens`` tokens, an opt-in stand-in for the reference's parse
 # budget (tokens are not tree nodes, so it is never an exact match).
 DEFAULT_MAX_TOKENS = 0
 
+_COUNTS = [T.StructField("urls", T.LongType()), T.StructField("b64", T.LongType())]
+_CALL = T.StructType([T.StructField("base", T.StringType()), T.StructField("func", T.StringType())])
+JS_SCAN = T.StructType([
+    T.StructField("calls", T.ArrayType(T.StructType([*_CALL.fields, T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()),
+                                                     T.StructField("mentions", T.BooleanType())]))),
+    T.StructField("broken", T.BooleanType()), *_COUNTS])
+PYTHON_SCAN = T.StructType([T.StructField("imports", T.ArrayType(T.StringType())), T.StructField("calls", T.ArrayType(_CALL)), *_COUNTS])
+RUBY_SCAN = T.StructType(_COUNTS)
+
+
+def holding(spans: Iterable[tuple[int, int]], places: list[tuple[int, int]]) -> list[bool]:
+    """Whether each span holds one of the ``places`` (ascending, apart from each other) whole."""
+    starts = [a for a, _ in places]
+
+    def holds(low: int, high: int) -> bool:
+        k = bisect_left(starts, low)
+        return k < len(places) and places[k][1] <= high
+
+    return [holds(low, high) for low, high in spans] if places else [False] * len(list(spans))
+
+
+def _places(pattern: re.Pattern[str], text: str) -> list[tuple[int, int]]:
+    return [m.span() for m in pattern.finditer(text)]
+
+
+def _lists(rows: list[list[tuple]], kind: T.StructType) -> pa.Array:
+    """One list of structs per row, from tuples in the order of the struct's fields."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    offsets = [0]
+    for row in rows:
+        offsets.append(offsets[-1] + len(row))
+    columns = list(zip(*(x for row in rows for x in row))) or [()] * len(kind.fields)
+    fields = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, kind.fields)]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(fields, [f.name for f in kind.fields]))
+
+
+def _counts(scan, text: str) -> tuple[int, int]:
+    """Literals that hold a URL, and literals that hold a base64 run."""
+    return tuple(sum(holding(scan.literals, _places(p, text))) for p in (URL_PATTERN, B64_PATTERN))
+
+
+def _struct(kind: T.StructType, columns: list[pa.Array]) -> pa.Array:
+    return pa.StructArray.from_arrays(columns, [f.name for f in kind.fields])
+
+
+def _count_arrays(found: list[tuple[int, int]]) -> list[pa.Array]:
+    return [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)]
+
+
+@lru_cache(maxsize=None)
+def _js(limit: int) -> Callable[..., Column]:
+    def scan(texts: pa.Array, typed: pa.Array) -> pa.Array:
+        calls, broken, counts = [], [], []
+        for text, ts in zip(texts, typed):
+            text = text.as_py() or ""
+            s = scan_js.Scan(text, bool(ts.as_py()), limit)
+            spans = [c[3:5] for c in s.calls]
+            calls.append([(base, func, a, b, own) for (_, base, func, a, b), own in zip(s.calls, holding(spans, _places(PROCESS_MODULE, text)))])
+            broken.append(s.broken)
+            counts.append(_counts(s, text))
+        return _struct(JS_SCAN, [_lists(calls, JS_SCAN["calls"].dataType.elementType), pa.array(broken, pa.bool_()), *_count_arrays(counts)])
+
+    return F.arrow_udf(scan, JS_SCAN)
+
+
+@lru_cache(maxsize=None)
+def _python(limit: int) -> Callable[..., Column]:
+    def scan(texts: pa.Array) -> pa.Array:
+        imports, calls, counts = [], [], []
+        for text in texts:
+            text = text.as_py() or ""
+            s = scan_python.Scan(text, limit)
+            imports.append(s.imports)
+            calls.append([c[1:] for c in s.calls])
+            counts.append(_counts(s, text))
+        return _struct(PYTHON_SCAN, [pa.array(imports, pa.list_(pa.string())), _lists(calls, _CALL), *_count_arrays(counts)])
+
+    return F.arrow_udf(scan, PYTHON_SCAN)
+
+
+@lru_cache(maxsize=None)
+def _ruby(limit: int) -> Callable[..., Column]:
+    def scan(texts: pa.Array) -> pa.Array:
+        return _struct(RUBY_SCAN, _count_arrays([_counts(scan_ruby.Scan(t, limit), t) for t in (x.as_py() or "" for x in texts)]))
 
-def tokens(text: Column, pattern: str, max_tokens: int = DEFAULT_MAX_TOKENS) -> Column:
-    """Ordered token stream of the whole text; ``max_tokens`` > 0 caps it (G27, opt-in)."""
-    toks = F.filter(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-                    lambda t: ~t.rlike(r"^[A-Za-z_$.]") | t.endswith("(")
-                    | t.rlike(r"^(?:from|import|def|class)[\s\\]"))
-    return F.slice(toks, 1, max_tokens) if max_tokens and max_tokens > 0 else toks
+    return F.arrow_udf(scan, RUBY_SCAN)
 
 
-def string_literals(toks: Column) -> Column:
-    """Tokens that are string literals (start with a quote, backtick or heredoc)."""
-    return F.filter(toks, lambda t: F.substring(t, 1, 1).isin('"', "'", "`")
-                    | t.startswith("<<"))
+def js_scan(text: Column, typed: Column, max_tokens: int = DEFAULT_MAX_TOKENS) -> Column:
+    """calls (base, func, start, stop, mentions), broken, urls, b64 of JavaScript, or of TypeScript where ``typed``.
 
+    ``start`` and ``stop`` bound the whole call, what it is chained to included, in
+    characters; ``mentions`` says that this text names child_process.  A null text is empty."""
+    return _js(max_tokens)(text, typed)
 
-def call_heads(toks: Column) -> Column:
-    """Call heads without blanks, '(' and '?': ``a.b.c``, ``.f``, ``g``."""
-    # 'new X(' and 'function f(' were matched only to hide their names
-    heads = F.filter(toks, lambda t: t.endswith("(") & ~t.rlike(r"^(?:new\s|function[\s*])"))
-    return F.transform(heads, lambda t: F.regexp_replace(t, r"[\s(?\\]", ""))
 
+def python_scan(text: Column, max_tokens: int = DEFAULT_MAX_TOKENS) -> Column:
+    """imports (statements), calls (base, func), urls, b64 of Python.  A null text is empty."""
+    return _python(max_tokens)(text)
 
-def split_head(head: Column, keywords) -> Column:
-    """Call head → struct(base, func, member).
 
-    ``base`` is the leftmost identifier ("" when the head starts with '.',
-    i.e. the object was a call or subscript result); ``func`` is the last name.
-    Bare keyword heads become null and are filtered by the callers.
-    """
-    dotted = head.startswith(".")
-    parts = F.split(F.regexp_replace(head, r"^\.", ""), r"\.")
-    n = F.size(parts)
-    base = F.when(dotted, F.lit("")).when(n > 1, parts[0]).otherwise(F.lit(""))
-    func = F.element_at(parts, -1)
-    is_kw = (~dotted) & (n == 1) & func.isin(keywords)
-    return F.when(is_kw, F.lit(None)).otherwise(
-        F.struct(base.alias("base"), func.alias("func"), (dotted | (n > 1)).alias("member")))
+def ruby_scan(text: Column, max_tokens: int = DEFAULT_MAX_TOKENS) -> Column:
+    """urls and b64 of Ruby.  A null text is empty."""
+    return _ruby(max_tokens)(text)
 
 
-def calls(toks: Column, keywords) -> Column:
-    """array<struct<base, func, member>> of every call in token order."""
-    parsed = F.transform(call_heads(toks), lambda h: split_head(h, keywords))
-    return F.filter(parsed, lambda c: c.isNotNull())
+def ready(df: DataFrame) -> None:
+    """Before a scan: the workers have this package, and batches of whole files stay small."""
+    ship_package(df.sparkSession)
+    bound_arrow_batches(df.sparkSession)

@@ -39,18 +39,15 @@ def imports_from_tokens(toks: Column, from_imports: bool = True) -> Column:
 
 @cached_columns
 def _py_stages(text_col: str, from_imports: bool, literal_weight: int, max_tokens: int):
-    toks = F.col("_toks")
-    lits = LX.string_literals(toks)
-    calls = F.transform(LX.calls(toks, LX.PYTHON_KEYWORDS),
-                        lambda c: F.struct(c["base"].alias("mod"), c["func"].alias("func")))
+    scan = F.col("_scan")
+    calls = F.transform(scan["calls"], lambda c: F.struct(c["base"].alias("mod"), c["func"].alias("func")))
     return [
-        {"_toks": LX.tokens(F.col(text_col), LX.PYTHON_TOKENS, max_tokens)},
-        {"imports": imports_from_tokens(toks, from_imports), "calls": calls,
-         "url_count": EV.literal_url_count(lits, literal_weight),
-         "b64_count": EV.literal_b64_count(lits, literal_weight)},
+        {"_scan": LX.python_scan(F.col(text_col), max_tokens)},
+        {"imports": imports_from_tokens(scan["imports"], from_imports), "calls": calls,
+         "url_count": scan["urls"] * F.lit(literal_weight), "b64_count": scan["b64"] * F.lit(literal_weight)},
         # Any function named eval or exec, whatever its object
         {"has_eval_exec": F.exists("calls", lambda c: c["func"].isin("eval", "exec"))},
-    ], ["_toks"]
+    ], ["_scan"]
 
 
 def python_features(df: DataFrame, text_col: str = "text", from_imports: bool = True,
@@ -58,8 +55,9 @@ def python_features(df: DataFrame, text_col: str = "text", from_imports: bool =
     """Add feature columns for Python source in ``text_col``.
 
     imports array<string>, calls array<struct<mod,func>>, has_eval_exec,
-    url_count, b64_count.  The token stream is computed once per row.
+    url_count, b64_count.  Each text is scanned once.
     """
+    LX.ready(df)
     stages, drop = _py_stages(text_col, from_imports, literal_weight, max_tokens)
     return apply_stages(df, stages, drop)
 

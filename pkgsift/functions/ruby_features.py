@@ -45,19 +45,19 @@ def cues(text: Column) -> Column:
 @cached_columns
 def _rb_stages(text_col: str, literal_weight: int, max_tokens: int):
     text = F.col(text_col)
-    lits = F.col("_lits")
+    scan = F.col("_scan")
     return [
-        {"_lits": LX.string_literals(LX.tokens(text, LX.RUBY_STRINGS, max_tokens))},
+        {"_scan": LX.ruby_scan(text, max_tokens)},
         {"requires": requires(text), "calls": cues(text),
          "has_eval_exec": F.lower(text).rlike(EVAL_PATTERN),
-         "url_count": EV.literal_url_count(lits, literal_weight),
-         "b64_count": EV.literal_b64_count(lits, literal_weight)},
-    ], ["_lits"]
+         "url_count": scan["urls"] * F.lit(literal_weight), "b64_count": scan["b64"] * F.lit(literal_weight)},
+    ], ["_scan"]
 
 
 def ruby_features(df: DataFrame, text_col: str = "text", literal_weight: int = 1,
                   max_tokens: int = LX.DEFAULT_MAX_TOKENS) -> DataFrame:
     """Add requires, calls (cues), has_eval_exec, url_count, b64_count."""
+    LX.ready(df)
     stages, drop = _rb_stages(text_col, literal_weight, max_tokens)
     return apply_stages(df, stages, drop)
 

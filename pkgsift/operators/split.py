@@ -179,6 +179,50 @@ def group_split(df: DataFrame, group_col: str = "package", label_col: str = "lab
     return df.join(g_split.select(group_col, "split"), group_col).select(*df.columns, "split")
 
 
+def leakage_free_split(df: DataFrame, group_col: str = "package", shared: tuple[str, ...] = ("textual_description",),
+                       label_col: str = "label", val_size: float = 0.10, test_size: float = 0.10, seed: int = 42) -> DataFrame:
+    """Q19 option: add ``split`` so that no ``group_col`` value and no value of the
+    ``shared`` columns stands on two sides.
+
+    Rows linked through either, transitively, are one unit.  A unit's label is the
+    largest of its rows'; per label the sizes of the exact stratified rule
+    (``class_quotas``) are wanted, in rows.  Units larger than a quarter of the smaller
+    quota go to train.  Of the others, in an order that ``seed`` shuffles, the
+    first ones that fit make up test, the next ones validation, and units of one
+    row fill what is missing of either.  So sizes are exact as long as there are
+    such units, and short by less than a quarter of the smaller quota otherwise.
+    Rows without a group are units of their own with the rows they share a value with.
+    """
+    from pkgsift.operators.group_components import linked_groups
+    from pkgsift.operators.prefix_sums import md5_order, running_total
+
+    own = F.md5(F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in df.columns]))
+    df = _stored(df.withColumn("_node", F.coalesce(F.concat(F.lit("g"), F.col(group_col).cast("string")), F.concat(F.lit("r"), own))), "split-input")
+    groups = linked_groups(df, "_node", list(shared))
+    rows = _stored(df.join(groups, "_node").drop("_node"), "split-grouped")
+    units = _stored(rows.groupBy("group").agg(F.count("*").alias("n"), F.max(label_col).alias("label"))
+                    .withColumn("order", md5_order(seed, F.col("group"))), "split-units")
+    quotas = class_quotas(units, val_size=val_size, test_size=test_size, counts=units.groupBy("label").agg(F.sum("n").alias("n_c")))
+    wanted = _stored(quotas.select(F.col("label").alias("_l"), F.col("n_test_c").alias("t"), F.col("n_val_c").alias("v"), "_chk"), "split-quotas")
+    same = F.col("label").eqNullSafe(F.col("_l"))
+    small = units.join(wanted, same).where(F.col("n") * 4 <= F.greatest(F.least(F.when(F.col("t") > 0, F.col("t")), F.when(F.col("v") > 0, F.col("v"))), F.lit(4)))
+    # test: the units that end within its quota; validation: the next ones within its own
+    first = running_total(small.select("group", "n", "label", "order", "t", "v"), ["label"], "order", F.col("n"), "before", ["group"])
+    first = _stored(first.withColumn("in_test", F.col("before") + F.col("n") <= F.col("t")), "split-first")
+    used = first.groupBy(F.col("label").alias("_ul")).agg(F.coalesce(F.sum(F.when(F.col("in_test"), F.col("n"))), F.lit(0)).alias("ut"))
+    second = first.join(used, F.col("label").eqNullSafe(F.col("_ul"))).drop("_ul").withColumn(
+        "in_val", ~F.col("in_test") & (F.col("before") - F.col("ut") + F.col("n") <= F.col("v")))
+    second = _stored(second, "split-second")
+    filled = second.groupBy(F.col("label").alias("_ul")).agg(F.coalesce(F.sum(F.when(F.col("in_val"), F.col("n"))), F.lit(0)).alias("uv"))
+    single = ~F.col("in_test") & ~F.col("in_val") & (F.col("n") == 1)
+    last = running_total(second.join(filled, F.col("label").eqNullSafe(F.col("_ul"))).drop("_ul"), ["label"], "order", single.cast("int"), "place", ["group"])
+    left_test, left_val = F.col("t") - F.col("ut"), F.col("v") - F.col("uv")
+    split = (F.when(F.col("in_test"), "test").when(F.col("in_val"), "validation")
+             .when(single & (F.col("place") < left_test), "test").when(single & (F.col("place") < left_test + left_val), "validation"))
+    placed = last.select("group", split.alias("split")).where("split is not null")
+    return rows.join(placed, "group", "left").select(*[c for c in df.columns if c != "_node"], F.coalesce("split", F.lit("train")).alias("split"))
+
+
 def merge_registries(**frames: DataFrame) -> DataFrame:
     """union of per-registry (textual_description, label, ...) frames + ``ecosystem``."""
     out = None

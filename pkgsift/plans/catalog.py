@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pkgsift.functions import tags as T
 from pkgsift.operators import labels as L
+from pkgsift.plans import snippet_queries, training_queries
 from pkgsift.sources import fixtures as FX
 from pkgsift.sources.review_csv import resolve_review_columns
 
@@ -33,11 +34,11 @@ def register(name: str, oracle: str | None = None):
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | snippet_queries.QUERIES | training_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _ORACLES | snippet_queries.ORACLES | training_queries.oracles(_ORACLES)
 
 
 def _sql_list(values) -> str:
@@ -390,7 +391,7 @@ def _sql_js_features(src="files", text="content", keep=("doc_id",), max_bytes=JS
     heads = (f"list_transform(list_filter({O.heads('toks')}, lambda h: NOT {O.head_is_keyword('h', LX.JS_KEYWORDS)}), "
              f"lambda h: {{'base': {O.head_base('h')}, 'func': {O.head_func('h')}, 'member': {O.head_member('h')}}})")
     step1 = ("list_transform(raw, lambda c: {'mod0': CASE WHEN c.member AND c.base <> '' AND c.base NOT IN "
-             f"{O.in_list(JS.NON_IDENTIFIER_BASES)} THEN coalesce(list_filter(aliases, lambda e: e.k = c.base)[-1].mod, c.base) "
+             f"{O.in_list(['this', 'super'])} THEN coalesce(list_filter(aliases, lambda e: e.k = c.base)[-1].mod, c.base) "
              "ELSE '' END, 'func': c.func})")
     step2 = ("list_transform(step1, lambda c: CASE WHEN c.mod0 = '' AND list_filter(names, lambda e: e.k = c.func)[-1] IS NOT NULL "
              "THEN {'mod': list_filter(names, lambda e: e.k = c.func)[-1].mod, 'func': list_filter(names, lambda e: e.k = c.func)[-1].fn} "

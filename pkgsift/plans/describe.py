@@ -62,7 +62,7 @@ def npm_file_features(files: DataFrame, k: int | None = None, include_tests: boo
 
     def extract(rows):
         text = FL.js_candidates(rows, include_tests).withColumn("text", EV.decode_text(F.col("content")))
-        return JS.js_features(text, "text", "size", max_file_bytes, max_tokens, extended=extended).drop("content", "text", "calls")
+        return JS.js_features(text, "text", "size", max_file_bytes, max_tokens, extended=extended, path_col="rel_path").drop("content", "text", "calls")
 
     return _features(files, choose, extract, read)
 

@@ -10,6 +10,7 @@ import atexit
 import hashlib
 import io
 import os
+import re
 import shutil
 import tempfile
 import zipfile
@@ -85,6 +86,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
+def bound_arrow_batches(spark: SparkSession, records: int = 1000, size: int = 64 << 20) -> None:
+    """Keep Arrow batches of whole files small, unless the session asks for smaller ones."""
+    for key, own in (("spark.sql.execution.arrow.maxRecordsPerBatch", records), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        held = re.fullmatch(r"(\d+)b?", spark.conf.get(key))
+        if held and int(held.group(1)) > own:
+            spark.conf.set(key, str(own))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once per application.
 

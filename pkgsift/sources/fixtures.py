@@ -199,6 +199,34 @@ def archives(spark: SparkSession, sf_dir: str, ecosystem: str) -> DataFrame:
             .applyInPandas(build, "package string, version string, path string, bytes binary"))
 
 
+def damaged_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The PyPI ``archives``, damaged: in 1.0 the second member's header is no header
+    any more, 1.1 has lost its directory, and 1.2 ends in the middle of its last member."""
+    import pandas as pd
+
+    def damage(batches):
+        import gzip
+        import io
+        import tarfile
+
+        for pdf in batches:
+            out = []
+            for version, data in zip(pdf["version"], pdf["bytes"]):
+                if version == "1.1":
+                    out.append(data[:data.index(b"PK\x01\x02")])
+                    continue
+                raw = bytearray(gzip.decompress(data))
+                members = tarfile.open(fileobj=io.BytesIO(bytes(raw))).getmembers()
+                if version == "1.0" and len(members) > 1:
+                    raw[members[1].offset + 148] = ord("x")  # the checksum field
+                if version == "1.2":
+                    raw = raw[:members[-1].offset_data + members[-1].size // 2] if members[-1].size > 1 else raw
+                out.append(gzip.compress(bytes(raw)))
+            yield pdf.assign(bytes=pd.Series(out, index=pdf.index, dtype=object))
+
+    return archives(spark, sf_dir, "pypi").mapInPandas(damage, "package string, version string, path string, bytes binary")
+
+
 def package_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One review row per ``labels`` row: name, version, threat_type."""
     lab = spark.read.parquet(f"{sf_dir}/labels.parquet")

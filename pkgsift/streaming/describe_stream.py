@@ -29,7 +29,7 @@ JS_SUFFIX = r"\.(js|ts)$"
 def file_features(files: DataFrame, ecosystem: str) -> DataFrame:
     """Stateless per-file features for one registry (batch or streaming input)."""
     if ecosystem == "npm":
-        f = JS.js_features(files.where(F.col("path").rlike(JS_SUFFIX)), "content", "size")
+        f = JS.js_features(files.where(F.col("path").rlike(JS_SUFFIX)), "content", "size", path_col="path")
         cols = ["imports", "has_eval_exec", "calls_os", "calls_proc", "url_count", "b64_count", "light"]
     elif ecosystem == "pypi":
         f = PY.python_features(files.where(F.col("path").endswith(".py")), "content")

@@ -60,10 +60,15 @@ def test_results_independent_of_partitioning(spark):
     assert base == shuffled
 
 
-def test_describe_plans_have_no_python_nodes(spark):
-    for name in ("npm_sentences", "python_sentences", "ruby_sentences", "label_packages", "loss_mask"):
+def test_python_nodes_of_plans(spark):
+    """Labels and masks run in the JVM alone; sentences scan texts in Arrow batches, once per file read, and do nothing else in Python."""
+    for name in ("label_packages", "loss_mask"):
         plan = C.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "ArrowEval" not in plan and "MapInPandas" not in plan, name
+    for name, inputs in (("npm_sentences", 3), ("python_sentences", 1), ("ruby_sentences", 1)):  # the npm files are a union of three tables
+        plan = C.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == inputs, name
+        assert "BatchEvalPython" not in plan and "MapInPandas" not in plan and "MapInArrow" not in plan, name
 
 
 def test_topk_count_bounded(spark):
