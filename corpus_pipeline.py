@@ -13,17 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pkgsift.llm import bpe, mixing, ngram_join, quality_rules, toxicity
-from pkgsift.llm.common import read, table
+from pkgsift.llm.common import read, table, tidy
 from pkgsift.llm.queries import vocabulary
 from pkgsift.session import ship_package
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rules are learned from the labels of the documents that are still there."""
+    tidy(spark)
     return quality_rules.keep_good(docs, quality_rules.learn(docs, read(spark, sf_dir, "labels")))
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tidy(spark)
     ship_package(spark)
     return toxicity.keep_clean(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
 
@@ -32,6 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """The document of least id of each component stays, once if its row is
     repeated; documents without words and rows without an id stay as they are.
     Where an id names several texts, each text is judged by its own component."""
+    tidy(spark)
     ship_package(spark)
     found = table(ngram_join.ngram_components(docs, n=5, percent=80, with_keys=True), "components")
     repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
@@ -53,10 +56,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tidy(spark)
     return mixing.mix(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tidy(spark)
     ship_package(spark)
     return bpe.encode_documents(docs, vocabulary(), keep_ids=False)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
 import pyarrow.fs
@@ -42,6 +44,20 @@ def table(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let go of what finished work held on the driver.
+
+    Spark drops broadcasts and shuffles that nothing refers to only after a
+    collection in the JVM, and Python's allocator keeps freed memory until it is trimmed."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
+
+
 def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """The file system behind a folder URI (local path, file:, hdfs:, s3:, …)."""
     if "://" not in uri and not uri.startswith("file:"):

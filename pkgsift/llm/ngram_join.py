@@ -41,7 +41,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pkgsift.llm.common import bounded_batches, table
+from pkgsift.llm.common import bounded_batches, table, tidy
 from pkgsift.llm.components import connected_components
 
 #: Sets a token must be in to count as frequent, and the most tokens listed.
@@ -469,9 +469,13 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                   .agg(F.min("first_u").alias("u")), "pairs")
     wanted = star.select(F.col("first").alias("s")).union(star.select("s"))
     shared.destroy()  # written tables stand for what it was needed for
+    del shared
+    tidy(docs.sparkSession)
     marked = send(_marked_classes(wanted))
     sets = table(set_table(texts, marked, n, percent), "sets")
     marked.destroy()
+    del marked
+    tidy(docs.sparkSession)
 
     # round 1: every set with the least head of its groups; round 2: the other heads
     # that the verified stars leave apart; round 3: other pairs across components, by their differences

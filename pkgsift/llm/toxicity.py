@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pkgsift.llm.common import bounded_batches
+from pkgsift.llm.common import bounded_batches, tidy
 
 #: Labelled documents that learning reads at most: toxic ones, and others.
 MAX_TOXIC, MAX_CLEAN = 1000, 3000
@@ -368,7 +368,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             seen.add(d)
             texts.append(t or b"")
             ys.append(y)
-    return fit(texts, ys)
+    del rows
+    model = fit(texts, ys)
+    del texts
+    tidy(docs.sparkSession)
+    return model
 
 
 def spans(model: SpanModel, text: bytes, odds: np.ndarray) -> list[tuple[int, int]]:
