@@ -195,7 +195,42 @@ QUALIFY rank <= 10
 """
 
 
+#: Sets of shingles compared by counting the shingles they share; components by following links.
+_NGRAMS = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                          ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS sh FROM w),
+k AS (SELECT doc_id, len(sh) AS n, CASE WHEN len(sh) > 0 THEN md5(array_to_string(list_sort(sh), chr(10))) END AS key, sh FROM s),
+c AS (SELECT key, any_value(sh) AS sh, any_value(n) AS n, min(doc_id) AS least FROM k WHERE key IS NOT NULL GROUP BY key),
+t AS (SELECT key, n, unnest(sh) AS t FROM c),
+p AS (SELECT a.key AS x, b.key AS y FROM t a JOIN t b ON a.t = b.t AND a.key < b.key GROUP BY a.key, b.key, a.n, b.n
+      HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+e AS (SELECT x AS u, y AS v FROM p UNION ALL SELECT y, x FROM p),
+r AS (SELECT key AS u, key AS v FROM c UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u),
+g AS (SELECT r.u AS key, min(c.least) AS component FROM r JOIN c ON r.v = c.key GROUP BY r.u)
+SELECT doc_id, n AS n_shingles, coalesce(component, doc_id) AS component_id FROM k LEFT JOIN g USING (key)
+"""
+
+#: Cosines of all pairs of equal label in double precision.
+_EMBEDDINGS = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x)) > 0),
+p AS (SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id AS u, vec_id AS v FROM v UNION SELECT r.u, p.v FROM r JOIN p ON r.v = p.u),
+g AS (SELECT u AS vec_id, min(v) AS component FROM r GROUP BY u),
+n AS (SELECT u AS vec_id, count(*) AS n FROM p GROUP BY u)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, coalesce(component, e.vec_id) AS component_id, coalesce(component, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN g USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     from pkgsift.llm import mixing
 
-    return {"op4_mixing": mixing.ORACLE, "op5_chat_format": _CHAT, "op7_warc": _WARC, "op11_hard_negatives": _HARD_NEGATIVES}
+    return {"op1_ngram_join": _NGRAMS, "op8_embedding_join": _EMBEDDINGS, "op4_mixing": mixing.ORACLE, "op5_chat_format": _CHAT, "op7_warc": _WARC, "op11_hard_negatives": _HARD_NEGATIVES}
