@@ -3,7 +3,7 @@ record-aligned CSV, generation, saved detectors, the metrics document (R2-R4, E7
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pkgsift.functions import prompts as PR
@@ -167,11 +167,12 @@ def label_table_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     # files are named in the order of their partitions, rows stand in the files' order
     lines = CR.records(spark, f"{out}/labels_version").select("file", "block", "seq", F.from_csv("record", "package string, version string, label string", CR.CSV_OPTIONS).alias("r"))
     rows = lines.select("file", "block", "seq", "r.*").where("label <> 'label'")
-    from pkgsift.operators.prefix_sums import running_total
-
-    # an order of its own: file, place in it
-    placed = running_total(rows.withColumn("at", F.format_string("%s|%020d|%020d", "file", "block", "seq")).withColumn("o", F.lit("0")), [], "o", F.lit(1), "rank", ["at"])
-    return placed.select("package", "version", F.col("label").cast("int").alias("label"), F.col("rank").cast("long").alias("rank"))
+    # a file is what one task wrote: places inside files, and one row per file for the rows before it
+    before = Window.orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)
+    first = rows.groupBy(F.col("file").alias("_f")).agg(F.count("*").alias("n")).withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    own = F.row_number().over(Window.partitionBy("file").orderBy("block", "seq")) - 1
+    return (rows.withColumn("own", own).join(first, F.col("file") == F.col("_f"))
+            .select("package", "version", F.col("label").cast("int").alias("label"), (F.col("off") + F.col("own")).cast("long").alias("rank")))
 
 
 def archive_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
