@@ -18,6 +18,10 @@ from pkgsift.llm.queries import vocabulary
 from pkgsift.session import ship_package
 
 
+#: Words whose ids a worker keeps: workers serve all stages, so this one's share is small.
+CACHE_WORDS = 120_000
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rules are learned from the labels of the documents that are still there."""
     tidy(spark)
@@ -63,7 +67,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tidy(spark)
     ship_package(spark)
-    return bpe.encode_documents(docs, vocabulary(), keep_ids=False)
+    return bpe.encode_documents(docs, vocabulary(), keep_ids=False, cache_words=CACHE_WORDS)
 
 
 STAGES = [

@@ -36,9 +36,10 @@ CACHED_LENGTH = 64
 class BoundaryBPE:
     """Encoder and decoder for one vocabulary file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
+        self.cache_words = cache_words
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -140,7 +141,7 @@ class BoundaryBPE:
                     ids = self.encode_piece("".join(self._byte[b] for b in w.encode())) if plain else self.encode_word(w)
                     out[k] = np.array(ids, "<u4").tobytes()
                     if len(w) <= CACHED_LENGTH:
-                        if len(known) >= CACHE_WORDS:
+                        if len(known) >= self.cache_words:
                             known.clear()
                         known[w] = out[k]
         return np.frombuffer(b"".join(out), "<u4")
@@ -151,18 +152,19 @@ class BoundaryBPE:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> BoundaryBPE:
-    return BoundaryBPE(path)
+def encoder(path: str, cache_words: int = CACHE_WORDS) -> BoundaryBPE:
+    return BoundaryBPE(path, cache_words)
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-                     keep_ids: bool = True) -> DataFrame:
+                     keep_ids: bool = True, cache_words: int = CACHE_WORDS) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 [, ids array<int>, decoded string].
 
     One row per input row, repeated rows included; a null or empty text, or one
     of white space only, has no ids and an empty decoded text.  Texts of any
     length are encoded whole.  Other columns are ignored.  An empty table gives
-    no rows.  ``path`` must be readable on every executor.
+    no rows.  ``path`` must be readable on every executor.  A worker keeps the ids of
+    ``cache_words`` words; fewer take less memory and more time.
     """
     bounded_batches(docs.sparkSession)
     kind = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -170,7 +172,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         kind += ", ids array<int>, decoded string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
+        bpe = encoder(path, cache_words)
         for batch in batches:
             ids = [bpe.encode((x.as_py() or b"").decode("utf-8", "replace")) for x in batch.column(1)]
             decoded = [bpe.decode(i.tolist()) for i in ids]

@@ -39,7 +39,7 @@ FIT_TOKENS = 200_000
 MIN_ODDS = 20.0
 #: Word sets of a Jaccard of at least so many fifths are near copies.
 NEAR_FIFTHS = 4
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
