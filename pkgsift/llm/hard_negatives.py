@@ -43,7 +43,8 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> list[bytes]:
     bits per dimension), as byte strings in the curve's order.
 
     Each dimension's bits are turned from Gray code cell by cell, highest bit
-    first, and then interleaved.
+    first, and then interleaved (the published method of J. Skilling, 2004, for all
+    rows at once).
     """
     x = cells.astype(np.int64).T.copy()
     n = len(x)

@@ -30,7 +30,10 @@ _SPACE = r"[\x20\x09-\x0D]+"
 
 
 def _repeated(words: Column) -> Column:
-    """Words that stand in a window of three words found twice or more in the text."""
+    """Words that stand in a window of three words found twice or more in the text.
+
+    Windows are compared by 64-bit hashes: two different ones of a text of n words
+    are taken for equal with a probability of about n^2 / 2^65."""
     windows = F.when(F.size(words) >= 3, F.transform(F.sequence(F.lit(0), F.size(words) - 3),
                                                     lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))))
 
