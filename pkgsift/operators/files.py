@@ -92,15 +92,17 @@ def python_tier(package: Column, version: Column, rel_path: Column,
             .when(~deny, 4).otherwise(5))
 
 
-def _pick_min(files: DataFrame, tier: Column) -> DataFrame:
+def _pick_min(files: DataFrame, tier: Column, among: Column | None = None, notes: tuple[Column, ...] = ()) -> DataFrame:
     """Per version, the row of least (tier, rel_path) with its other columns, in
     one aggregate.  ``content`` is dropped: features come before the choice, or
-    the chosen paths are read after it."""
+    the chosen paths are read after it.  Only rows ``among`` can be chosen (nulls
+    stand where there are none); ``notes`` are further aggregates of all rows."""
     files = files.drop("content")
     rest = [c for c in files.columns if c not in ("package", "version", "rel_path", "tier")]
-    best = F.min(F.struct(tier.alias("tier"), F.col("rel_path"), *rest))
-    return (files.groupBy("package", "version").agg(best.alias("_b"))
-            .select("package", "version", "_b.rel_path", "_b.tier", *(F.col(f"_b.{c}").alias(c) for c in rest)))
+    row = F.struct(tier.alias("tier"), F.col("rel_path"), *rest)
+    best = F.min(row if among is None else F.when(among, row))
+    chosen = files.groupBy("package", "version").agg(best.alias("_b"), *notes)
+    return chosen.select("package", "version", "_b.rel_path", "_b.tier", *(F.col(f"_b.{c}").alias(c) for c in rest), *chosen.columns[3:])
 
 
 def representative_python(files: DataFrame) -> DataFrame:
@@ -118,10 +120,23 @@ def ruby_tier(rel_path: Column) -> Column:
             .otherwise(3))
 
 
+def _is_ruby() -> Column:
+    return F.col("rel_path").endswith(".gemspec") | F.col("rel_path").endswith(".rb")
+
+
 def ruby_candidates(files: DataFrame) -> DataFrame:
-    return files.where(F.col("rel_path").endswith(".gemspec") | F.col("rel_path").endswith(".rb"))
+    return files.where(_is_ruby())
 
 
 def representative_ruby(files: DataFrame) -> DataFrame:
     """One Ruby file per version → (package, version, rel_path, tier, …)."""
     return _pick_min(ruby_candidates(files), ruby_tier(F.col("rel_path")))
+
+
+def representative_members(members: DataFrame) -> DataFrame:
+    """E3 on the member rows of opened archives, marker and error rows included:
+    the same row per version (null without a Ruby file), ``opened`` if its
+    archives were read to their ends, ``broken`` if one could not be read."""
+    found = F.col("error").isNull() & F.col("rel_path").isNotNull()
+    notes = (F.bool_or(F.col("error").isNull() & F.col("rel_path").isNull()).alias("opened"), F.bool_or(F.col("error").isNotNull()).alias("broken"))
+    return _pick_min(members.where(~found | _is_ruby()), ruby_tier(F.col("rel_path")), found, notes)

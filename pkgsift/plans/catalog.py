@@ -1050,19 +1050,21 @@ def archive_members(spark, sf_dir):
     return found.select("package", "version", "member", "size", F.md5("content").alias("digest"))
 
 
-def _expand_fixture(spark, sf_dir, ecosystem, suffixes):
-    packed = FX.archives(spark, sf_dir, ecosystem)
+def _packed(spark, sf_dir, ecosystem):
+    """The archives, built once and stored."""
+    return SP._stored(FX.archives(spark, sf_dir, ecosystem).withColumn("size", F.octet_length("bytes").cast("bigint")), "archives")
 
+
+def _expand_fixture(packed, suffixes):
     def expand(chosen):
-        return AR.expand_archives(packed.join(chosen, ["package", "version", "path"], "left_semi"), suffixes)
+        return AR.expand_archives(packed.drop("size").join(chosen, ["package", "version", "path"], "left_semi"), suffixes)
 
     return expand
 
 
-def _archive_listing(spark, sf_dir, ecosystem):
+def _archive_listing(packed):
     """A listing in which every version holds its archive only."""
-    return FX.archives(spark, sf_dir, ecosystem).select(
-        "package", "version", "path", F.regexp_extract("path", r"([^/]+)$", 1).alias("rel_path"), F.octet_length("bytes").cast("bigint").alias("size"))
+    return packed.select("package", "version", "path", F.regexp_extract("path", r"([^/]+)$", 1).alias("rel_path"), "size")
 
 
 _PACKED_REP = f"""packed AS (
@@ -1085,10 +1087,11 @@ SELECT v.package, v.version, {O.sentence('v.package', "v.version || '/' || p.rel
 FROM versions v JOIN py_feats p ON v.package = p.package AND v.version = p.version""")
 def pypi_archive_sentences(spark, sf_dir):
     """A10: PyPI versions that hold an archive only: its members give the sentence."""
-    listing = _archive_listing(spark, sf_dir, "pypi")
+    packed = _packed(spark, sf_dir, "pypi")
+    listing = _archive_listing(packed)
     labels = _labels(spark, sf_dir).join(listing.select("package", "version"), ["package", "version"], "left_semi")
     none = lambda rows: rows.withColumn("content", F.lit(None).cast("string"))  # noqa: E731  no loose .py file to read
-    return D.pypi_descriptions(labels, listing, read=none, expand=_expand_fixture(spark, sf_dir, "pypi", (".py",)))
+    return D.pypi_descriptions(labels, listing, read=none, expand=_expand_fixture(packed, (".py",)))
 
 
 @register("gem_sentences", f"""WITH {FX.CODE_FILES_SQL},
@@ -1101,10 +1104,11 @@ SELECT v.package, v.version, {O.sentence('v.package', "v.version || '/' || p.rel
 FROM versions v JOIN rb_feats p ON v.package = p.package AND v.version = p.version""")
 def gem_sentences(spark, sf_dir):
     """RubyGems versions that hold a .gem only: its members give the sentence."""
-    listing = _archive_listing(spark, sf_dir, "rubygems")
+    packed = _packed(spark, sf_dir, "rubygems")
+    listing = _archive_listing(packed)
     versions = _labels(spark, sf_dir).join(listing.select("package", "version"), ["package", "version"], "left_semi")
     none = lambda rows: rows.withColumn("content", F.lit(None).cast("string"))
-    return D.ruby_descriptions(versions, listing, read=none, expand=_expand_fixture(spark, sf_dir, "rubygems", (".rb", ".gemspec")))
+    return D.ruby_descriptions(versions, listing, read=none, expand=_expand_fixture(packed, (".rb", ".gemspec")))
 
 
 @register("review_csv_labels", f"""{_ROWS_SQL},

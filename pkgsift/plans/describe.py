@@ -32,6 +32,7 @@ from pkgsift.functions.colcache import cached_columns
 from pkgsift.functions.lexers import DEFAULT_MAX_TOKENS
 from pkgsift.operators import files as FL
 from pkgsift.operators import roots as RT
+from pkgsift.operators import split as SP
 from pkgsift.operators.rollup import version_rollup
 
 Read = Callable[[DataFrame], DataFrame]
@@ -212,22 +213,22 @@ def ruby_file_features(files: DataFrame, max_tokens: int = DEFAULT_MAX_TOKENS, r
     """E3 representative file per version, with its features: from the ``*.src``
     directory, else from the ``.gem`` (if it can be read), else from the version."""
     listing = files.drop("content")
-    opened = members = None
+    packed = None
     if expand is not None:
-        got = expand(gem_choice(listing))
-        broken = got.where("error is not null").select("package", "version").distinct()
-        opened = got.where("member is null and error is null").select("package", "version").distinct().join(broken, ["package", "version"], "left_anti")
-        members = (got.where("error is null and member is not null").withColumnRenamed("member", "rel_path")
-                   .join(broken, ["package", "version"], "left_anti"))
+        # archives are opened once: what the two sides below need is one narrow row per version
+        got = expand(gem_choice(listing)).withColumnRenamed("member", "rel_path")
+        text = F.when(F.col("error").isNull(), EV.decode_text(F.col("content")))
+        rows = RB.ruby_features(got.withColumn("text", text), "text", 1, max_tokens).drop("content", "text")
+        packed = SP._stored(FL.representative_members(rows).where("not broken"), "gem-features")
 
     def choose(rows):
         rows = RT.ruby_inner_root(listing, rows)
-        return FL.representative_ruby(rows if opened is None else rows.join(opened, ["package", "version"], "left_anti"))
+        return FL.representative_ruby(rows if packed is None else rows.join(packed.where("opened").select("package", "version"), ["package", "version"], "left_anti"))
 
     own = _features(files, choose, lambda rows: _rb_features(rows, max_tokens), read)
-    if members is None:
+    if packed is None:
         return own
-    packed = FL.representative_ruby(_rb_features(members, max_tokens))
+    packed = packed.where("rel_path is not null")
     cols = ["package", "version", "rel_path", "tier", "requires", "calls", "url_count", "b64_count", "has_eval_exec"]
     return own.select(*cols).unionByName(packed.select(*cols))
 
