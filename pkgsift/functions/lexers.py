@@ -82,7 +82,10 @@ def _lists(rows: list[list[tuple]], kind: T.StructType) -> pa.Array:
 
 def _counts(scan, text: str) -> tuple[int, int]:
     """Literals that hold a URL, and literals that hold a base64 run."""
-    return tuple(sum(holding(scan.literals, _places(p, text))) for p in (URL_PATTERN, B64_PATTERN))
+    if not scan.literals:
+        return 0, 0
+    urls = _places(URL_PATTERN, text) if "://" in text or "url" in text.lower() else []  # what every match holds
+    return tuple(sum(holding(scan.literals, places)) for places in (urls, _places(B64_PATTERN, text)))
 
 
 def _struct(kind: T.StructType, columns: list[pa.Array]) -> pa.Array:
@@ -101,7 +104,7 @@ def _js(limit: int) -> Callable[..., Column]:
             text = text.as_py() or ""
             s = scan_js.Scan(text, bool(ts.as_py()), limit)
             spans = [c[3:5] for c in s.calls]
-            calls.append([(base, func, a, b, own) for (_, base, func, a, b), own in zip(s.calls, holding(spans, _places(PROCESS_MODULE, text)))])
+            calls.append([(base, func, a, b, own) for (_, base, func, a, b), own in zip(s.calls, holding(spans, _places(PROCESS_MODULE, text) if spans else []))])
             broken.append(s.broken)
             counts.append(_counts(s, text))
         return _struct(JS_SCAN, [_lists(calls, JS_SCAN["calls"].dataType.elementType), pa.array(broken, pa.bool_()), *_count_arrays(counts)])

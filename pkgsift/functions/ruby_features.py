@@ -30,15 +30,17 @@ BACKTICK_PATTERN = r"(?s)`[^`]+`|%x\{.*?\}|%x\([^\)]*\)|%x\[[^\]]*\]"
 
 def requires(text: Column) -> Column:
     """Require / require_relative names, trimmed and lower-cased, sorted."""
-    found = F.regexp_extract_all(text, F.lit(REQUIRE_PATTERN), F.lit(1))
+    found = F.when(~F.contains(text, F.lit("require")), F.array().cast("array<string>")).otherwise(
+        F.regexp_extract_all(text, F.lit(REQUIRE_PATTERN), F.lit(1)))
     return F.array_sort(F.array_distinct(F.transform(found, lambda r: F.lower(strip_blanks(r)))))
 
 
 def cues(text: Column) -> Column:
     """G41 + G43: call cues in the reference's order (a backtick adds 'system')."""
     low = F.lower(text)
-    found = [F.when(low.rlike(p), F.lit(name)) for name, p in CUE_PATTERNS]
-    found.append(F.when(text.rlike(BACKTICK_PATTERN), F.lit("system")))
+    # a cue's own last word is in the text before its pattern is tried
+    found = [F.when(F.contains(low, F.lit(name.split(".")[-1])) & low.rlike(p), F.lit(name)) for name, p in CUE_PATTERNS]
+    found.append(F.when((F.contains(text, F.lit("`")) | F.contains(text, F.lit("%x"))) & text.rlike(BACKTICK_PATTERN), F.lit("system")))
     return F.filter(F.array(*found), lambda c: c.isNotNull())
 
 
@@ -49,7 +51,7 @@ def _rb_stages(text_col: str, literal_weight: int, max_tokens: int):
     return [
         {"_scan": LX.ruby_scan(text, max_tokens)},
         {"requires": requires(text), "calls": cues(text),
-         "has_eval_exec": F.lower(text).rlike(EVAL_PATTERN),
+         "has_eval_exec": F.contains(F.lower(text), F.lit("eval")) & F.lower(text).rlike(EVAL_PATTERN),
          "url_count": scan["urls"] * F.lit(literal_weight), "b64_count": scan["b64"] * F.lit(literal_weight)},
     ], ["_scan"]
 
