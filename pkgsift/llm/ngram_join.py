@@ -47,11 +47,12 @@ from pkgsift.llm.components import connected_components
 #: Sets a token must be in to count as frequent, and the most tokens listed.
 MIN_FREQUENT = 16
 MAX_FREQUENT = 1 << 18
-#: Counts that may mark a token as repeated, log2 of the marking bits and of the
-#: bits that travel in one row.
+#: Counts that may mark a token as repeated, log2 of the most marking bits and of the
+#: bits that travel in one row, and the bits there are for a marked token while they are fewer.
 BARS = (2, 3, 4, 6, 8, 12, 16, 32, 64, 256, 1024)
 MARK_BITS = 28
 RUN_BITS = 20
+BITS_EACH = 64
 #: log2 of the bits that mark class keys with a candidate partner.
 CLASS_BITS = 26
 #: Tokens a task sorts at once while counting, and tokens per counting group.
@@ -209,7 +210,8 @@ def _unpack(data: bytes) -> np.ndarray:
 class TokenOrder:
     """What tasks know of token counts: marking bits, their bar, frequent tokens."""
 
-    marks: np.ndarray  # 2 ** MARK_BITS bits
+    bits: int
+    marks: np.ndarray  # 2 ** bits bits
     bar: int
     keys: np.ndarray  # frequent token keys, ascending
     rank: np.ndarray  # their place by count, from 2
@@ -217,7 +219,7 @@ class TokenOrder:
     def ranks(self, s: np.ndarray) -> np.ndarray:
         """0 for an unmarked token, 1 for a marked one, more for a frequent one."""
         k = s >> np.uint64(64 - KEY_BITS)
-        bit = k >> np.uint64(KEY_BITS - MARK_BITS)
+        bit = k >> np.uint64(KEY_BITS - self.bits)
         out = ((self.marks[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1).astype(np.int64)
         if len(self.keys) and out.any():
             at = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
@@ -283,25 +285,26 @@ def token_order(texts: DataFrame, n: int, tokens: int) -> TokenOrder:
         if held:
             yield close(held)
 
-    width = max(groups, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(groups, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = table(texts.mapInArrow(count, "g int, keys binary, counts binary")
-                  .repartition(width, "g").sortWithinPartitions("g")
+                  .repartition(parts, "g").sortWithinPartitions("g")
                   .mapInArrow(total, "bar int, key long, n long, keys binary, counts binary"), "frequent")
     sizes = dict(found.where("bar > 0").groupBy("bar").agg(F.sum("n")).collect())  # at most len(BARS) rows
     bar = next((b for b in BARS if sizes.get(b, 0) <= 1 << (MARK_BITS - 3)), BARS[-1])
+    width = min(MARK_BITS, max(RUN_BITS, (BITS_EACH * sizes.get(bar, 0) - 1).bit_length()))  # log2 of the bits: few marks need no more
 
     def mark(batches):  # repeated keys -> runs of marking bits
         for batch in batches:
             for k, c in zip(*(batch.column(i) for i in range(2))):
                 keys, counts = _unpack(k.as_py()), np.frombuffer(c.as_py(), "<u2")
-                bits = np.unique(keys[counts >= bar] >> np.uint64(KEY_BITS - MARK_BITS)).astype(np.int64)
+                bits = np.unique(keys[counts >= bar] >> np.uint64(KEY_BITS - width)).astype(np.int64)
                 for chunk in np.unique(bits >> RUN_BITS).tolist():
                     own = bits[np.searchsorted(bits, chunk << RUN_BITS):np.searchsorted(bits, chunk + 1 << RUN_BITS)]
                     run = np.zeros(1 << RUN_BITS, np.uint8)
                     run[own & (1 << RUN_BITS) - 1] = 1
                     yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "bits": pa.array([np.packbits(run, bitorder="little").tobytes()], pa.binary())})
 
-    marks = np.zeros(1 << (MARK_BITS - 3), np.uint8)
+    marks = np.zeros(1 << (width - 3), np.uint8)
     # one row per chunk of a fixed bit array, and one more where two key ranges meet
     for r in found.where("bar = -1").select("keys", "counts").mapInArrow(mark, "chunk int, bits binary").toLocalIterator():
         at = r["chunk"] << (RUN_BITS - 3)
@@ -319,7 +322,7 @@ def token_order(texts: DataFrame, n: int, tokens: int) -> TokenOrder:
     rank = np.empty(len(keys), np.int64)
     rank[np.lexsort((keys, counts))] = np.arange(2, len(keys) + 2)
     order = np.argsort(keys)
-    return TokenOrder(marks, bar, keys[order], rank[order])
+    return TokenOrder(width, marks, bar, keys[order], rank[order])
 
 
 def postings(texts: DataFrame, n: int, percent: int, shared: Broadcast) -> DataFrame:
