@@ -12,16 +12,21 @@ form one class.  For sets x, y with Jaccard similarity t or more,
   intersected.
 
 Every token is counted, but any order is right: only the work depends on it.  So
-what the tasks know of the counts has a fixed size and can be broadcast: a bit
-per token hash (found ``bar`` times or more; ``bar`` is 2 until the bits are an
-eighth full) and a list of the most frequent tokens.  While ``bar`` is 2, a
-token without its bit is in one text only and is not posted at all.
+what the tasks know of the counts has a bounded size and can be broadcast: a bit
+per token hash (found ``bar`` times or more; ``bar`` is 2 until half of the most
+bits are set) and a list of the most frequent tokens.  While ``bar`` is 2, a
+token without its bit is in one set only and is not posted at all; a bit set by
+another token only posts what need not be.  One text of each class counts, posts
+and fetches (``_class_texts``), so copies alone mark nothing.
 
 Components need no full pair list.  Rounds 1 and 2 verify the sets of a posting
 group against the group's first set (a star); round 3 takes the groups that
-still hold several components and finds pairs across components by what the
+still hold several components and finds pairs across components: all pairs of
+small groups, and in larger ones by what the
 sets differ from the first one in (``_across``), so a dense family below the threshold costs rows
 in proportion to its members.  Any link left out joins two sets that are already in one component.
+Postings that can be of no use for either, as most chance meetings of two sets, are
+dropped before any set is fetched.
 
 Numpy runs inside tasks only to hash whole texts; grouping, filters and
 intersections are Spark expressions.  Intermediate tables are written to the
@@ -31,6 +36,7 @@ N^2 / 2^65 for N classes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,14 +53,20 @@ from pkgsift.llm.components import connected_components
 #: Sets a token must be in to count as frequent, and the most tokens listed.
 MIN_FREQUENT = 16
 MAX_FREQUENT = 1 << 18
-#: Counts that may mark a token as repeated, log2 of the most marking bits and of the
+#: Counts that may mark a token as repeated, log2 of the usual most marking bits and of the
 #: bits that travel in one row, and the bits there are for a marked token while they are fewer.
 BARS = (2, 3, 4, 6, 8, 12, 16, 32, 64, 256, 1024)
 MARK_BITS = 28
 RUN_BITS = 20
 BITS_EACH = 64
-#: log2 of the bits that mark class keys with a candidate partner.
+#: log2 of the most marking bits: taken once marked tokens are so many sixteenths of the bits.
+MOST_BITS = 30
+FULL = 11
+#: log2 of the most bits that mark class keys, and bits there are for a class while they are fewer.
 CLASS_BITS = 26
+CLASS_BITS_EACH = 64
+#: Members of a posting group, besides its first set, whose pairs are all looked at.
+SMALL_GROUP = 16
 #: Tokens a task sorts at once while counting, and tokens per counting group.
 FLUSH_TOKENS = 2 << 20
 GROUP_TOKENS = 2 << 20
@@ -181,18 +193,40 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long")
 
 
-def _new_sets(batches, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(class key, set) of each non-empty set that this task has not just seen."""
+def _marked(bits: np.ndarray, key: int) -> bool:
+    """Whether a key has its bit among ``_marked_classes``."""
+    place = (key & (1 << 64) - 1) >> (62 - len(bits).bit_length())  # 8 * len(bits) is a power of two
+    return bool(bits[place >> 3] >> (place & 7) & 1)
+
+
+def _new_sets(batches, n: int, kept: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(class key, set) of each non-empty set that this task has not just seen.
+
+    With the bits of ``_class_texts`` the second column is the doc_id, and texts
+    without a bit are copies of one that has it."""
     seen: set[int] = set()
-    for _, sets in _sets(batches, n):
+    for batch, sets in _sets(batches, n):
         if len(seen) > SEEN_SETS:
             seen.clear()
-        for s in sets:
-            if len(s) and (k := _keys(s)[0]) not in seen:
+        ids = batch.column(1).to_pylist() if kept is not None else [0] * len(sets)
+        for i, s in zip(ids, sets):
+            if len(s) and (k := _keys(s)[0]) not in seen and (kept is None or _marked(kept, _text_key(i, k))):
                 seen.add(k)
                 yield k, s
 
 
+def _text_key(doc_id: int, s1: int) -> int:
+    """A key of a text by its id and class: Spark's ``xxhash64``, as in ``_class_texts``."""
+    return xxhash.xxh64_intdigest((doc_id ^ s1).to_bytes(8, "little", signed=True), 42)
+
+
+def _class_texts(signed: DataFrame, rows: int) -> np.ndarray:
+    """Bits that mark one text of each class, the one of least doc_id.  A text whose
+    bit another one has set is an extra copy and changes nothing."""
+    least = signed.groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id"))
+    return _marked_classes(least.select(F.xxhash64(F.col("doc_id").bitwiseXOR(F.col("s1"))).alias("s")), rows)
+
+
 def _pack(keys: np.ndarray) -> bytes:
     """Sorted keys as byte planes of their differences, which compress well."""
     d = np.diff(keys, prepend=np.uint64(0))
@@ -227,10 +261,10 @@ class TokenOrder:
         return out
 
 
-def token_order(texts: DataFrame, n: int, tokens: int) -> TokenOrder:
+def token_order(texts: DataFrame, n: int, tokens: int, kept: Broadcast | None = None) -> TokenOrder:
     """Count all tokens and keep what fits.
 
-    Every token of every text is counted.  Tasks sort and pre-aggregate millions
+    Every token of every text is counted, with ``kept`` of one text of each class.  Tasks sort and pre-aggregate millions
     of tokens at a time and send them, packed, by key range; ranges are cut so
     that one range holds about ``GROUP_TOKENS`` tokens.
     """
@@ -248,7 +282,7 @@ def token_order(texts: DataFrame, n: int, tokens: int) -> TokenOrder:
                 "counts": pa.array([counts[at[g]:at[g + 1]].astype("<u4").tobytes() for g in rows], pa.binary())})
 
         held, size = [], 0
-        for _, s in _new_sets(batches, n):
+        for _, s in _new_sets(batches, n, kept.value if kept else None):
             held.append(s)
             size += len(s)
             if size >= FLUSH_TOKENS:
@@ -290,8 +324,11 @@ def token_order(texts: DataFrame, n: int, tokens: int) -> TokenOrder:
                   .repartition(parts, "g").sortWithinPartitions("g")
                   .mapInArrow(total, "bar int, key long, n long, keys binary, counts binary"), "frequent")
     sizes = dict(found.where("bar > 0").groupBy("bar").agg(F.sum("n")).collect())  # at most len(BARS) rows
-    bar = next((b for b in BARS if sizes.get(b, 0) <= 1 << (MARK_BITS - 3)), BARS[-1])
+    # a token without its bit is known to be in one set while ``bar`` is 2, so bits half full tell much; higher bars only order tokens
+    bar = next((b for b in BARS if sizes.get(b, 0) <= (FULL if b == 2 else 2) << (MOST_BITS - 4)), BARS[-1])
     width = min(MARK_BITS, max(RUN_BITS, (BITS_EACH * sizes.get(bar, 0) - 1).bit_length()))  # log2 of the bits: few marks need no more
+    while width < MOST_BITS and sizes.get(bar, 0) << 4 > FULL << width:
+        width += 1
 
     def mark(batches):  # repeated keys -> runs of marking bits
         for batch in batches:
@@ -325,7 +362,7 @@ def token_order(texts: DataFrame, n: int, tokens: int) -> TokenOrder:
     return TokenOrder(width, marks, bar, keys[order], rank[order])
 
 
-def postings(texts: DataFrame, n: int, percent: int, shared: Broadcast) -> DataFrame:
+def postings(texts: DataFrame, n: int, percent: int, shared: Broadcast, kept: Broadcast) -> DataFrame:
     """(t, u, s, size, most): each class key under each token of its prefix, order 0.
 
     ``u`` is its number of unmarked tokens, least for the most central of near
@@ -350,7 +387,7 @@ def postings(texts: DataFrame, n: int, percent: int, shared: Broadcast) -> DataF
                 "u": pa.array(alone, pa.int32()), "s": pa.array(ids, pa.int64()), "size": pa.array(sizes, pa.int32()),
                 "most": pa.array(most, pa.int32()), "t": pa.array(lists, pa.list_(pa.int64()))})
 
-        for k, s in _new_sets(batches, n):
+        for k, s in _new_sets(batches, n, kept.value):
             own, p = prefix(s)
             if not len(p):
                 continue
@@ -374,19 +411,21 @@ def _possible(a: str, b: str, percent: int) -> Column:
     return (100 + percent) * F.least(F.col(f"{a}most"), F.col(f"{b}most")).cast("long") >= percent * sizes
 
 
-def _marked_classes(keys: DataFrame) -> np.ndarray:
-    """Bits, by the leading bits of the class key, of the keys in column ``s``: a
-    fixed 2 ** CLASS_BITS bits, put together by Spark's bitmap aggregate."""
-    place = F.shiftrightunsigned("s", 64 - CLASS_BITS) + 1
+def _marked_classes(keys: DataFrame, rows: int) -> np.ndarray:
+    """Bits, by the leading bits of the key, of the keys in column ``s``: at most
+    2 ** CLASS_BITS bits, put together by Spark's bitmap aggregate."""
+    width = min(CLASS_BITS, max(15, (CLASS_BITS_EACH * rows).bit_length()))  # Spark's runs have 2 ** 15 bits
+    place = F.shiftrightunsigned("s", 64 - width) + 1
     runs = (keys.groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")))
-    out = np.zeros(1 << (CLASS_BITS - 3), np.uint8)
-    for r in runs.toLocalIterator():
-        at = (r["k"] - 1) * len(r["bits"])
-        out[at:at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    out = np.zeros(1 << (width - 3), np.uint8)
+    found = runs.toArrow()  # the bits themselves, at most 8 MB
+    for k, bits in zip(found["k"].to_pylist(), found["bits"].to_pylist()):
+        at = (k - 1) * len(bits)
+        out[at:at + len(bits)] = np.frombuffer(bits, np.uint8)
     return out
 
 
-def set_table(texts: DataFrame, marked: Broadcast, n: int, percent: int) -> DataFrame:
+def set_table(texts: DataFrame, marked: Broadcast, n: int, percent: int, kept: Broadcast) -> DataFrame:
     """s, size, p1, p2, tokens: whole sets with their prefixes under orders 1 and 2.
 
     Sets whose class key has no bit in ``marked`` are left where they are: the
@@ -395,9 +434,8 @@ def set_table(texts: DataFrame, marked: Broadcast, n: int, percent: int) -> Data
     """
     def run(batches):
         bits = marked.value
-        for k1, s in _new_sets(batches, n):
-            place = (k1 & (1 << 64) - 1) >> (64 - CLASS_BITS)
-            if not bits[place >> 3] >> (place & 7) & 1:
+        for k1, s in _new_sets(batches, n, kept.value):
+            if not _marked(bits, k1):
                 continue
             size = _prefix_length(len(s), percent)
             with np.errstate(over="ignore"):
@@ -455,29 +493,34 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    texts = rows.where("doc_id is not null").select("text")
+    texts = rows.where("doc_id is not null").select("text", "doc_id")
     everything = table(signatures(rows, n), "signatures")
     signed, alone = everything.where("doc_id is not null and s1 is not null"), everything.where("doc_id is null or s1 is null")
-    tokens = signed.agg(F.sum("n_shingles")).first()[0] or 0
+    count, tokens = signed.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
 
     send = docs.sparkSession.sparkContext.broadcast
-    shared = send(token_order(texts, n, tokens))
-    posted = postings(texts, n, percent, shared)
+    kept = send(_class_texts(signed, count))
+    shared = send(token_order(texts, n, tokens, kept))
+    tidy(docs.sparkSession)
+    posted = postings(texts, n, percent, shared, kept)
     group = Window.partitionBy("t").orderBy("u", "s")
     star = (posted.withColumns({"head": F.first(F.struct("u", "s", "size", "most")).over(group), "before": F.lag("s").over(group)})
             .where("s != before"))
-    star = table(star.select("t", F.col("head.s").alias("first"), *(F.col(f"head.{c}").alias(f"first_{c}") for c in ("u", "size", "most")), "s", "size", "most"),
-                 "postings")
-    pairs = table(star.where(_possible("first_", "", percent)).groupBy(F.col("first").alias("a"), F.col("s").alias("b"))
+    star = star.select("t", F.col("head.s").alias("first"), *(F.col(f"head.{c}").alias(f"first_{c}") for c in ("u", "size", "most")), "s", "size", "most")
+    star = (star.withColumns({"possible": _possible("first_", "", percent), "paired": _in_reach("s", percent),
+                              "crowd": F.count("*").over(Window.partitionBy("t")) > SMALL_GROUP}))
+    star = table(star.where("possible or paired"), "postings")
+    pairs = table(star.where("possible").groupBy(F.col("first").alias("a"), F.col("s").alias("b"))
                   .agg(F.min("first_u").alias("u")), "pairs")
-    wanted = star.select(F.col("first").alias("s")).union(star.select("s"))
+    wanted = star.select("s").union(star.where("possible or crowd").select(F.col("first").alias("s")))
     shared.destroy()  # written tables stand for what it was needed for
-    del shared
+    del shared, posted
     tidy(docs.sparkSession)
-    marked = send(_marked_classes(wanted))
-    sets = table(set_table(texts, marked, n, percent), "sets")
+    marked = send(_marked_classes(wanted, count))
+    sets = table(set_table(texts, marked, n, percent, kept), "sets")
     marked.destroy()
-    del marked
+    kept.destroy()
+    del marked, kept
     tidy(docs.sparkSession)
 
     # round 1: every set with the least head of its groups; round 2: the other heads
@@ -486,7 +529,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     links = table(verify(near, sets, percent), "links")
     stars = links.select(F.col("b").alias("node"), F.col("a").alias("component"))
     heads = table(_heads_across(pairs, stars).join(near, ["a", "b"], "left_anti"), "pairs")
+    tidy(docs.sparkSession)
     links = table(links.union(verify(heads, sets, percent)), "links")
+    tidy(docs.sparkSession)
     parts = table(connected_components(links, "a", "b"), "parts")
     found = table(verify(table(_across(star, parts, sets, percent), "pairs"), sets, percent), "links")
     if not found.isEmpty():
@@ -512,10 +557,22 @@ def _heads_across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
 
+def _in_reach(key: str, percent: int) -> Column:
+    """Whether members of the row's posting group whose sizes may be near enough differ
+    in ``key``.  Sizes of similar sets differ by one step of their logarithm at most, so
+    they share a cell of two steps, counted from an even step or from an odd one."""
+    step = F.log(F.col("size").cast("double")) / F.lit(1.000001 * math.log(100 / min(max(percent, 1), 99)))
+    even, odd = (Window.partitionBy("t", F.floor((step + k) / 2)) for k in (0, 1))
+    return (F.min(key).over(even) < F.max(key).over(even)) | (F.min(key).over(odd) < F.max(key).over(odd))
+
+
 def _across(star: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) in different components that share a posting and can be similar.
 
-    Every member x of a group is known by its difference dx from the group's head:
+    Pairs with the head are verified before, so only members of a group that are in
+    different components and near enough in size count.  Of a small group
+    all such pairs are taken.  In a larger one
+    every member x is known by its difference dx from the group's head:
     the tokens that one of the two has and the other not.  Two sets x, y differ by
     |dx| + |dy| - 2 |dx & dy| tokens and are similar if that is at most
     (100 - percent) / (100 + percent) of |x| + |y|.  So what their differences must share is a
@@ -525,11 +582,13 @@ def _across(star: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) ->
     component is out.  The others post, rarest first, a prefix of their shareable tokens.
     """
     own = parts.select(F.col("node").alias("s"), "component")
-    head = parts.select(F.col("node").alias("first"), F.col("component").alias("of_first"))
-    placed = (star.join(own, "s", "left").join(head, "first", "left")
-              .withColumns({"c": F.coalesce("component", "s"), "c0": F.coalesce("of_first", "first")}))
-    heads = placed.where("c != c0").select(F.col("first").alias("h")).distinct()
-    members = placed.select(F.col("first").alias("h"), "s", "c").distinct().join(heads, "h", "left_semi")
+    placed = (star.where("paired").join(own, "s", "left")
+              .select("t", F.col("first").alias("h"), "s", "size", "most", "crowd", F.coalesce("component", "s").alias("c")))
+    placed = table(placed.withColumn("paired", _in_reach("c", percent)).where("paired").drop("paired"), "members")
+    x, y = (placed.where("not crowd").select("t", *(F.col(c).alias(side + c) for c in ("s", "c", "size", "most"))) for side in ("x", "y"))
+    few = (x.join(y, "t").where((F.col("xs") < F.col("ys")) & (F.col("xc") != F.col("yc")) & _possible("x", "y", percent))
+           .select(F.col("xs").alias("a"), F.col("ys").alias("b")))
+    members = placed.where("crowd").select("h", "s", "c").distinct()
     of_head = sets.select(F.col("s").alias("h"), F.col("tokens").alias("h_tokens"))
     more, less = 100 + percent, 100 - percent
     delta = table(members.join(of_head, "h").join(sets.select("s", "size", "tokens"), "s")
@@ -546,12 +605,14 @@ def _across(star: DataFrame, parts: DataFrame, sets: DataFrame, percent: int) ->
         near = left.join(least, "h")
         second = near.where(F.col("c") != F.col("m.c")).groupBy("h").agg(F.min("g").alias("g2"))
         other = F.when(F.col("c") != F.col("m.c"), F.col("m.g")).otherwise(F.col("g2"))
+        tidy(star.sparkSession)
         left = table(near.join(second, "h", "left").withColumn("other", other).where(F.col("g") + F.col("other") <= 2 * more * F.col("w"))
                      .select("h", "s", "c", "g", "w", "other"), "differences")
     need = F.greatest(F.ceil((F.col("g") + F.col("other")) / F.lit(2 * more)), F.lit(1)).cast("int")
     posted = (left.join(known.select("h", "s", "shared"), ["h", "s"])
               .select("h", "s", "c", "g", "w", F.explode(F.slice("shared", 1, F.col("w").cast("int") - need + 1)).alias("x")).withColumn("t", F.col("x.t")).drop("x"))
     x, y = (posted.select("h", "t", *(F.col(c).alias(side + c) for c in ("s", "c", "g", "w"))) for side in ("x", "y"))
-    return (x.join(y, ["h", "t"])
+    many = (x.join(y, ["h", "t"])
             .where((F.col("xs") < F.col("ys")) & (F.col("xc") != F.col("yc")) & (F.col("xg") + F.col("yg") <= 2 * more * F.least("xw", "yw")))
-            .select(F.col("xs").alias("a"), F.col("ys").alias("b")).distinct())
+            .select(F.col("xs").alias("a"), F.col("ys").alias("b")))
+    return few.union(many).distinct()
