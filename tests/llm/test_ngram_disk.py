@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 
+import corpus_pipeline
 from pkgsift.llm import ngram_join as nj
 
 _spec = importlib.util.spec_from_file_location("_ngram_dense", Path(__file__).with_name("test_ngram_dense.py"))
@@ -35,18 +36,29 @@ def test_bar_stays_while_more_bits_hold_the_marks(spark, monkeypatch):
     assert order.bar == 2 and order.bits == 13  # 2992 marked tokens are too many for 2 ** 12 bits
 
 
-def test_chance_meetings_write_no_differences(spark, written):
+def couples():
     """Couples of near copies that share a passage with another couple."""
     texts = []
     for k in range(30):
         words = [f"c{k}w{j}" for j in range(100)]
         words[50:56] = [f"p{k // 2}x{j}" for j in range(6)]
         texts += [" ".join(words), " ".join(words[:-1] + ["end"])]
-    got, (want, links) = dense.joined(spark, texts)
+    return texts
+
+
+def test_chance_meetings_write_no_differences(spark, written):
+    got, (want, links) = dense.joined(spark, couples())
     assert got == want and links == 30
     assert written["differences"] == 0
 
 
+def test_chance_meetings_in_the_pipeline(spark, written):
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(couples())], "doc_id long, text string, lang string")
+    left = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(r["doc_id"] for r in left.collect()) == list(range(0, 60, 2))
+    assert written["differences"] == 0
+
+
 def test_exact_copies_post_nothing(spark, monkeypatch):
     posted, real = [], nj.postings
 
